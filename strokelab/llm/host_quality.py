@@ -126,3 +126,16 @@ def judge(
         F.col("_src").alias(host),
         "host_rate",
     )
+
+
+def base_failure(text: Column) -> Column:
+    """The base rule alone: fewer than 20 words, or over 30 % of them in repeated windows."""
+    return let(words_column(text), lambda ws: (F.size(ws) < 20) | (100 * repeated_words(ws) > 30 * F.size(ws)))
+
+
+def kept_rows(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that neither the base rule nor their host's verdict rejects."""
+    failed = base_failure(F.col(text))
+    verdicts = host_verdicts(docs.select(F.col(host).alias("_src"), failed.alias("_failed")), "_src", "_failed", max_rate)
+    rejected = materialize(verdicts.where("host_rejected").select("_host"), "hosts")
+    return docs.where(~failed).join(rejected, docs[host].eqNullSafe(rejected["_host"]), "left_anti")
