@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import importlib
+
+MODULES = ("q_labels",)
+
+
+def _parts():
+    return [importlib.import_module(f"strokelab.plans.{m}") for m in MODULES]
+
 
 def queries() -> dict:
-    return {}
+    return {k: f for m in _parts() for k, f in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for m in _parts() for k, s in m.oracle_sql().items()}
