@@ -11,7 +11,7 @@ is cut like any other; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
+import base64
 import zlib
 from array import array
 from bisect import bisect_right
@@ -23,16 +23,11 @@ from pyspark.sql import functions as F
 
 from strokelab.llm.common import materialize
 
-#: White space, a space, white space: only there can a cut before a space change how a text is tokenized.
-_UNSAFE = re.compile(r"\s \s")
-_CACHE_ENTRIES = 400_000
-_SLICE = 1 << 22
-
-
-def tokenizer_path() -> str:
+def vocabulary_path(kind: str) -> str:
+    """A file of the public byte-level BPE vocabulary: ``json`` (tokenizers) or ``tiktoken`` (the same as ranks)."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(f"byte_bpe_50k.{kind}")
 
 
 def class_sizes(capacity: int, max_waste: int) -> list[int]:
@@ -43,38 +38,25 @@ def class_sizes(capacity: int, max_waste: int) -> list[int]:
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
-    The tokenizer splits before a space that follows or precedes a non-space, so such chunks are encoded once and kept
-    (a bounded number of them); texts with other runs of white space are encoded whole.
+    The ids are those of the vocabulary's tokenizers file.  The same vocabulary as ranks gives equal ids several times
+    as fast; texts that hold the name of a special token go through the tokenizers file itself.
     """
 
-    def __init__(self, path: str, entries: int = _CACHE_ENTRIES):
+    def __init__(self, path: str, ranks_path: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.entries, self.kept = Tokenizer.from_file(path), entries, {}
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.ranks = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if _UNSAFE.search(text):
-            return self.whole(text)
-        head, *rest = text.split(" ")
-        kept = self.kept
-        out = [self.whole(head)] if head else []
-        try:
-            out.extend(map(kept.__getitem__, rest))
-        except KeyError:
-            del out[1 if head else 0 :]
-            missing = [w for w in dict.fromkeys(rest) if w not in kept]
-            if len(kept) + len(missing) > self.entries:
-                kept.clear()
-                missing = list(dict.fromkeys(rest))
-            for i in range(0, len(missing), 4096):
-                part = missing[i : i + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast([" " + w for w in part], add_special_tokens=False), strict=True):
-                    kept[w] = array("I", e.ids).tobytes()
-            out.extend(map(kept.__getitem__, rest))
-        return b"".join(out)
+        if any(t in text for t in self.special):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.ranks.encode_to_numpy(text).astype("<u4").tobytes()
 
 
 def pieces_of(n: int, sizes: list[int]) -> list[tuple[int, int]]:
@@ -88,13 +70,13 @@ def pieces_of(n: int, sizes: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(path: str, end_id: int, sizes: list[int]):
+def _cut(path: str, ranks_path: str, end_id: int, sizes: list[int]):
     names = ["_key", "start", "length", "ids_crc32", "doc_tokens", "_part", "_rank"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, end, part = Encoder(path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId()
+        encode, end, part = Encoder(path, ranks_path), array("I", [end_id]).tobytes(), TaskContext.get().partitionId()
         ranks = dict.fromkeys(sizes, 0)
         for b in batches:
             cols: list[list] = [[] for _ in names]
@@ -122,6 +104,7 @@ def pack(
     end_id: int = 0,
     max_waste: int = 4,
     path: str | None = None,
+    ranks_path: str | None = None,
 ) -> DataFrame:
     """Per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset (all long but the key)."""
     sizes = class_sizes(capacity, max_waste)
@@ -129,7 +112,7 @@ def pack(
     schema = f"_key {kind}, start long, length long, ids_crc32 long, doc_tokens long, _part long, _rank long"
     # Written once: ranks within a partition stay as they are, whatever is computed again later.
     pieces = materialize(
-        docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(_cut(path or tokenizer_path(), end_id, sizes), schema),
+        docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(_cut(path or vocabulary_path("json"), ranks_path or vocabulary_path("tiktoken"), end_id, sizes), schema),
         "pieces",
     )
     filled = pieces.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("n"))
