@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_labels", "q_tables", "q_sequences")
+MODULES = ("q_labels", "q_tables", "q_sequences", "q_flows")
 
 
 def _parts():
