@@ -29,4 +29,4 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def load(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.option("wholetext", "true").text(folder).mapInPandas(_rows, SCHEMA)
+    return spark.read.text(folder, wholetext=True).mapInPandas(_rows, SCHEMA)
