@@ -98,3 +98,33 @@ def check_packing(docs, rows, encode, capacity=1024):
         assert at <= capacity
         padding += 0 if at & (at - 1) == 0 else capacity - at
     return padding, total
+
+
+def secrets_base(text):
+    kinds = ("assign", "access", "hex")
+    t = text or ""
+    out = [("assign", m.start(), m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 12]
+    out += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+    out += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+    return sorted(out, key=lambda s: (s[1], kinds.index(s[0])))
+
+
+def license_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(A_Z))
+    at = []
+    for phrase, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")):
+        p = phrase.split()
+        at += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
+    places = [i for i, _ in at]
+    return len(words), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({label for _, label in at}))
+
+
+def edits(passage, text):
+    """Fewest edits of the passage against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(passage, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
