@@ -3,7 +3,8 @@
 A document's ids are cut into pieces whose lengths are reciprocals of the capacity: size ``capacity // k`` for class
 k, for those k whose bins of exactly k such pieces waste at most ``max_waste`` ids.  A class is filled without looking
 at any other: piece number i of class k lies in bin i // k.  Workers number the pieces of their own partition; the
-offsets between partitions come from one small sum per (partition, class).
+offsets between partitions come from one small sum per (partition, class).  Only the pieces after a class's last full
+bin (fewer than one bin of each class, whatever the input) are mixed with those of other classes.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed like any others; a very long text
 is cut like any other; an empty table gives an empty result.
@@ -123,21 +124,39 @@ def pack(
             F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_before"),
     )
-    rank = F.col("_before") + F.col("_rank")
-    per_bin = F.lit(capacity).cast("long") - F.lit(capacity).cast("long") % F.col("length")
-    per_bin = (per_bin / F.col("length")).cast("long")
-    # A class's bins get every len(sizes)-th number, so the classes never meet.
-    number = F.create_map(*[F.lit(x) for i, s in enumerate(sizes) for x in (s, i)])
-    return (
-        pieces.join(before, ["length", "_part"])
-        .withColumn("_bin", F.floor(rank / per_bin))
-        .select(
-            F.col("_key").alias(key),
-            "start",
-            "length",
-            "ids_crc32",
-            "doc_tokens",
-            (F.col("_bin") * len(sizes) + number[F.col("length").cast("int")]).cast("long").alias("sequence_id"),
-            ((rank - F.col("_bin") * per_bin) * F.col("length")).cast("long").alias("offset"),
-        )
+    placed = pieces.join(before, ["length", "_part"]).withColumn("_at", F.col("_before") + F.col("_rank"))
+    # At most one row per class.
+    totals = {r["length"]: r["n"] for r in filled.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    ends = docs.sparkSession.createDataFrame(last_bins(totals, sizes, capacity), "length long, _at long, _last long, _place long")
+    per_bin = (F.lit(capacity) / F.col("length")).cast("long")
+    # A class's full bins get every len(sizes)-th number, so the classes never meet; mixed bins come after all of them.
+    number = F.create_map(*[F.lit(x) for i, s in enumerate(sizes) for x in (s, i)])[F.col("length").cast("int")]
+    full = F.floor(F.col("_at") / per_bin)
+    return placed.join(F.broadcast(ends), ["length", "_at"], "left").select(
+        F.col("_key").alias(key),
+        "start",
+        "length",
+        "ids_crc32",
+        "doc_tokens",
+        F.coalesce("_last", full * len(sizes) + number).cast("long").alias("sequence_id"),
+        F.coalesce("_place", (F.col("_at") - full * per_bin) * F.col("length")).cast("long").alias("offset"),
     )
+
+
+def last_bins(totals: dict[int, int], sizes: list[int], capacity: int) -> list[tuple[int, int, int, int]]:
+    """(length, number, sequence, offset) of the pieces that fill no bin of their class: fewer than one bin per class.
+
+    They are mixed, longest first, each into the first bin with room; their number depends on the capacity alone.
+    """
+    first = max((n // (capacity // s) for s, n in totals.items()), default=0) + 1
+    room: list[int] = []
+    out = []
+    for s in sizes:
+        n, k = totals.get(s, 0), capacity // s
+        for at in range(n - n % k, n):
+            b = next((i for i, r in enumerate(room) if r >= s), len(room))
+            if b == len(room):
+                room.append(capacity)
+            out.append((s, at, (first + b) * len(sizes), capacity - room[b]))
+            room[b] -= s
+    return out
