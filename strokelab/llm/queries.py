@@ -70,5 +70,38 @@ def queries() -> dict:
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
+_WORDS = r"""d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents)"""
+
+_QUALITY = (
+    "WITH "
+    + _WORDS
+    + r""",
+win AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 7], ' ')) AS k FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM win WHERE k > 1) GROUP BY r),
+m AS (SELECT d.r, doc_id, source, len(w) AS n_words, length(regexp_replace(t, '[ 	-]+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))) AS n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+h AS (SELECT source AS host, count(*) AS n, count(*) FILTER (base_failed) AS f FROM b GROUP BY 1),
+p AS (SELECT sum(f) / sum(n) AS mean, sum(n * (f / n) ** 2) / sum(n) - (sum(f) / sum(n)) ** 2 AS var FROM h),
+q AS (SELECT mean, CASE WHEN var <= 1e-12 THEN 1000.0::DOUBLE ELSE least(1000.0, greatest(1.0, mean * (1 - mean) / var - 1)) END AS weight FROM p),
+v AS (SELECT host, (f + mean * weight) / (n + weight) AS host_rate FROM h, q)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  base_failed, NOT base_failed AND host_rate <= 0.7 AS kept, source, round(host_rate, 6) AS host_rate FROM b LEFT JOIN v ON b.source IS NOT DISTINCT FROM v.host"""
+)
+
+_SUBSTRINGS = (
+    "WITH "
+    + _WORDS
+    + r""",
+win AS (SELECT r, i, count(*) OVER (PARTITION BY array_to_string(w[i:i + 34], ' ')) AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM win WHERE k > 1)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL twins where SQL can express an operator; the others are tested against brute force (tests/llm)."""
+    return {"op4_quality": _QUALITY, "op8_substrings": _SUBSTRINGS}
