@@ -6,7 +6,7 @@ each sequence of child tags (presentation) and each block text (content) occurs
 the node an importance between 0 (the same everywhere) and 1.  Branches of low importance are taken out of every page
 of the host, besides parts that are boilerplate by their tag, role or class.
 
-Defined results: null and empty html gives empty text; a null url is a host of its own; hosts with few pages are cleaned
+Defined results: null and empty html gives empty text; pages without a host, and hosts with few pages, are cleaned
 by tag, role and class alone; where low-importance nodes would take more than half of a page's article (mirrors of one
 article), the article stays; repeated rows get the same text; an empty table gives an empty result.
 """
