@@ -95,6 +95,15 @@ def _features(vocabulary: Vocabulary):
     return run
 
 
+def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents hold each vocabulary term: one row per term and task."""
+    total: Counter = Counter()
+    for b in batches:
+        values, counts = np.unique(b.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+        total.update(dict(zip(values.tolist(), counts.tolist(), strict=True)))
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["i", "n"])
+
+
 class BlockMaxIndex:
     """Labelled examples in blocks, with each term's largest weight in each block."""
 
@@ -226,12 +235,13 @@ def score(
 
     found = materialize(lean.mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>"), "features")
     n_docs = found.count()
-    df = dict(found.select(F.explode("at").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect())  # at most max_terms rows
+    df = dict(found.select("at").mapInArrow(_frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect())  # at most max_terms rows
     size = len(vocabulary.words) + len(vocabulary.stems)
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(size)])
     rows = found.join(chosen, "_key").select("_key", "at", "tf", "_y").dropDuplicates(["_key"]).orderBy("_key").collect()  # at most max_examples
     index = BlockMaxIndex([(int(r[0]), list(r[1]), list(r[2]), r[3]) for r in rows], idf, k)
-    scored = found.mapInArrow(_score(index), f"_key {kind}, score double, evidence array<long>")
+    # Vectors are small but scoring is not: tasks by number of documents, not by bytes.
+    scored = found.repartition(max(1, math.ceil(n_docs / 10_000))).mapInArrow(_score(index), f"_key {kind}, score double, evidence array<long>")
     return scored.select(
         F.col("_key").alias(key),
         F.coalesce(held_out(F.col("_key")), F.lit(False)).alias("held_out"),
