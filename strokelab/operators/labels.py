@@ -31,21 +31,25 @@ def clamp(x: Column, low: float, high: float) -> Column:
 
 
 def stroke_labels(events: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Events with corrected timing error, spacing, accent flag and bounce count (O-A01, O-J06, O-J07, O-P04)."""
+    """Events with corrected timing error, spacing, accent flag and bounce count (O-A01, O-J06, O-J07, O-P04).
+
+    Only rows with a parent, and three columns of possible parents, take part in the self join; the full rows are
+    shuffled once, to meet the facts found about them.
+    """
+    children = events.where(F.col("parent_stroke_index").isNotNull()).select(key, "index", "parent_stroke_index", "is_grace_note", "actual_time_ms")
     parents = events.select(F.col(key), F.col("index").alias("parent_stroke_index"), F.col("actual_time_ms").alias("_parent_ms"))
-    children = events.where(F.col("parent_stroke_index").isNotNull()).groupBy(key, F.col("parent_stroke_index").alias("index")).agg(F.count(F.lit(1)).alias("_children"))
+    spacing = children.where("is_grace_note").join(parents, [key, "parent_stroke_index"]).select(key, "index", (F.col("_parent_ms") - F.col("actual_time_ms")).alias("flam_spacing_ms"))
+    counts = children.groupBy(key, F.col("parent_stroke_index").alias("index")).agg(F.count(F.lit(1)).alias("_children"))
+    facts = spacing.join(counts, [key, "index"], "full_outer")
     raw = F.col("actual_time_ms") - F.col("intended_time_ms")
-    spacing = F.when(F.col("is_grace_note"), F.col("_parent_ms") - F.col("actual_time_ms"))
     return (
-        events.join(parents, [key, "parent_stroke_index"], "left")
-        .join(children, [key, "index"], "left")
+        events.join(facts, [key, "index"], "left")
         .withColumn("raw_timing_error_ms", raw)
-        .withColumn("flam_spacing_ms", spacing)
         .withColumn("timing_error_ms", F.coalesce(F.col("flam_spacing_ms") - IDEAL_SPACING_MS, raw))
         .withColumn("velocity_error", F.col("actual_velocity") - F.col("intended_velocity"))
         .withColumn("is_accent", F.col("stroke_type") == "accent")
         .withColumn("buzz_count", F.when((F.col("stroke_type") == "buzz") & ~F.col("is_grace_note"), 1 + F.coalesce("_children", F.lit(0))))
-        .drop("_parent_ms", "_children")
+        .drop("_children")
     )
 
 
