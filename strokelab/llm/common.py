@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -57,3 +58,23 @@ def words_column(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def split_by_keys(df: DataFrame, keys: DataFrame, columns: list[str], most_bits: int = 1 << 30) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` that may have their key in ``keys``, and rows that surely haven't; neither side is shuffled.
+
+    The keys' hashes are set in a bitmap of about 16 bits for each key, at most ``most_bits`` (128 MB), which every task
+    gets.  A larger set of keys only lets more rows through by chance, so a join must follow on the first side.
+    """
+    bits = 1 << min(most_bits.bit_length() - 1, max(15, math.ceil(math.log2(16 * max(1, keys.count())))))
+    slot = lambda frame: F.pmod(F.xxhash64(*[frame[c] for c in columns]), F.lit(bits))
+    bitmap = keys.select(slot(keys).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    at = F.bitmap_bit_position(F.col("_slot")).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = (
+        df.withColumn("_slot", slot(df))
+        .withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+        .join(F.broadcast(bitmap), "_bucket", "left")
+        .withColumn("_in", F.coalesce(F.getbit(byte.cast("long"), at % 8) == 1, F.lit(False)))
+    )
+    return marked.where("_in").select(*df.columns), marked.where("not _in").select(*df.columns)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strokelab.llm.common import materialize
+from strokelab.llm.common import materialize, split_by_keys
 
 SEGMENT = 150_000
 U = np.uint64
@@ -222,7 +222,9 @@ def repeated_spans(docs: DataFrame, length: int = 35, k: int = 8) -> DataFrame:
         .groupBy(F.col("one._key").alias("_key"), F.col("one._mark").alias("_mark"))
         .agg(F.collect_list(F.struct("anchor", F.col("one.at").alias("at"), "copies")).alias("asked"))
     )
-    sources = docs.join(asked, same_row(docs, asked)).select(docs["_key"], docs["_mark"], "_text", "asked")
+    asked = materialize(asked, "asked")
+    some, _ = split_by_keys(docs, asked, ["_key", "_mark"])  # texts that aren't asked for stay where they are
+    sources = some.join(asked, same_row(some, asked)).select(some["_key"], some["_mark"], "_text", "asked")
     windows = materialize(
         sources.mapInArrow(_emit_windows(length), f"anchor long, window long, _key {kind}, _mark int, start long, copies long"),
         "windows",
@@ -248,7 +250,9 @@ def strip_repeats(
     lean = docs.select(
         F.col(key).alias("_key"), F.hash(F.col(text)).alias("_mark"), F.col(text).alias("_text")
     )
-    spans = repeated_spans(lean, length, k)
-    joined = lean.join(spans, same_row(lean, spans), "left").select(lean["_key"], "_text", "spans")
+    spans = materialize(repeated_spans(lean, length, k), "spans")
+    some, rest = split_by_keys(lean, spans, ["_key", "_mark"])
+    joined = some.join(spans, same_row(some, spans), "left").select(some["_key"], "_text", "spans")
+    joined = joined.union(rest.select("_key", "_text", F.lit(None).cast(spans.schema["spans"].dataType)))
     schema = f"_key {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.mapInArrow(_strip(keep_text), schema).withColumnRenamed("_key", key)
