@@ -28,19 +28,20 @@ _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() e
 _FLUSH = 300_000
 
 
-def terms(text: str | None, prefix: int) -> Counter:
-    """How often each word, and each prefix (``prefix`` characters and a star) of a longer word, occurs."""
+def terms(text: str | None, prefixes: tuple[int, ...]) -> Counter:
+    """How often each word, and each prefix (so many characters and a star) of a longer word, occurs."""
     words = Counter((text or "").encode().translate(_SPLIT).split())
     out = Counter()
     for w, n in words.items():
         word = w.decode()
         out[word] += n
-        if len(word) > prefix:
-            out[word[:prefix] + "*"] += n
+        for p in prefixes:
+            if len(word) > p:
+                out[word[:p] + "*"] += n
     return out
 
 
-def _by_label(prefix: int):
+def _by_label(prefixes: tuple[int, ...]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
 
@@ -55,7 +56,7 @@ def _by_label(prefix: int):
         for b in batches:
             for t, y in zip(b.column(0), b.column(1), strict=True):
                 label = y.as_py()
-                for w in terms(t.as_py(), prefix):
+                for w in terms(t.as_py(), prefixes):
                     seen[w][label] += 1
                 if len(seen) > _FLUSH:
                     yield out()
@@ -65,20 +66,21 @@ def _by_label(prefix: int):
 
 
 class Vocabulary:
-    def __init__(self, chosen: list[str], prefix: int):
+    def __init__(self, chosen: list[str]):
         self.words = {w.encode(): i for i, w in enumerate(chosen) if not w.endswith("*")}
         self.stems = {w[:-1]: i for i, w in enumerate(chosen) if w.endswith("*")}
-        self.prefix = prefix
+        self.lengths = sorted({len(w) for w in self.stems})
 
     def features(self, text: str | None) -> list[tuple[int, int]]:
         """(term number, occurrences), by term number."""
         found: Counter = Counter()
-        p = self.prefix
         for w, n in Counter((text or "").encode().translate(_SPLIT).split()).items():
             if w in self.words:
                 found[self.words[w]] += n
-            if len(w) > p and len(word := w.decode()) > p and (i := self.stems.get(word[:p])) is not None:
-                found[i] += n
+            word = w.decode()
+            for p in self.lengths:
+                if len(word) > p and (i := self.stems.get(word[:p])) is not None:
+                    found[i] += n
         return sorted(found.items())
 
 
@@ -127,15 +129,14 @@ class BlockMaxIndex:
         self.evidence = [sorted(v[2])[:3] for _, v in entries]
         self.n_blocks = (len(entries) + block - 1) // block
         self.bound = np.zeros((len(idf), self.n_blocks))
-        lists: list[dict[int, tuple[list, list]]] = [{} for _ in range(self.n_blocks)]
-        for e, ((at, tf), _) in enumerate(entries):
-            w = self.weights(at, tf)
-            for i, x in zip(at, w, strict=True):
-                ids, ws = lists[e // block].setdefault(i, ([], []))
-                ids.append(e % block)
-                ws.append(x)
-                self.bound[i, e // block] = max(self.bound[i, e // block], x)
-        self.postings = [{i: (np.array(a), np.array(w)) for i, (a, w) in x.items()} for x in lists]
+        rows = [(i, e, x) for e, ((at, tf), _) in enumerate(entries) for i, x in zip(at, self.weights(at, tf), strict=True)]
+        rows.sort()
+        # Postings by term, then entry; starts[i, b] is where block b of term i begins.
+        terms = np.array([r[0] for r in rows], np.int64)
+        self.entry, self.weight = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], float)
+        np.maximum.at(self.bound, (terms, self.entry // block), self.weight)
+        edges = np.arange(len(idf))[:, None] * (self.n_blocks + 1) * block + np.arange(self.n_blocks + 1)[None, :] * block
+        self.starts = np.searchsorted(terms * (self.n_blocks + 1) * block + self.entry, edges)
         self.block, self.n = block, len(entries)
 
     def weights(self, at, tf) -> np.ndarray:
@@ -147,22 +148,23 @@ class BlockMaxIndex:
         """Entries and cosines of the k nearest votes, with all that tie with the last of them."""
         w = self.weights(at, tf)
         bounds = w @ self.bound[at]
-        ids, sims, got = np.empty(0, np.int64), np.empty(0), 0.0
-        floor = 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or bounds[b] < floor - 1e-12:
-                break
-            cos = np.zeros(self.block)
-            for i, x in zip(at, w, strict=True):
-                if i in self.postings[b]:
-                    where, weight = self.postings[b][i]
-                    cos[where] += weight * x
+        order = np.argsort(-bounds, kind="stable")
+        ids, sims, floor = np.empty(0, np.int64), np.empty(0), 0.0
+        done, some = 0, 8
+        # Blocks by falling bound, twice as many each time, until none can reach the k-th nearest.
+        while done < len(order) and bounds[order[done]] > 0 and bounds[order[done]] >= floor - 1e-12:
+            blocks = order[done : done + some]
+            done, some = done + some, 2 * some
+            start = self.starts[at][:, blocks]
+            n = (self.starts[at][:, blocks + 1] - start).ravel()
+            each = np.repeat(start.ravel() - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            place = np.repeat(np.tile(np.arange(len(blocks)), len(at)), n) * self.block + self.entry[each] % self.block
+            cos = np.bincount(place, self.weight[each] * np.repeat(np.repeat(w, len(blocks)), n), len(blocks) * self.block)
             new = np.flatnonzero(cos > 0)
-            ids, sims = np.append(ids, new + b * self.block), np.append(sims, cos[new])
-            order = np.lexsort((ids, -sims))
-            ids, sims = ids[order], sims[order]
-            reach = np.cumsum(self.all[ids])
-            last = int(np.searchsorted(reach, self.k))
+            ids, sims = np.append(ids, blocks[new // self.block] * self.block + new % self.block), np.append(sims, cos[new])
+            rank = np.lexsort((ids, -sims))
+            ids, sims = ids[rank], sims[rank]
+            last = int(np.searchsorted(np.cumsum(self.all[ids]), self.k))
             if last < len(ids):
                 floor = sims[last]
                 keep = sims >= floor - 1e-12
@@ -212,7 +214,7 @@ def score(
     max_examples: int = 20_000,
     max_terms: int = 1_000,
     significance: float = 24.0,
-    prefix: int = 6,
+    prefixes: tuple[int, ...] = (4, 5, 6, 7),
     k: int = 15,
 ) -> DataFrame:
     """Per document: key, held_out, score, predicted, evidence (ids of nearest examples)."""
@@ -223,7 +225,7 @@ def score(
     chosen = F.broadcast(examples)  # at most max_examples rows of two numbers
 
     by_label = (
-        lean.join(chosen, "_key").select("_text", "_y").mapInArrow(_by_label(prefix), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        lean.join(chosen, "_key").select("_text", "_y").mapInArrow(_by_label(prefixes), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
     totals = examples.agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
     p, n = int(totals["p"]), int(totals["n"])
@@ -231,7 +233,7 @@ def score(
     b, d = p - a, (n - p) - c
     chi = F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d))
     top = by_label.where(F.col("pos") + F.col("neg") >= 5).withColumn("chi", chi).where(F.col("chi") >= significance).orderBy(F.desc("chi"), "term").limit(max_terms)
-    vocabulary = Vocabulary([r["term"] for r in top.select("chi", "term").collect()], prefix)
+    vocabulary = Vocabulary([r["term"] for r in top.select("chi", "term").collect()])
 
     found = materialize(lean.mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>"), "features")
     n_docs = found.count()
