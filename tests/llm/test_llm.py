@@ -426,3 +426,28 @@ def test_block_max_is_exact():
         kth = cos[4]
         want = cos[(cos >= kth - 1e-12) & (cos > 0)]
         assert np.allclose(votes, want)
+
+
+# Shared helpers and SQL twins
+
+
+def test_split_by_keys(spark):
+    from strokelab.llm.common import split_by_keys
+
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    keys = spark.range(0, 5000, 50).select(F.col("id").alias("k"))
+    some, rest = split_by_keys(df, keys, ["k"])
+    have, others = {r["k"] for r in some.collect()}, {r["k"] for r in rest.collect()}
+    assert not have & others and len(have) + len(others) == 5000 and set(range(0, 5000, 50)) <= have and len(have) < 800
+    everything, nothing = split_by_keys(df, keys.limit(0), ["k"])
+    assert everything.count() == 0 and nothing.count() == 5000 and nothing.columns == ["k", "v"]
+
+
+@pytest.mark.parametrize("name", ["op4_quality", "op8_substrings"])
+def test_sql_twin(spark, small, name):
+    import harness
+
+    from strokelab.llm import queries
+
+    assert set(queries.oracle_sql()) == {"op4_quality", "op8_substrings"}
+    assert harness.difference(queries.queries()[name](spark, small), queries.oracle_sql()[name], small) is None
