@@ -211,6 +211,7 @@ def groove_report(strokes: DataFrame, key: str = "sample_id") -> DataFrame:
     """Groove numbers, timing statistics and a sentence about them (O-A18 to O-A22)."""
     g = _groove(_facts(strokes, key))
     feel, steady, swing, bias = (F.col(c) for c in ("groove_feel_proxy", "pattern_consistency", "swing_ratio", "accent_timing_bias"))
+    # The report's sentences and their bounds.
     words = F.concat_ws(
         "; ",
         F.when(feel > 0.8, "Excellent groove or timing accuracy").when(feel > 0.6, "Good groove feel").when(feel > 0.4, "Moderate groove, some inconsistency").otherwise("Inconsistent timing, lacking groove"),
