@@ -1,10 +1,11 @@
-"""SimHash near-duplicates: fingerprints, a trie self-join within a Hamming budget, and groups of linked texts.
+"""SimHash near-duplicates: fingerprints, a binary trie self-join within a Hamming budget, and groups of linked texts.
 
-Equal fingerprints are one leaf of the trie, so copies never pair with each other.  The trie is traversed in two
-steps.  Down to depth ``log2(leaves)`` nearly every node exists, so the partners of a node that are still within the
-budget are named by flipping bits of its prefix; below that depth a node holds about one leaf, so node pairs are
-joined to their leaves and dropped as soon as their differing bits exceed what is left of the budget.  Work grows as
-leaves * log2(leaves) ** budget, never with the square of a group of copies.
+Equal fingerprints are one leaf of the trie, so copies never pair with each other.  The trie is joined with itself level
+by level: a frontier of node pairs (a, b) with the bits they differ in so far; each step goes down some bits on both
+sides at once, adds the bits in which the children differ, and drops a pair as soon as it exceeds the budget or its
+partner doesn't exist.  Down to depth ``log2(leaves)`` nodes have many children; below, a node holds about one leaf, so
+the last step takes the leaves themselves down and meets their partners' leaves.  Work grows as leaves * log2(leaves) ** budget, never with the square of a
+group of copies.
 
 Defined results: null and blank texts have fingerprint zero and are linked like any other; fewer than three words are
 one shingle; documents without an id belong to their group but are never its representative; repeated rows get the
@@ -20,7 +21,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strokelab.llm.common import materialize
@@ -65,25 +66,42 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(_fingerprints, f"_key {kind}, fp long")
 
 
-def flips(depth: int, budget: int) -> list[int]:
-    """All prefixes of ``depth`` bits with at most ``budget`` bits set, zero first."""
-    return [sum(1 << i for i in at) for n in range(budget + 1) for at in combinations(range(depth), n)]
+def flips(bits: int, budget: int) -> list[tuple[int, int]]:
+    """(mask, bits set) of all masks of so many bits with at most ``budget`` set."""
+    return [(sum(1 << i for i in at), n) for n in range(budget + 1) for at in combinations(range(bits), n)]
 
 
-def trie_self_join(leaves: DataFrame, fp: str = "fp", budget: int = 2) -> DataFrame:
+def trie_self_join(leaves: DataFrame, fp: str = "fp", budget: int = 2, step: int = 9) -> DataFrame:
     """Pairs ``u < v`` of distinct fingerprints (signed longs) that differ in 1 to ``budget`` bits, each pair once."""
-    n = leaves.count()
-    depth = min(BITS - 2, max(1, math.ceil(math.log2(max(2, n)))))
-    node = F.shiftrightunsigned(F.col(fp), BITS - depth)
-    left = leaves.select(F.col(fp).alias("a"), node.alias("p"), F.explode(F.array(*[F.lit(m).cast("long") for m in flips(depth, budget)])).alias("flip"))
-    # Each unordered node pair once: from the node with the smaller prefix.
-    left = left.where((F.col("flip") == 0) | (F.col("p") < F.col("p").bitwiseXOR(F.col("flip")))).select(
-        "a", F.col("p").bitwiseXOR(F.col("flip")).alias("node"), (F.col("flip") == 0).alias("same")
-    )
-    right = leaves.select(F.col(fp).alias("b"), node.alias("node"))
-    differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    hit = (left["node"] == right["node"]) & (differing <= budget) & (~F.col("same") | (F.col("a") < F.col("b")))
-    return left.join(right, hit).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    dense = min(BITS - 2, max(1, math.floor(math.log2(max(2, leaves.count())))))
+    node_at = lambda depth: F.shiftrightunsigned(F.col(fp), BITS - depth) if depth else F.lit(0).cast("long")
+
+    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("k")) for m, k in flips(step, budget)])
+
+    def reach(children: DataFrame, keep: str, down: int) -> DataFrame:
+        """For each child (``node``) of a: the children of b that what is left of the budget still reaches."""
+        left = lambda m: (m["mask"] < (1 << down)) & (m["k"] <= budget - F.col("differ"))
+        out = children.select("a", "b", "differ", "node", keep, F.explode(F.filter(masks, left)).alias("m"))
+        low = F.col("node").bitwiseAND((1 << down) - 1).bitwiseXOR(F.col("m.mask"))
+        partner = F.shiftleft("b", down).bitwiseOR(low)
+        # Below one node each pair of children comes from its smaller side only.
+        return out.where((F.col("a") != F.col("b")) | (F.col("node") <= partner)).select(
+            F.col(keep).alias("a"), partner.alias("b"), (F.col("differ") + F.col("m.k")).alias("differ"), (F.col("node") == partner).alias("same")
+        )
+
+    pairs = leaves.sparkSession.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("differ"))
+    depth = 0
+    while dense - depth > step:
+        depth += step
+        nodes = materialize(leaves.select(node_at(depth).alias("node")).distinct(), "nodes")
+        children = nodes.join(pairs, F.shiftrightunsigned("node", step) == F.col("a")).withColumn("_keep", F.col("node"))
+        pairs = materialize(reach(children, "_keep", step).join(nodes.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b", "differ"), "pairs")
+    children = leaves.select(F.col(fp).alias("fa"), node_at(depth).alias("a"), node_at(dense).alias("node")).join(pairs, "a")
+    left = reach(children, "fa", dense - depth).withColumnRenamed("a", "fa")
+    right = leaves.select(F.col(fp).alias("fb"), node_at(dense).alias("_b"))
+    rest = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")).bitwiseAND((1 << (BITS - dense)) - 1))
+    hit = (left["b"] == right["_b"]) & (left["differ"] + rest <= budget) & (~left["same"] | (F.col("fa") < F.col("fb")))
+    return left.join(right, hit).select(F.least("fa", "fb").alias("u"), F.greatest("fa", "fb").alias("v"))
 
 
 def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -94,22 +112,22 @@ def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     logarithm of the longest chain.
     """
 
-    def digest(e: DataFrame) -> tuple:
-        row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        return tuple(row)
+    def written(e: DataFrame) -> tuple[DataFrame, tuple]:
+        """The edges, written once, and a digest of them that was taken on the way."""
+        seen = Observation()
+        h = F.xxhash64("u", "v")
+        e = materialize(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("s"), F.bit_xor(h).alias("x")), "edges")
+        return e, tuple(seen.get.values())
 
-    edges = materialize(edges.select("u", "v").where("u < v"), "edges")
-    seen = digest(edges)
+    edges, seen = written(edges.select("u", "v").where("u < v").distinct())
     for _ in range(max_rounds if seen[0] else 0):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
-        large = materialize(large, "large")
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v")
-        small = small.select(F.col("m").alias("u"), F.col("u").alias("v")).union(small.select(F.col("m").alias("u"), "v"))
-        edges = materialize(small.where("u < v").distinct(), "small")
-        now = digest(edges)
+        small = small.select(F.explode(F.array(F.struct(F.col("m").alias("u"), F.col("u").alias("v")), F.struct(F.col("m").alias("u"), F.col("v")))).alias("e"))
+        edges, now = written(small.select("e.u", "e.v").where("u < v").distinct())
         if now == seen:
             break
         seen = now
