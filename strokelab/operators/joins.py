@@ -58,22 +58,20 @@ def drop_resonance(points: DataFrame, window_ms: float = 25.0, ratio: float = 0.
     return p.join(strong, hit, "left_anti").drop("_bucket")
 
 
-def _match_group(window_ms: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Strong truths choose first, each the nearest point still free (the earlier of equally near ones)."""
-        taken: set = set()
-        out = []
-        first = pdf.sort_values(["velocity", "position"], ascending=[False, True], kind="stable")
-        for position, near in first.groupby("position", sort=False):
-            near = near.sort_values(["distance", "detected"])
-            free = near[~near["detected"].isin(taken)]
-            if len(free):
-                hit = free.iloc[0]
-                taken.add(hit["detected"])
-                out.append((near["_key"].iloc[0], position, hit["detected"], hit["distance"]))
-        return pd.DataFrame(out, columns=["_key", "position", "detected", "distance"])
-
-    return run
+def _match_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Strong truths choose first, each the nearest point still free (the earlier of equally near ones)."""
+    key = pdf["_key"].iloc[0]
+    near: dict[tuple, list] = {}
+    for velocity, position, distance, detected in zip(pdf["velocity"], pdf["position"], pdf["distance"], pdf["detected"], strict=True):
+        near.setdefault((-velocity, position), []).append((distance, detected))
+    taken: set = set()
+    out = []
+    for (_, position), points in sorted(near.items()):
+        hit = min((p for p in points if p[1] not in taken), default=None)
+        if hit:
+            taken.add(hit[1])
+            out.append((key, position, hit[1], hit[0]))
+    return pd.DataFrame(out, columns=["_key", "position", "detected", "distance"])
 
 
 def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0, key: str = "sample_id") -> DataFrame:
@@ -87,7 +85,7 @@ def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0
     near = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (distance <= window_ms))
     near = near.select("_key", "position", "velocity", "detected", distance.alias("distance"))
     kind = dict(truth.dtypes)[key]
-    out = near.groupBy("_key").applyInPandas(_match_group(window_ms), f"_key {kind}, position long, detected long, distance double")
+    out = near.groupBy("_key").applyInPandas(_match_group, f"_key {kind}, position long, detected long, distance double")
     return out.withColumnRenamed("_key", key)
 
 
