@@ -1,5 +1,7 @@
 """Near copies by similarity, against all pairs."""
 
+from collections import Counter
+
 import corpus_pipeline as cp
 from test_llm import DOCS, pairs, text_of
 
@@ -44,3 +46,14 @@ def test_stage_on_the_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = [r["doc_id"] for r in cp.near_duplicates(spark, docs, small).collect()]
     assert sorted(got) == sorted(kept(pairs(docs))) and 177 not in got
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    a, b, c, d = (text_of(i, 80) for i in (1, 2, 3, 4))
+    rows = [(2, a), (5, a), (5, b), (5, b), (7, c), (7, d), (9, d), (None, d), (None, text_of(6, 80)), (None, text_of(6, 80)), (None, text_of(7, 80))]
+    docs = spark.createDataFrame([(i, x, "en", "a", 1) for i, x in rows], DOCS)
+    for n in (1, 5):
+        got = Counter((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs.repartition(n), "").collect())
+        assert got == Counter([(2, a), (5, b), (7, c), (7, d), (None, text_of(6, 80)), (None, text_of(7, 80))])
+    other = spark.createDataFrame([(1, a, "en", "x", 1), (1, a, "fr", "y", 1)], DOCS)
+    assert len({tuple(cp.near_duplicates(spark, other.repartition(n), "").first()) for n in (1, 2, 3)}) == 1
