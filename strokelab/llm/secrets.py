@@ -3,8 +3,10 @@
 Credentials found by the base rules are the labelled examples.  A bounded sample of them (``max_examples`` distinct
 values, taken by hash) gives one prefix tree per kind over character classes; states are merged where their outcome
 frequencies are statistically compatible (ALERGIA, Hoeffding bound), which leaves a small probabilistic automaton.
-Every remaining candidate of every text is then scored by its likelihood per character under the best automaton,
-against a background of single characters, and added where it reads like a credential.
+Values are learned whole, with their ends.  Every remaining candidate of every text (a run of credential characters as
+long as the kind's shortest example) is then scored by its likelihood per symbol under each automaton, end included, and
+added where it reads like the examples and its characters are far less likely in the running text around
+(``Background``: pairs of bytes of all texts outside the base spans).
 
 Defined results: null and empty texts have no spans; repeated rows get the same spans; without any labelled example
 only base spans are returned; an empty table gives an empty result.
@@ -18,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +30,8 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: A credential candidate is a run of these characters, 16 or longer, with a digit.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
-RUN_BACK = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
-DIGIT = re.compile(r"[0-9]")
+#: A credential candidate is a run of these characters.
+RUN = "[A-Za-z0-9+/_=-]"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -45,18 +46,9 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, shortest: int = 16) -> Iterator[tuple[int, int]]:
-    """Runs of credential characters around digits: each digit not yet passed is widened to its whole run."""
-    passed = 0
-    for m in DIGIT.finditer(text):
-        if m.start() < passed:
-            continue
-        at = m.start()
-        while at > passed and text[at - 1] in RUN_BACK:
-            at -= 1
-        passed = RUN.match(text, at).end()
-        if passed - at >= shortest:
-            yield at, passed
+def candidates(text: str, shortest: int) -> Iterator[tuple[int, int]]:
+    """All runs of credential characters of at least this length."""
+    return (m.span() for m in re.finditer(f"{RUN}{{{shortest},}}", text))
 
 
 def classes(value: str) -> str:
@@ -74,33 +66,38 @@ CLASS_SIZE = {"h": 6, "l": 20, "H": 6, "U": 20, "d": 10, "s": 6}
 class Automaton:
     """Probabilistic automaton learned from strings by merging compatible states of their prefix tree."""
 
-    def __init__(self, strings: Iterable[str], alpha: float = 0.05, depth: int = 24):
+    def __init__(self, strings: Iterable[str], alpha: float = 0.05):
         self.alpha = alpha
         self.next: list[dict[str, int]] = [{}]
         self.count: list[Counter] = [Counter()]  # arcs taken; "" is the end
         for s in strings:
             at = 0
-            for c in s[:depth]:
+            for c in s:
                 self.count[at][c] += 1
                 if c not in self.next[at]:
                     self.next[at][c] = len(self.next)
                     self.next.append({})
                     self.count.append(Counter())
                 at = self.next[at][c]
-            self.count[at][s[depth : depth + 1]] += 1  # beyond the depth the last state goes on in its own way
+            self.count[at][""] += 1
         self._merge()
         self._compact()
 
-    def _compatible(self, a: int, b: int, left: int = 6) -> bool:
-        na, nb = sum(self.count[a].values()), sum(self.count[b].values())
-        if not na or not nb:
-            return True
-        bound = math.sqrt(0.5 * math.log(2 / self.alpha)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
-        symbols = {*self.count[a], *self.count[b]}
-        if any(abs(self.count[a][c] / na - self.count[b][c] / nb) > bound for c in symbols):
-            return False
-        shared = [c for c in self.next[a] if c in self.next[b]]
-        return not left or all(self._compatible(self.next[a][c], self.next[b][c], left - 1) for c in shared)
+    def _compatible(self, a: int, b: int) -> bool:
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            na, nb = sum(self.count[a].values()), sum(self.count[b].values())
+            if not na or not nb:
+                continue
+            bound = math.sqrt(0.5 * math.log(2 / self.alpha)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
+            if nb == 1 and bound > 1:  # and below b, a tree, it only grows
+                continue
+            symbols = {*self.count[a], *self.count[b]}
+            if any(abs(self.count[a][c] / na - self.count[b][c] / nb) > bound for c in symbols):
+                return False
+            todo += [(self.next[a][c], t) for c, t in self.next[b].items() if c in self.next[a]]
+        return True
 
     def _fold(self, a: int, b: int) -> None:
         todo = [(a, b)]
@@ -152,35 +149,52 @@ class Automaton:
         self.count = [self.count[s] for s in at]
 
     def score(self, symbols: str) -> float:
-        """Mean log2 likelihood of a symbol; -20 for one that the automaton can't make."""
+        """Log2 likelihood of the symbols and the end; -20 for one that the automaton can't make."""
         at, total = 0, 0.0
-        for c in symbols:
-            n = sum(self.count[at].values()) if at is not None else 0
+        for c in (*symbols, ""):
+            n = sum(self.count[at].values())
             seen = self.count[at][c] if n else 0
             total += math.log2(seen / n) if seen else -20.0
-            at = self.next[at].get(c, at) if n else at
-        return total / max(1, len(symbols))
+            at = self.next[at].get(c, at)
+        return total
+
+
+class Background:
+    """Running text as pairs of bytes."""
+
+    def __init__(self, pairs: dict[int, int]):
+        counts = np.zeros((256, 256))
+        for pair, n in pairs.items():
+            counts[pair >> 8, pair & 255] = n
+        self.bits = np.log2((counts + 0.5) / (counts.sum(1, keepdims=True) + 128))
+
+    def score(self, value: str) -> float:
+        raw = np.frombuffer(b" " + value.encode() + b" ", np.uint8)
+        return float(self.bits[raw[:-1], raw[1:]].sum())
 
 
 class Grammar:
-    """Automata by kind of credential, with the likelihood that most of their own examples reach."""
+    """Automata by kind of credential, with the likelihood that most of their own examples reach.
+
+    A candidate must reach it, and be ``odds`` bits likelier than in running text.
+    """
 
-    def __init__(self, examples: dict[str, list[str]], least: int = 20, quantile: float = 0.01, slack: float = 0.25):
-        self.parts = []
+    def __init__(self, examples: dict[str, list[str]], pairs: dict[int, int], least: int = 20, quantile: float = 0.01, slack: float = 0.25, odds: float = 10.0):
+        self.parts, self.background, self.odds = [], Background(pairs), odds
         for kind in KINDS:
             values = sorted(set(examples.get(kind, [])))
             if len(values) < least:
                 continue
             machine = Automaton(map(classes, values))
-            scores = sorted(machine.score(classes(v)) for v in values)
+            scores = sorted(machine.score(classes(v)) / (len(v) + 1) for v in values)
             sizes = sorted(map(len, values))
             self.parts.append((machine, scores[int(quantile * (len(scores) - 1))] - slack, sizes[0]))
+        self.shortest = min((shortest for _, _, shortest in self.parts), default=0)
 
     def accepts(self, value: str) -> bool:
-        if len(set(value)) < 8 or sum(c.isdigit() for c in value) < 3:
-            return False
         symbols = classes(value)
-        return any(len(value) >= shortest and machine.score(symbols) >= floor for machine, floor, shortest in self.parts)
+        likely = [score for machine, floor, shortest in self.parts if len(value) >= shortest and (score := machine.score(symbols)) / (len(value) + 1) >= floor]
+        return bool(likely) and max(likely) - sum(math.log2(CLASS_SIZE[c]) for c in symbols) >= self.background.score(value) + self.odds
 
 
 def all_spans(text: str, grammar: Grammar) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -188,7 +202,7 @@ def all_spans(text: str, grammar: Grammar) -> tuple[list[tuple[str, int, int]],
     base = [s[:3] for s in base_spans(text)]
     extra = []
     if grammar.parts:
-        for start, end in candidates(text):
+        for start, end in candidates(text, grammar.shortest):
             if not any(s < end and start < e for _, s, e in base) and grammar.accepts(text[start:end]):
                 extra.append(("learned", start, end))
     order = {**{k: i for i, k in enumerate(KINDS)}, "learned": len(KINDS)}
@@ -217,6 +231,18 @@ def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())], ["kind", "value"])
 
 
+def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbouring bytes (first * 256 + second) outside the base spans, and how often they stand."""
+    for b in batches:
+        counts = np.zeros(1 << 16, np.int64)
+        for t in b.column(0):
+            text = t.as_py() or ""
+            raw = np.frombuffer(redact(text, [s[:3] for s in base_spans(text)], "  ").encode(), np.uint8)
+            counts += np.bincount(raw[:-1].astype(np.int32) << 8 | raw[1:], minlength=1 << 16)
+        at = counts.nonzero()[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["pair", "n"])
+
+
 def fit(docs: DataFrame, text: str = "text", max_examples: int = 3000) -> Grammar:
     """Grammars from the base rules' own finds: at most ``max_examples`` distinct values, those of smallest hash."""
     found = docs.select(F.col(text)).mapInArrow(_labelled, "kind string, value string").where(F.length("value") <= 512)
@@ -224,7 +250,8 @@ def fit(docs: DataFrame, text: str = "text", max_examples: int = 3000) -> Gramma
     examples: dict[str, list[str]] = {}
     for kind, value in chosen.collect():
         examples.setdefault(kind, []).append(value)
-    return Grammar(examples)
+    pairs = docs.select(F.col(text)).mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return Grammar(examples, {r["pair"]: r["n"] for r in pairs.collect()})
 
 
 def _scan(grammar: Grammar, keep_text: bool):
