@@ -10,6 +10,8 @@ links; repeated rows are judged alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,17 +60,19 @@ def host_edges(pages: DataFrame, html: str = "html", host: str = "host") -> Data
     )
 
 
-def personalised_pagerank(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, max_rounds: int) -> DataFrame:
+def personalised_pagerank(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, max_rounds: int | None = None) -> DataFrame:
     """``host, rank`` for restart weights ``host, w`` (summing to one); mass at hosts without links returns to the seeds.
 
     Each round is one join and one sum on the edge table and is written out; rounds end when the vector moves less
-    than ``tolerance`` in total.
+    than ``tolerance`` in total.  The vector moves at most 2 * damping ** k in round k, which bounds the rounds.
     """
     total = edges.groupBy("src").agg(F.sum("n").alias("out"))
     step = materialize(edges.join(total, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("p")), "edges")
     rank = materialize(seeds.select("host", F.col("w").alias("rank")), "rank")
     if step.isEmpty():  # nothing can move: the restart vector is the answer
         return rank
+    if max_rounds is None:
+        max_rounds = math.ceil(math.log(tolerance / 2) / math.log(damping)) + 1
     for _ in range(max_rounds):
         moved = rank.join(step, rank["host"] == step["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("p") * damping).alias("m"))
         arrived = moved.groupBy("host").agg(F.sum("m").alias("m"))
@@ -87,8 +91,8 @@ def personalised_pagerank(seeds: DataFrame, edges: DataFrame, damping: float, to
         )
         rank = after
         if change < tolerance:
-            break
-    return rank
+            return rank
+    raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
 
 
 def judge_urls(
@@ -100,7 +104,7 @@ def judge_urls(
     damping: float = 0.85,
     factor: float = 1.0,
     tolerance: float = 1e-6,
-    max_rounds: int = 20,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """Per page: key, host, path, rule, verdict, and the host's trust and distrust."""
     lean = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(html).alias("_html"))
