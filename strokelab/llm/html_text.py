@@ -1,14 +1,18 @@
 """Main text of web pages by a site style tree.
 
-Pages are read into blocks of text, each with the chain of styles (tag, id, classes) above it.  Over all pages of a
-host the chains form the site's style tree; for each of its nodes Spark counts on how many pages it stands, how often
-each sequence of child tags (presentation) and each block text (content) occurs there, and from their entropies gives
-the node an importance between 0 (the same everywhere) and 1.  Branches of low importance are taken out of every page
-of the host, besides parts that are boilerplate by their tag, role or class.
-
-Defined results: null and empty html gives empty text; pages without a host, and hosts with few pages, are cleaned
-by tag, role and class alone; where low-importance nodes would take more than half of a page's article (mirrors of one
-article), the article stays; repeated rows get the same text; an empty table gives an empty result.
+All elements of a page are nodes, named by the chain of styles (tag, id, classes) above them; over the distinct pages of
+a host the chains form the site's style tree.  A node that stands on m pages has a presentation importance (entropy, base
+m, of its child sequences over those pages) and a content importance (one minus the mean entropy of the texts at and below
+it).  With l different child sequences its importance is ``(1 - g ** l) * presentation + g ** l * content``, g = 0.9, so an
+element that is always built alike is judged by what it says.  A branch none of whose nodes reaches the threshold is taken
+out of every page of the host.  Elements that the markup itself declares to be something else than the article (nav,
+footer, aside, form ..., roles, hidden parts, classes that are nothing but such words) go too: reader comments, for
+instance, differ on every page, which no entropy can tell from an article.
+
+Defined results: null and empty html gives empty text; pages without a host, and the only page of a host, have no
+evidence and are cleaned by markup alone; equal pages count as one; an article that the host's pages all share is not
+judged by its own repetition, nor is a site whose pages hold nothing else; repeated rows get the same text; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,23 +20,25 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strokelab.llm.common import materialize
 
+# A quote opens a quoted value only behind "="; elsewhere, and where it is never closed, it is a character like others.
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'=<>`]+)))?""")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
+#: Elements whose inside is no text of the page; unclosed, the first two reach to the end and the others are empty.
+RAW = frozenset("script style noscript template iframe textarea title svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
@@ -52,12 +58,19 @@ CLOSES = {
 SCOPE = frozenset("article aside blockquote body div dl fieldset footer form header html main nav ol section table td th ul".split())
 DROP_TAGS = frozenset("head nav footer aside form button select menu dialog audio video canvas search".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-DROP_CLASS = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w*|comments?\w*|"
-    r"disqus\w*|repl(?:y|ies)|respond|discussion|sidebars?|side|widgets?|related|recommend\w*|shar(?:e|ing)|social|menus?|nav\w*|breadcrumbs?|pagination|pager|"
-    r"footer|masthead|copyright|login|signup|search\w*|toolbar|skip)(?:[-_\s]|\d|$)",
-    re.I,
+#: A class (or the id of a plain container) says that an element is no article text where all of its words are in these
+#: two sets and one is in the first: ``cookie-notice`` and ``comment-list-2``, but not ``related-work`` or ``side-effects``.
+OTHER_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos promotion promotions cookie cookies consent gdpr notice notices "
+    "alert alerts popup popups modal newsletter newsletters subscribe subscription comment comments disqus respond replies reply sidebar sidebars widget widgets "
+    "related recommended recommendations share sharing social menu menus navbar nav navigation breadcrumb breadcrumbs pagination pager footer masthead copyright "
+    "login signup searchbox toolbar hidden".split()
 )
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box button buttons column container content first form group header icons inline inner item items last left link links list main outer page panel "
+    "post posts reader row section site skip slot sticky story stories text thread title top unit user wrap wrapper right side articles article".split()
+)
+CONTAINERS = frozenset("div aside ul ol dl table form span p center fieldset".split())
 
 
 @dataclass
@@ -73,30 +86,40 @@ class Element:
     path: str
     drop: bool
     main: bool
-    children: list[str] = field(default_factory=list)
+    judged: bool  # by the style tree
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _dropped(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+def _other(token: str) -> bool:
+    words = [w for w in re.split(r"[-_]+|\d+|(?<=[a-z])(?=[A-Z])", token) if w]
+    lower = {w.lower() for w in words}
+    return bool(lower & OTHER_WORDS) and lower <= OTHER_WORDS | LAYOUT_WORDS
+
+
+def _declared(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+    """The markup says that this element is no part of the article."""
     if tag in DROP_TAGS or (tag == "header" and not in_main):
         return True
-    if not attributes or tag in ("html", "body"):
+    if not attributes or tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return True
     if attributes.get("role", "").lower() in DROP_ROLES:
         return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return bool(named.strip()) and bool(DROP_CLASS.search(named))
+    names = attributes.get("class", "").split() + (attributes.get("id", "").split() if tag in CONTAINERS else [])
+    return any(map(_other, names))
 
 
-def parse(page: str | None) -> tuple[list[Block], dict[str, str]]:
-    """Blocks of a page in order, without dropped parts, and the child tags seen under each style path."""
+def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True) -> tuple[list[Block], dict[str, list[str]]]:
+    """Blocks of a page in order, and the children's labels of each block element by its path.
+
+    Left out are branches whose path is in ``low`` and, unless ``declared`` is false, what the markup declares.
+    """
     page = page or ""
-    stack = [Element("", "", False, False)]
+    stack = [Element("", "", False, False, True)]
     blocks: list[Block] = []
     styles: dict[str, list[str]] = {}
     held: list[str] = []
@@ -114,9 +137,12 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, str]]:
     def pop_to(k: int) -> None:
         if any(e.tag in BLOCK for e in stack[k:]):
             end_block()
+        elif any(e.drop for e in stack[k:]) and not stack[k - 1].drop:
+            held[:] = held[: marks.pop(k, len(held))] + [" "]
         del stack[k:]
 
-    at, raw_end = 0, None
+    marks: dict[int, int] = {}  # where the text of a dropped inline element begins, by its depth
+    at = 0
     size = len(page)
     while at < size:
         m = TOKEN.search(page, at)
@@ -139,13 +165,11 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, str]]:
                 end_block()
             continue
         if tag in RAW:
-            # Nothing inside is text of the article.
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             if not m[3].rstrip().endswith("/"):
-                at = close.end() if close else size
-            if tag in ("title", "textarea"):
-                continue
-            held.append(" ")
+                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = close.end() if close else size if tag in ("script", "style") else at
+            if tag not in ("title", "textarea"):
+                held.append(" ")
             continue
         if tag in BLOCK:
             end_block()
@@ -162,89 +186,122 @@ def parse(page: str | None) -> tuple[list[Block], dict[str, str]]:
                 held.append(" ")
             continue
         attributes = _attributes(m[3]) if m[3].strip(" /") else {}
-        main = top.main or tag in ("article", "main")
-        path = top.path
+        path, drop, judged = top.path, top.drop, top.judged
         if tag in BLOCK:
             label = tag + "".join(f".{c}" for c in sorted(attributes.get("class", "").split())) + (f"#{attributes['id']}" if attributes.get("id") else "")
-            path = f"{top.path}/{re.sub(r'[0-9]+', '0', label)}"
+            label = re.sub(r"[0-9]+", "0", label).replace("/", "_")
             styles.setdefault(top.path, []).append(label)
-        stack.append(Element(tag, path, top.drop or _dropped(tag, attributes, top.main), main))
+            path = f"{top.path}/{label}"
+            if judged and path in low:
+                # An article that says the same on all pages of the host is not judged by that, nor is a whole page.
+                judged = tag not in ("html", "body", "article", "main")
+                drop = drop or judged
+        if declared and not drop:
+            drop = _declared(tag, attributes, top.main)
+        if drop and not top.drop and tag not in BLOCK:
+            marks[len(stack)] = len(held)
+        stack.append(Element(tag, path, drop, top.main or tag in ("article", "main"), judged))
+    if len(stack) > 1:
+        pop_to(1)
     end_block()
-    return blocks, {p: ">".join(dict.fromkeys(c)) for p, c in styles.items()}
+    return blocks, styles
+
+
+def main_text(page: str | None, low: frozenset = frozenset(), declared: bool = True) -> str:
+    """The article's blocks; all blocks that are left where no element is marked as the article."""
+    blocks, _ = parse(page, low, declared)
+    return "\n".join(b.text for b in [b for b in blocks if b.main] or blocks)
 
 
-def main_text(blocks: list[Block], low: frozenset) -> str:
-    """The article's blocks (all blocks where no element is marked as the article) without low-importance nodes."""
-    chosen = [b for b in blocks if b.main] or blocks
-    kept = [b for b in chosen if b.path not in low]
-    if 2 * sum(len(b.text) for b in kept) < sum(len(b.text) for b in chosen):
-        kept = chosen
-    return "\n".join(b.text for b in kept)
+def page_features(page: str | None) -> tuple[int, list[tuple[str, int, int]]]:
+    """A digest of all that a page shows, and its nodes (kind 0), child sequences (1) and block texts (2) with their hashes."""
+    blocks, styles = parse(page, declared=False)
+    nodes = {b.path for b in blocks} | {p for p in styles if p}
+    seen = {(p, 0, 0) for p in nodes}
+    seen |= {(p, 1, xxhash.xxh64_intdigest(">".join(dict.fromkeys(styles[p])))) for p in nodes & styles.keys()}
+    seen |= {(b.path, 2, xxhash.xxh64_intdigest(b.text)) for b in blocks}
+    return xxhash.xxh64_intdigest("\n".join(f"{b.path}\t{b.text}" for b in blocks)), sorted(seen)
 
 
-def _host(url: str | None) -> str | None:
-    m = re.search(r"://([^/?#]*)", url or "")
-    return m[1].lower() if m else None
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def _style_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per page and node (kind 0), child sequence (1) and block text (2) of the node."""
+def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("path", pa.string()), ("kind", pa.int32()), ("mark", pa.int64())]))
     for b in batches:
-        hosts, paths, kinds, marks = [], [], [], []
-        for url, page in zip(b.column(0), b.column(1), strict=True):
-            host = _host(url.as_py())
-            blocks, styles = parse(page.as_py())
-            nodes = {x.path for x in blocks}
-            seen = {(p, 0, 0) for p in nodes}
-            seen |= {(p, 1, xxhash.xxh64_intdigest(styles.get(p, ""))) for p in nodes}
-            seen |= {(x.path, 2, xxhash.xxh64_intdigest(x.text)) for x in blocks}
-            for p, kind, mark in seen:
-                hosts.append(host)
-                paths.append(p)
-                kinds.append(kind)
-                marks.append(mark - (1 << 64) if mark >> 63 else mark)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(kinds, pa.int32()), pa.array(marks, pa.int64())], ["host", "path", "kind", "mark"])
-
-
-def style_tree(pages: DataFrame, url: str = "url", html: str = "html", balance: float = 0.1) -> DataFrame:
-    """Nodes of all hosts' style trees: host, path, pages (m) and importance.
-
-    A feature that stands on n of m pages has entropy log_m(n); content importance is one minus the mean entropy of the
-    node's texts, presentation importance the entropy of its child sequences; ``balance`` is the latter's weight.
-    """
-    rows = pages.select(url, html).mapInArrow(_style_rows, "host string, path string, kind int, mark long")
-    n = rows.groupBy("host", "path", "kind", "mark").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        made = [page_features(p.as_py()) for p in b.column(1)]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([_signed(d) for d, _ in made], pa.int64()), pa.array([[{"path": p, "kind": k, "mark": _signed(h)} for p, k, h in rows] for _, rows in made], kind)],
+            ["host", "page", "features"],
+        )
+
+
+def host_of(url: Column) -> Column:
+    return F.lower(F.nullif(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit("")))
+
+
+def ancestors(path: Column) -> Column:
+    """The paths of a node and of all nodes above it."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+
+
+def style_tree(pages: DataFrame, url: str = "url", html: str = "html", decay: float = 0.9) -> DataFrame:
+    """Nodes of all hosts' style trees: host, path, pages, importance, and best (the highest importance in its branch)."""
+    rows = pages.where(F.col(url).isNotNull()).select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host is not null")
+    seen = rows.mapInArrow(_features, "host string, page long, features array<struct<path string, kind int, mark long>>")
+    each = seen.dropDuplicates(["host", "page"]).select("host", F.explode("features").alias("f")).select("host", "f.*")
+    n = each.groupBy("host", "path", "kind", "mark").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     facts = n.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
-        F.sum(F.when(F.col("kind") == 2, F.col("n"))).alias("c"),
-        F.sum(F.when(F.col("kind") == 2, F.col("n") * F.ln("n"))).alias("c_ln"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.ln("n"))).alias("p_ln"),
+        of(1, F.col("n") * F.ln("n")).alias("shapes_ln"),
+        F.count_if(F.col("kind") == 1).alias("shapes"),
+        of(2, F.col("n")).alias("texts"),
+        of(2, F.col("n") * F.ln("n")).alias("texts_ln"),
     )
-    ln_m = F.ln("m")
-    content = 1 - F.try_divide(F.try_divide("c_ln", "c"), ln_m)
-    # -sum p log_m p with p = n / m
-    shape = F.try_divide(ln_m - F.try_divide("p_ln", "m"), ln_m)
-    weight = balance * F.coalesce(shape, F.lit(1.0)) + (1 - balance) * F.coalesce(content, F.lit(1.0))
-    return facts.select("host", "path", F.col("m").cast("long").alias("pages"), weight.alias("importance"))
+    # Entropies to base m; all are 0 where there is one page.
+    facts = materialize(
+        facts.select(
+            "host",
+            "path",
+            "m",
+            "shapes",
+            F.coalesce(F.try_divide(F.ln("m") - F.try_divide("shapes_ln", "m"), F.ln("m")), F.lit(1.0)).alias("presentation"),
+            F.coalesce("texts", F.lit(0.0)).alias("texts"),
+            F.coalesce(F.try_divide("texts_ln", F.ln("m")), F.lit(0.0)).alias("same"),
+        ),
+        "tree",
+    )
+    below = facts.where("texts > 0").select("host", F.explode(ancestors(F.col("path"))).alias("path"), "texts", "same").groupBy("host", "path").agg(F.sum("texts").alias("all"), F.sum("same").alias("same"))
+    fade = F.pow(F.lit(decay), F.col("shapes"))
+    scored = facts.select("host", "path", "m", "shapes", "presentation").join(below, ["host", "path"]).select(
+        "host",
+        "path",
+        F.col("m").cast("long").alias("pages"),
+        F.when(F.col("m") < 2, F.lit(1.0)).otherwise((1 - fade) * F.col("presentation") + fade * (1 - F.col("same") / F.col("all"))).alias("importance"),
+    )
+    best = scored.select("host", F.explode(ancestors(F.col("path"))).alias("path"), "importance").groupBy("host", "path").agg(F.max("importance").alias("best"))
+    return scored.join(best, ["host", "path"])
 
 
-def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = [main_text(parse(p.as_py())[0], frozenset(low.as_py() or ())) for p, low in zip(b.column(2), b.column(3), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["_key", "url", "text", "n_chars"])
+def _extract(declared: bool):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [main_text(p.as_py(), frozenset(low.as_py() or ()), declared) for p, low in zip(b.column(2), b.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["_key", "url", "text", "n_chars"])
+
+    return run
 
 
 def extract(
-    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 5, threshold: float = 0.2
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.5, declared: bool = True
 ) -> DataFrame:
-    """Per page: key, url, text, n_chars."""
-    lean = pages.select(F.col(key).alias("_key"), F.col(url).alias("url"), F.col(html).alias("_html"))
-    tree = style_tree(lean, "url", "_html")
-    # A host's low nodes are one small row; written, so that their size is known before they are sent to all tasks.
-    low = materialize(
-        tree.where((F.col("pages") >= least_pages) & (F.col("importance") < threshold)).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "style"
-    )
-    host = F.lower(F.nullif(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit("")))
-    joined = lean.withColumn("_host", host).join(low.withColumnRenamed("host", "_host"), "_host", "left")
+    """Per page: key, url, text, n_chars.  ``declared=False`` leaves all to the style tree."""
+    lean = pages.select(F.col(key).alias("_key"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("_html"))
+    # One row per host that has such branches; written, so that its size is known when it is joined.
+    low = materialize(style_tree(lean, "url", "_html").where(F.col("best") < threshold).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "style")
+    joined = lean.withColumn("_host", host_of(F.col("url"))).join(low.withColumnRenamed("host", "_host"), "_host", "left")
     schema = f"_key {dict(pages.dtypes)[key]}, url string, text string, n_chars long"
-    return joined.select("_key", "url", "_html", "low").mapInArrow(_extract, schema).withColumnRenamed("_key", key)
+    return joined.select("_key", "url", "_html", "low").mapInArrow(_extract(declared), schema).withColumnRenamed("_key", key)
