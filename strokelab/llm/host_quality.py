@@ -2,7 +2,8 @@
 
 Every document is measured once (words, symbols, repeated lines, repeated 8-word windows).  Rule failures are
 then summed per host, each host's failure rate is shrunk towards the corpus by a beta prior fitted to all hosts by
-moments, and the host's verdict is joined back to its documents.
+moments, and the host's verdict (its posterior rate is surely a multiple of the corpus rate, in odds) is joined back to its
+documents.
 
 Defined results: a null text has no words and fails the base rule; a null host is a host of its own; equal rows are
 judged alike and all returned; an empty table gives an empty result; other columns of the input are left alone.
@@ -74,45 +75,45 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def host_verdicts(stats: DataFrame, host: str, failed: str, max_rate: float) -> DataFrame:
+def host_verdicts(stats: DataFrame, host: str, failed: str, odds: float, certainty: float) -> DataFrame:
     """One row per host: n_docs, n_failed, host_rate (shrunk) and host_rejected.
 
-    The prior is Beta(a, b) by moments over all hosts: with m the pooled rate and v the document-weighted variance of
-    host rates, a + b = m(1-m)/v - 1, kept within [1, 1000] (v = 0: 1000).
+    The prior is Beta(a, b) with mean m, the pooled rate, fitted by moments: what host rates vary beyond the noise of
+    binomial draws gives their correlation r, and a + b = 1 / r - 1 (no variation beyond noise: as many as all documents;
+    2 at least).  A host is rejected where its posterior rate, less ``certainty`` deviations of the posterior, has more than
+    ``odds`` times the odds of the corpus.
     """
     hosts = stats.groupBy(F.col(host).alias("_host")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col(failed).cast("long")).alias("n_failed")
     )
     rate = F.col("n_failed") / F.col("n_docs")
-    moments = hosts.agg(
-        F.sum("n_docs").alias("n"),
-        F.sum("n_failed").alias("f"),
-        F.sum(F.col("n_docs") * rate * rate).alias("q"),
-    )
-    mean = F.try_divide(F.col("f"), F.col("n"))
-    var = F.try_divide(F.col("q"), F.col("n")) - mean * mean
-    weight = F.least(
-        F.lit(1000.0), F.greatest(F.lit(1.0), F.coalesce(F.try_divide(mean * (1 - mean), var) - 1, F.lit(1000.0)))
-    )
-    prior = moments.select(mean.alias("_mean"), F.when(var <= 1e-12, F.lit(1000.0)).otherwise(weight).alias("_weight"))
+    n, square = F.col("n_docs").cast("double"), F.col("n_docs").cast("double") * F.col("n_docs")
+    moments = hosts.agg(F.sum(n).alias("n"), F.sum("n_failed").alias("f"), F.sum(n * rate * rate).alias("q"), F.sum(square).alias("nn"), F.count(F.lit(1)).alias("k"))
+    mean = F.try_divide("f", "n")
+    one = mean * (1 - mean)
+    between = F.col("q") - F.col("n") * mean * mean
+    alike = F.try_divide(between - (F.col("k") - 1) * one, (F.col("n") - F.try_divide("nn", "n") - (F.col("k") - 1)) * one)
+    weight = F.when(alike > 0, F.least(F.col("n"), F.greatest(F.lit(2.0), 1 / alike - 1))).otherwise(F.col("n"))
+    limit = odds * mean / (1 - mean + odds * mean)
+    prior = moments.select(mean.alias("_mean"), weight.alias("_weight"), limit.alias("_limit"))
+    whole = F.col("n_docs") + F.col("_weight")
+    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (whole + 1))
     return (
         hosts.crossJoin(F.broadcast(prior))  # the prior is one row
-        .withColumn(
-            "host_rate", (F.col("n_failed") + F.col("_mean") * F.col("_weight")) / (F.col("n_docs") + F.col("_weight"))
-        )
-        .withColumn("host_rejected", F.col("host_rate") > F.lit(max_rate))
-        .drop("_mean", "_weight")
+        .withColumn("host_rate", (F.col("n_failed") + F.col("_mean") * F.col("_weight")) / whole)
+        .withColumn("host_rejected", F.col("host_rate") - certainty * spread > F.col("_limit"))
+        .drop("_mean", "_weight", "_limit")
     )
 
 
 def judge(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_rate: float = 0.7
+    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", odds: float = 4.0, certainty: float = 1.645
 ) -> DataFrame:
     """Per document: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, host, host_rate."""
     lean = docs.select(F.col(key).alias("_key"), F.col(host).alias("_src"), F.col(text).alias("_text"))
     # Measured once: the host totals and the join back both read the small written table, not the texts.
     stats = materialize(measure(lean, "_text").drop("_text"), "quality")
-    verdicts = host_verdicts(stats, "_src", "base_failed", max_rate)
+    verdicts = host_verdicts(stats, "_src", "base_failed", odds, certainty)
     joined = stats.join(verdicts, stats["_src"].eqNullSafe(verdicts["_host"]), "left")
     return joined.select(
         F.col("_key").alias(key),
@@ -133,9 +134,17 @@ def base_failure(text: Column) -> Column:
     return let(words_column(text), lambda ws: (F.size(ws) < 20) | (100 * repeated_words(ws) > 30 * F.size(ws)))
 
 
-def kept_rows(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that neither the base rule nor their host's verdict rejects."""
-    failed = base_failure(F.col(text))
-    verdicts = host_verdicts(docs.select(F.col(host).alias("_src"), failed.alias("_failed")), "_src", "_failed", max_rate)
+def kept_rows(docs: DataFrame, text: str = "text", host: str = "source", odds: float = 4.0, certainty: float = 1.645) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that neither the base rule nor their host's verdict rejects.
+
+    Texts are measured once: rows are written with their verdict (rejected ones without their text), and hosts are counted
+    from the two small columns.
+    """
+    flag = "_failed"
+    while flag in docs.columns:
+        flag += "_"
+    judged = docs.withColumn(flag, base_failure(F.col(text)))
+    judged = materialize(judged.withColumn(text, F.when(~F.col(flag), F.col(text))), "judged")
+    verdicts = host_verdicts(judged.select(F.col(host).alias("_src"), F.col(flag).alias("_bad")), "_src", "_bad", odds, certainty)
     rejected = materialize(verdicts.where("host_rejected").select("_host"), "hosts")
-    return docs.where(~failed).join(rejected, docs[host].eqNullSafe(rejected["_host"]), "left_anti")
+    return judged.where(~F.col(flag)).join(rejected, judged[host].eqNullSafe(rejected["_host"]), "left_anti").select(docs.columns)

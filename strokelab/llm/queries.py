@@ -78,16 +78,21 @@ _QUALITY = (
     + r""",
 win AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 7], ' ')) AS k FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM win WHERE k > 1) GROUP BY r),
-m AS (SELECT d.r, doc_id, source, len(w) AS n_words, length(regexp_replace(t, '[ 	-]+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-  len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))) AS n_dup_lines,
+m AS (SELECT d.r, doc_id, source, len(w) AS n_words, length(regexp_replace(t, '[ 	-
+]+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')))) AS n_dup_lines,
   coalesce(n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
 h AS (SELECT source AS host, count(*) AS n, count(*) FILTER (base_failed) AS f FROM b GROUP BY 1),
-p AS (SELECT sum(f) / sum(n) AS mean, sum(n * (f / n) ** 2) / sum(n) - (sum(f) / sum(n)) ** 2 AS var FROM h),
-q AS (SELECT mean, CASE WHEN var <= 1e-12 THEN 1000.0::DOUBLE ELSE least(1000.0, greatest(1.0, mean * (1 - mean) / var - 1)) END AS weight FROM p),
-v AS (SELECT host, (f + mean * weight) / (n + weight) AS host_rate FROM h, q)
+p AS (SELECT sum(n)::DOUBLE AS n, sum(f) / sum(n) AS mean, sum(n * (f / n) ** 2) AS q, sum(n::DOUBLE * n) AS nn, count(*) AS k FROM h),
+q AS (SELECT n, mean, (q - n * mean * mean - (k - 1) * mean * (1 - mean)) / nullif((n - nn / n - (k - 1)) * mean * (1 - mean), 0) AS alike FROM p),
+w AS (SELECT mean, CASE WHEN alike > 0 THEN least(n, greatest(2.0::DOUBLE, 1 / alike - 1)) ELSE n END AS weight, 4 * mean / (1 - mean + 4 * mean) AS most FROM q),
+u AS (SELECT host, n, weight, most, (f + mean * weight) / (n + weight) AS host_rate FROM h, w),
+v AS (SELECT host, host_rate, host_rate - 1.645 * sqrt(host_rate * (1 - host_rate) / (n + weight + 1)) > most AS rejected FROM u)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
-  base_failed, NOT base_failed AND host_rate <= 0.7 AS kept, source, round(host_rate, 6) AS host_rate FROM b LEFT JOIN v ON b.source IS NOT DISTINCT FROM v.host"""
+  base_failed, NOT base_failed AND NOT coalesce(rejected, false) AS kept, source, round(host_rate, 6) AS host_rate FROM b LEFT JOIN v ON b.source IS NOT DISTINCT FROM v.host"""
 )
 
 _SUBSTRINGS = (
