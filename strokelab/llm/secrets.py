@@ -1,9 +1,9 @@
 """Secret scans: fixed base rules, and credentials that inferred grammars recognise by their format.
 
 Credentials found by the base rules are the labelled examples.  A bounded sample of them (``max_examples`` distinct
-values, taken by hash) gives one prefix tree per kind over character classes; states are merged where their outcome
-frequencies are statistically compatible (ALERGIA, Hoeffding bound), which leaves a small probabilistic automaton.
-Values are learned whole, with their ends.  Every remaining candidate of every text (a run of credential characters as
+values of at most ``max_chars`` characters, taken by hash) gives one prefix tree per kind over characters and character
+classes; states are merged where their outcome frequencies are statistically compatible (ALERGIA, Hoeffding bound), which
+leaves a small probabilistic automaton.  Values are learned whole, with their ends.  Every remaining candidate of every text (a run of credential characters as
 long as the kind's shortest example) is then scored by its likelihood per symbol under each automaton, end included, and
 added where it reads like the examples and its characters are far less likely in the running text around
 (``Background``: pairs of bytes of all texts outside the base spans).
@@ -17,8 +17,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -51,52 +53,86 @@ def candidates(text: str, shortest: int) -> Iterator[tuple[int, int]]:
     return (m.span() for m in re.finditer(f"{RUN}{{{shortest},}}", text))
 
 
-def classes(value: str) -> str:
-    """One symbol per character: a-f, g-z, A-F, G-Z, digits, signs."""
-    return "".join(
-        "h" if c in "abcdef" else "l" if c.islower() else "H" if c in "ABCDEF" else "U" if c.isupper() else "d" if c.isdigit() else "s"
-        for c in value
-    )
+#: Sets of characters, smaller ones first; a value's class is the first that holds all its letters and digits.
+CLASSES = {
+    "digits": "0123456789",
+    "hex": "0123456789abcdef",
+    "HEX": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "lower and digits": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "upper and digits": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "letters and digits": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+}
+SIGNS = "+/_=.-"
+_SETS = {name: frozenset(chars) for name, chars in CLASSES.items()}
+#: A class and those that contain it, smallest first.
+WIDER = {name: [other for other in _SETS if chars <= _SETS[other]] for name, chars in _SETS.items()}
+_BITS = {name: math.log2(len(chars)) for name, chars in CLASSES.items()} | {"signs": math.log2(len(SIGNS))}
 
 
-#: Characters in each class, to share a class's probability among them.
-CLASS_SIZE = {"h": 6, "l": 20, "H": 6, "U": 20, "d": 10, "s": 6}
+def class_of(value: str) -> str:
+    used = set(value) - set(SIGNS)
+    return next((name for name, chars in _SETS.items() if used <= chars), "letters and digits")
 
 
 class Automaton:
-    """Probabilistic automaton learned from strings by merging compatible states of their prefix tree."""
+    """Probabilistic automaton learned from strings by merging compatible states of their prefix tree.
 
-    def __init__(self, strings: Iterable[str], alpha: float = 0.05):
-        self.alpha = alpha
+    An arc of the tree is a character where at least ``least`` strings and the share ``literal`` of those that come so far
+    go on with it (a fixed prefix, a dash); the others go on by the class of their whole value.
+    """
+
+    def __init__(self, strings: Iterable[str], alpha: float = 0.05, literal: float = 0.3, least: int = 20):
+        self.alpha, self.apart = alpha, set()
         self.next: list[dict[str, int]] = [{}]
         self.count: list[Counter] = [Counter()]  # arcs taken; "" is the end
-        for s in strings:
-            at = 0
-            for c in s:
-                self.count[at][c] += 1
-                if c not in self.next[at]:
-                    self.next[at][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append(Counter())
-                at = self.next[at][c]
-            self.count[at][""] += 1
+        todo = [(0, 0, [(s, class_of(s)) for s in strings])]
+        while todo:
+            state, depth, group = todo.pop()
+            going = [x for x in group if len(x[0]) > depth]
+            if len(going) < len(group):
+                self.count[state][""] = len(group) - len(going)
+            often = Counter(s[depth] for s, _ in going)
+            arcs: dict[str, list] = {}
+            for x in going:
+                c = x[0][depth]
+                arcs.setdefault(c if often[c] >= max(least, literal * len(group)) else "signs" if c in SIGNS else x[1], []).append(x)
+            for arc, part in sorted(arcs.items()):
+                self.count[state][arc] = len(part)
+                self.next[state][arc] = len(self.next)
+                todo.append((len(self.next), depth + 1, part))
+                self.next.append({})
+                self.count.append(Counter())
         self._merge()
         self._compact()
 
     def _compatible(self, a: int, b: int) -> bool:
-        todo = [(a, b)]
+        """Outcomes of both states, and of all below them, are within the Hoeffding bound of each other.
+
+        Pairs that lead to one beyond it are remembered until the next merger, so that long chains are walked once.
+        """
+        todo, above = [(a, b)], {(a, b): None}
         while todo:
-            a, b = todo.pop()
-            na, nb = sum(self.count[a].values()), sum(self.count[b].values())
+            pair = a, b = todo.pop()
+            ca, cb = self.count[a], self.count[b]
+            na, nb = ca.total(), cb.total()
             if not na or not nb:
                 continue
             bound = math.sqrt(0.5 * math.log(2 / self.alpha)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
             if nb == 1 and bound > 1:  # and below b, a tree, it only grows
                 continue
-            symbols = {*self.count[a], *self.count[b]}
-            if any(abs(self.count[a][c] / na - self.count[b][c] / nb) > bound for c in symbols):
+            if pair in self.apart or any(abs(ca[c] / na - cb[c] / nb) > bound for c in ca.keys() | cb.keys()):
+                while pair is not None:
+                    self.apart.add(pair)
+                    pair = above[pair]
                 return False
-            todo += [(self.next[a][c], t) for c, t in self.next[b].items() if c in self.next[a]]
+            na, nb = self.next[a], self.next[b]
+            for c in na.keys() & nb.keys():
+                if (below := (na[c], nb[c])) not in above:
+                    above[below] = pair
+                    todo.append(below)
         return True
 
     def _fold(self, a: int, b: int) -> None:
@@ -128,6 +164,7 @@ class Automaton:
                         parents[t] = (state, c)
                         queue.append(t)
                 continue
+            self.apart.clear()
             before = {k: set(self.next[k].values()) for k in kept}
             self.next[parents[state][0]][parents[state][1]] = match
             self._fold(match, state)
@@ -148,15 +185,19 @@ class Automaton:
         self.next = [{c: order[t] for c, t in self.next[s].items()} for s in at]
         self.count = [self.count[s] for s in at]
 
-    def score(self, symbols: str) -> float:
-        """Log2 likelihood of the symbols and the end; -20 for one that the automaton can't make."""
-        at, total = 0, 0.0
-        for c in (*symbols, ""):
-            n = sum(self.count[at].values())
-            seen = self.count[at][c] if n else 0
-            total += math.log2(seen / n) if seen else -20.0
-            at = self.next[at].get(c, at)
-        return total
+    def score(self, value: str) -> float:
+        """Log2 likelihood of the value and its end; -20 for a character that the automaton can't make there."""
+        at, total, wider = 0, 0.0, WIDER[class_of(value)]
+        for c in value:
+            arcs = self.next[at]
+            arc = c if c in arcs else next((x for x in (("signs",) if c in SIGNS else wider) if x in arcs), None)
+            if arc is None:
+                total -= 20.0
+                continue
+            total += math.log2(self.count[at][arc] / sum(self.count[at].values())) - _BITS.get(arc, 0.0)
+            at = arcs[arc]
+        ends = self.count[at][""]
+        return total + (math.log2(ends / sum(self.count[at].values())) if ends else -20.0)
 
 
 class Background:
@@ -174,7 +215,7 @@ class Background:
 
 
 class Grammar:
-    """Automata by kind of credential, with the likelihood that most of their own examples reach.
+    """Automata by kind of credential, with the likelihood a character that most of their own examples reach.
 
     A candidate must reach it, and be ``odds`` bits likelier than in running text.
     """
@@ -185,16 +226,14 @@ class Grammar:
             values = sorted(set(examples.get(kind, [])))
             if len(values) < least:
                 continue
-            machine = Automaton(map(classes, values))
-            scores = sorted(machine.score(classes(v)) / (len(v) + 1) for v in values)
-            sizes = sorted(map(len, values))
-            self.parts.append((machine, scores[int(quantile * (len(scores) - 1))] - slack, sizes[0]))
+            machine = Automaton(values)
+            scores = sorted(machine.score(v) / (len(v) + 1) for v in values)
+            self.parts.append((machine, scores[int(quantile * (len(scores) - 1))] - slack, min(map(len, values))))
         self.shortest = min((shortest for _, _, shortest in self.parts), default=0)
 
     def accepts(self, value: str) -> bool:
-        symbols = classes(value)
-        likely = [score for machine, floor, shortest in self.parts if len(value) >= shortest and (score := machine.score(symbols)) / (len(value) + 1) >= floor]
-        return bool(likely) and max(likely) - sum(math.log2(CLASS_SIZE[c]) for c in symbols) >= self.background.score(value) + self.odds
+        likely = [score for machine, floor, shortest in self.parts if len(value) >= shortest and (score := machine.score(value)) / (len(value) + 1) >= floor]
+        return bool(likely) and max(likely) >= self.background.score(value) + self.odds
 
 
 def all_spans(text: str, grammar: Grammar) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -202,8 +241,11 @@ def all_spans(text: str, grammar: Grammar) -> tuple[list[tuple[str, int, int]],
     base = [s[:3] for s in base_spans(text)]
     extra = []
     if grammar.parts:
+        # By start, each with the furthest end so far: a candidate overlaps one iff the last that starts before its end does.
+        starts, ends = [s for _, s, _ in base], list(accumulate((e for *_, e in base), max))
         for start, end in candidates(text, grammar.shortest):
-            if not any(s < end and start < e for _, s, e in base) and grammar.accepts(text[start:end]):
+            before = bisect_left(starts, end)
+            if not (before and ends[before - 1] > start) and grammar.accepts(text[start:end]):
                 extra.append(("learned", start, end))
     order = {**{k: i for i, k in enumerate(KINDS)}, "learned": len(KINDS)}
     return base, sorted(base + extra, key=lambda s: (s[1], order[s[0]]))
@@ -243,9 +285,9 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["pair", "n"])
 
 
-def fit(docs: DataFrame, text: str = "text", max_examples: int = 3000) -> Grammar:
-    """Grammars from the base rules' own finds: at most ``max_examples`` distinct values, those of smallest hash."""
-    found = docs.select(F.col(text)).mapInArrow(_labelled, "kind string, value string").where(F.length("value") <= 512)
+def fit(docs: DataFrame, text: str = "text", max_examples: int = 3000, max_chars: int = 512) -> Grammar:
+    """Grammars from the base rules' own finds: at most ``max_examples`` distinct values of ``max_chars``, those of smallest hash."""
+    found = docs.select(F.col(text)).mapInArrow(_labelled, "kind string, value string").where(F.length("value") <= max_chars)
     chosen = found.distinct().orderBy(F.xxhash64("kind", "value"), "kind", "value").limit(max_examples)
     examples: dict[str, list[str]] = {}
     for kind, value in chosen.collect():
