@@ -1,13 +1,17 @@
 """Removal of repeated word spans (windows of ``length`` words whose words also start anywhere else).
 
-Token k-mers are the edges of a graph over the corpus.  Of every window the smallest k-mer hash is its anchor, so
-equal windows have equal anchors at the same place; neighbouring windows with one anchor form a region.  A region is a
-nonbranching path: where the same region occurs again all its windows are repeated, and one row decides them all.
-Only where an anchor continues in different ways (a branch) are single windows of the distinct regions looked up in
-the sources by their coordinates and counted.  Every join and count is keyed by (anchor, hash), 128 bits together.
-
-Defined results: null and blank texts have no words; documents shorter than a window lose nothing; repeated rows and
-copies are repeats of each other; documents without an id are judged like others; an empty table gives an empty result.
+Token k-mers (windows of ``length`` words) are the edges of a de Bruijn graph over the corpus, ``length - 1`` words are its
+nodes.  Tasks write neighbouring windows with one anchor (the smallest 8-word hash in them) as one path, so that equal
+windows lie in paths of equal anchor.  A path whose anchor is always continued alike is one edge; at anchors that continue
+in different ways every window of the distinct paths is an edge of its own.  Edges that occur twice or more make up the
+graph of repeats: in and out degrees of its nodes are counted, edges that meet in a node with one way in and one way out
+are joined, and chains of them are compacted into unitigs by pointer doubling.  A unitig's words are read from the sources
+of its edges at their coordinates; every span of a document that the graph calls repeated is then compared with its
+unitig word by word before it is removed.
+
+Paths, edges and rows are known by 128 bits.  Defined results: null and blank texts have no words; documents shorter than a
+window lose nothing; repeated rows and copies are repeats of each other; documents without an id are judged like others; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,12 +22,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strokelab.llm.common import materialize, split_by_keys
 
 SEGMENT = 150_000
+#: What a row is known by: its id and 128 bits of its text.
+ROW = ["_key", "_mark", "_mark2"]
+EDGE = ["anchor", "region", "copies", "size", "i", "edge", "head", "tail", "at"]
 U = np.uint64
 
 
@@ -104,7 +111,7 @@ def regions(hashes: np.ndarray, bounds: np.ndarray, length: int, k: int):
 
 def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, list[bytes]]]:
     """(row, offset, words): long texts in segments that share length - 1 words, so that no window is lost."""
-    for row, t in enumerate(batch.column(2)):
+    for row, t in enumerate(batch.column(3)):
         words = (t.as_py() or "").encode().split()
         for at in range(0, max(0, len(words) - length + 1), SEGMENT):
             yield row, at, words[at : at + SEGMENT + length - 1]
@@ -133,47 +140,68 @@ def _emit_regions(length: int, k: int):
                 shift = np.array([at for _, at, _ in group]) - np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 row = pa.array(np.array([r for r, _, _ in group])[which])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)), b.column(0).take(row), b.column(1).take(row), pa.array(((start + shift[which]) << 8) | count)],
-                    ["anchor", "region", "_key", "_mark", "at"],
+                    [pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)), *(b.column(c).take(row) for c in range(3)), pa.array(((start + shift[which]) << 8) | count)],
+                    ["anchor", "region", *ROW, "at"],
                 )
 
     return run
 
 
-def _emit_windows(length: int):
+def _emit_edges(length: int):
+    """Edges of the asked paths of each text (_key, _mark, _mark2, text, asked): a path as a whole, or each of its windows
+    where its anchor branches.
+
+    ``i, size``: first window of the edge in its path, and number of windows; ``head, tail``: the nodes at its ends.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], []]
-            rows = []
-            for row, (text, asked) in enumerate(zip(b.column(2), b.column(3), strict=True)):
-                words = word_hashes((text.as_py() or "").encode().split())
-                spans = Spans(words)
+            rows: list[int] = []
+            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(9)]
+            for row, (text, asked) in enumerate(zip(b.column(3), b.column(4), strict=True)):
+                spans = Spans(word_hashes((text.as_py() or "").encode().split()))
                 for x in asked.as_py():
-                    first, n = x["at"] >> 8, x["at"] & 255
-                    start = np.arange(first, first + n)
-                    out[0].extend([x["anchor"]] * n)
-                    out[1].append(mix(spans(start, start + length) * _odd(6)).view(np.int64))
-                    out[2].append(start)
-                    out[3].extend([x["copies"]] * n)
-                    rows.extend([row] * n)
+                    at, n = x["at"] >> 8, x["at"] & 255
+                    size, i = (1, np.arange(n)) if x["branch"] else (n, np.zeros(1, np.int64))
+                    start = at + i
+                    stop = start + size + length - 1
+                    edge = mix(spans(start, stop) * _odd(6)).view(np.int64) if x["branch"] else np.array([x["region"]])
+                    same = [np.full(len(i), v) for v in (x["anchor"], x["region"], x["copies"], size)]
+                    for o, v in zip(out, (*same, i, edge, spans(start, start + length - 1).view(np.int64), spans(stop - length + 1, stop).view(np.int64), start), strict=True):
+                        o.append(v)
+                    rows.extend([row] * len(i))
             take = pa.array(rows, pa.int64())
-            empty = np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(np.concatenate([empty, *out[1]])), b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate([empty, *out[2]])), pa.array(out[3], pa.int64())],
-                ["anchor", "window", "_key", "_mark", "start", "copies"],
-            )
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(3)), *(pa.array(np.concatenate(o)) for o in out)], [*ROW, *EDGE])
 
     return run
 
 
-def covered(n: int, spans: list[dict]) -> np.ndarray:
-    """True for each of n words that lies in one of the spans (start, size)."""
-    edge = np.zeros(n + 1, np.int64)
-    if spans:
-        start = np.array([s["start"] for s in spans])
-        np.add.at(edge, start, 1)
-        np.add.at(edge, start + np.array([s["size"] for s in spans]), -1)
-    return np.cumsum(edge[:n]) > 0
+def _emit_runs(length: int):
+    """Words of runs (start, windows) of each text (text, asked): those of the first node, and one more for each window."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for text, asked in zip(b.column(0), b.column(1), strict=True):
+                words = (text.as_py() or "").encode().split()
+                for x in asked.as_py():
+                    node = x["at"] + length - 1
+                    rows.append((x["anchor"], x["edge"], b" ".join(words[x["at"] : node]).decode(), b" ".join(words[node : node + x["size"]]).decode()))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, (pa.int64(), pa.int64(), pa.string(), pa.string()))), ["anchor", "edge", "first", "more"])
+
+    return run
+
+
+def covered(words: list[bytes], spans: list[dict]) -> np.ndarray:
+    """True for each word that lies in one of the spans (start, size, text) and equals the span's text there."""
+    edge = np.zeros(len(words) + 1, np.int64)
+    for x in spans:
+        start, stop = x["start"], x["start"] + x["size"]
+        if b" ".join(words[start:stop]) == x["text"].encode():
+            edge[start] += 1
+            edge[stop] -= 1
+    return np.cumsum(edge[:-1]) > 0
 
 
 def _strip(keep_text: bool):
@@ -182,7 +210,7 @@ def _strip(keep_text: bool):
             n_words, n_removed, digest, texts = [], [], [], []
             for text, spans in zip(b.column(1), b.column(2), strict=True):
                 words = (text.as_py() or "").encode().split()
-                gone = covered(len(words), spans.as_py() or [])
+                gone = covered(words, spans.as_py() or [])
                 kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
@@ -198,48 +226,114 @@ def _strip(keep_text: bool):
 
 
 def same_row(left: DataFrame, right: DataFrame):
-    return left["_key"].eqNullSafe(right["_key"]) & (left["_mark"] == right["_mark"])
+    return left["_key"].eqNullSafe(right["_key"]) & (left["_mark"] == right["_mark"]) & (left["_mark2"] == right["_mark2"])
 
 
-def repeated_spans(docs: DataFrame, length: int = 35, k: int = 8) -> DataFrame:
-    """``_key, _mark, spans`` (array of start, size in words) for documents ``_key, _mark, _text``."""
-    kind = dict(docs.dtypes)["_key"]
-    rows = materialize(
-        docs.mapInArrow(_emit_regions(length, k), f"anchor long, region long, _key {kind}, _mark int, at long"), "regions"
+def compacted(edges: DataFrame) -> DataFrame:
+    """Runs ``run, ROW, at, windows, unitig, offset`` of edges ``anchor, edge, size, head, tail, ROW, at`` (one source each).
+
+    Edges that follow each other in the text of their source, with a node of one way in and one way out between them, are
+    one run.  Runs of different sources are linked over such nodes in the same way, and chained by pointer doubling: in each
+    round a run takes over what its predecessor knows, so that 2 ** k runs are behind it after k rounds.  A circle has no
+    first run: it is opened at its smallest one.
+    """
+    node = F.col("head").alias("node")
+    into, out = edges.select(F.col("tail").alias("node"), F.lit(1).alias("into"), F.lit(0).alias("out")), edges.select(node, F.lit(0).alias("into"), F.lit(1).alias("out"))
+    plain = materialize(into.union(out).groupBy("node").agg(F.sum("into").alias("into"), F.sum("out").alias("out")).where("into = 1 and out = 1").select("node"), "plain")
+    text = Window.partitionBy(*ROW).orderBy("at")
+    follows = (F.lag(F.col("at") + F.col("size")).over(text) == F.col("at")) & F.col("node").isNotNull()
+    numbered = edges.join(plain, F.col("head") == F.col("node"), "left").withColumn("_new", F.when(follows, 0).otherwise(1))
+    numbered = numbered.withColumn("_run", F.sum("_new").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy(*ROW, "_run").agg(
+        F.min_by(F.struct("anchor", "edge"), "at").alias("run"), F.min("at").alias("at"), F.sum("size").alias("windows"), F.min_by("head", "at").alias("head"), F.max_by("tail", "at").alias("tail")
     )
-    distinct = materialize(rows.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("copies")), "distinct")
+    runs = materialize(runs.drop("_run"), "runs")
+    ends = runs.join(plain, F.col("tail") == F.col("node")).select("node", F.col("run").alias("prev"), F.col("windows").alias("gap"))
+    state = runs.join(ends, F.col("head") == F.col("node"), "left").select("run", F.when(F.col("prev") != F.col("run"), F.col("prev")).alias("prev"), "gap")
+    first = materialize(state, "links")
+
+    def chained(links: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+        """(run, unitig, offset) of all runs behind a first one, and (run, least) of the runs in circles."""
+        nothing = F.lit(None).cast(links.schema["run"].dataType)
+        done = links.where("prev is null").select("run", F.col("run").alias("unitig"), F.lit(0).cast("long").alias("offset"))
+        left = links.where("prev is not null").select("run", "prev", F.col("gap").alias("offset"), F.least("run", "prev").alias("least"))
+        steps, most = 1, 2 * n
+        while n and steps <= most:
+            known = done.select("run", nothing.alias("prev"), "unitig", "offset", nothing.alias("least")).union(left.select("run", "prev", nothing.alias("unitig"), "offset", "least"))
+            known = known.select(F.col("run").alias("prev"), F.col("prev").alias("prev2"), "unitig", F.col("offset").alias("offset2"), F.col("least").alias("least2"))
+            moved = left.join(known, "prev").select("run", F.col("prev2").alias("prev"), "unitig", (F.col("offset") + F.col("offset2")).alias("offset"), F.least("least", "least2").alias("least"))
+            moved = materialize(moved, "moved")
+            done = done.union(moved.where("prev is null").select("run", "unitig", "offset"))
+            left = moved.where("prev is not null").drop("unitig")
+            n, steps = left.count(), 2 * steps
+        return done, left.select("run", "least")
+
+    n = first.where("prev is not null").count()
+    done, circles = chained(first, n)
+    if n and not circles.isEmpty():
+        is_first = F.col("run") == F.col("least")
+        opened = circles.join(first, "run").select("run", F.when(~is_first, F.col("prev")).alias("prev"), "gap")
+        done = done.union(chained(materialize(opened, "opened"), n)[0])
+    return materialize(runs.join(done, "run").select("run", *ROW, "at", "windows", "unitig", "offset"), "unitigs")
+
+
+def repeated_spans(docs: DataFrame, length: int = 35, k: int = 8) -> DataFrame:
+    """``ROW, spans`` (array of start, size in words, text) of documents ``ROW, _text``."""
+    row_type = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c in ROW)
+    rows = materialize(docs.select(*ROW, "_text").mapInArrow(_emit_regions(length, k), f"anchor long, region long, {row_type}, at long"), "paths")
+    distinct = rows.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("copies"))
     branches = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1")
-    marked = distinct.join(branches, "anchor", "left").where("copies > 1 or ways > 1").select(
-        "anchor", "region", "copies", F.col("ways").isNotNull().alias("branch")
+    marked = materialize(
+        distinct.join(branches, "anchor", "left").where("copies > 1 or ways > 1").select("anchor", "region", "copies", F.col("ways").isNotNull().alias("branch")), "marked"
     )
-    found = materialize(rows.join(marked, ["anchor", "region"]), "found")
+    some, _ = split_by_keys(rows, marked, ["anchor", "region"])  # paths that occur once, at an anchor of their own, end here
+    found = materialize(some.join(marked, ["anchor", "region"]), "found")
 
-    # One source of each distinct region at a branch; its windows are read from the text there.
+    # One source of each path; its edges are read from the text there.
     asked = (
-        found.where("branch")
-        .groupBy("anchor", "region")
-        .agg(F.min(F.struct("_key", "_mark", "at")).alias("one"), F.first("copies").alias("copies"))
-        .groupBy(F.col("one._key").alias("_key"), F.col("one._mark").alias("_mark"))
-        .agg(F.collect_list(F.struct("anchor", F.col("one.at").alias("at"), "copies")).alias("asked"))
+        found.groupBy("anchor", "region")
+        .agg(F.min(F.struct(*ROW, "at")).alias("one"), F.first("copies").alias("copies"), F.first("branch").alias("branch"))
+        .groupBy(*[F.col(f"one.{c}").alias(c) for c in ROW])
+        .agg(F.collect_list(F.struct("anchor", "region", F.col("one.at").alias("at"), "copies", "branch")).alias("asked"))
     )
     asked = materialize(asked, "asked")
-    some, _ = split_by_keys(docs, asked, ["_key", "_mark"])  # texts that aren't asked for stay where they are
-    sources = some.join(asked, same_row(some, asked)).select(some["_key"], some["_mark"], "_text", "asked")
-    windows = materialize(
-        sources.mapInArrow(_emit_windows(length), f"anchor long, window long, _key {kind}, _mark int, start long, copies long"),
-        "windows",
-    )
-    # A source row that occurs twice emits its windows twice, with the same copies: one row per place.
-    twice = (
-        windows.groupBy("anchor", "window").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("m")).where("n > 1")
+    texts, _ = split_by_keys(docs, asked, ROW)  # texts that aren't asked for stay where they are
+    sources = texts.join(asked, same_row(texts, asked)).select(*[texts[c] for c in ROW], "_text", "asked")
+    members = materialize(sources.mapInArrow(_emit_edges(length), f"{row_type}, " + ", ".join(f"{c} long" for c in EDGE)), "members")
+    # A row that occurs twice emits its edges twice, and they do occur twice.
+    edges = members.groupBy("anchor", "edge").agg(F.sum("copies").alias("n"), F.min(F.struct(*ROW, "at", "size", "head", "tail")).alias("s")).where("n > 1")
+    edges = materialize(edges.select("anchor", "edge", "s.*"), "edges")
+    runs = compacted(edges)
+
+    # Words of the unitigs, at the coordinates of their runs.
+    wanted = materialize(runs.groupBy(*ROW).agg(F.collect_list(F.struct("run.anchor", "run.edge", "at", F.col("windows").alias("size"))).alias("asked")), "wanted")
+    texts, _ = split_by_keys(docs, wanted, ROW)
+    read = texts.join(wanted, same_row(texts, wanted)).select("_text", "asked").mapInArrow(_emit_runs(length), "anchor long, edge long, first string, more string")
+    words = read.select(F.struct("anchor", "edge").alias("run"), "first", "more").dropDuplicates(["run"])
+    parts = runs.join(words, "run").groupBy("unitig").agg(F.sort_array(F.collect_list(F.struct("offset", "first", "more"))).alias("p"))
+    unitigs = parts.select("unitig", F.concat_ws(" ", F.col("p")[0]["first"], F.array_join(F.transform("p", lambda x: x["more"]), " ")).alias("words"))
+
+    # Where each path lies on the unitigs, and so where each document's paths do.
+    runs_at = runs.select(*ROW, F.col("at").alias("_from"), (F.col("at") + F.col("windows")).alias("_to"), "unitig", (F.col("offset") - F.col("at")).alias("_shift"))
+    placed = edges.join(runs_at, same_row(edges, runs_at) & (edges["at"] >= F.col("_from")) & (edges["at"] < F.col("_to"))).select("anchor", "edge", "unitig", (edges["at"] + F.col("_shift")).alias("offset"))
+    lies = (
+        members.select("anchor", "region", "i", "size", "edge")
+        .join(placed, ["anchor", "edge"])
+        .groupBy("anchor", "region", "unitig", (F.col("offset") - F.col("i")).alias("_shift"))
+        .agg(F.min("i").alias("i"), F.max(F.col("i") + F.col("size")).alias("_to"))
     )
-    single = windows.where("copies = 1").join(twice, ["anchor", "window"], "left_semi")
-    spans = (
-        found.where("copies > 1")
-        .select("_key", "_mark", F.shiftright("at", 8).alias("start"), (F.col("at").bitwiseAND(255) + length - 1).alias("size"))
-        .union(single.select("_key", "_mark", "start", F.lit(length).cast("long")))
+    pieces = found.join(lies, ["anchor", "region"]).select(*ROW, (F.shiftright("at", 8) + F.col("i")).alias("start"), (F.col("_to") - F.col("i")).alias("windows"), "unitig", (F.col("_shift") + F.col("i")).alias("offset"))
+    order = Window.partitionBy(*ROW).orderBy("start", "offset")
+    goes_on = (
+        (F.lag(F.col("start") + F.col("windows")).over(order) == F.col("start"))
+        & (F.lag("unitig").over(order) == F.col("unitig"))
+        & (F.lag(F.col("offset") - F.col("start")).over(order) == F.col("offset") - F.col("start"))
     )
-    return spans.groupBy("_key", "_mark").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    pieces = pieces.repartition(*ROW).dropDuplicates().withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = pieces.groupBy(*ROW, "_span").agg(F.min("start").alias("start"), (F.sum("windows") + length - 1).alias("size"), F.first("unitig").alias("unitig"), F.min("offset").alias("offset"))
+    text = F.array_join(F.slice(F.split("words", " "), F.col("offset").cast("int") + 1, F.col("size").cast("int")), " ")
+    spans = spans.join(unitigs, "unitig").select(*ROW, F.struct("start", "size", text.alias("text")).alias("span"))
+    return spans.groupBy(*ROW).agg(F.collect_list("span").alias("spans"))
 
 
 def strip_repeats(
@@ -248,10 +342,10 @@ def strip_repeats(
     """Per document: key, n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
     kind = dict(docs.dtypes)[key]
     lean = docs.select(
-        F.col(key).alias("_key"), F.hash(F.col(text)).alias("_mark"), F.col(text).alias("_text")
+        F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_mark"), F.xxhash64(F.lit(length), F.col(text), F.length(text)).alias("_mark2"), F.col(text).alias("_text")
     )
     spans = materialize(repeated_spans(lean, length, k), "spans")
-    some, rest = split_by_keys(lean, spans, ["_key", "_mark"])
+    some, rest = split_by_keys(lean, spans, ROW)
     joined = some.join(spans, same_row(some, spans), "left").select(some["_key"], "_text", "spans")
     joined = joined.union(rest.select("_key", "_text", F.lit(None).cast(spans.schema["spans"].dataType)))
     schema = f"_key {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
