@@ -9,7 +9,8 @@ are joined, and chains of them are compacted into unitigs by pointer doubling.
 of its edges at their coordinates; every span of a document that the graph calls repeated is then compared with its
 unitig word by word before it is removed.
 
-Paths, edges and rows are known by 128 bits.  Defined results: null and blank texts have no words; documents shorter than a
+Paths and edges are known by 128 bits, rows by a hash of their id and text: rows of one hash would only offer each other
+spans whose words differ.  Defined results: null and blank texts have no words; documents shorter than a
 window lose nothing; repeated rows and copies are repeats of each other; documents without an id are judged like others; an
 empty table gives an empty result.
 """
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from strokelab.llm.common import materialize, split_by_keys
 
 SEGMENT = 150_000
-#: What a row is known by: its id and 128 bits of its text.
-ROW = ["_key", "_mark", "_mark2"]
 EDGE = ["anchor", "region", "copies", "size", "i", "edge", "head", "tail", "at"]
 U = np.uint64
 
@@ -111,7 +110,7 @@ def regions(hashes: np.ndarray, bounds: np.ndarray, length: int, k: int):
 
 def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, list[bytes]]]:
     """(row, offset, words): long texts in segments that share length - 1 words, so that no window is lost."""
-    for row, t in enumerate(batch.column(3)):
+    for row, t in enumerate(batch.column(1)):
         words = (t.as_py() or "").encode().split()
         for at in range(0, max(0, len(words) - length + 1), SEGMENT):
             yield row, at, words[at : at + SEGMENT + length - 1]
@@ -140,16 +139,16 @@ def _emit_regions(length: int, k: int):
                 shift = np.array([at for _, at, _ in group]) - np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 row = pa.array(np.array([r for r, _, _ in group])[which])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)), *(b.column(c).take(row) for c in range(3)), pa.array(((start + shift[which]) << 8) | count)],
-                    ["anchor", "region", *ROW, "at"],
+                    [pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)), b.column(0).take(row), pa.array(((start + shift[which]) << 8) | count)],
+                    ["anchor", "region", "_row", "at"],
                 )
 
     return run
 
 
 def _emit_edges(length: int):
-    """Edges of the asked paths of each text (_key, _mark, _mark2, text, asked): a path as a whole, or each of its windows
-    where its anchor branches.
+    """Edges of the asked paths of each text (_row, text, asked): a path as a whole, or each of its windows where its anchor
+    branches.
 
     ``i, size``: first window of the edge in its path, and number of windows; ``head, tail``: the nodes at its ends.
     """
@@ -158,10 +157,12 @@ def _emit_edges(length: int):
         for b in batches:
             rows: list[int] = []
             out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(9)]
-            for row, (text, asked) in enumerate(zip(b.column(3), b.column(4), strict=True)):
+            for row, (text, asked) in enumerate(zip(b.column(1), b.column(2), strict=True)):
                 spans = Spans(word_hashes((text.as_py() or "").encode().split()))
                 for x in asked.as_py():
                     at, n = x["at"] >> 8, x["at"] & 255
+                    if at + n + length - 1 >= len(spans.sums):  # asked of another row
+                        continue
                     size, i = (1, np.arange(n)) if x["branch"] else (n, np.zeros(1, np.int64))
                     start = at + i
                     stop = start + size + length - 1
@@ -171,7 +172,7 @@ def _emit_edges(length: int):
                         o.append(v)
                     rows.extend([row] * len(i))
             take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(3)), *(pa.array(np.concatenate(o)) for o in out)], [*ROW, *EDGE])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), *(pa.array(np.concatenate(o)) for o in out)], ["_row", *EDGE])
 
     return run
 
@@ -184,8 +185,11 @@ def _emit_runs(length: int):
             rows = []
             for text, asked in zip(b.column(0), b.column(1), strict=True):
                 words = (text.as_py() or "").encode().split()
+                spans = Spans(word_hashes(words))
                 for x in asked.as_py():
                     node = x["at"] + length - 1
+                    if node > len(words) or spans(np.array([x["at"]]), np.array([node])).view(np.int64)[0] != x["head"]:  # asked of another row
+                        continue
                     rows.append((x["anchor"], x["edge"], b" ".join(words[x["at"] : node]).decode(), b" ".join(words[node : node + x["size"]]).decode()))
             cols = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, (pa.int64(), pa.int64(), pa.string(), pa.string()))), ["anchor", "edge", "first", "more"])
@@ -225,12 +229,8 @@ def _strip(keep_text: bool):
     return run
 
 
-def same_row(left: DataFrame, right: DataFrame):
-    return left["_key"].eqNullSafe(right["_key"]) & (left["_mark"] == right["_mark"]) & (left["_mark2"] == right["_mark2"])
-
-
 def compacted(edges: DataFrame) -> DataFrame:
-    """Runs ``run, ROW, at, windows, unitig, offset`` of edges ``anchor, edge, size, head, tail, ROW, at`` (one source each).
+    """Runs ``run, _row, at, windows, head, unitig, offset`` of edges ``anchor, edge, size, head, tail, _row, at`` (one source each).
 
     Edges that follow each other in the text of their source, with a node of one way in and one way out between them, are
     one run.  Runs of different sources are linked over such nodes in the same way, and chained by pointer doubling: in each
@@ -240,11 +240,11 @@ def compacted(edges: DataFrame) -> DataFrame:
     node = F.col("head").alias("node")
     into, out = edges.select(F.col("tail").alias("node"), F.lit(1).alias("into"), F.lit(0).alias("out")), edges.select(node, F.lit(0).alias("into"), F.lit(1).alias("out"))
     plain = materialize(into.union(out).groupBy("node").agg(F.sum("into").alias("into"), F.sum("out").alias("out")).where("into = 1 and out = 1").select("node"), "plain")
-    text = Window.partitionBy(*ROW).orderBy("at")
+    text = Window.partitionBy("_row").orderBy("at")
     follows = (F.lag(F.col("at") + F.col("size")).over(text) == F.col("at")) & F.col("node").isNotNull()
     numbered = edges.join(plain, F.col("head") == F.col("node"), "left").withColumn("_new", F.when(follows, 0).otherwise(1))
     numbered = numbered.withColumn("_run", F.sum("_new").over(text.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = numbered.groupBy(*ROW, "_run").agg(
+    runs = numbered.groupBy("_row", "_run").agg(
         F.min_by(F.struct("anchor", "edge"), "at").alias("run"), F.min("at").alias("at"), F.sum("size").alias("windows"), F.min_by("head", "at").alias("head"), F.max_by("tail", "at").alias("tail")
     )
     runs = materialize(runs.drop("_run"), "runs")
@@ -274,66 +274,66 @@ def compacted(edges: DataFrame) -> DataFrame:
         is_first = F.col("run") == F.col("least")
         opened = circles.join(first, "run").select("run", F.when(~is_first, F.col("prev")).alias("prev"), "gap")
         done = done.union(chained(materialize(opened, "opened"), n)[0])
-    return materialize(runs.join(done, "run").select("run", *ROW, "at", "windows", "unitig", "offset"), "unitigs")
+    return materialize(runs.join(done, "run").select("run", "_row", "at", "windows", "head", "unitig", "offset"), "unitigs")
 
 
-def repeated_spans(docs: DataFrame, length: int = 35, k: int = 8) -> DataFrame:
-    """``ROW, spans`` (array of start, size in words, text) of documents ``ROW, _text``."""
-    row_type = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c in ROW)
-    rows = materialize(docs.select(*ROW, "_text").mapInArrow(_emit_regions(length, k), f"anchor long, region long, {row_type}, at long"), "paths")
-    distinct = rows.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("copies"))
+def repeated_spans(docs: DataFrame, length: int = 35, k: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Spans ``_row, start, size, unitig, offset`` (in words) of texts ``_row, _text``, and the words of each ``unitig``."""
+    rows = materialize(docs.select("_row", "_text").mapInArrow(_emit_regions(length, k), "anchor long, region long, _row long, at long"), "paths")
+    distinct = materialize(rows.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("copies")), "distinct")
     branches = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1")
-    marked = materialize(
-        distinct.join(branches, "anchor", "left").where("copies > 1 or ways > 1").select("anchor", "region", "copies", F.col("ways").isNotNull().alias("branch")), "marked"
-    )
+    marked = distinct.join(branches, "anchor", "left").where("copies > 1 or ways > 1").select("anchor", "region", "copies", F.col("ways").isNotNull().alias("branch"))
+    marked = materialize(marked, "marked")
     some, _ = split_by_keys(rows, marked, ["anchor", "region"])  # paths that occur once, at an anchor of their own, end here
     found = materialize(some.join(marked, ["anchor", "region"]), "found")
 
     # One source of each path; its edges are read from the text there.
     asked = (
         found.groupBy("anchor", "region")
-        .agg(F.min(F.struct(*ROW, "at")).alias("one"), F.first("copies").alias("copies"), F.first("branch").alias("branch"))
-        .groupBy(*[F.col(f"one.{c}").alias(c) for c in ROW])
+        .agg(F.min(F.struct("_row", "at")).alias("one"), F.first("copies").alias("copies"), F.first("branch").alias("branch"))
+        .groupBy(F.col("one._row").alias("_row"))
         .agg(F.collect_list(F.struct("anchor", "region", F.col("one.at").alias("at"), "copies", "branch")).alias("asked"))
     )
     asked = materialize(asked, "asked")
-    texts, _ = split_by_keys(docs, asked, ROW)  # texts that aren't asked for stay where they are
-    sources = texts.join(asked, same_row(texts, asked)).select(*[texts[c] for c in ROW], "_text", "asked")
-    members = materialize(sources.mapInArrow(_emit_edges(length), f"{row_type}, " + ", ".join(f"{c} long" for c in EDGE)), "members")
+    texts, _ = split_by_keys(docs, asked, ["_row"])  # texts that aren't asked for stay where they are
+    sources = texts.join(asked, "_row").select("_row", "_text", "asked")
+    members = materialize(sources.mapInArrow(_emit_edges(length), "_row long, " + ", ".join(f"{c} long" for c in EDGE)), "members")
     # A row that occurs twice emits its edges twice, and they do occur twice.
-    edges = members.groupBy("anchor", "edge").agg(F.sum("copies").alias("n"), F.min(F.struct(*ROW, "at", "size", "head", "tail")).alias("s")).where("n > 1")
+    edges = members.groupBy("anchor", "edge").agg(F.sum("copies").alias("n"), F.min(F.struct("_row", "at", "size", "head", "tail")).alias("s")).where("n > 1")
     edges = materialize(edges.select("anchor", "edge", "s.*"), "edges")
     runs = compacted(edges)
 
     # Words of the unitigs, at the coordinates of their runs.
-    wanted = materialize(runs.groupBy(*ROW).agg(F.collect_list(F.struct("run.anchor", "run.edge", "at", F.col("windows").alias("size"))).alias("asked")), "wanted")
-    texts, _ = split_by_keys(docs, wanted, ROW)
-    read = texts.join(wanted, same_row(texts, wanted)).select("_text", "asked").mapInArrow(_emit_runs(length), "anchor long, edge long, first string, more string")
+    wanted = runs.groupBy("_row").agg(F.collect_list(F.struct("run.anchor", "run.edge", "at", "head", F.col("windows").alias("size"))).alias("asked"))
+    wanted = materialize(wanted, "wanted")
+    texts, _ = split_by_keys(docs, wanted, ["_row"])
+    read = texts.join(wanted, "_row").select("_text", "asked").mapInArrow(_emit_runs(length), "anchor long, edge long, first string, more string")
     words = read.select(F.struct("anchor", "edge").alias("run"), "first", "more").dropDuplicates(["run"])
     parts = runs.join(words, "run").groupBy("unitig").agg(F.sort_array(F.collect_list(F.struct("offset", "first", "more"))).alias("p"))
     unitigs = parts.select("unitig", F.concat_ws(" ", F.col("p")[0]["first"], F.array_join(F.transform("p", lambda x: x["more"]), " ")).alias("words"))
+    unitigs = materialize(unitigs, "words")
 
     # Where each path lies on the unitigs, and so where each document's paths do.
-    runs_at = runs.select(*ROW, F.col("at").alias("_from"), (F.col("at") + F.col("windows")).alias("_to"), "unitig", (F.col("offset") - F.col("at")).alias("_shift"))
-    placed = edges.join(runs_at, same_row(edges, runs_at) & (edges["at"] >= F.col("_from")) & (edges["at"] < F.col("_to"))).select("anchor", "edge", "unitig", (edges["at"] + F.col("_shift")).alias("offset"))
+    runs_at = runs.select("_row", F.col("at").alias("_from"), (F.col("at") + F.col("windows")).alias("_to"), "unitig", (F.col("offset") - F.col("at")).alias("_shift"))
+    placed = edges.join(runs_at, (edges["_row"] == runs_at["_row"]) & (edges["at"] >= F.col("_from")) & (edges["at"] < F.col("_to")))
+    placed = placed.select("anchor", "edge", "unitig", (edges["at"] + F.col("_shift")).alias("offset"))
+    repeated, _ = split_by_keys(members.select("anchor", "region", "i", "size", "edge"), edges, ["anchor", "edge"])
     lies = (
-        members.select("anchor", "region", "i", "size", "edge")
-        .join(placed, ["anchor", "edge"])
+        repeated.join(placed, ["anchor", "edge"])
         .groupBy("anchor", "region", "unitig", (F.col("offset") - F.col("i")).alias("_shift"))
         .agg(F.min("i").alias("i"), F.max(F.col("i") + F.col("size")).alias("_to"))
     )
-    pieces = found.join(lies, ["anchor", "region"]).select(*ROW, (F.shiftright("at", 8) + F.col("i")).alias("start"), (F.col("_to") - F.col("i")).alias("windows"), "unitig", (F.col("_shift") + F.col("i")).alias("offset"))
-    order = Window.partitionBy(*ROW).orderBy("start", "offset")
-    goes_on = (
-        (F.lag(F.col("start") + F.col("windows")).over(order) == F.col("start"))
-        & (F.lag("unitig").over(order) == F.col("unitig"))
-        & (F.lag(F.col("offset") - F.col("start")).over(order) == F.col("offset") - F.col("start"))
+    pieces = found.join(lies, ["anchor", "region"]).select(
+        "_row", (F.shiftright("at", 8) + F.col("i")).alias("start"), (F.col("_to") - F.col("i")).alias("windows"), "unitig", (F.col("_shift") + F.col("i")).alias("offset")
     )
-    pieces = pieces.repartition(*ROW).dropDuplicates().withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = pieces.groupBy(*ROW, "_span").agg(F.min("start").alias("start"), (F.sum("windows") + length - 1).alias("size"), F.first("unitig").alias("unitig"), F.min("offset").alias("offset"))
-    text = F.array_join(F.slice(F.split("words", " "), F.col("offset").cast("int") + 1, F.col("size").cast("int")), " ")
-    spans = spans.join(unitigs, "unitig").select(*ROW, F.struct("start", "size", text.alias("text")).alias("span"))
-    return spans.groupBy(*ROW).agg(F.collect_list("span").alias("spans"))
+    order = Window.partitionBy("_row").orderBy("start", "offset")
+    before = lambda c: F.lag(c).over(order)
+    at = F.col("offset") - F.col("start")
+    goes_on = (before(F.col("start") + F.col("windows")) == F.col("start")) & (before("unitig") == F.col("unitig")) & (before(at) == at)
+    pieces = pieces.repartition("_row").dropDuplicates().withColumn("_new", F.when(goes_on, 0).otherwise(1))
+    pieces = pieces.withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = pieces.groupBy("_row", "_span").agg(F.min("start").alias("start"), (F.sum("windows") + length - 1).alias("size"), F.first("unitig").alias("unitig"), F.min("offset").alias("offset"))
+    return materialize(spans.drop("_span"), "spans"), unitigs
 
 
 def strip_repeats(
@@ -341,12 +341,13 @@ def strip_repeats(
 ) -> DataFrame:
     """Per document: key, n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
     kind = dict(docs.dtypes)[key]
-    lean = docs.select(
-        F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_mark"), F.xxhash64(F.lit(length), F.col(text), F.length(text)).alias("_mark2"), F.col(text).alias("_text")
-    )
-    spans = materialize(repeated_spans(lean, length, k), "spans")
-    some, rest = split_by_keys(lean, spans, ROW)
-    joined = some.join(spans, same_row(some, spans), "left").select(some["_key"], "_text", "spans")
-    joined = joined.union(rest.select("_key", "_text", F.lit(None).cast(spans.schema["spans"].dataType)))
+    lean = docs.select(F.col(key).alias("_key"), F.xxhash64(F.col(key), F.col(text)).alias("_row"), F.col(text).alias("_text"))
+    spans, unitigs = repeated_spans(lean, length, k)
+    some, rest = split_by_keys(lean, spans.select("_row").distinct(), ["_row"])
+    # Each span gets its own words only, and goes where its text is.
+    words = F.array_join(F.slice(F.split("words", " "), F.col("offset").cast("int") + 1, F.col("size").cast("int")), " ")
+    told = spans.join(unitigs, "unitig").select("_row", F.struct("start", "size", words.alias("text")).alias("span")).groupBy("_row").agg(F.collect_list("span").alias("spans"))
+    joined = some.join(told, "_row", "left").select("_key", "_text", "spans")
+    joined = joined.union(rest.select("_key", "_text", F.lit(None).cast(joined.schema["spans"].dataType)))
     schema = f"_key {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.mapInArrow(_strip(keep_text), schema).withColumnRenamed("_key", key)

@@ -352,10 +352,10 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     h = substrings.word_hashes([w.encode() for w in words])
     start, count, anchor, region = substrings.regions(h, np.zeros(len(h), int), 35, 8)
     assert count.sum() == len(words) - 34 and (start[1:] == start[:-1] + count[:-1]).all()
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([3]), pa.array([" ".join(words)])], names=["_key", "_mark", "_mark2", "_text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(words)])], names=["_row", "_text"])
     for segment in (100, 36, 1):
         monkeypatch.setattr(substrings, "SEGMENT", segment)
-        at = np.concatenate([b.column(5).to_numpy() for b in substrings._emit_regions(35, 8)([batch])])
+        at = np.concatenate([b.column(3).to_numpy() for b in substrings._emit_regions(35, 8)([batch])])
         windows = [i for x in at.tolist() for i in range(x >> 8, (x >> 8) + (x & 255))]
         assert sorted(windows) == list(range(len(words) - 34))  # every window once, also where a text is cut
 
@@ -373,8 +373,8 @@ def test_substrings_over_segments_and_circles(spark, monkeypatch):
 
 def test_unitigs(spark):
     """Two sources of one passage that overlap, a fork, and a circle over two sources."""
-    names = "anchor long, edge long, size long, head long, tail long, _key long, _mark long, _mark2 long, at long"
-    e = lambda i, head, tail, key, at, size=1: (i, i, size, head, tail, key, 0, 0, at)
+    names = "anchor long, edge long, size long, head long, tail long, _row long, at long"
+    e = lambda i, head, tail, key, at, size=1: (i, i, size, head, tail, key, at)
     rows = [e(1, 10, 11, 1, 0, 3), e(2, 11, 12, 1, 3), e(3, 12, 13, 2, 7), e(4, 13, 14, 2, 8, 2), e(5, 14, 15, 3, 0), e(6, 14, 16, 4, 0), e(7, 20, 21, 5, 0), e(8, 21, 20, 6, 0), e(9, 30, 30, 7, 0)]
     got = {r["run"]["edge"]: (r["unitig"]["edge"], r["offset"], r["windows"]) for r in substrings.compacted(spark.createDataFrame(rows, names)).collect()}
     assert got == {1: (1, 0, 4), 3: (1, 4, 3), 5: (5, 0, 1), 6: (6, 0, 1), 7: (7, 0, 1), 8: (7, 1, 1), 9: (9, 0, 1)}
