@@ -1,7 +1,8 @@
 """URL filters: prefix rules, and for urls without a rule the trust of their host in the link graph.
 
 Trust and distrust are personalised PageRank vectors over host edges, both computed by DataFrame joins: trust flows
-along links from hosts with allowed pages, distrust flows against links from hosts with blocked pages.  A host is
+along links from hosts with allowed pages, distrust flows against links from hosts with blocked pages.  A host's weight is
+the share of its pages that are allowed (blocked), so both vectors have one scale however many seeds a side has.  A host is
 blocked where its distrust exceeds its trust by the given factor.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and is allowed; null html has no
@@ -60,38 +61,37 @@ def host_edges(pages: DataFrame, html: str = "html", host: str = "host") -> Data
     )
 
 
-def personalised_pagerank(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, max_rounds: int | None = None) -> DataFrame:
-    """``host, rank`` for restart weights ``host, w`` (summing to one); mass at hosts without links returns to the seeds.
+def personalised_pagerank(
+    seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, max_rounds: int | None = None, stride: int = 8, whole: bool = True
+) -> DataFrame:
+    """``host, rank`` for restart weights ``host, w``: rank = (1 - damping) * w + damping * what links bring.
 
-    Each round is one join and one sum on the edge table and is written out; rounds end when the vector moves less
-    than ``tolerance`` in total.  The vector moves at most 2 * damping ** k in round k, which bounds the rounds.
+    Links ``src, dst, n`` share out all that their source has, by n; what hosts without links have goes nowhere.  So ranks
+    are linear in the weights, and hosts that no link ties together don't change each other's.  With ``whole`` they are
+    scaled to sum to one, as if what hosts without links have went back to the seeds.  A round is one join and one
+    sum on the edge table; each ``stride`` rounds the vector is written.  What it moves shrinks by ``damping`` a round at
+    least; rounds end when all that it can still move is under ``tolerance`` of the weights, which bounds them.
     """
     total = edges.groupBy("src").agg(F.sum("n").alias("out"))
     step = materialize(edges.join(total, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("p")), "edges")
-    rank = materialize(seeds.select("host", F.col("w").alias("rank")), "rank")
-    if step.isEmpty():  # nothing can move: the restart vector is the answer
-        return rank
+    start = seeds.select("host", (F.col("w") * (1 - damping)).alias("rank"))
+    weight = seeds.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    if step.isEmpty():  # nothing can move
+        return start.withColumn("rank", F.col("rank") / ((1 - damping) * weight)) if whole and weight else start
+    rank = seeds.select("host", F.col("w").alias("rank"))
+    shrink = damping**stride
     if max_rounds is None:
-        max_rounds = math.ceil(math.log(tolerance / 2) / math.log(damping)) + 1
-    for _ in range(max_rounds):
-        moved = rank.join(step, rank["host"] == step["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("p") * damping).alias("m"))
-        arrived = moved.groupBy("host").agg(F.sum("m").alias("m"))
-        lost = arrived.agg((1 - F.coalesce(F.sum("m"), F.lit(0.0))).alias("back"))
-        after = (
-            seeds.join(arrived, "host", "full_outer")
-            .crossJoin(F.broadcast(lost))  # one row
-            .select("host", (F.coalesce("m", F.lit(0.0)) + F.coalesce("w", F.lit(0.0)) * F.col("back")).alias("rank"))
-        )
-        after = materialize(after, "rank")
-        change = (
-            after.alias("a")
-            .join(rank.alias("b"), "host", "full_outer")
-            .agg(F.coalesce(F.sum(F.abs(F.coalesce("a.rank", F.lit(0.0)) - F.coalesce("b.rank", F.lit(0.0)))), F.lit(0.0)))
-            .first()[0]
-        )
-        rank = after
-        if change < tolerance:
-            return rank
+        max_rounds = math.ceil(math.log(tolerance * (1 - shrink) / 2) / math.log(damping)) + stride
+    for _ in range(math.ceil(max_rounds / stride)):
+        before = rank
+        for _ in range(stride):
+            moved = rank.join(step, rank["host"] == step["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("p") * damping).alias("rank"))
+            rank = moved.union(start).groupBy("host").agg(F.sum("rank").alias("rank"))
+        rank = materialize(rank, "rank")
+        both = rank.union(before.select("host", -F.col("rank"))).groupBy("host").agg(F.sum("rank").alias("moved"), F.sum(F.greatest("rank", F.lit(0.0))).alias("rank"))
+        moved, now = both.agg(F.coalesce(F.sum(F.abs("moved")), F.lit(0.0)), F.coalesce(F.sum("rank"), F.lit(0.0))).first()
+        if moved * shrink / (1 - shrink) <= tolerance * weight:
+            return rank.withColumn("rank", F.col("rank") / now) if whole and now else rank
     raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
 
 
@@ -121,18 +121,19 @@ def judge_urls(
     )
     hosts = materialize(hosts, "hosts")
 
-    def seeds(column: str) -> DataFrame:
-        share = hosts.where(F.col(column) > 0).select("host", (F.col(column) / F.col("n")).alias("s"))
-        whole = share.agg(F.sum("s").alias("t"))
-        return materialize(share.crossJoin(F.broadcast(whole)).select("host", (F.col("s") / F.col("t")).alias("w")), "seeds")
-
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    trust = personalised_pagerank(seeds("good"), edges, damping, tolerance, max_rounds)
-    distrust = personalised_pagerank(seeds("bad"), back, damping, tolerance, max_rounds)
+    # Both vectors in one: trust over links, distrust over links turned round, hosts marked by the side they are on.
+    both = edges.select(F.concat(F.lit("+"), "src").alias("src"), F.concat(F.lit("+"), "dst").alias("dst"), "n").union(
+        edges.select(F.concat(F.lit("-"), "dst").alias("src"), F.concat(F.lit("-"), "src").alias("dst"), "n")
+    )
+    sides = F.array(F.struct(F.lit("+").alias("side"), F.col("good").alias("k")), F.struct(F.lit("-").alias("side"), F.col("bad").alias("k")))
+    seeds = materialize(
+        hosts.select("host", "n", F.explode(sides).alias("s")).where("s.k > 0").select(F.concat("s.side", "host").alias("host"), (F.col("s.k") / F.col("n")).alias("w")), "seeds"
+    )
+    ranks = personalised_pagerank(seeds, both, damping, tolerance, max_rounds, whole=False)
+    side, host = F.substring("host", 1, 1), F.expr("substring(host, 2)")
     scores = (
-        trust.select("host", F.col("rank").alias("trust"))
-        .join(distrust.select("host", F.col("rank").alias("distrust")), "host", "full_outer")
-        .select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+        ranks.groupBy(host.alias("host"))
+        .agg(F.coalesce(F.sum(F.when(side == "+", F.col("rank"))), F.lit(0.0)).alias("trust"), F.coalesce(F.sum(F.when(side == "-", F.col("rank"))), F.lit(0.0)).alias("distrust"))
         .withColumn("_blocked", F.col("distrust") > F.col("trust") * factor)
     )
     return judged.join(scores, "host", "left").select(
