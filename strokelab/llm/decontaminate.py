@@ -3,12 +3,13 @@
 A passage of m characters that occurs with at most k edits shares at least m - q + 1 - k*q of its q-grams with the text,
 all on diagonals (text position - passage position) at most k apart.  Shared q-grams are counted in bands of diagonals
 twice as wide as needed that overlap by half, so one band always holds them all; bands with enough of them are verified
-by a banded alignment.  The edit budget is ``edit_rate`` of the passage's length.
+by an alignment of the band's diagonals (and k more on both sides).  The edit budget is ``edit_rate`` of the passage's
+length.  A passage shorter than a q-gram has no budget and is found where its words stand as whole words.
 
 The benchmark is a query set: it is read in blocks of at most about ``block_chars`` characters, and each block is sent to
 all tasks and run over all documents.  Texts are compared in lower case with runs of white space as one space.
 
-Defined results: null and empty texts hold nothing; passages shorter than ``min_chars`` are not searched for; repeated
+Defined results: null and empty texts hold nothing; null and blank passages are not searched for; repeated
 rows give repeated findings; an empty documents or benchmark table gives an empty result.
 """
 
@@ -22,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strokelab.llm.common import materialize
+
 U = np.uint64
 TABLE_BITS = 22
 TEXT_BLOCK = 1 << 20
+PAIRS = 1 << 21
 
 
 def normal(text: str | None) -> str:
@@ -47,40 +51,54 @@ def grams(symbol: np.ndarray, q: int) -> np.ndarray:
     return (low * U(0x9E3779B97F4A7C15)) ^ (high * U(0xC2B2AE3D27D4EB4F))
 
 
-def aligned(passage: str, text: str, budget: int) -> tuple[int, int] | None:
-    """(edits, end) of the passage's best occurrence anywhere in the text, if within the budget; banded by the text given."""
-    at = text.find(passage)
+def aligned(passage: str, text: str, budget: int, low: int, high: int) -> tuple[int, int] | None:
+    """(edits, end) of the passage's best occurrence in the text, if within the budget.
+
+    Only cells on the diagonals ``low`` to ``high`` (text position - passage position) are filled, row by row.
+    """
+    at = text.find(passage, max(0, low), max(0, high) + len(passage))
     if at >= 0:
         return 0, at + len(passage)
-    t = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    ramp = np.arange(len(t) + 1)
-    row = np.zeros(len(t) + 1, np.int64)
+    n, never = len(text), 1 << 30
+    width = high - low + 1
+    # The text as the band sees it, with nothing before and behind: cell (i, d) ends at text position i + low + d.
+    seen = np.full(len(passage) + width, -1, np.int64)
+    first, last = max(0, low), min(n, low + len(seen))
+    if first < last:
+        seen[first - low : last - low] = np.frombuffer(text[first:last].encode("utf-32-le"), np.uint32)
+    place = low + np.arange(width)
+    ramp = np.arange(width)
+    row = np.where((place >= 0) & (place <= n), 0, never)
     for i, c in enumerate(passage, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        np.minimum(row[:-1] + (t != ord(c)), row[1:] + 1, out=new[1:])
+        new = row + (seen[i - 1 : i - 1 + width] != ord(c))
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
         row = np.minimum.accumulate(new - ramp) + ramp
+        row[(place + i < 0) | (place + i > n)] = never
         if row.min() > budget:
             return None
-    end = int(row.argmin())
-    return (int(row[end]), end) if row[end] <= budget else None
+    best = int(row.argmin())
+    return int(row[best]), len(passage) + low + best
 
 
 class PassageIndex:
     """The q-grams of one block of passages, and the lemma's numbers for each."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = 10, edit_rate: float = 0.08, min_chars: int = 20):
-        self.q, self.ids, self.passages = q, [], []
-        for i, t in items:
-            if len(n := normal(t)) >= min_chars:
-                self.ids.append(i)
-                self.passages.append(n)
-        sizes = np.array([len(p) for p in self.passages], np.int64)
+    def __init__(self, items: list[tuple[int, str]], q: int = 10, edit_rate: float = 0.08):
+        named = sorted(((len(n) < q, i, n) for i, t in items if (n := normal(t))), key=lambda x: x[0])
+        self.q, self.ids, self.passages = q, [i for _, i, _ in named], [n for *_, n in named]
+        # Shorter passages than a q-gram come last; they are looked up as runs of whole words.
+        self.short: dict[str, list[int]] = {}
+        for at, (short, _, n) in enumerate(named):
+            if short:
+                self.short.setdefault(n, []).append(at)
+        self.short_words = sorted({n.count(" ") + 1 for n in self.short})
+        whole = [n for short, _, n in named if not short]
+        sizes = np.array(list(map(len, whole)), np.int64)
         # The lemma needs at least one shared q-gram: short passages get a smaller budget.
         self.budget = np.minimum((sizes * edit_rate).astype(np.int64), (sizes - q) // q)
         self.need = sizes - q + 1 - self.budget * q
         self.least = int(self.need.min()) if len(sizes) else 0
-        hashes = [grams(symbols(p), q) for p in self.passages]
+        hashes = [grams(symbols(p), q) for p in whole]
         flat = np.concatenate([np.empty(0, U), *hashes])
         order = np.argsort(flat, kind="stable")
         self.keys, self.first = np.unique(flat[order], return_index=True)
@@ -101,14 +119,17 @@ class PassageIndex:
         real = self.keys[slot] == hashes[at]
         at, slot = at[real], slot[real]
         many = self.last[slot] - self.first[slot]
-        if not len(at):
-            return []
-        each = np.repeat(self.first[slot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item, diagonal = self.item[each], np.repeat(at, many) - self.position[each]
-        width = self.budget[item] + 1
-        band = np.floor_divide(diagonal, width)
-        code = (np.concatenate([item, item]) << 40) + np.concatenate([band, band - 1]) + (1 << 30)
-        codes, counts = np.unique(code, return_counts=True)
+        # Pairs of places are made some at a time, so that a text and a passage of one repeated q-gram don't meet at once.
+        part = np.cumsum(many) // PAIRS
+        codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for cut in np.split(np.arange(len(at)), np.flatnonzero(np.diff(part)) + 1) if len(at) else []:
+            n, s = many[cut], slot[cut]
+            each = np.repeat(self.first[s], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            item, diagonal = self.item[each], np.repeat(at[cut], n) - self.position[each]
+            band = np.floor_divide(diagonal, self.budget[item] + 1)
+            found, k = np.unique((np.concatenate([item, item]) << 40) + np.concatenate([band, band - 1]) + (1 << 30), return_counts=True)
+            codes, back = np.unique(np.concatenate([codes, found]), return_inverse=True)
+            counts = np.bincount(back, np.concatenate([counts, k]), len(codes)).astype(np.int64)
         which = codes >> 40
         good = counts >= self.need[which]
         return [(int(i), int(b) * int(self.budget[i] + 1)) for i, b in zip(which[good], (codes[good] & ((1 << 40) - 1)) - (1 << 30), strict=True)]
@@ -127,10 +148,17 @@ class PassageIndex:
                     break
                 if best.get((d, i), (k + 1, 0))[0] == 0:
                     continue
-                cut = max(0, low - starts[d])
-                found = aligned(passage, texts[d][cut : high - starts[d]], k)
+                found = aligned(passage, texts[d], k, low - int(starts[d]), low - int(starts[d]) + 4 * k + 2)
                 if found and found[0] < best.get((d, i), (k + 1, 0))[0]:
-                    best[d, i] = found[0], int(cut + found[1])
+                    best[d, i] = found
+        for d, text in enumerate(texts if self.short else []):
+            words = text.split(" ")
+            for n in self.short_words:
+                at = 0
+                for j in range(len(words) - n + 1):
+                    for i in self.short.get(" ".join(words[j : j + n]), ()):
+                        best.setdefault((d, i), (0, at + len(self.passages[i])))
+                    at += len(words[j]) + 1
         return sorted((d, i, *v) for (d, i), v in best.items())
 
 
@@ -191,12 +219,10 @@ def contaminated(
     """One row per document and passage found in it: key, item_id, edits, passage_chars, end_char."""
     lean = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     schema = f"_key {dict(docs.dtypes)[key]}, item_id long, edits long, passage_chars long, end_char long"
-    out = None
+    out = docs.sparkSession.createDataFrame([], schema)
     for index in blocks_of(benchmark, block_chars, **options):
-        hits = lean.mapInArrow(_search(index), schema)
-        out = hits if out is None else out.union(hits)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], schema)
+        # Each block's finds are written, so that its index is gone from the driver when the next one is read.
+        out = out.union(materialize(lean.mapInArrow(_search(index), schema), "found"))
     return out.withColumnRenamed("_key", key)
 
 
@@ -213,6 +239,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_chars
 
         return run
 
+    done = 0
     for index in blocks_of(benchmark, block_chars, **options):
-        docs = docs.mapInArrow(keep(index), schema)
+        docs = (materialize(docs, "clean") if done else docs).mapInArrow(keep(index), schema)
+        done += 1
     return docs
