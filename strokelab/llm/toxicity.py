@@ -1,14 +1,14 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded sample of labelled rows (``max_examples``, by hash of the id) gives the examples.  Terms (words, and prefixes of
-longer words) that their labels depend on significantly form the vocabulary; document frequencies of these terms are
-counted over all documents.  Examples with equal vectors are one entry with several votes.  Entries lie in blocks; the
+A bounded sample of labelled rows (``max_examples``, by hash of the id) gives the examples.  All terms of theirs (words, and
+prefixes of longer words) that their labels depend on significantly form the vocabulary; document frequencies of these
+terms are counted over all documents.  Examples with equal vectors are one entry with several votes.  Entries lie in blocks; the
 largest weight of each term in each block bounds every cosine in the block, and blocks are read by falling bound until
 no other can reach the k-th nearest, so the neighbours are exact.  Votes are weighted by similarity and smoothed by the
 rate among all examples, which keeps scores calibrated.
 
 Defined results: null, empty and unremarkable texts (no vocabulary term) get the rate of such examples; repeated rows
-get the same score; without labels every score is 0.5; an empty table gives an empty result.
+get the same score; of several texts of one labelled id the least one is the example, and it is toxic if any label says so; without labels every score is 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class BlockMaxIndex:
     """Labelled examples in blocks, with each term's largest weight in each block."""
 
-    def __init__(self, examples: list[tuple[int, list[int], list[int], int]], idf: np.ndarray, k: int, block: int = 64, smooth: float = 0.5):
+    def __init__(self, examples: list[tuple], idf: np.ndarray, k: int, block: int = 64, smooth: float = 0.5):
         self.idf, self.k, self.smooth = idf, k, smooth
         votes: dict[tuple, list] = {}
         bare = [0, 0]
@@ -196,7 +196,7 @@ def _score(index: BlockMaxIndex, entries: int = 100_000):
                 s, e = kept[key]
                 scores.append(s)
                 evidence.append(e)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], ["_key", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(b.column(0).type))], ["_key", "score", "evidence"])
 
     return run
 
@@ -212,7 +212,6 @@ def score(
     text: str = "text",
     label: str = "toxic",
     max_examples: int = 20_000,
-    max_terms: int = 1_000,
     significance: float = 24.0,
     prefixes: tuple[int, ...] = (4, 5, 6, 7),
     k: int = 15,
@@ -221,29 +220,29 @@ def score(
     kind = dict(docs.dtypes)[key]
     lean = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_y")).where("_key is not null and _y in (0, 1)").where(~held_out(F.col("_key")))
-    examples = materialize(usable.groupBy("_key").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_key"), "_key").limit(max_examples), "examples")
-    chosen = F.broadcast(examples)  # at most max_examples rows of two numbers
+    chosen = F.broadcast(usable.groupBy("_key").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_key"), "_key").limit(max_examples))  # two numbers each
+    # One text per id: the least, where several rows share it.
+    examples = materialize(lean.join(chosen, "_key").groupBy("_key").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y")), "examples")
 
-    by_label = (
-        lean.join(chosen, "_key").select("_text", "_y").mapInArrow(_by_label(prefixes), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    )
+    by_label = examples.select("_text", "_y").mapInArrow(_by_label(prefixes), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     totals = examples.agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
     p, n = int(totals["p"]), int(totals["n"])
     a, c = F.col("pos").cast("double"), F.col("neg").cast("double")
     b, d = p - a, (n - p) - c
     chi = F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d))
-    top = by_label.where(F.col("pos") + F.col("neg") >= 5).withColumn("chi", chi).where(F.col("chi") >= significance).orderBy(F.desc("chi"), "term").limit(max_terms)
-    vocabulary = Vocabulary([r["term"] for r in top.select("chi", "term").collect()])
+    top = by_label.where(F.col("pos") + F.col("neg") >= 5).withColumn("chi", chi).where(F.col("chi") >= significance).orderBy(F.desc("chi"), "term")
+    vocabulary = Vocabulary([r["term"] for r in top.select("chi", "term").collect()])  # terms of at most max_examples texts
 
     found = materialize(lean.mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>"), "features")
     n_docs = found.count()
-    df = dict(found.select("at").mapInArrow(_frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect())  # at most max_terms rows
+    df = dict(found.select("at").mapInArrow(_frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect())  # at most a row per term
     size = len(vocabulary.words) + len(vocabulary.stems)
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(size)])
-    rows = found.join(chosen, "_key").select("_key", "at", "tf", "_y").dropDuplicates(["_key"]).orderBy("_key").collect()  # at most max_examples
-    index = BlockMaxIndex([(int(r[0]), list(r[1]), list(r[2]), r[3]) for r in rows], idf, k)
+    vectors = examples.select("_key", "_text").mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>")
+    rows = vectors.join(examples.select("_key", "_y"), "_key").orderBy("_key").select("_key", "at", "tf", "_y").collect()  # at most max_examples
+    index = BlockMaxIndex([(r[0], list(r[1]), list(r[2]), r[3]) for r in rows], idf, k)
     # Vectors are small but scoring is not: tasks by number of documents, not by bytes.
-    scored = found.repartition(max(1, math.ceil(n_docs / 10_000))).mapInArrow(_score(index), f"_key {kind}, score double, evidence array<long>")
+    scored = found.repartition(max(1, math.ceil(n_docs / 10_000))).mapInArrow(_score(index), f"_key {kind}, score double, evidence array<{kind}>")
     return scored.select(
         F.col("_key").alias(key),
         F.coalesce(held_out(F.col("_key")), F.lit(False)).alias("held_out"),
