@@ -29,6 +29,7 @@ from strokelab.llm.common import materialize
 SEED = 42
 BITS = 64
 CHUNK = 1 << 16
+LEAVES = 10_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -73,7 +74,8 @@ def flips(bits: int, budget: int) -> list[tuple[int, int]]:
 
 def trie_self_join(leaves: DataFrame, fp: str = "fp", budget: int = 2, step: int = 9) -> DataFrame:
     """Pairs ``u < v`` of distinct fingerprints (signed longs) that differ in 1 to ``budget`` bits, each pair once."""
-    dense = min(BITS - 2, max(1, math.floor(math.log2(max(2, leaves.count())))))
+    n = leaves.count()
+    dense = min(BITS - 2, max(1, math.floor(math.log2(max(2, n)))))
     node_at = lambda depth: F.shiftrightunsigned(F.col(fp), BITS - depth) if depth else F.lit(0).cast("long")
 
     masks = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("k")) for m, k in flips(step, budget)])
@@ -96,7 +98,9 @@ def trie_self_join(leaves: DataFrame, fp: str = "fp", budget: int = 2, step: int
         nodes = materialize(leaves.select(node_at(depth).alias("node")).distinct(), "nodes")
         children = nodes.join(pairs, F.shiftrightunsigned("node", step) == F.col("a")).withColumn("_keep", F.col("node"))
         pairs = materialize(reach(children, "_keep", step).join(nodes.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b", "differ"), "pairs")
-    children = leaves.select(F.col(fp).alias("fa"), node_at(depth).alias("a"), node_at(dense).alias("node")).join(pairs, "a")
+    # A leaf becomes some hundred rows of masks: dealt out by leaves, not by the bytes of their small table.
+    dealt = leaves.repartition(max(1, math.ceil(n / LEAVES)), F.col(fp))
+    children = dealt.select(F.col(fp).alias("fa"), node_at(depth).alias("a"), node_at(dense).alias("node")).join(pairs, "a")
     left = reach(children, "fa", dense - depth).withColumnRenamed("a", "fa")
     right = leaves.select(F.col(fp).alias("fb"), node_at(dense).alias("_b"))
     rest = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb")).bitwiseAND((1 << (BITS - dense)) - 1))
