@@ -4,6 +4,7 @@ import brute
 import corpus_pipeline as cp
 from pyspark.sql import functions as F
 from test_llm import DOCS, encoder, text_of
+from test_similar import kept
 
 from strokelab.llm import decontaminate
 from strokelab.llm.common import table
@@ -25,8 +26,7 @@ def test_stages(spark, small):
     assert {r["doc_id"] for r in one.collect()} == want
 
     two = step(1, one)
-    groups = brute.components([(d, rows[d]) for d in want])
-    want = {d for d in want if groups[d][1] == d}
+    want = kept([(d, rows[d]) for d in want])
     assert {r["doc_id"] for r in two.collect()} == want
 
     three = step(2, two)
@@ -54,3 +54,11 @@ def test_rows_without_ids_and_repeats(spark, small):
     for _, stage in cp.STAGES[:4]:
         docs = spark.createDataFrame(stage(spark, docs, small).collect(), docs.schema)
     assert sorted((r["doc_id"] or 0) for r in docs.collect()) == [0, 1]
+
+
+def test_empty_table(spark, small):
+    docs = spark.createDataFrame([], DOCS)
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, small)
+        assert docs.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
+    assert cp.STAGES[-1][1](spark, docs, small).count() == 0
