@@ -24,13 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the setting is missing (tests in local mode) a temporary folder is made and kept for the session.
+    Where the setting is missing in local mode (tests) a temporary folder is made and kept for the session; on a cluster
+    its executors wouldn't see it, so there the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             folder = known.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             folder = tempfile.mkdtemp(prefix="spark-shared-")
             spark.sparkContext.setCheckpointDir(folder)
