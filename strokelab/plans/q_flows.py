@@ -37,7 +37,11 @@ def query(sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-flows-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-flows-")
     return f"{root.rstrip('/')}/flow-{uuid.uuid4().hex}"
 
 
@@ -78,11 +82,11 @@ def s04_upsert(spark, d):
     return spark.read.parquet(path).select(*_COLUMNS)
 
 
-@query(ST + " SELECT sample_id, position, hand, stroke_type FROM st WHERE sample_id % 3 = 0")
+@query(ST + " SELECT sample_id, position, hand, stroke_type FROM st")
 def s05_flatten(spark, d):
-    s = strokes(spark, d).where("sample_id % 3 = 0").select("sample_id", "position", "hand", "stroke_type")
+    s = strokes(spark, d).select("sample_id", "position", "hand", "stroke_type")
     m = s.select("sample_id", F.col("position").alias("index")).where("index % 8 = 0")
-    docs = tables.documents(fx.samples(spark, d).where("sample_id % 3 = 0"), s, m, fx.samples(spark, d).select("sample_id", F.lit(1.0).alias("overall_score")))
+    docs = tables.documents(fx.samples(spark, d), s, m, fx.samples(spark, d).select("sample_id", F.lit(1.0).alias("overall_score")))
     return tables.flatten(docs)["strokes"]
 
 
@@ -262,9 +266,13 @@ def m07_regression_metrics(spark, d):
 def m08_m10_utility(spark, d):
     data = _data(spark, d)
     curve = ml.learning_curve(data, list(ml.FEATURES), "skill_tier", "sample_id", [0.5, 1.0], folds=2)
-    ranked = ml.importances(data, list(ml.FEATURES), "skill_tier", trees=10)
+    ranked = ml.importances(data, list(ml.FEATURES), "skill_tier")
     rows = [("curve", str(r["size"]), r["mean"]) for r in curve] + [("importance", n, v) for n, v in ranked]
-    v = ml.verdict(curve[-1]["mean"], 0.0, curve[-1]["settled"], ml.meaningful(ranked, {"timing_accuracy", "timing_consistency", "hand_balance"}))
+    target = data.join(scores(spark, d).select("sample_id", "overall_score"), "sample_id")
+    best = max(ml.class_metrics(p).first()["accuracy"] for p in ml.classify(data, list(ml.FEATURES), "skill_tier", "sample_id").values())
+    r2 = max(ml.regression_metrics(p).first()["r2"] or 0.0 for p in ml.regress(target, list(ml.FEATURES), "overall_score", "sample_id").values())
+    v = ml.verdict(best, r2, curve[-1]["settled"], ml.meaningful(ranked, ml.SENSIBLE))
+    rows += [("metric", "accuracy", v["accuracy"]), ("metric", "r2", v["r2"])]
     return spark.createDataFrame([*rows, ("verdict", v["verdict"], v["accuracy"])], "part string, name string, value double")
 
 

@@ -104,9 +104,9 @@ def _points(spark, d):
     return fx.events(spark, d).select("sample_id", "position", F.col("actual_time_ms").alias("time_ms"))
 
 
-@query(_IOI + ", f AS (SELECT sample_id, avg(t - b) AS m, stddev_pop(t - b) AS s FROM i WHERE sample_id % 17 <> 0 GROUP BY 1) SELECT u.sample_id, round(coalesce(m, 0), 5) AS ioi_mean, round(coalesce(s, 0), 5) AS ioi_sd, round(coalesce(s / m, 0), 5) AS ioi_cv, round(coalesce(60000 / m, 0), 5) AS tempo_bpm FROM (SELECT DISTINCT user_id AS sample_id FROM events) u LEFT JOIN f USING (sample_id)")
+@query(_IOI + ", f AS (SELECT sample_id, avg(t - b) AS m, stddev_pop(t - b) AS s FROM i GROUP BY 1) SELECT u.sample_id, round(coalesce(m, 0), 5) AS ioi_mean, round(coalesce(s, 0), 5) AS ioi_sd, round(coalesce(s / m, 0), 5) AS ioi_cv, round(coalesce(60000 / m, 0), 5) AS tempo_bpm FROM (SELECT DISTINCT user_id AS sample_id FROM events) u LEFT JOIN f USING (sample_id)")
 def w01_interval_features(spark, d):
-    return rounded(windows.interval_features(_points(spark, d).where("sample_id % 17 <> 0"), fx.samples(spark, d)), 5)
+    return rounded(windows.interval_features(_points(spark, d), fx.samples(spark, d)), 5)
 
 
 @query(_IOI + " SELECT sample_id, round(t, 6) AS time_ms, round(t - b, 6) AS ioi_ms, round((t + b) / 2, 6) AS mid_ms FROM i WHERE b IS NOT NULL")
@@ -226,17 +226,17 @@ def q09_chunk_rms(spark, d):
     return _arrays(spark, d).select("vec_id", F.transform(sequences.chunk_rms(F.col("x"), 4), lambda v: F.round(v, 5)).alias("chunks"))
 
 
-@query("SELECT vec_id, list_transform(range(32), lambda i: round((embedding[2 * i + 1]::DOUBLE + embedding[2 * i + 2]::DOUBLE) / 2, 5)) AS mono FROM embeddings")
+@query("SELECT vec_id, i::INTEGER AS position, (embedding[2 * i + 1]::DOUBLE + embedding[2 * i + 2]::DOUBLE) / 2 AS mono FROM embeddings, range(32) r(i)")
 def q10_mono(spark, d):
     pairs = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.array(F.get("embedding", 2 * i), F.get("embedding", 2 * i + 1)))
-    return fx.table(spark, d, "embeddings").select("vec_id", F.transform(sequences.mono(pairs), lambda v: F.round(v, 5)).alias("mono"))
+    return fx.table(spark, d, "embeddings").select("vec_id", F.posexplode(sequences.mono(pairs)).alias("position", "mono"))
 
 
-@query("WITH m AS (SELECT vec_id, list_transform(range(4), lambda i: list_transform(embedding[i * 16 + 1:i * 16 + 16], lambda v: v::DOUBLE)) AS rows FROM embeddings) SELECT vec_id, list_transform(rows, lambda r: list_transform(r, lambda v: round((v - list_avg(r)) / list_stddev_pop(r), 4))) AS z FROM m")
+@query("WITH m AS (SELECT vec_id, i AS n, list_transform(embedding[i * 16 + 1:i * 16 + 16], lambda v: v::DOUBLE) AS x FROM embeddings, range(4) r(i)) SELECT vec_id, n::INTEGER AS n, k::INTEGER AS position, round((x[k + 1] - list_avg(x)) / list_stddev_pop(x), 4) AS z FROM m, range(16) q(k)")
 def q11_z_rows(spark, d):
     rows = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * 16 + 1, F.lit(16)))
-    e = fx.table(spark, d, "embeddings").select("vec_id", rows.alias("m"))
-    return e.select("vec_id", F.transform(sequences.z_rows(F.col("m")), lambda r: F.transform(r, lambda v: F.round(v, 4))).alias("z"))
+    e = fx.table(spark, d, "embeddings").select("vec_id", F.posexplode(sequences.z_rows(rows)).alias("n", "row"))
+    return rounded(e.select("vec_id", "n", F.posexplode("row").alias("position", "z")), 4)
 
 
 _TEXTS = """l AS (SELECT l_orderkey AS id, CASE l_returnflag WHEN 'A' THEN 'R' WHEN 'N' THEN 'L' ELSE 'B' END AS c, CASE WHEN l_linestatus = 'F' THEN '>' ELSE '.' END AS a,

@@ -83,28 +83,37 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+#: How the reader names files that are no parquet.
+BROKEN = ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA", "CANNOT_MERGE_SCHEMAS")
+
+
 def upsert(new: DataFrame, path: str, keys: list[str], sequence: str = "_seq") -> None:
-    """Merge rows into a parquet table, the later ``sequence`` winning; an unreadable old table is set aside (O-S04).
+    """Merge rows into a parquet table, the later ``sequence`` winning (O-S04).
 
-    The merged table is written beside the old one and swapped in by renames, so a failed write leaves the old table.
+    The merged table is written beside the old one and swapped in by two renames, so a failed write leaves the old table.
+    A table whose files the reader says are no parquet is set aside beside the new one and never deleted; any other fault,
+    of the network for instance, is raised.
     """
     spark = new.sparkSession
     fs, target = _hadoop(spark, path)
-    rows = new
+    rows, broken = new, False
     if fs.exists(target):
         try:
             rows = spark.read.option("mergeSchema", "true").parquet(path).unionByName(new, allowMissingColumns=True)
             rows.schema  # noqa: B018
-        except Exception:  # the reader raises one of several kinds for a broken table
-            rows = new
-    staging, old = f"{path}.staging-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+        except Exception as fault:  # of several kinds; only what the files themselves hold counts
+            if not any(said in str(fault) for said in BROKEN):
+                raise
+            rows, broken = new, True
+    staging, old = f"{path}.staging-{uuid.uuid4().hex}", f"{path}.{'broken' if broken else 'old'}-{uuid.uuid4().hex}"
     keep_last(rows, keys, [F.col(sequence)]).write.parquet(staging)
     _, s = _hadoop(spark, staging)
     _, o = _hadoop(spark, old)
     if fs.exists(target):
         fs.rename(target, o)
     fs.rename(s, target)
-    fs.delete(o, True)
+    if not broken:
+        fs.delete(o, True)
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", compression: str = "snappy") -> dict[str, int]:

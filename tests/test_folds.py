@@ -162,3 +162,18 @@ def test_sample_ids_round_trip(spark):
 def test_halves_round_to_even(spark):
     r = spark.range(1).select(scalars.cycles_for(F.lit(5.0), F.lit(2.0)).alias("a"), scalars.cycles_for(F.lit(0.1), F.lit(2.0)).alias("b"), scalars.sample_index(F.lit(-3.7), 1000).alias("c")).first()
     assert tuple(r) == (2, 1, -3)
+
+
+def test_upsert_keeps_a_broken_table(spark, tmp_path):
+    import os
+
+    from strokelab.sources import tables
+
+    path = str(tmp_path / "t.parquet")
+    os.mkdir(path)
+    (tmp_path / "t.parquet" / "part-0.parquet").write_bytes(b"no parquet at all")
+    new = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "id long, v string, _seq long")
+    tables.upsert(new, path, ["id"])
+    kept = [d for d in os.listdir(tmp_path) if d.startswith("t.parquet.broken")]
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == ["b"] and len(kept) == 1
+    assert os.path.exists(tmp_path / kept[0] / "part-0.parquet")
