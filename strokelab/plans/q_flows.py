@@ -53,9 +53,10 @@ _KEEP = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extended
 _COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (1, 2, 3, 500)")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def s01_s15_read(spark, d):
-    return tables.read_table(spark, d, "orders", [1, 2, 3, 500], ["o_orderkey", "o_totalprice"], "o_orderkey")
+    returned = _lineitem(spark, d).where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return tables.read_table(spark, d, "orders", returned, ["o_orderkey", "o_totalprice"], "o_orderkey")
 
 
 @query(SM + " SELECT count(*) AS num_samples, list(sample_id::VARCHAR ORDER BY sample_id::VARCHAR) AS sample_ids FROM sm")

@@ -75,10 +75,10 @@ def p13_filled(spark, d):
     return rounded(scores(spark, d).select("sample_id", scalars.filled(F.col("flam_quality")).alias("flam"), F.col("flam_quality").isNotNull().alias("applies")))
 
 
-@query("SELECT p_partkey, CASE WHEN regexp_matches(s, 'roll|stroke') THEN 'roll' WHEN contains(s, 'diddle') THEN 'diddle' WHEN contains(s, 'flam') THEN 'flam' WHEN regexp_matches(s, 'drag|ratamacue') THEN 'drag' ELSE 'other' END AS category, regexp_matches(s, '^[a-z0-9_]+$') AS valid, array_to_string(list_transform(string_split(s, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name FROM (SELECT p_partkey, ['flam_tap','Five Stroke','single_paradiddle','lesson_25','drag_tap'][p_partkey % 5 + 1] AS s FROM part) WHERE s <> 'Five Stroke'")
+@query("SELECT p_partkey, CASE WHEN regexp_matches(s, 'roll|stroke') THEN 'roll' WHEN contains(s, 'diddle') THEN 'diddle' WHEN contains(s, 'flam') THEN 'flam' WHEN regexp_matches(s, 'drag|ratamacue') THEN 'drag' ELSE 'other' END AS category, regexp_matches(s, '^[a-z0-9_]+$') AS valid, array_to_string(list_transform(string_split(replace(s, '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name FROM (SELECT p_partkey, ['flam_tap','Five Stroke','single_paradiddle','lesson_25','drag_tap'][p_partkey % 5 + 1] AS s FROM part)")
 def p14_p16_slugs(spark, d):
     s = F.element_at(F.array(*map(F.lit, ("flam_tap", "Five Stroke", "single_paradiddle", "lesson_25", "drag_tap"))), (F.col("p_partkey") % 5 + 1).cast("int"))
-    p = fx.table(spark, d, "part").select("p_partkey", s.alias("s")).where("s <> 'Five Stroke'")
+    p = fx.table(spark, d, "part").select("p_partkey", s.alias("s"))
     return p.select("p_partkey", scalars.category_of(F.col("s")).alias("category"), scalars.valid_slug(F.col("s")).alias("valid"), scalars.display_name(F.col("s")).alias("name"))
 
 
@@ -190,40 +190,48 @@ def q03_hand_targets(spark, d):
     return sequences.hand_targets(fx.events(spark, d), 72, 1000.0)
 
 
-_EMB = "SELECT vec_id, list_transform(embedding[1:40 + (vec_id % 30)::INTEGER], lambda v: round(v::DOUBLE, 5)) AS x FROM embeddings"
+_LISTS = "x AS (SELECT l_orderkey AS id, list(l_quantity::DOUBLE ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity) AS x FROM lineitem GROUP BY 1)"
 
 
-def _arrays(spark, d):
-    e = fx.table(spark, d, "embeddings")
-    part = F.slice("embedding", F.lit(1), (40 + F.col("vec_id") % 30).cast("int"))
-    return e.select("vec_id", F.transform(part, lambda v: F.round(v.cast("double"), 5)).alias("x"))
+def _lists(spark, d):
+    """Lists of several lengths: the quantities of each order's lines."""
+    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    g = fx.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    return g.select("id", F.transform("rows", lambda r: r["l_quantity"].cast("double")).alias("x"))
 
 
-@query(f"WITH a AS ({_EMB}) SELECT vec_id, x[1:50] || list_transform(range(greatest(0, 50 - len(x))), lambda i: 0.0::DOUBLE) AS padded, list_transform(range(50), lambda i: (i < len(x))::INTEGER) AS mask, least(50, len(x))::INTEGER AS length FROM a")
+@query(f"WITH {_LISTS} SELECT id, x[1:4] || list_transform(range(greatest(0, 4 - len(x))), lambda i: 0.0::DOUBLE) AS padded, list_transform(range(4), lambda i: (i < len(x))::INTEGER) AS mask, least(4, len(x))::INTEGER AS length FROM x")
 def q04_fixed_length(spark, d):
-    return sequences.fixed_length(_arrays(spark, d), "x", 50).drop("x")
+    return sequences.fixed_length(_lists(spark, d), "x", 4).drop("x")
 
 
-@query(f"WITH a AS ({_EMB}), m AS (SELECT vec_id // 16 AS batch, max(len(x)) AS n FROM a GROUP BY 1) SELECT vec_id, x || list_transform(range(n - len(x)), lambda i: 0.0::DOUBLE) AS padded FROM a JOIN m ON batch = vec_id // 16")
+@query(f"WITH {_LISTS}, m AS (SELECT id // 16 AS batch, max(len(x)) AS n FROM x GROUP BY 1) SELECT id, x || list_transform(range(n - len(x)), lambda i: 0.0::DOUBLE) AS padded FROM x JOIN m ON batch = id // 16")
 def q05_batch_length(spark, d):
-    return sequences.batch_length(_arrays(spark, d).withColumn("batch", F.floor(F.col("vec_id") / 16)), "x", "batch").select("vec_id", "padded")
+    return sequences.batch_length(_lists(spark, d).withColumn("batch", F.floor(F.col("id") / 16)), "x", "batch").select("id", "padded")
+
+
+_EMB = "SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings"
+
+
+def _arrays(spark, d):
+    return fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
 
 
-@query(f"WITH a AS ({_EMB}) SELECT vec_id, list_transform(x, lambda v: round(v / list_max(list_transform(x, lambda w: abs(w))), 5)) AS y FROM a")
+@query(f"WITH a AS ({_EMB}), y AS (SELECT vec_id, list_transform(x, lambda v: v / list_max(list_transform(x, lambda w: abs(w)))) AS y FROM a) SELECT vec_id, unnest(range(len(y)))::INTEGER AS position, unnest(y) AS y FROM y")
 def q06_peak_normal(spark, d):
-    return _arrays(spark, d).select("vec_id", F.transform(sequences.peak_normal(F.col("x")), lambda v: F.round(v, 5)).alias("y"))
+    return _arrays(spark, d).select("vec_id", F.posexplode(sequences.peak_normal(F.col("x"))).alias("position", "y"))
 
 
-@query(f"WITH a AS ({_EMB}), e AS (SELECT vec_id, list_transform(range(0, len(x) - 16 + 1, 8), lambda i: sqrt(list_sum(list_transform(x[i + 1:i + 16], lambda v: v * v)) / 16)) AS r FROM a) SELECT vec_id, list_transform(r, lambda v: round(v, 5)) AS envelope, round(list_avg(r), 5) AS mean, round(list_stddev_pop(r), 5) AS sd, round(list_max(r), 5) AS top, round(list_max(r) - list_min(r), 5) AS reach, round(len(r) * 8 / 16.0 - 0.5, 5)::DOUBLE AS last_time FROM e")
+@query(f"WITH a AS ({_EMB}), e AS (SELECT vec_id, list_transform(range(0, len(x) - 16 + 1, 8), lambda i: sqrt(list_sum(list_transform(x[i + 1:i + 16], lambda v: v * v)) / 16)) AS r FROM a) SELECT vec_id, unnest(range(len(r)))::INTEGER AS position, round(unnest(r), 5) AS envelope, round(list_avg(r), 5) AS mean, round(list_stddev_pop(r), 5) AS sd, round(list_max(r), 5) AS top, round(list_max(r) - list_min(r), 5) AS reach, round(len(r) * 8 / 16.0 - 0.5, 5)::DOUBLE AS last_time FROM e")
 def q07_q08_envelope(spark, d):
     e = _arrays(spark, d).withColumn("r", sequences.rms_envelope(F.col("x"), 16, 8)).withColumn("s", sequences.dynamics(F.col("r")))
     e = e.withColumn("t", sequences.frame_times(F.col("r"), 8, 16.0))
-    return rounded(e.select("vec_id", F.transform("r", lambda v: F.round(v, 5)).alias("envelope"), F.col("s.mean").alias("mean"), F.col("s.sd").alias("sd"), F.col("s.max").alias("top"), F.col("s.range").alias("reach"), F.element_at("t", -1).alias("last_time")), 5)
+    return rounded(e.select("vec_id", F.posexplode("r").alias("position", "envelope"), F.col("s.mean").alias("mean"), F.col("s.sd").alias("sd"), F.col("s.max").alias("top"), F.col("s.range").alias("reach"), F.element_at("t", -1).alias("last_time")), 5)
 
 
-@query(f"WITH a AS ({_EMB}) SELECT vec_id, list_transform(range(4), lambda i: round(sqrt(list_sum(list_transform(x[i * (len(x) // 4) + 1:(i + 1) * (len(x) // 4)], lambda v: v * v)) / (len(x) // 4)), 5)) AS chunks FROM a")
+@query(f"WITH a AS ({_EMB}), c AS (SELECT vec_id, list_transform(range(4), lambda i: sqrt(list_sum(list_transform(x[i * (len(x) // 4) + 1:(i + 1) * (len(x) // 4)], lambda v: v * v)) / (len(x) // 4))) AS y FROM a) SELECT vec_id, unnest(range(len(y)))::INTEGER AS chunk, round(unnest(y), 5) AS rms FROM c")
 def q09_chunk_rms(spark, d):
-    return _arrays(spark, d).select("vec_id", F.transform(sequences.chunk_rms(F.col("x"), 4), lambda v: F.round(v, 5)).alias("chunks"))
+    return rounded(_arrays(spark, d).select("vec_id", F.posexplode(sequences.chunk_rms(F.col("x"), 4)).alias("chunk", "rms")), 5)
 
 
 @query("SELECT vec_id, i::INTEGER AS position, (embedding[2 * i + 1]::DOUBLE + embedding[2 * i + 2]::DOUBLE) / 2 AS mono FROM embeddings, range(32) r(i)")
