@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, pstdev
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -10,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strokelab.operators import sampling
+from strokelab.sources import shared
 
+#: The scores that models learn from.
 FEATURES = ("timing_accuracy", "timing_consistency", "tempo_stability", "subdivision_evenness", "velocity_control", "accent_differentiation", "accent_accuracy", "hand_balance")
 
 
@@ -33,7 +39,8 @@ def _assembled(df: DataFrame, columns: list[str]) -> DataFrame:
 def classify(df: DataFrame, columns: list[str], label: str, key: str, seed: int = 42, trees: int = 100) -> dict[str, DataFrame]:
     """Test predictions (key, truth, predicted) of logistic regression and a forest (O-M03)."""
     names = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
-    split = sampling.train_test(names.transform(_assembled(standardised(df, columns), columns)), key, seed=seed).cache()
+    split = sampling.train_test(names.transform(_assembled(standardised(df, columns), columns)), key, seed=seed)
+    split = shared.written(split)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     back = F.element_at(F.array(*map(F.lit, names.labels)), F.col("prediction").cast("int") + 1)
     models = {"logistic": LogisticRegression(maxIter=50), "forest": RandomForestClassifier(numTrees=trees, seed=seed)}
@@ -42,7 +49,8 @@ def classify(df: DataFrame, columns: list[str], label: str, key: str, seed: int
 
 def regress(df: DataFrame, columns: list[str], target: str, key: str, seed: int = 42, trees: int = 100, alpha: float = 1.0) -> dict[str, DataFrame]:
     """Test predictions of ridge regression and a forest (O-M04); the ridge penalty alpha is per row in MLlib."""
-    split = sampling.train_test(_assembled(standardised(df, columns), columns).withColumn("label", F.col(target).cast("double")), key, seed=seed).cache()
+    split = sampling.train_test(_assembled(standardised(df, columns), columns).withColumn("label", F.col(target).cast("double")), key, seed=seed)
+    split = shared.written(split)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     n = max(1, train.count())
     models = {"ridge": LinearRegression(regParam=alpha / n, elasticNetParam=0.0), "forest": RandomForestRegressor(numTrees=trees, seed=seed)}
@@ -79,24 +87,52 @@ def regression_metrics(p: DataFrame) -> DataFrame:
     return p.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), (1 - F.try_divide(F.avg(e * e), F.nullif(F.var_pop("truth"), F.lit(0.0)))).alias("r2"))
 
 
-def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, sizes: list[float], folds: int = 5, seed: int = 42) -> list[dict]:
-    """Mean and spread of fold accuracy at shares of the training rows, and whether the curve has settled (O-M08)."""
-    names = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
-    data = names.transform(_assembled(standardised(df, columns), columns)).withColumn("_fold", sampling.pick(key, folds, seed)).withColumn("_u", sampling.pick(key, 1000, f"{seed}-size") / 1000).cache()
+#: Shares of the training rows at which a learning curve is drawn.
+SIZES = tuple(i / 10 for i in range(1, 11))
+
+
+def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, sizes: Sequence[float] = SIZES, folds: int = 5, trees: int = 50, seed: int = 42, regression: bool = False, threads: int = 8) -> list[dict]:
+    """Scores of each fold with their mean, at shares of the training rows (O-M08): accuracy, or R squared for regression.
+
+    A forest is fitted per size and fold; ``threads`` fits run at once, each a Spark job of its own.
+    """
+    data = _assembled(standardised(df, columns), columns)
+    if regression:
+        data, model = data.withColumn("label", F.col(label).cast("double")), RandomForestRegressor(numTrees=trees, seed=seed)
+    else:
+        data, model = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df).transform(data), RandomForestClassifier(numTrees=trees, seed=seed)
+    data = data.select("features", "label", sampling.pick(key, folds, seed).alias("_fold"), (sampling.pick(key, 1000, f"{seed}-size") / 1000).alias("_u"))
+    data = shared.written(data)
+
+    def score(size: float, fold: int) -> float | None:
+        p = model.fit(data.where((F.col("_fold") != fold) & (F.col("_u") < size))).transform(data.where(F.col("_fold") == fold))
+        p = p.select(F.col("label").alias("truth"), F.col("prediction").alias("predicted"))
+        return regression_metrics(p).first()["r2"] if regression else p.agg(F.avg((F.col("truth") == F.col("predicted")).cast("double"))).first()[0]
+
+    with ThreadPool(threads) as pool:
+        found = pool.starmap(score, [(size, fold) for size in sizes for fold in range(folds)])
     out = []
-    for size in sizes:
-        scores = []
-        for fold in range(folds):
-            m = LogisticRegression(maxIter=30).fit(data.where((F.col("_fold") != fold) & (F.col("_u") < size)))
-            scores.append(m.transform(data.where(F.col("_fold") == fold)).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
-        mean = sum(scores) / folds
-        out.append({"size": size, "mean": mean, "sd": (sum((s - mean) ** 2 for s in scores) / folds) ** 0.5})
-    for before, row in zip([None, *out], out, strict=False):
-        row["settled"] = bool(before and abs(row["mean"] - before["mean"]) < 0.01)
-    data.unpersist()
+    for i, size in enumerate(sizes):
+        scores = [x for x in found[i * folds : (i + 1) * folds] if x is not None]
+        out.append({"size": size, "scores": scores, "mean": sum(scores) / len(scores) if scores else 0.0})
     return out
 
 
+def learnability(curve: list[dict]) -> dict:
+    """What a learning curve says (O-M08): whether its second half is better than its first, how steady its last three
+    sizes are (1 less their deviation by their mean), and mean, deviation and range of the folds at the largest size."""
+    means, last = [r["mean"] for r in curve], curve[-1]["scores"] or [0.0]
+    half, end = len(means) // 2, means[-3:]
+    return {
+        "improves": fmean(means[half:]) > fmean(means[:half]) if half else False,
+        "convergence": 1 - pstdev(end) / (fmean(end) + 1e-10),
+        "fold_mean": fmean(last),
+        "fold_sd": pstdev(last),
+        "fold_min": min(last),
+        "fold_max": max(last),
+    }
+
+
 def importances(df: DataFrame, columns: list[str], label: str, seed: int = 42, trees: int = 100) -> list[tuple[str, float]]:
     """Features by importance in a forest (O-M09)."""
     model = Pipeline(stages=[StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), RandomForestClassifier(numTrees=trees, seed=seed)]).fit(df)
@@ -112,12 +148,8 @@ def meaningful(ranked: list[tuple[str, float]], expected: set[str], top: int = 3
 SENSIBLE = {"timing_accuracy", "timing_consistency", "timing_error_mean", "timing_error_std", "velocity_control", "hand_balance", "accent_differentiation", "subdivision_evenness"}
 
 
-def verdict(accuracy: float, r2: float, settled: bool, sensible: bool) -> dict:
-    """Utility report of a data set (O-M10), by the best classifier's accuracy and the best regressor's R squared."""
+def verdict(accuracy: float, r2: float) -> str:
+    """Verdict on a data set's use (O-M10), by the best classifier's accuracy and the best regressor's R squared."""
     if accuracy > 0.7 and r2 > 0.5:
-        said = "PASSED"
-    elif accuracy > 0.5 or r2 > 0.3:
-        said = "PARTIAL"
-    else:
-        said = "NEEDS REVIEW"
-    return {"accuracy": accuracy, "r2": r2, "settled": settled, "sensible_features": sensible, "verdict": said}
+        return "PASSED"
+    return "PARTIAL" if accuracy > 0.5 or r2 > 0.3 else "NEEDS REVIEW"

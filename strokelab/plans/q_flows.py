@@ -5,9 +5,6 @@ Sinks write below a fresh folder of the session's shared folder and return what
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +15,7 @@ from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.plans.q_tables import SM, SO, SPLIT_SQL, ST, orders, some_splits
 from strokelab.sources import tables
+from strokelab.sources.shared import scratch, written
 from strokelab.streaming import ingest
 
 Q: dict = {}
@@ -36,15 +34,6 @@ def query(sql: str | None = None):
     return put
 
 
-def scratch(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-flows-")
-    return f"{root.rstrip('/')}/flow-{uuid.uuid4().hex}"
-
-
 def _lineitem(spark: SparkSession, d: str) -> DataFrame:
     return fx.table(spark, d, "lineitem")
 
@@ -214,19 +203,19 @@ def m02_standardised(spark, d):
 
 
 def _data(spark, d):
-    return ml.classification_data(fx.samples(spark, d), scores(spark, d)).cache()
+    x = scores(spark, d)
+    return written(ml.classification_data(fx.samples(spark, d), x).join(x.select("sample_id", "overall_score"), "sample_id"))
 
 
 @query()
 def m03_classifiers(spark, d):
-    p = ml.classify(_data(spark, d), list(ml.FEATURES), "skill_tier", "sample_id", trees=20)
+    p = ml.classify(_data(spark, d), list(ml.FEATURES), "skill_tier", "sample_id")
     return ml.class_metrics(p["logistic"]).withColumn("model", F.lit("logistic")).unionByName(ml.class_metrics(p["forest"]).withColumn("model", F.lit("forest")))
 
 
 @query()
 def m04_regressors(spark, d):
-    data = _data(spark, d).join(scores(spark, d).select("sample_id", "overall_score"), "sample_id")
-    p = ml.regress(data, list(ml.FEATURES), "overall_score", "sample_id", trees=20)
+    p = ml.regress(_data(spark, d), list(ml.FEATURES), "overall_score", "sample_id")
     return ml.regression_metrics(p["ridge"]).withColumn("model", F.lit("ridge")).unionByName(ml.regression_metrics(p["forest"]).withColumn("model", F.lit("forest")))
 
 
@@ -265,16 +254,18 @@ def m07_regression_metrics(spark, d):
 
 @query()
 def m08_m10_utility(spark, d):
-    data = _data(spark, d)
-    curve = ml.learning_curve(data, list(ml.FEATURES), "skill_tier", "sample_id", [0.5, 1.0], folds=2)
-    ranked = ml.importances(data, list(ml.FEATURES), "skill_tier")
-    rows = [("curve", str(r["size"]), r["mean"]) for r in curve] + [("importance", n, v) for n, v in ranked]
-    target = data.join(scores(spark, d).select("sample_id", "overall_score"), "sample_id")
-    best = max(ml.class_metrics(p).first()["accuracy"] for p in ml.classify(data, list(ml.FEATURES), "skill_tier", "sample_id").values())
-    r2 = max(ml.regression_metrics(p).first()["r2"] or 0.0 for p in ml.regress(target, list(ml.FEATURES), "overall_score", "sample_id").values())
-    v = ml.verdict(best, r2, curve[-1]["settled"], ml.meaningful(ranked, ml.SENSIBLE))
-    rows += [("metric", "accuracy", v["accuracy"]), ("metric", "r2", v["r2"])]
-    return spark.createDataFrame([*rows, ("verdict", v["verdict"], v["accuracy"])], "part string, name string, value double")
+    data, columns = _data(spark, d), list(ml.FEATURES)
+    rows = []
+    for task, label in (("tier", "skill_tier"), ("score", "overall_score")):
+        curve = ml.learning_curve(data, columns, label, "sample_id", regression=task == "score")
+        rows += [(f"{task} curve", str(r["size"]), r["mean"]) for r in curve]
+        rows += [(f"{task} learnability", n, float(v)) for n, v in ml.learnability(curve).items()]
+    ranked = ml.importances(data, columns, "skill_tier")
+    rows += [("importance", n, v) for n, v in ranked]
+    best = max(ml.class_metrics(p).first()["accuracy"] for p in ml.classify(data, columns, "skill_tier", "sample_id").values())
+    r2 = max(ml.regression_metrics(p).first()["r2"] or 0.0 for p in ml.regress(data, columns, "overall_score", "sample_id").values())
+    rows += [("metric", "accuracy", best), ("metric", "r2", r2), ("metric", "sensible_features", float(ml.meaningful(ranked, ml.SENSIBLE)))]
+    return spark.createDataFrame([*rows, ("verdict", ml.verdict(best, r2), best)], "part string, name string, value double")
 
 
 def queries() -> dict:

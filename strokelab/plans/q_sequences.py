@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strokelab.functions import scalars
-from strokelab.operators import checks, sampling, sequences, stats, windows
+from strokelab.operators import checks, labels, sampling, sequences, stats, windows
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.plans.q_tables import BOTH, DETECTED_SQL, SM, SO, ST, detections, orders, some_splits
+from strokelab.sources.shared import written
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -433,7 +434,8 @@ def v14_aligned(spark, d):
 
 
 def _all_checks(spark, d):
-    s, m, x = strokes(spark, d), fx.samples(spark, d), scores(spark, d)
+    s, m = written(strokes(spark, d)), fx.samples(spark, d)
+    x = written(labels.exercise_scores(s, m))
     return checks.verify_all(
         [
             checks.ids_unique(m),
