@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strokelab.operators.numbering import numbered
+
 #: Abbreviation of each tier in sample ids.
 TIER_SHORT = {"beginner": "beg", "intermediate": "int", "advanced": "adv", "professional": "pro"}
 
@@ -71,11 +73,11 @@ def ordinal(value: Column, order) -> Column:
 def name_ids(df: DataFrame, column: str) -> DataFrame:
     """Distinct names with their number in sorted order (O-P11); one row per name."""
     names = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return names.withColumn("id", (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
+    return numbered(names, [column], "id").withColumn("id", F.col("id").cast("int"))
 
 
 def with_name_id(df: DataFrame, column: str, out: str = "label_id") -> DataFrame:
-    return df.join(F.broadcast(name_ids(df, column).withColumnRenamed("id", out)), column, "left")
+    return df.join(name_ids(df, column).withColumnRenamed("id", out), column, "left")
 
 
 def flag(condition: Column) -> Column:

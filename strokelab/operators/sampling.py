@@ -50,30 +50,38 @@ def _check(ratios: tuple[float, float, float]) -> None:
         raise ValueError("ratios must sum to 1")
 
 
-def random_split(profiles: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), profile: str = "profile_id", seed: int = 42, shards: int = 64) -> DataFrame:
-    """Profiles to train, val and test by seeded rank (O-L07).
+def seeded_ranks(df: DataFrame, key: str, group: list[str], seed: int = 42, shards: int = 64) -> DataFrame:
+    """``df`` with the seeded rank ``_r`` of each row in its group, from 0, and the group's size ``_n``.
 
-    Ranks are counted in shards of the hash and moved up by the sizes of the shards before, so no task sorts all.
+    Ranks are counted in shards of the hash and moved up by the sizes of the shards before, so that a group with a third
+    of all rows is ranked by many tasks. Rows of one key are ranked in no fixed order among themselves.
     """
+    shard = (F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * shards / (1 << 32)).cast("int")
+    p = df.withColumn("_h", seeded(key, seed)).withColumn("_shard", shard)
+    sizes = p.groupBy(*group, "_shard").agg(F.count(F.lit(1)).alias("_k"))  # one row per group and shard
+    w = Window.partitionBy(*group)
+    before = F.coalesce(F.sum("_k").over(w.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    facts = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_shard").alias("_s"), before.alias("_before"), F.sum("_k").over(w).alias("_n"))
+    same = F.col("_shard") == F.col("_s")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    rank = F.row_number().over(Window.partitionBy(*group, "_shard").orderBy("_h", key)) - 1
+    ranked = p.withColumn("_r", rank).join(facts, same)
+    return ranked.withColumn("_r", F.col("_r") + F.col("_before")).drop("_h", "_shard", "_s", "_before", *[f"_g{i}" for i in range(len(group))])
+
+
+def random_split(profiles: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), profile: str = "profile_id", seed: int = 42, shards: int = 64) -> DataFrame:
+    """Profiles to train, val and test by seeded rank (O-L07)."""
     _check(ratios)
-    p = profiles.select(profile).distinct().withColumn("_h", seeded(profile, seed))
-    p = p.withColumn("_shard", (F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * shards / (1 << 32)).cast("int"))
-    sizes = p.groupBy("_shard").agg(F.count(F.lit(1)).alias("_k"))  # one row per shard
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._shard") < F.col("a._shard"), "left").groupBy("a._shard").agg(F.coalesce(F.sum("b._k"), F.lit(0)).alias("_before"))
-    total = sizes.agg(F.sum("_k").alias("_n"))
-    rank = F.row_number().over(Window.partitionBy("_shard").orderBy("_h", profile)) - 1 + F.col("_before")
+    ranked = seeded_ranks(profiles.select(profile).distinct(), profile, [], seed, shards)
     train, val = F.floor(F.col("_n") * ratios[0]), F.floor(F.col("_n") * ratios[1])
-    ranked = p.join(F.broadcast(before), "_shard").crossJoin(F.broadcast(total)).withColumn("_r", rank)
     return ranked.select(profile, F.when(F.col("_r") < train, "train").when(F.col("_r") < train + val, "val").otherwise("test").alias("split"))
 
 
 def stratified_split(profiles: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), profile: str = "profile_id", tier: str = "skill_tier", seed: int = 42) -> DataFrame:
     """Per tier: floors of the ratios, at least one in train, the rest in test; where three or more leave no test, one val moves there (O-L08)."""
     _check(ratios)
-    p = profiles.select(profile, tier).distinct()
-    n = F.count(F.lit(1)).over(Window.partitionBy(tier))
-    rank = F.row_number().over(Window.partitionBy(tier).orderBy(seeded(profile, seed), profile)) - 1
-    p = p.select(profile, tier, n.alias("_n"), rank.alias("_r"))
+    p = seeded_ranks(profiles.select(profile, tier).distinct(), profile, [tier], seed)
     train = F.greatest(F.lit(1), F.floor(F.col("_n") * ratios[0]))
     val = F.floor(F.col("_n") * ratios[1])
     moved = F.when((F.col("_n") >= 3) & (F.col("_n") - train - val == 0) & (val > 1), 1).otherwise(0)
@@ -94,13 +102,11 @@ def balanced_batches(df: DataFrame, batch_size: int, group: str, key: str, group
     The largest group sets the number of batches; with ``wrap`` smaller groups are used again from their start.
     """
     k = batch_size // groups
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(seeded(key, seed), key)) - 1)
-    ranked = ranked.withColumn("batch", F.floor(F.col("_r") / k).cast("int"))
+    ranked = seeded_ranks(df, key, [group], seed)
     if not wrap:
-        return ranked.drop("_r")
-    sizes = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
-    most = sizes.agg(F.max(F.ceil(F.col("_n") / k)).alias("_batches"))
-    again = ranked.drop("batch").join(F.broadcast(sizes), group).crossJoin(F.broadcast(most))
+        return ranked.withColumn("batch", F.floor(F.col("_r") / k).cast("int")).drop("_r", "_n")
+    most = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max(F.ceil(F.col("_n") / k)).alias("_batches"))  # one row
+    again = ranked.crossJoin(F.broadcast(most))
     # A row of rank r in a group of n stands at r, r + n, r + 2n, ... up to the end of the last batch.
     last = F.col("_batches") * k - 1
     turns = F.sequence(F.lit(0), F.floor((last - F.col("_r")) / F.col("_n")).cast("int"))
@@ -115,7 +121,12 @@ def train_test(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> D
 
 
 def choose_per_key(keys: DataFrame, values: DataFrame, key: str, value: str, n: int, seed: int = 42) -> DataFrame:
-    """n distinct values for every key (O-L11)."""
-    both = keys.select(key).distinct().crossJoin(F.broadcast(values.select(value).distinct()))
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(value).cast("string")))
-    return first_per_group(both, [key], [h, value], n)
+    """n distinct values for every key (O-L11).
+
+    ``values`` is a list of options (tempos, presets): they travel as one sorted array, and each key sorts it by its own hash.
+    """
+    options = values.agg(F.sort_array(F.collect_set(value)).alias("_v"))  # one row
+    mark = lambda v: F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), v.cast("string")))
+    drawn = F.slice(F.sort_array(F.transform("_v", lambda v: F.struct(mark(v).alias("h"), v.alias("v")))), 1, n)
+    both = keys.select(key).distinct().crossJoin(F.broadcast(options))
+    return both.select(key, F.explode(drawn).alias("_d")).select(key, F.col("_d.v").alias(value))

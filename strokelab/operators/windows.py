@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strokelab.operators.numbering import numbered
+
 
 def intervals(points: DataFrame, key: str = "sample_id", time: str = "time_ms") -> DataFrame:
     """Inter-onset intervals with their middle, in time order (O-W02)."""
@@ -90,4 +92,4 @@ def grace_parents(events: DataFrame, key: str = "sample_id", cycle: str = "cycle
 def first_seen_numbers(df: DataFrame, column: str, order: str) -> DataFrame:
     """Distinct values numbered by first appearance (O-W10); one row per value."""
     first = df.groupBy(column).agg(F.min(order).alias("_first"))
-    return first.select(column, (F.row_number().over(Window.orderBy("_first", column)) - 1).alias("number"))
+    return numbered(first, ["_first", column], "number").select(column, "number")

@@ -63,7 +63,6 @@ def flatten(docs: DataFrame, key: str = "sample_id") -> dict[str, DataFrame]:
     counts = [F.coalesce(F.size("strokes"), F.lit(0)).alias("num_strokes"), F.coalesce(F.size("measures"), F.lit(0)).alias("num_measures")]
     aug = [F.col(f"aug.{f.name}").alias(f"aug_{f.name}") for f in docs.schema["aug"].dataType.fields] if "aug" in docs.columns else []
     meta = [c for c in docs.columns if c not in ("strokes", "measures", "scores", "aug", "num_strokes", "num_measures")]
-    size = lambda c: F.size(F.coalesce(F.col(c), F.array()))  # noqa: E731, F841
     return {
         "samples": docs.select(*meta, *counts, *aug),
         "strokes": docs.select(key, F.explode("strokes").alias("s")).select(key, "s.*"),
@@ -137,15 +136,13 @@ def merge_outputs(spark: SparkSession, folders: list[str], name: str) -> DataFra
 
 
 def save_splits(splits: DataFrame, path: str, profile: str = "profile_id") -> None:
-    """Split map as one JSON document ``{"train": [...], "val": [...], "test": [...]}`` (O-S08)."""
-    lists = [F.sort_array(F.collect_list(F.when(F.col("split") == s, F.col(profile).cast("string")))).alias(s) for s in ("train", "val", "test")]
-    splits.agg(*lists).select(F.to_json(F.struct("train", "val", "test")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """Split map as JSON, one line ``{"profile_id": ..., "split": ...}`` a profile, so that no task holds all of them (O-S08)."""
+    known = splits.where(F.col("split").isin("train", "val", "test"))
+    known.select(F.col(profile).cast("string"), "split").write.mode("overwrite").json(path)
 
 
 def load_splits(spark: SparkSession, path: str, profile: str = "profile_id") -> DataFrame:
-    j = spark.read.schema("train array<string>, val array<string>, test array<string>").json(path)
-    parts = [j.select(F.explode(s).alias(profile), F.lit(s).alias("split")) for s in ("train", "val", "test")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return spark.read.schema(f"`{profile}` string, split string").json(path)
 
 
 PATH_COLUMNS = ("midi_path", "audio_path")
@@ -176,14 +173,18 @@ def embed_media(df: DataFrame, media: DataFrame, path: str, out: str) -> DataFra
     return df.withColumn("_tail", wanted).join(files, "_tail", "left").drop("_tail")
 
 
-def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, shards: int | None = None) -> None:
-    """Export partitioned by split, with a cap on the rows of a file (O-S11)."""
-    w = (df.repartition(shards, "split") if shards else df).write.mode("overwrite").partitionBy("split")
-    (w.option("maxRecordsPerFile", max_shard_rows) if max_shard_rows else w).parquet(path)
-
+def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, max_shard_bytes: int | None = None) -> None:
+    """Export partitioned by split, with a cap on the rows or the bytes of a file (O-S11).
 
-def shard_count(total_bytes: int, cap_bytes: int = 1 << 30) -> int:
-    return max(1, -(-total_bytes // cap_bytes))
+    A file of at most ``max_shard_bytes`` holds as many rows as the largest row allows; bytes are counted as JSON text,
+    which parquet seldom exceeds.
+    """
+    if max_shard_bytes:
+        largest = df.agg(F.max(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 1
+        fit = max(1, max_shard_bytes // largest)
+        max_shard_rows = min(fit, max_shard_rows or fit)
+    w = df.write.mode("overwrite").partitionBy("split")
+    (w.option("maxRecordsPerFile", max_shard_rows) if max_shard_rows else w).parquet(path)
 
 
 def write_auxiliary(tables: dict[str, DataFrame], path: str) -> None:
