@@ -14,7 +14,7 @@ from strokelab.operators import labels, ml
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.plans.q_tables import SM, SO, SPLIT_SQL, ST, orders, some_splits
-from strokelab.sources import tables
+from strokelab.sources import catalogue, tables
 from strokelab.sources.shared import scratch, written
 from strokelab.streaming import ingest
 
@@ -114,6 +114,44 @@ def s09_s11_export(spark, d):
     return spark.read.parquet(path).select("sample_id", "score", "split")
 
 
+@query("SELECT n_nationkey AS sample_id, CASE WHEN n_nationkey % 5 <> 0 THEN sum(length(c_name) + 1)::BIGINT END AS n_bytes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
+def s10_media(spark, d):
+    path = scratch(spark)
+    names = fx.table(spark, d, "customer").select("c_nationkey", "c_name")
+    names.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    found = tables.list_files(spark, path).select("path", F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("long").alias("n_nationkey"))
+    s = fx.table(spark, d, "nation").join(found, "n_nationkey", "left")
+    s = s.select(F.col("n_nationkey").alias("sample_id"), F.when(F.col("n_nationkey") % 5 == 0, "").otherwise(F.col("path")).alias("audio_path"))
+    return tables.embed_media(s, tables.read_files(spark, path), "audio_path", "audio").select("sample_id", F.length("audio").cast("long").alias("n_bytes"))
+
+
+_PATTERNS = """t AS (SELECT p_brand AS slug, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_size) - 1 AS position FROM (SELECT DISTINCT p_brand, p_size FROM part)),
+s AS (SELECT *, substr(slug, 7)::INTEGER % 2 = 0 AS simple, p_size % 3 = 2 AS buzz, count(*) FILTER (p_size % 3 = 2) OVER (PARTITION BY slug ORDER BY position) AS nth, count(*) OVER (PARTITION BY slug) AS n FROM t)"""
+
+
+@query(
+    f"""WITH {_PATTERNS} SELECT slug, position::INTEGER AS position, n / 4.0::DOUBLE AS beats_per_cycle,
+CASE WHEN simple AND buzz THEN CASE WHEN nth % 2 = 1 THEN 'R' ELSE 'L' END WHEN p_size % 3 = 0 THEN 'R' ELSE 'L' END AS hand,
+CASE WHEN simple THEN CASE WHEN buzz THEN 'buzz' WHEN p_size % 4 = 0 THEN 'accent' ELSE 'tap' END WHEN buzz THEN 'diddle' WHEN p_size % 4 = 0 THEN 'accent' WHEN p_size % 4 = 1 THEN 'grace' ELSE 'tap' END AS stroke_type,
+CASE WHEN NOT simple AND NOT buzz AND p_size % 4 = 1 THEN -0.05::DOUBLE END AS grace_offset, CASE WHEN NOT simple AND buzz THEN p_size END::INTEGER AS diddle_position FROM s"""
+)
+def s17_catalogue(spark, d):
+    path = scratch(spark)
+    size = F.sort_array(F.collect_set("p_size"))
+    p = fx.table(spark, d, "part").groupBy(F.col("p_brand").alias("slug")).agg(size.alias("x"))
+    char = lambda v: F.when(v % 3 == 0, "R").when(v % 3 == 1, "L").otherwise("B")
+    hand = lambda v: F.when(v % 3 == 0, "R").otherwise("L")
+    token = lambda v: F.when(v % 4 == 0, F.concat(hand(v), F.lit(">"))).when(v % 4 == 1, F.concat(F.lit("("), hand(v), F.lit(")"))).otherwise(hand(v))
+    full = lambda v: F.to_json(F.struct(hand(v).alias("hand"), F.lit("diddle").alias("type"), v.cast("int").alias("diddle_position")))
+    strokes = F.array_join(F.transform("x", lambda v: F.when(v % 3 == 2, full(v)).otherwise(F.concat(F.lit('"'), token(v), F.lit('"')))), ", ")
+    simple = F.array_join(F.transform("x", char), " ")
+    accents = F.array_join(F.transform("x", lambda v: F.when(v % 4 == 0, ">").otherwise(".")), "")
+    even = F.substring("slug", 7, 9).cast("int") % 2 == 0
+    text = F.when(even, F.format_string('{"slug": "%s", "pattern": {"simple": "%s", "accents": "%s"}}', "slug", simple, accents)).otherwise(F.format_string('{"slug": "%s", "pattern": {"strokes": [%s]}}', "slug", strokes))
+    p.select("slug", text.alias("value")).repartition("slug").write.partitionBy("slug").text(path)
+    return catalogue.load(spark, path).select("slug", "beats_per_cycle", F.posexplode("pattern").alias("position", "s")).select("slug", "position", "beats_per_cycle", "s.*")
+
+
 @query(ST + " SELECT sample_id, position FROM st")
 def s12_auxiliary(spark, d):
     path = scratch(spark)

@@ -117,6 +117,37 @@ def test_catalogue(spark, tmp_path):
     assert r["slug"] == "flam_tap" and [(s["hand"], s["stroke_type"]) for s in r["pattern"]] == [("L", "grace"), ("R", "accent"), ("L", "tap")]
 
 
+@pytest.mark.parametrize("pattern", ["{simple: R L, accents: '>'}", "{strokes: [R, X]}", "{beats_per_cycle: 1}"])
+def test_bad_patterns_fail(spark, tmp_path, pattern):
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yaml").write_text(f"slug: a\npattern: {pattern}\n")
+    with pytest.raises(Exception, match="length|no hand|no pattern"):
+        catalogue.load(spark, str(tmp_path)).collect()
+
+
+def test_byte_cap_of_exports(spark, tmp_path):
+    df = spark.range(500).select(F.col("id").alias("sample_id"), F.repeat(F.lit("ab"), (F.col("id") % 50).cast("int")).alias("text"), F.lit("train").alias("split"))
+    tables.write_export(df, str(tmp_path / "x"), max_shard_bytes=5000)
+    files = list((tmp_path / "x" / "split=train").glob("*.parquet"))
+    assert len(files) >= 12 and max(f.stat().st_size for f in files) <= 5000 and spark.read.parquet(str(tmp_path / "x")).count() == 500
+
+
+def test_numbers_of_ranges(spark):
+    from strokelab.operators.numbering import numbered
+
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"))
+    assert [tuple(r) for r in numbered(df, ["k"], "n").orderBy("k").collect()] == [(i, i) for i in range(1000)]
+
+
+def test_learnability():
+    from strokelab.operators import ml
+
+    got = ml.learnability([{"scores": [s], "mean": s} for s in (0.2, 0.3, 0.5)] + [{"scores": [0.4, 0.6], "mean": 0.5}])
+    assert got["improves"] and got["fold_sd"] == pytest.approx(0.1) and (got["fold_min"], got["fold_max"]) == (0.4, 0.6)
+    assert got["convergence"] == pytest.approx(1 - 0.0942809 / 0.4333333, abs=1e-5)
+    assert [ml.verdict(*x) for x in ((0.8, 0.6), (0.8, 0.1), (0.1, 0.4), (0.5, 0.3))] == ["PASSED", "PARTIAL", "PARTIAL", "NEEDS REVIEW"]
+
+
 def test_onset_times_follow_the_tempo(spark):
     rows = [("s", 0, 0, "note_on", 90, None), ("s", 1, 480, "note_on", 90, None), ("s", 2, 0, "set_tempo", 0, 1_000_000), ("s", 3, 480, "note_on", 90, None), ("s", 4, 10, "note_on", 0, None)]
     m = spark.createDataFrame(rows, "sample_id string, seq int, delta_ticks int, type string, velocity int, tempo_us int").withColumn("ticks_per_beat", F.lit(480))
