@@ -91,7 +91,7 @@ def regression_metrics(p: DataFrame) -> DataFrame:
 SIZES = tuple(i / 10 for i in range(1, 11))
 
 
-def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, sizes: Sequence[float] = SIZES, folds: int = 5, trees: int = 50, seed: int = 42, regression: bool = False, threads: int = 8) -> list[dict]:
+def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, sizes: Sequence[float] = SIZES, folds: int = 5, trees: int = 50, seed: int = 42, regression: bool = False, threads: int = 4) -> list[dict]:
     """Scores of each fold with their mean, at shares of the training rows (O-M08): accuracy, or R squared for regression.
 
     A forest is fitted per size and fold; ``threads`` fits run at once, each a Spark job of its own.
