@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strokelab.llm import decontaminate, host_quality, html_text, licenses, packing, secrets, simhash, substrings, toxicity, url_graph
+from strokelab.llm import decontaminate, divergence, fill_middle, grouped_packing, host_quality, html_text, licenses, packing, secrets, simhash, substrings, toxicity, url_graph
 from strokelab.llm.common import table
 
 
@@ -54,6 +54,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     ops = (
         op1_simhash,
@@ -66,6 +78,9 @@ def queries() -> dict:
         op8_substrings,
         op9_licenses,
         op10_toxicity,
+        op11_divergence,
+        op12_fill_middle,
+        op13_grouped_packing,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
@@ -107,6 +122,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 )
 
 
+_DIVERGENCE = r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM c GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT g.lang, count(DISTINCT k.term) AS v FROM g LEFT JOIN k ON g.lang = k.lang GROUP BY g.lang),
+n AS (SELECT lang, source, term, count(*) AS n FROM c SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+f AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n FROM g JOIN k ON g.lang = k.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+t AS (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM t JOIN v USING (lang)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM f JOIN v USING (lang)),
+a AS (SELECT g.lang, g.source, o.source AS item, coalesce(x.value, 0)::BIGINT AS value FROM g JOIN g AS o ON g.lang = o.lang AND g.source <> o.source LEFT JOIN
+  (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) AS x ON x.lang = g.lang AND x.source = g.source AND x.item = o.source),
+b AS (SELECT p.lang, p.source, p.term AS item, (p.p - q.q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM a
+UNION ALL SELECT lang, source, 'term', item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM b QUALIFY rank <= 50"""
+
+_FILL_MIDDLE = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+k AS (SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k),
+s AS (SELECT *, array_to_string(u[1:i], '') AS p, array_to_string(u[i + 1:j], '') AS m, array_to_string(u[j + 1:], '') AS s FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM s)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars, sha256(o) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN o WHEN 'psm' THEN substr(o, 4, strpos(o, '<S>') - 4) || substr(o, strpos(o, '<M>') + 3) || substr(o, strpos(o, '<S>') + 3, strpos(o, '<M>') - strpos(o, '<S>') - 3)
+    ELSE substr(o, strpos(o, '<P>') + 3, strpos(o, '<M>') - strpos(o, '<P>') - 3) || substr(o, strpos(o, '<M>') + 3) || substr(o, 4, strpos(o, '<P>') - 4) END) AS restored_sha256 FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL twins where SQL can express an operator; the others are tested against brute force (tests/llm)."""
-    return {"op4_quality": _QUALITY, "op8_substrings": _SUBSTRINGS}
+    return {"op4_quality": _QUALITY, "op8_substrings": _SUBSTRINGS, "op11_divergence": _DIVERGENCE, "op12_fill_middle": _FILL_MIDDLE}
