@@ -152,9 +152,9 @@ class Room:
         return room, first, n
 
 
-def plan(counts: dict[int, int], capacity: int, groups: int = 96, small: int | None = None) -> list[Placed]:
-    """Where the pieces of each length go; ``small`` is the longest length that isn't grouped (an eighth of the capacity)."""
-    small = capacity // 8 if small is None else small
+def plan(counts: dict[int, int], capacity: int, groups: int = 384, small: int | None = None) -> list[Placed]:
+    """Where the pieces of each length go; ``small`` is the longest length that isn't grouped (a third of the capacity)."""
+    small = capacity // 3 if small is None else small
     out, bins, room = [], 0, Room(capacity)
     if full := counts.get(capacity, 0):
         out.append(Placed(capacity, 0, full, 1, 0, 0))
@@ -245,7 +245,7 @@ def pack(
     text: str = "text",
     capacity: int = 2048,
     end_id: int = 0,
-    groups: int = 96,
+    groups: int = 384,
     path: str | None = None,
     ranks_path: str | None = None,
 ) -> DataFrame:
