@@ -14,9 +14,9 @@ from strokelab.operators import labels, ml
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.plans.q_tables import SM, SO, SPLIT_SQL, ST, orders, some_splits
-from strokelab.sources import catalogue, tables
+from strokelab.sources import catalogue, tables, versioned
 from strokelab.sources.shared import scratch, written
-from strokelab.streaming import ingest
+from strokelab.streaming import ingest, statelog
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -68,8 +68,8 @@ def s04_upsert(spark, d):
     li = _lineitem(spark, d)
     seq = li.select(*_COLUMNS, F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("_seq"))
     for part in (seq.where("l_suppkey % 2 = 0"), seq.where("l_suppkey % 2 = 1")):
-        tables.upsert(part, path, ["l_orderkey", "l_linenumber"])
-    return spark.read.parquet(path).select(*_COLUMNS)
+        versioned.merge(part, path, ["l_orderkey", "l_linenumber"], buckets=16)
+    return versioned.read(spark, path).select(*_COLUMNS)
 
 
 @query(ST + " SELECT sample_id, position, hand, stroke_type FROM st")
@@ -191,22 +191,37 @@ def s18_onset_times(spark, d):
     return rounded(tables.onset_times(m), 4)
 
 
-@query("SELECT event_id, user_id, round(value, 2) AS value FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) = 1")
+@query("SELECT user_id, event_id, round(value, 2) AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 6 DESC, event_id DESC) = 1")
 def t01_ingest(spark, d):
+    """The last event of each user, where six files with events of every user arrive one after the other."""
     path = scratch(spark)
     e = fx.table(spark, d, "events").select("event_id", "user_id", "value")
-    e.repartition(6, "user_id").write.parquet(f"{path}/in")
-    ingest.ingest(spark, f"{path}/in", f"{path}/out", f"{path}/state", "event_id long, user_id long, value double", ["event_id"], "event_id", 2).awaitTermination()
-    return rounded(spark.read.parquet(f"{path}/out").drop("_seq"), 2)
+    for i in range(6):
+        e.where(F.col("event_id") % 6 == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    ingest.ingest(spark, f"{path}/in", f"{path}/out", f"{path}/state", "event_id long, user_id long, value double", ["user_id"], "event_id", 1, buckets=16).awaitTermination()
+    return rounded(versioned.read(spark, f"{path}/out").drop("_seq"), 2)
 
 
-@query(SO + " SELECT DISTINCT profile_id AS id FROM so WHERE profile_id % 5 NOT IN (1, 3)")
+@query(SO + ", p AS (SELECT DISTINCT profile_id AS id FROM so) SELECT id, CASE WHEN id % 7 IN (1, 4) THEN 'pending' WHEN id % 7 = 5 THEN 'failed' ELSE 'completed' END AS status, id % 3 = 0 AS in_test FROM p")
 def t02_resume(spark, d):
+    """Seven epochs, each the outcomes of the profiles of one residue, with a snapshot every third; the fifth epoch is cut short."""
     root = scratch(spark)
-    ids = orders(spark, d).select(F.col("profile_id").alias("id")).distinct()
-    done = ids.select("id", F.when(F.col("id") % 5 == 1, "completed").when(F.col("id") % 5 == 3, "failed").otherwise("running").alias("status"), F.lit(1).alias("updated_at"))
-    ingest.mark(done.select(F.col("id").cast("string").alias("id"), "status", "updated_at"), root, "config-a")
-    return ingest.resume(spark, ids.select(F.col("id").cast("string").alias("id")), root, "config-a").select(F.col("id").cast("long").alias("id"))
+    ids = written(orders(spark, d).select(F.col("profile_id").cast("string").alias("id")).distinct())
+    part = lambda i: ids.where(F.pmod(F.col("id").cast("long"), F.lit(7)) == i)
+    log = statelog.StateLog(spark, root, "config-a", every=3)
+    log.save(ids.select(F.col("id").alias("profile_id"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split")), "splits", ["profile_id"])
+    for i in range(7):
+        status = {1: "running", 5: "failed"}.get(i, "completed")
+        number = log.append(part(i).select("id", F.lit(status).alias("status"), F.lit(i).alias("updated_at")))
+        if i == 4:
+            broken = spark.read.parquet(f"{root}/config-a/epochs/n={number}").inputFiles()[0]
+            fs, p = tables._hadoop(spark, broken)
+            fs.create(p, True).close()
+    # Another run of the same configuration reads the log anew.
+    again = statelog.StateLog(spark, root, "config-a", every=3)
+    left = again.pending(ids).withColumn("pending", F.lit(True))
+    all_ids = ids.join(again.status().select("id", "status"), "id", "left").join(left, "id", "left").join(again.load("splits").select(F.col("profile_id").alias("id"), "split"), "id")
+    return all_ids.select(F.col("id").cast("long").alias("id"), F.when(F.col("pending"), "pending").otherwise(F.col("status")).alias("status"), (F.col("split") == "test").alias("in_test"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_totalprice > 300000 AND o_orderkey % 7 = 3")

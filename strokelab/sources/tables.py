@@ -89,7 +89,8 @@ BROKEN = ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_S
 def upsert(new: DataFrame, path: str, keys: list[str], sequence: str = "_seq") -> None:
     """Merge rows into a parquet table, the later ``sequence`` winning (O-S04).
 
-    The merged table is written beside the old one and swapped in by two renames, so a failed write leaves the old table.
+    The merged table is written beside the old one and swapped in by two renames, so a failed write leaves the old table;
+    between the two renames there is none.  ``versioned.merge`` rewrites only what a batch touches and switches at once.
     A table whose files the reader says are no parquet is set aside beside the new one and never deleted; any other fault,
     of the network for instance, is raised.
     """
@@ -108,10 +109,16 @@ def upsert(new: DataFrame, path: str, keys: list[str], sequence: str = "_seq") -
     keep_last(rows, keys, [F.col(sequence)]).write.parquet(staging)
     _, s = _hadoop(spark, staging)
     _, o = _hadoop(spark, old)
-    if fs.exists(target):
-        fs.rename(target, o)
-    fs.rename(s, target)
-    if not broken:
+    moved = fs.exists(target)
+    # Hadoop may say no instead of raising.
+    if moved and not fs.rename(target, o):
+        fs.delete(s, True)
+        raise OSError(f"{path} can't be moved aside; it is as it was")
+    if fs.exists(target) or not fs.rename(s, target):
+        if moved and not fs.exists(target):
+            fs.rename(o, target)
+        raise OSError(f"{path} can't be replaced; the merged table is in {staging}")
+    if moved and not broken:
         fs.delete(o, True)
 
 

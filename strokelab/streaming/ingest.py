@@ -1,4 +1,4 @@
-"""Incremental ingest and resumable runs on Structured Streaming (O-T*)."""
+"""Incremental ingest on Structured Streaming (O-T01); resumable runs are in ``statelog``."""
 
 from __future__ import annotations
 
@@ -8,50 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strokelab.operators import joins
-from strokelab.sources import tables
+from strokelab.sources import versioned
 
 
 def ingest(
-    spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, keys: list[str], order: str, files_per_trigger: int = 8, callback: Callable[[int, DataFrame], None] | None = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    schema: str,
+    keys: list[str],
+    order: str,
+    files_per_trigger: int = 8,
+    callback: Callable[[int, DataFrame], None] | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Bounded batches of new parquet files, each merged into the target with the last row of a key winning (O-T01).
 
-    The sequence is (batch, ``order``), so a replayed batch gives the same table.
+    A batch rewrites the buckets that it has keys of and no others; read the target by ``versioned.read``.  The sequence is
+    (batch, ``order``).  The target knows the last batch it took from this checkpoint, so a replayed one is left out.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         # 40 bits for the order within a batch keep (batch, order) in one long.
         rows = batch.withColumn("_seq", F.lit(number).cast("long") * (1 << 40) + F.col(order).cast("long"))
-        tables.upsert(rows, target, keys)
+        versioned.merge(rows, target, keys, buckets=buckets, source=checkpoint, number=number)
         if callback:
             callback(number, batch)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def status_path(root: str, config_hash: str) -> str:
-    """A changed configuration starts afresh in a folder of its own (O-T02)."""
-    return f"{root}/{config_hash}/status"
-
-
-def read_status(spark: SparkSession, root: str, config_hash: str) -> DataFrame:
-    fs, p = tables._hadoop(spark, status_path(root, config_hash))
-    if not fs.exists(p):
-        return spark.createDataFrame([], "id string, status string, updated_at long")
-    return spark.read.parquet(status_path(root, config_hash))
-
-
-def mark(rows: DataFrame, root: str, config_hash: str) -> None:
-    """Append outcomes (id, status, updated_at); the latest one of an id counts."""
-    rows.select("id", "status", F.col("updated_at").cast("long").alias("updated_at")).write.mode("append").parquet(status_path(root, config_hash))
-
-
-def latest(status: DataFrame) -> DataFrame:
-    return status.groupBy("id").agg(F.max_by("status", "updated_at").alias("status"))
-
-
-def resume(spark: SparkSession, expected: DataFrame, root: str, config_hash: str) -> DataFrame:
-    """What is left to do under this configuration (O-T02, O-J14)."""
-    return joins.pending(expected, latest(read_status(spark, root, config_hash)))

@@ -8,7 +8,6 @@ from strokelab.operators import filters, joins, sampling, stats, windows
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_tables import detections, truth
 from strokelab.sources import catalogue, tables
-from strokelab.streaming import ingest
 
 
 def grouped(rows, key=0):
@@ -94,23 +93,6 @@ def test_upsert_and_broken_table(spark, tmp_path):
     assert spark.read.parquet(str(broken)).count() == 1
 
 
-def test_stream_equals_batch_and_replays(spark, tmp_path):
-    src, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
-    schema = "k long, v string"
-    spark.createDataFrame([(1, "a"), (2, "b")], schema).coalesce(1).write.mode("append").parquet(src)
-    ingest.ingest(spark, src, out, state, schema, ["k"], "k").awaitTermination()
-    spark.createDataFrame([(2, "c"), (3, "d")], schema).coalesce(1).write.mode("append").parquet(src)
-    ingest.ingest(spark, src, out, state, schema, ["k"], "k").awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(out).select("k", "v").collect())) == [(1, "a"), (2, "c"), (3, "d")]
-
-
-def test_resume_by_config(spark, tmp_path):
-    ids = spark.createDataFrame([("a",), ("b",)], "id string")
-    ingest.mark(spark.createDataFrame([("a", "failed", 1), ("a", "completed", 2)], "id string, status string, updated_at long"), str(tmp_path), "one")
-    assert [r[0] for r in ingest.resume(spark, ids, str(tmp_path), "one").collect()] == ["b"]
-    assert ingest.resume(spark, ids, str(tmp_path), "two").count() == 2
-
-
 def test_catalogue(spark, tmp_path):
     (tmp_path / "a.yaml").write_text('name: "Flam Tap"\nslug: flam_tap\ncategory: flam\nsticking: lRL\naccents: ".> "\n')
     r = catalogue.load(spark, str(tmp_path)).first()
