@@ -1,12 +1,13 @@
-"""Joins (O-J*): equi joins with a bounding key; ranges become time buckets, greedy matching runs per sample."""
+"""Joins (O-J*): equi joins with a bounding key; ranges become time buckets or sweeps, greedy matching goes in rounds."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strokelab.operators import windows
+from strokelab.sources import shared
+
 
 def with_dimension(fact: DataFrame, dimension: DataFrame, columns: list[str], key: str = "sample_id", how: str = "inner") -> DataFrame:
     """Facts with some columns of their dimension row (O-J01); Spark broadcasts the dimension where it is small."""
@@ -34,10 +35,24 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "sample_id") -> Data
 
 
 def in_measures(strokes: DataFrame, measures: DataFrame, key: str = "sample_id", place: str = "index") -> DataFrame:
-    """Events of each measure's half-open interval; the sample bounds the range join (O-J08)."""
-    m = measures.select(F.col(key).alias("_key"), F.col("index").alias("measure"), "stroke_start", "stroke_end")
-    hit = (strokes[key] == m["_key"]) & (strokes[place] >= m["stroke_start"]) & (strokes[place] < m["stroke_end"])
-    return strokes.join(m, hit).drop("_key", "stroke_start", "stroke_end")
+    """Events of each measure's half-open interval, once for every measure that holds them (O-J08).
+
+    A sweep: the starts and ends of a sample's measures cut its line into segments, the segment that is open is carried along
+    the events in order, and measures meet events by segment.  Rows grow with events, borders and results; measures that
+    overlap are split at each other's borders.
+    """
+    m = measures.select(F.col(key).alias("_key"), F.col("index").alias("measure"), "stroke_start", "stroke_end").where("stroke_start < stroke_end")
+    borders = m.select("_key", F.explode(F.array("stroke_start", "stroke_end")).alias("_at")).distinct()
+    borders = borders.withColumn("_segment", F.row_number().over(Window.partitionBy("_key").orderBy("_at")))
+    first, behind = (borders.select("_key", F.col("_at").alias(c), F.col("_segment").alias(f"_{c}")) for c in ("stroke_start", "stroke_end"))
+    covered = m.join(first, ["_key", "stroke_start"]).join(behind, ["_key", "stroke_end"])
+    covered = covered.select("_key", "measure", F.explode(F.sequence("_stroke_start", F.col("_stroke_end") - 1)).alias("_segment"))
+    events = strokes.select(F.col(key).alias("_key"), F.col(place).alias("_at"), F.struct(*strokes.columns).alias("_row"))
+    line = events.unionByName(borders, allowMissingColumns=True)
+    # A border comes before the events at its place.
+    open_now = F.last("_segment", ignorenulls=True).over(Window.partitionBy("_key").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0))
+    placed = line.withColumn("_segment", open_now).where("_row is not null and _segment is not null")
+    return placed.join(covered, ["_key", "_segment"]).select("_row.*", "measure")
 
 
 def _buckets(time: Column, width: float) -> Column:
@@ -58,64 +73,56 @@ def drop_resonance(points: DataFrame, window_ms: float = 25.0, ratio: float = 0.
     return p.join(strong, hit, "left_anti").drop("_bucket")
 
 
-def _match_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Strong truths choose first, each the nearest point still free (the earlier of equally near ones)."""
-    key = pdf["_key"].iloc[0]
-    near: dict[tuple, list] = {}
-    for velocity, position, distance, detected in zip(pdf["velocity"], pdf["position"], pdf["distance"], pdf["detected"], strict=True):
-        near.setdefault((-velocity, position), []).append((distance, detected))
-    taken: set = set()
-    out = []
-    for (_, position), points in sorted(near.items()):
-        hit = min((p for p in points if p[1] not in taken), default=None)
-        if hit:
-            taken.add(hit[1])
-            out.append((key, position, hit[1], hit[0]))
-    return pd.DataFrame(out, columns=["_key", "position", "detected", "distance"])
-
-
 def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0, key: str = "sample_id") -> DataFrame:
-    """One-to-one matches (position, detected, distance): candidates by a bucketed range join, greedy choice per sample (O-J10).
+    """One-to-one matches (position, detected, distance) of points nearer than the window (O-J10).
+
+    Strong truths choose first (equally strong ones by position), each the nearest point still free (the earlier of equally
+    near ones).  ``truth``: key, position, time_ms, velocity; ``detected``: key, detected (its number in time order), time_ms.
 
-    ``truth``: key, position, time_ms, velocity; ``detected``: key, detected (its number in time order), time_ms.
+    Instead of one choice after the other there are rounds over all candidates: a truth whose nearest free point has no
+    stronger truth near it takes that point for good; a point that some truth would take is closed to all weaker ones.  The
+    strongest truth left always gets its point, so rounds end; what a sample's points crowd decides their number, not how
+    many points or samples there are.
     """
-    t = truth.select(F.col(key).alias("_key"), "position", "velocity", F.col("time_ms").alias("_t"), F.floor(F.col("time_ms") / window_ms).alias("_b"))
+    t = truth.select(F.col(key).alias("_key"), "position", F.struct((-F.col("velocity")).alias("v"), "position").alias("_turn"), F.col("time_ms").alias("_t"), F.floor(F.col("time_ms") / window_ms).alias("_b"))
     d = detected.select(F.col(key).alias("_k"), "detected", F.col("time_ms").alias("_d"), _buckets(F.col("time_ms"), window_ms).alias("_near"))
     distance = F.abs(F.col("_t") - F.col("_d"))
-    near = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (distance <= window_ms))
-    near = near.select("_key", "position", "velocity", "detected", distance.alias("distance"))
-    kind = dict(truth.dtypes)[key]
-    out = near.groupBy("_key").applyInPandas(_match_group, f"_key {kind}, position long, detected long, distance double")
-    return out.withColumnRenamed("_key", key)
-
-
-def _supplement_group(fps: float, floor: float, near_ms: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        curve = np.asarray(row["activation"], float)
-        have = sorted(row["detected_ms"]) if row["detected_ms"] is not None else []
-        out = []
-        for t in sorted(row["truth_ms"]):
-            # What is added counts as detected for the events after it.
-            if any(abs(t - x) <= near_ms for x in have) or not len(curve):
-                continue
-            frame = min(max(int(np.round(t / 1000 * fps)), 0), len(curve) - 1)
-            if curve[frame] >= floor:
-                have.append(t)
-                out.append((row["_key"], float(t), float(curve[frame])))
-        return pd.DataFrame(out, columns=["_key", "time_ms", "strength"])
-
-    return run
+    near = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (distance < window_ms))
+    left = near.select("_key", "position", "_turn", "detected", distance.alias("distance"))
+    of_truth, of_point = Window.partitionBy("_key", "position"), Window.partitionBy("_key", "detected")
+    matches = None
+    while True:
+        wish = left.withColumn("_wish", F.row_number().over(of_truth.orderBy("distance", "detected")) == 1)
+        asked = wish.withColumn("_first", F.min("_turn").over(of_point)).withColumn("_holder", F.min(F.when(F.col("_wish"), F.col("_turn"))).over(of_point))
+        asked = asked.withColumn("_match", F.col("_wish") & (F.col("_turn") == F.col("_first")))
+        # Weaker truths than the one that would take the point can't get it any more.
+        kept = asked.where(F.col("_holder").isNull() | (F.col("_turn") <= F.col("_holder")))
+        step = shared.written(kept.withColumn("_settled", F.max("_match").over(of_truth)).where("_match or not _settled").select("_key", "position", "_turn", "detected", "distance", "_match"))
+        found = step.where("_match")
+        matches = found if matches is None else matches.unionByName(found)
+        left = step.where("not _match").drop("_match")
+        if left.isEmpty():
+            return matches.select(F.col("_key").alias(key), "position", "detected", "distance")
 
 
 def supplement(truth: DataFrame, detected: DataFrame, curves: DataFrame, fps: float = 100.0, floor: float = 0.01, near_ms: float = 20.0, key: str = "sample_id") -> DataFrame:
-    """Points to add where an event has no detection near it and the activation curve is high enough (O-J11)."""
-    t = truth.groupBy(F.col(key).alias("_key")).agg(F.collect_list("time_ms").alias("truth_ms"))
-    d = detected.groupBy(F.col(key).alias("_key")).agg(F.collect_list("time_ms").alias("detected_ms"))
-    c = curves.select(F.col(key).alias("_key"), F.col("activation").cast("array<double>").alias("activation"))
-    kind = dict(truth.dtypes)[key]
-    joined = t.join(c, "_key").join(d, "_key", "left")
-    return joined.groupBy("_key").applyInPandas(_supplement_group(fps, floor, near_ms), f"_key {kind}, time_ms double, strength double").withColumnRenamed("_key", key)
+    """Points to add where an event has no detection near it and the activation curve is high enough (O-J11).
+
+    What is added counts as a detection for the events after it.  Events near a detection, and those where the curve is low,
+    drop out by joins; among the others a gap of ``near_ms`` ends the reach of an addition, so each stretch without such a
+    gap is folded by itself.
+    """
+    t = truth.select(F.col(key).alias("_key"), F.col("time_ms").cast("double").alias("_t"), F.floor(F.col("time_ms") / near_ms).alias("_b"))
+    d = detected.select(F.col(key).alias("_k"), F.col("time_ms").alias("_d"), _buckets(F.col("time_ms"), near_ms).alias("_near"))
+    free = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (F.abs(F.col("_t") - F.col("_d")) < near_ms), "left_anti")
+    # The curve of a sample is one row, so its events' times may be one too; it is read once, not once an event.
+    times = free.groupBy("_key").agg(F.collect_list("_t").alias("_times"))
+    c = curves.select(F.col(key).alias("_key"), F.col("activation").cast("array<double>").alias("_curve"))
+    frame = lambda x: F.greatest(F.lit(0), F.least(F.bround(x / 1000 * fps, 0).cast("int"), F.size("_curve") - 1))
+    read = times.join(c, "_key").select("_key", F.explode(F.transform("_times", lambda x: F.struct(x.alias("time_ms"), F.get("_curve", frame(x)).alias("strength")))).alias("p"))
+    high = read.select("_key", "p.*").where(F.col("strength") >= floor)
+    added = windows.fold_islands(high, near_ms, "_key", lambda last, p: last)
+    return added.withColumnRenamed("_key", key)
 
 
 def zip_by_time(a: DataFrame, b: DataFrame, key: str = "sample_id", order_a: list[str] | None = None, order_b: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,42 +26,56 @@ def interval_features(points: DataFrame, samples: DataFrame, key: str = "sample_
     )
 
 
-def merge_close(points: DataFrame, gap_ms: float = 20.0, key: str = "sample_id") -> DataFrame:
-    """Points closer than the gap to the kept point become one, the stronger staying (O-W04).
+def fold_islands(points: DataFrame, gap_ms: float, key: str, closer: Callable[[Column, Column], Column]) -> DataFrame:
+    """Points (key, time_ms, strength) folded in time order: one nearer than the gap to the kept point is merged into it.
 
-    The kept point changes as the fold goes on, so each sample's sorted array is folded; one sample's points are one array.
+    ``closer(kept, point)`` says which of two such points stays.  A kept point is never later than the point before, so a gap
+    of ``gap_ms`` or more between neighbours ends its reach: each sample is cut there and the islands are folded one by one,
+    carrying the last kept point only.
     """
-    start = F.array().cast("array<struct<time_ms:double,strength:double>>")
+    w = Window.partitionBy(key).orderBy("time_ms", "strength")
+    point = F.struct(F.col("time_ms").cast("double").alias("time_ms"), F.col("strength").cast("double").alias("strength"))
+    cut = points.select(key, "time_ms", "strength", (F.col("time_ms") - F.lag("time_ms").over(w) >= gap_ms).cast("int").alias("_cut"))
+    islands = cut.withColumn("_island", F.sum("_cut").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_island", F.coalesce("_island", F.lit(0)))
+    folded = islands.groupBy(key, "_island").agg(F.sort_array(F.collect_list(point)).alias("_points"))
 
-    def step(kept: Column, p: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))
-        near = (p["time_ms"] - last["time_ms"]) < gap_ms
-        head = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
-        return F.when(F.size(kept) == 0, F.array(p)).when(~near, F.concat(kept, F.array(p))).when(p["strength"] > last["strength"], F.concat(head, F.array(p))).otherwise(kept)
+    def step(state: Column, p: Column) -> Column:
+        last = state["last"]
+        near = p["time_ms"] - last["time_ms"] < gap_ms
+        return F.struct(F.when(near, state["done"]).otherwise(F.array_append(state["done"], last)).alias("done"), F.when(near, closer(last, p)).otherwise(p).alias("last"))
 
-    point = F.struct(F.col("time_ms").cast("double").alias("time_ms"), F.col("strength").cast("double").alias("strength"))
-    folded = points.groupBy(key).agg(F.aggregate(F.sort_array(F.collect_list(point)), start, step).alias("kept"))
-    return folded.select(key, F.explode("kept").alias("p")).select(key, "p.time_ms", "p.strength")
+    start = F.struct(F.array().cast("array<struct<time_ms:double,strength:double>>").alias("done"), F.get("_points", F.lit(0)).alias("last"))
+    kept = F.aggregate(F.slice("_points", F.lit(2), F.size("_points")), start, step, lambda state: F.array_append(state["done"], state["last"]))
+    return folded.select(key, F.explode(F.when(F.size("_points") == 1, F.col("_points")).otherwise(kept)).alias("p")).select(key, "p.time_ms", "p.strength")
+
+
+def merge_close(points: DataFrame, gap_ms: float = 20.0, key: str = "sample_id") -> DataFrame:
+    """Points closer than the gap to the kept point become one, the stronger staying (O-W04)."""
+    return fold_islands(points, gap_ms, key, lambda last, p: F.when(p["strength"] > last["strength"], p).otherwise(last))
 
 
-def cycle_cuts(points: DataFrame, cycles: Column, key: str = "sample_id", time: str = "time_ms", tight_ms: float = 40.0, pad_ms: float = 50.0) -> DataFrame:
+def cycle_cuts(points: DataFrame, cycles: Column | None = None, key: str = "sample_id", time: str = "time_ms", tight_ms: float = 40.0, pad_ms: float = 50.0) -> DataFrame:
     """N near-equal cycles per sample: first and last point number and padded times (O-W05).
 
-    A cut before a point that follows the one before by less than ``tight_ms`` moves one point back, so that grace
-    notes stay with their stroke.
+    A cut before a point that follows the one before by less than ``tight_ms`` moves one point on, so that grace notes stay
+    with their stroke; where the next cut is there already, the cycle between them is empty (its last point is before its
+    first).  Fewer than four points are one cycle; without ``cycles`` there are 2 to 6, of about seven points.  Cuts are
+    looked up by their number, so no point meets a cycle.
     """
     w = Window.partitionBy(key).orderBy(time)
-    whole = Window.partitionBy(key)
-    p = points.select(key, F.col(time).alias("_t"), (F.row_number().over(w) - 1).alias("_i"), F.count(F.lit(1)).over(whole).alias("_n"), (F.col(time) - F.lag(time).over(w)).alias("_gap"), cycles.alias("_c"))
-    cut = p.groupBy(key).agg(F.first("_n").alias("_n"), F.greatest(F.lit(1), F.least(F.first("_n"), F.first("_c"))).cast("int").alias("_c"))
-    cut = cut.select(key, "_n", "_c", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("cycle"))
-    place = lambda c: F.bround(c * F.col("_n") / F.col("_c"), 0).cast("int")
-    cut = cut.select(key, "cycle", "_n", place(F.col("cycle")).alias("_i"))
-    moved = cut.join(p.select(key, "_i", "_gap"), [key, "_i"]).withColumn("_from", F.when((F.col("cycle") > 0) & (F.col("_gap") < tight_ms), F.col("_i") - 1).otherwise(F.col("_i")))
-    ends = moved.withColumn("_to", F.coalesce(F.lead("_from").over(Window.partitionBy(key).orderBy("cycle")), F.col("_n")) - 1)
-    inside = p.join(ends.select(key, "cycle", "_from", "_to"), key).where((F.col("_i") >= F.col("_from")) & (F.col("_i") <= F.col("_to")))
-    return inside.groupBy(key, "cycle").agg(
-        F.min("_i").alias("first"), F.max("_i").alias("last"), F.greatest(F.lit(0.0), F.min("_t") - pad_ms).alias("start_ms"), (F.max("_t") + pad_ms).alias("end_ms")
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    wanted = F.greatest(F.lit(2), F.least(F.lit(6), F.floor(F.col("_n") / 7))) if cycles is None else F.greatest(F.lit(1), F.least("_n", "_wanted"))
+    p = points.select(key, F.col(time).alias("_t"), (F.row_number().over(w) - 1).alias("_i"), n.alias("_n"), (F.col(time) - F.lag(time).over(w)).alias("_gap"), (F.lit(1) if cycles is None else cycles).alias("_wanted"))
+    one = p.where("_i = 0").withColumn("_c", F.when(F.col("_n") < 4, 1).otherwise(wanted).cast("int"))
+    cut = one.select(key, "_n", "_c", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("cycle"))
+    cut = cut.select(key, "cycle", "_n", F.bround(F.col("cycle") * F.col("_n") / F.col("_c"), 0).cast("int").alias("_i"))
+    tight = (F.col("cycle") > 0) & (F.col("_gap") < tight_ms)
+    moved = cut.join(p.select(key, "_i", "_gap"), [key, "_i"]).withColumn("first", F.when(tight, F.least(F.col("_i") + 1, F.col("_n").cast("int") - 1)).otherwise(F.col("_i")))
+    last = F.coalesce(F.lead("first").over(Window.partitionBy(key).orderBy("cycle")), F.col("_n")) - 1
+    ends = moved.select(key, "cycle", "first", last.cast("int").alias("last"))
+    at = lambda c: p.select(key, F.col("_i").alias(c), F.col("_t").alias(f"_t_{c}"))
+    return ends.join(at("first"), [key, "first"]).join(at("last"), [key, "last"]).select(
+        key, "cycle", "first", "last", F.greatest(F.lit(0.0), F.col("_t_first") - pad_ms).alias("start_ms"), (F.col("_t_last") + pad_ms).alias("end_ms")
     )
 
 

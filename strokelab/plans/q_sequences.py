@@ -136,10 +136,10 @@ def w04_merge_close(spark, d):
 @query(
     EV
     + """, p AS (SELECT sample_id, actual_time_ms AS t, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n, actual_time_ms - lag(actual_time_ms) OVER w AS gap FROM ev WINDOW w AS (PARTITION BY sample_id ORDER BY actual_time_ms)),
-c AS (SELECT DISTINCT sample_id, n, least(n, 8) AS k FROM p), u AS (SELECT sample_id, n, k, unnest(range(k)) AS cycle FROM c),
-f AS (SELECT u.sample_id, u.n, u.cycle, CASE WHEN u.cycle > 0 AND p.gap < 40 THEN p.i - 1 ELSE p.i END AS a FROM u JOIN p ON p.sample_id = u.sample_id AND p.i = round_even(u.cycle * u.n / u.k::DOUBLE, 0)),
+c AS (SELECT DISTINCT sample_id, n, CASE WHEN n < 4 THEN 1 ELSE least(n, 8) END AS k FROM p), u AS (SELECT sample_id, n, k, unnest(range(k)) AS cycle FROM c),
+f AS (SELECT u.sample_id, u.n, u.cycle, CASE WHEN u.cycle > 0 AND p.gap < 40 THEN least(p.i + 1, u.n - 1) ELSE p.i END AS a FROM u JOIN p ON p.sample_id = u.sample_id AND p.i = round_even(u.cycle * u.n / u.k::DOUBLE, 0)),
 e AS (SELECT *, coalesce(lead(a) OVER (PARTITION BY sample_id ORDER BY cycle), n) - 1 AS b FROM f)
-SELECT e.sample_id, e.cycle::INTEGER AS cycle, min(i)::INTEGER AS first, max(i)::INTEGER AS last, round(greatest(0, min(t) - 50), 6)::DOUBLE AS start_ms, round(max(t) + 50, 6) AS end_ms FROM e JOIN p ON p.sample_id = e.sample_id AND p.i BETWEEN a AND b GROUP BY ALL"""
+SELECT e.sample_id, e.cycle::INTEGER AS cycle, a::INTEGER AS first, b::INTEGER AS last, round(greatest(0, p.t - 50), 6)::DOUBLE AS start_ms, round(q.t + 50, 6) AS end_ms FROM e JOIN p ON p.sample_id = e.sample_id AND p.i = a JOIN p q ON q.sample_id = e.sample_id AND q.i = b"""
 )
 def w05_cycle_cuts(spark, d):
     p = _points(spark, d)

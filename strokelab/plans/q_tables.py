@@ -174,12 +174,30 @@ def j09_drop_resonance(spark, d):
     return joins.drop_resonance(detections(spark, d)).select("sample_id", "detected")
 
 
-@query()
+_NEAR = """, c AS (SELECT e.sample_id, e.position, detected, abs(e.actual_time_ms - de.time_ms) AS distance, dense_rank() OVER (PARTITION BY e.sample_id ORDER BY e.actual_velocity DESC, e.position) AS turn FROM ev e JOIN de ON de.sample_id = e.sample_id AND abs(e.actual_time_ms - de.time_ms) < 50)"""
+
+
+@query(
+    "WITH RECURSIVE " + fx.EVENTS_SQL.strip() + DETECTED_SQL + _NEAR + """,
+m AS (SELECT DISTINCT sample_id, 0::BIGINT AS turn, []::BIGINT[] AS taken, NULL::BIGINT AS position, NULL::BIGINT AS detected, NULL::DOUBLE AS distance FROM c UNION ALL
+  SELECT sample_id, turn, CASE WHEN hit.detected IS NULL THEN taken ELSE list_append(taken, hit.detected) END, position, hit.detected, hit.distance FROM (
+    SELECT m.sample_id, m.turn + 1 AS turn, any_value(m.taken) AS taken, any_value(c.position) AS position, min({'distance': c.distance, 'detected': c.detected}) FILTER (NOT list_contains(m.taken, c.detected)) AS hit
+    FROM m JOIN c ON c.sample_id = m.sample_id AND c.turn = m.turn + 1 GROUP BY m.sample_id, m.turn))
+SELECT sample_id, position, detected, round(distance, 6) AS distance FROM m WHERE detected IS NOT NULL"""
+)
 def j10_match_nearest(spark, d):
     return rounded(joins.match_nearest(truth(spark, d), detections(spark, d)))
 
 
-@query()
+@query(
+    "WITH RECURSIVE " + fx.EVENTS_SQL.strip() + DETECTED_SQL + """,
+f AS (SELECT DISTINCT sample_id, floor(actual_time_ms / 10) AS frame FROM ev),
+c AS (SELECT sample_id, actual_time_ms AS t, row_number() OVER (PARTITION BY sample_id ORDER BY actual_time_ms) AS rn FROM ev SEMI JOIN f ON f.sample_id = ev.sample_id AND f.frame = greatest(0, least(7399, round_even(actual_time_ms / 1000 * 100, 0)))
+  WHERE NOT EXISTS (SELECT 1 FROM de WHERE de.sample_id = ev.sample_id AND abs(de.time_ms - actual_time_ms) < 20)),
+a AS (SELECT sample_id, rn, t AS last, true AS added FROM c WHERE rn = 1 UNION ALL
+  SELECT c.sample_id, c.rn, CASE WHEN c.t - a.last >= 20 THEN c.t ELSE a.last END, c.t - a.last >= 20 FROM a JOIN c ON c.sample_id = a.sample_id AND c.rn = a.rn + 1)
+SELECT sample_id, round(last, 6) AS time_ms, 0.5::DOUBLE AS strength FROM a WHERE added"""
+)
 def j11_supplement(spark, d):
     e = fx.events(spark, d)
     size = 7400

@@ -1,5 +1,8 @@
 """Order-dependent operators against plain loops, and sources, streaming and statistics on small frames."""
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,13 +27,102 @@ def test_match_nearest(spark, small):
     for s, rows in grouped(t.select("sample_id", "position", "time_ms", "velocity").collect()).items():
         taken = set()
         for p, time, _ in sorted(rows, key=lambda r: (-r[2], r[0])):
-            near = sorted((abs(time - x), k) for k, x in have.get(s, []) if abs(time - x) <= 50 and k not in taken)
+            near = sorted((abs(time - x), k) for k, x in have.get(s, []) if abs(time - x) < 50 and k not in taken)
             if near:
                 taken.add(near[0][1])
                 want.add((s, p, near[0][1]))
     assert got == want and got
 
 
+def greedy(truth, points, window=50):
+    """truth: (position, time, velocity), points: (number, time)."""
+    taken, out = set(), set()
+    for p, t, _ in sorted(truth, key=lambda r: (-r[2], r[0])):
+        near = sorted((abs(t - x), k) for k, x in points if abs(t - x) < window and k not in taken)
+        if near:
+            taken.add(near[0][1])
+            out.add((p, near[0][1]))
+    return out
+
+
+@pytest.mark.parametrize("crowd", ["random", "ties", "ramp", "edge"])
+def test_match_nearest_in_crowds(spark, crowd):
+    rng, truths, points = random.Random(crowd), {}, {}
+    for s in range(6):
+        if crowd == "ramp":  # every stroke is stronger than the one before, and points are short by a few
+            truths[s] = [(i, 20.0 * i, i) for i in range(60)]
+            points[s] = [(i, 20.0 * i + 9) for i in range(0, 58 - s)]
+        elif crowd == "edge":
+            truths[s] = [(0, 100.0, 5), (1, 200.0, 5)]
+            points[s] = [(0, 50.0), (1, 149.9), (2, 250.0)]
+        else:
+            step = 1 if crowd == "random" else 10
+            truths[s] = [(i, float(rng.randrange(0, 900, step)), rng.randrange(1, 128 if crowd == "random" else 3)) for i in range(40)]
+            points[s] = list(enumerate(sorted(float(rng.randrange(0, 900, step)) for _ in range(30))))
+    t = spark.createDataFrame([(s, *r) for s, rows in truths.items() for r in rows], "sample_id int, position long, time_ms double, velocity int")
+    d = spark.createDataFrame([(s, *r) for s, rows in points.items() for r in rows], "sample_id int, detected long, time_ms double")
+    got = {tuple(r) for r in joins.match_nearest(t, d).select("sample_id", "position", "detected").collect()}
+    assert got == {(s, *m) for s in truths for m in greedy(truths[s], points[s])}
+    assert joins.match_nearest(t, d.limit(0)).count() == 0
+
+
+def test_no_python_per_sample(spark, small):
+    for df in (joins.match_nearest(truth(spark, small), detections(spark, small)), windows.merge_close(detections(spark, small))):
+        assert "InPandas" not in df._jdf.queryExecution().toString()
+
+
+def test_supplement_like_a_loop(spark):
+    rng, rows = random.Random(9), {}
+    for s in range(8):
+        rows[s] = (sorted(round(rng.random() * 900, 1) for _ in range(60)), sorted(round(rng.random() * 900, 1) for _ in range(12)), [rng.choice((0.0, 0.005, 0.3)) for _ in range(rng.choice((40, 100)))])
+    frame = lambda i, kind: spark.createDataFrame([(s, x) for s, r in rows.items() for x in r[i]], f"sample_id int, {kind} double")
+    curves = spark.createDataFrame([(s, r[2]) for s, r in rows.items()], "sample_id int, activation array<double>")
+    got = sorted(map(tuple, joins.supplement(frame(0, "time_ms"), frame(1, "time_ms"), curves).collect()))
+    want = []
+    for s, (times, have, curve) in rows.items():
+        known = list(have)
+        for t in times:
+            a = curve[max(0, min(round(t / 1000 * 100), len(curve) - 1))]
+            if all(abs(t - x) >= 20 for x in known) and a >= 0.01:
+                known.append(t)
+                want.append((s, t, a))
+    assert got == sorted(want) and want
+
+
+def test_merge_close_of_one_long_sample(spark):
+    df = spark.range(100_000).select(F.lit("s").alias("sample_id"), (F.col("id") * 15.0 + F.when(F.col("id") % 4 == 0, 30).otherwise(0)).alias("time_ms"), (F.pmod(F.xxhash64("id"), F.lit(100)) / 100.0).alias("strength"))
+    rows, kept = sorted((r["time_ms"], r["strength"]) for r in df.collect()), []
+    for p in rows:
+        if kept and p[0] - kept[-1][0] < 20:
+            kept[-1] = p if p[1] > kept[-1][1] else kept[-1]
+        else:
+            kept.append(p)
+    began = time.perf_counter()
+    got = sorted((r["time_ms"], r["strength"]) for r in windows.merge_close(df).collect())
+    assert got == kept and time.perf_counter() - began < 30
+
+
+def test_measures_that_overlap(spark):
+    rng = random.Random(2)
+    events = {s: [(i, rng.randrange(60)) for i in range(50)] for s in range(5)}
+    spans = {s: [(k, a, a + rng.randrange(0, 25)) for k, a in enumerate(rng.randrange(60) for _ in range(9))] for s in range(6)}
+    e = spark.createDataFrame([(s, *r) for s, rows in events.items() for r in rows], "sample_id int, id int, index int")
+    m = spark.createDataFrame([(s, *r) for s, rows in spans.items() for r in rows], "sample_id int, index int, stroke_start int, stroke_end int")
+    got = sorted(map(tuple, joins.in_measures(e, m).select("sample_id", "id", "index", "measure").collect()))
+    assert got == sorted((s, i, at, k) for s, rows in events.items() for i, at in rows for k, a, b in spans[s] if a <= at < b) and got
+
+
+def test_sweep_rows_grow_with_the_events(spark):
+    """One sample of 2,000 measures: no step makes more rows than events, borders and results."""
+    n = 2000
+    e = spark.range(8 * n).select(F.lit(1).alias("sample_id"), F.col("id").cast("int").alias("index"))
+    m = spark.range(n).select(F.lit(1).alias("sample_id"), F.col("id").cast("int").alias("index"), (F.col("id") * 8).cast("int").alias("stroke_start"), (F.col("id") * 8 + 8).cast("int").alias("stroke_end"))
+    df = joins.in_measures(e, m)
+    assert df.count() == 8 * n
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "_at" in plan and not any("stroke_start" in line and ("<=" in line or ">=" in line) and "Join" in line for line in plan.splitlines())
+
+
 def test_supplement(spark):
     t = spark.createDataFrame([("s", 100.0), ("s", 110.0), ("s", 300.0), ("s", 500.0)], "sample_id string, time_ms double")
     d = spark.createDataFrame([("s", 310.0)], "sample_id string, time_ms double")
@@ -60,7 +152,32 @@ def test_cycle_cuts(spark):
     rows = windows.cycle_cuts(p, F.lit(2)).orderBy("cycle").collect()
     assert [(r["first"], r["last"], r["start_ms"], r["end_ms"]) for r in rows] == [(0, 3, 0.0, 350.0), (4, 7, 320.0, 650.0)]
     tight = spark.createDataFrame([("s", float(x)) for x in (0, 100, 200, 300, 320, 400, 500, 600)], "sample_id string, time_ms double")
-    assert [(r["first"], r["last"]) for r in windows.cycle_cuts(tight, F.lit(2)).orderBy("cycle").collect()] == [(0, 2), (3, 7)]
+    assert [(r["first"], r["last"]) for r in windows.cycle_cuts(tight, F.lit(2)).orderBy("cycle").collect()] == [(0, 4), (5, 7)]
+
+
+def cuts(times, target):
+    n = len(times)
+    if n < 4:
+        return [(0, n - 1)]
+    starts = [0]
+    for k in range(1, target):
+        i = round(k * n / target)
+        starts.append(min(i + 1, n - 1) if times[i] - times[i - 1] < 40 else i)
+    return list(zip(starts, [s - 1 for s in starts[1:]] + [n - 1], strict=True))
+
+
+def test_cycle_cuts_like_a_loop(spark):
+    rng = random.Random(4)
+    samples = {s: sorted(round(rng.random() * n * rng.choice((20, 90, 400)), 1) for _ in range(n)) for s, n in enumerate((1, 2, 3, 4, 5, 13, 20, 41, 70, 300))}
+    p = spark.createDataFrame([(s, t) for s, times in samples.items() for t in times], "sample_id int, time_ms double")
+    for target in (None, 4):
+        got = {}
+        for r in windows.cycle_cuts(p, None if target is None else F.lit(target)).orderBy("cycle").collect():
+            got.setdefault(r["sample_id"], []).append(r)
+        for s, times in samples.items():
+            want = cuts(times, max(2, min(6, len(times) // 7)) if target is None else target)
+            assert [(r["first"], r["last"]) for r in got[s]] == want
+            assert [(r["start_ms"], r["end_ms"]) for r in got[s]] == [(max(0, times[a] - 50), times[b] + 50) for a, b in want]
 
 
 def test_pending_golden(spark):
