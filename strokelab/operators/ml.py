@@ -8,7 +8,7 @@ from statistics import fmean, pstdev
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,33 @@ from strokelab.sources import shared
 FEATURES = ("timing_accuracy", "timing_consistency", "tempo_stability", "subdivision_evenness", "velocity_control", "accent_differentiation", "accent_accuracy", "hand_balance")
 
 
+#: What the tier is learned from, and what the overall score is (no score itself: it is their weighted sum).
+TIER_FEATURES = (*FEATURES, "tempo_bpm")
+SCORE_FEATURES = ("tempo_bpm", "timing_error_mean", "timing_error_std", "timing_error_max", "velocity_mean", "velocity_std")
+#: Rows of a partition of learning data: a fit passes over them many times, so small tables are few tasks.
+PART_ROWS = 50_000
+
+
 def classification_data(samples: DataFrame, exercises: DataFrame, key: str = "sample_id", label: str = "skill_tier") -> DataFrame:
     """Scores and tempo as columns beside the label (O-M01)."""
     return samples.select(key, label, F.col("tempo_bpm").cast("double").alias("tempo_bpm")).join(exercises.select(key, *FEATURES), key)
 
 
+def regression_data(samples: DataFrame, strokes: DataFrame, exercises: DataFrame, target: str = "overall_score", key: str = "sample_id") -> DataFrame:
+    """Tempo and statistics of the strokes (sample deviations) beside the score to learn (O-M01, O-M04)."""
+    e, v = F.col("timing_error_ms"), F.col("actual_velocity")
+    facts = strokes.groupBy(key).agg(
+        F.avg(e).alias("timing_error_mean"), F.stddev_samp(e).alias("timing_error_std"), F.max(e).alias("timing_error_max"), F.avg(v).alias("velocity_mean"), F.stddev_samp(v).alias("velocity_std")
+    )
+    return samples.select(key, F.col("tempo_bpm").cast("double").alias("tempo_bpm")).join(facts, key).join(exercises.select(key, target), key)
+
+
+def _parted(df: DataFrame) -> DataFrame:
+    """Written once, in partitions of about ``PART_ROWS`` rows."""
+    once = shared.written(df)
+    return shared.written(once.repartition(max(1, -(-once.count() // PART_ROWS))))
+
+
 def standardised(df: DataFrame, columns: list[str]) -> DataFrame:
     """Each column less its mean, by its population deviation; constant columns become zero (O-M02)."""
     facts = df.agg(*[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))])  # one row
@@ -40,7 +62,7 @@ def classify(df: DataFrame, columns: list[str], label: str, key: str, seed: int
     """Test predictions (key, truth, predicted) of logistic regression and a forest (O-M03)."""
     names = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
     split = sampling.train_test(names.transform(_assembled(standardised(df, columns), columns)), key, seed=seed)
-    split = shared.written(split)
+    split = _parted(split)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     back = F.element_at(F.array(*map(F.lit, names.labels)), F.col("prediction").cast("int") + 1)
     models = {"logistic": LogisticRegression(maxIter=50), "forest": RandomForestClassifier(numTrees=trees, seed=seed)}
@@ -50,7 +72,7 @@ def classify(df: DataFrame, columns: list[str], label: str, key: str, seed: int
 def regress(df: DataFrame, columns: list[str], target: str, key: str, seed: int = 42, trees: int = 100, alpha: float = 1.0) -> dict[str, DataFrame]:
     """Test predictions of ridge regression and a forest (O-M04); the ridge penalty alpha is per row in MLlib."""
     split = sampling.train_test(_assembled(standardised(df, columns), columns).withColumn("label", F.col(target).cast("double")), key, seed=seed)
-    split = shared.written(split)
+    split = _parted(split)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     n = max(1, train.count())
     models = {"ridge": LinearRegression(regParam=alpha / n, elasticNetParam=0.0), "forest": RandomForestRegressor(numTrees=trees, seed=seed)}
@@ -102,7 +124,7 @@ def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, size
     else:
         data, model = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df).transform(data), RandomForestClassifier(numTrees=trees, seed=seed)
     data = data.select("features", "label", sampling.pick(key, folds, seed).alias("_fold"), (sampling.pick(key, 1000, f"{seed}-size") / 1000).alias("_u"))
-    data = shared.written(data)
+    data = _parted(data)
 
     def score(size: float, fold: int) -> float | None:
         p = model.fit(data.where((F.col("_fold") != fold) & (F.col("_u") < size))).transform(data.where(F.col("_fold") == fold))
@@ -133,9 +155,13 @@ def learnability(curve: list[dict]) -> dict:
     }
 
 
-def importances(df: DataFrame, columns: list[str], label: str, seed: int = 42, trees: int = 100) -> list[tuple[str, float]]:
-    """Features by importance in a forest (O-M09)."""
-    model = Pipeline(stages=[StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), RandomForestClassifier(numTrees=trees, seed=seed)]).fit(df)
+def importances(df: DataFrame, columns: list[str], label: str, seed: int = 42, trees: int = 100, regression: bool = False) -> list[tuple[str, float]]:
+    """Features by importance in a forest of either task (O-M09)."""
+    if regression:
+        first, forest = [SQLTransformer(statement=f"SELECT *, CAST(`{label}` AS double) AS label FROM __THIS__")], RandomForestRegressor(numTrees=trees, seed=seed)
+    else:
+        first, forest = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")], RandomForestClassifier(numTrees=trees, seed=seed)
+    model = Pipeline(stages=[*first, VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), forest]).fit(_parted(df.select(label, *columns)))
     return sorted(zip(columns, map(float, model.stages[-1].featureImportances.toArray()), strict=True), key=lambda x: (-x[1], x[0]))
 
 
@@ -153,3 +179,27 @@ def verdict(accuracy: float, r2: float) -> str:
     if accuracy > 0.7 and r2 > 0.5:
         return "PASSED"
     return "PARTIAL" if accuracy > 0.5 or r2 > 0.3 else "NEEDS REVIEW"
+
+
+def utility(tier_data: DataFrame, score_data: DataFrame, key: str = "sample_id", tier: str = "skill_tier", score: str = "overall_score", **sizes) -> list[tuple[str, str, float]]:
+    """The utility report as rows (part, name, value) (O-M10): both tasks with the metrics of their models, learning curve,
+    learnability and importances, then the verdict.  ``sizes`` (``sizes``, ``folds``, ``trees``, ``threads``) makes it smaller."""
+    trees = {"trees": sizes["trees"]} if "trees" in sizes else {}
+    rows, best, good, learns = [], {}, [], []
+    for task, data, columns, label, regression in (("tier", tier_data, list(TIER_FEATURES), tier, False), ("score", score_data, list(SCORE_FEATURES), score, True)):
+        models = regress(data, columns, label, key, **trees) if regression else classify(data, columns, label, key, **trees)
+        for name, p in models.items():
+            found = (regression_metrics if regression else class_metrics)(p).first().asDict()
+            rows += [(f"{task} {name}", n, None if v is None else float(v)) for n, v in found.items()]
+            best[task] = max(best.get(task, 0.0), found["r2" if regression else "accuracy"] or 0.0)
+        curve = learning_curve(data, columns, label, key, regression=regression, **sizes)
+        rows += [(f"{task} curve", str(r["size"]), r["mean"]) for r in curve]
+        facts = learnability(curve)
+        rows += [(f"{task} learnability", n, float(v)) for n, v in facts.items()]
+        ranked = importances(data, columns, label, regression=regression, **trees)
+        rows += [(f"{task} importance", n, v) for n, v in ranked]
+        good.append(meaningful(ranked, SENSIBLE))
+        learns.append(facts["improves"])
+        rows.append((f"{task} importance", "sensible", float(good[-1])))
+    rows += [("summary", "best accuracy", best["tier"]), ("summary", "best r2", best["score"]), ("summary", "all learn", float(all(learns))), ("summary", "all sensible", float(all(good)))]
+    return [*rows, ("verdict", verdict(best["tier"], best["score"]), best["tier"])]

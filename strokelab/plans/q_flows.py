@@ -255,20 +255,29 @@ def m02_standardised(spark, d):
     return rounded(ml.standardised(orders(spark, d).select("sample_id", "score"), ["score"]), 5)
 
 
-def _data(spark, d):
-    x = scores(spark, d)
-    return written(ml.classification_data(fx.samples(spark, d), x).join(x.select("sample_id", "overall_score"), "sample_id"))
+@query(SCORES_SQL + """ SELECT sm.sample_id, any_value(tempo_bpm)::DOUBLE AS tempo_bpm, round(avg(timing_error_ms), 6) AS timing_error_mean, round(stddev_samp(timing_error_ms), 6) AS timing_error_std, round(max(timing_error_ms), 6) AS timing_error_max,
+  round(avg(actual_velocity), 6) AS velocity_mean, round(stddev_samp(actual_velocity), 6) AS velocity_std, round(any_value(overall_score), 6) AS overall_score FROM sm JOIN st USING (sample_id) JOIN ex USING (sample_id) GROUP BY 1""")
+def m01_regression_data(spark, d):
+    return rounded(ml.regression_data(fx.samples(spark, d), strokes(spark, d), scores(spark, d)))
+
+
+def _tier_data(spark, d):
+    return written(ml.classification_data(fx.samples(spark, d), scores(spark, d)))
+
+
+def _score_data(spark, d):
+    return written(ml.regression_data(fx.samples(spark, d), strokes(spark, d), scores(spark, d)))
 
 
 @query()
-def m03_classifiers(spark, d):
-    p = ml.classify(_data(spark, d), list(ml.FEATURES), "skill_tier", "sample_id")
+def m03_classifiers(spark, d, trees=100):
+    p = ml.classify(_tier_data(spark, d), list(ml.TIER_FEATURES), "skill_tier", "sample_id", trees=trees)
     return ml.class_metrics(p["logistic"]).withColumn("model", F.lit("logistic")).unionByName(ml.class_metrics(p["forest"]).withColumn("model", F.lit("forest")))
 
 
 @query()
-def m04_regressors(spark, d):
-    p = ml.regress(_data(spark, d), list(ml.FEATURES), "overall_score", "sample_id")
+def m04_regressors(spark, d, trees=100):
+    p = ml.regress(_score_data(spark, d), list(ml.SCORE_FEATURES), "overall_score", "sample_id", trees=trees)
     return ml.regression_metrics(p["ridge"]).withColumn("model", F.lit("ridge")).unionByName(ml.regression_metrics(p["forest"]).withColumn("model", F.lit("forest")))
 
 
@@ -306,19 +315,8 @@ def m07_regression_metrics(spark, d):
 
 
 @query()
-def m08_m10_utility(spark, d):
-    data, columns = _data(spark, d), list(ml.FEATURES)
-    rows = []
-    for task, label in (("tier", "skill_tier"), ("score", "overall_score")):
-        curve = ml.learning_curve(data, columns, label, "sample_id", regression=task == "score")
-        rows += [(f"{task} curve", str(r["size"]), r["mean"]) for r in curve]
-        rows += [(f"{task} learnability", n, float(v)) for n, v in ml.learnability(curve).items()]
-    ranked = ml.importances(data, columns, "skill_tier")
-    rows += [("importance", n, v) for n, v in ranked]
-    best = max(ml.class_metrics(p).first()["accuracy"] for p in ml.classify(data, columns, "skill_tier", "sample_id").values())
-    r2 = max(ml.regression_metrics(p).first()["r2"] or 0.0 for p in ml.regress(data, columns, "overall_score", "sample_id").values())
-    rows += [("metric", "accuracy", best), ("metric", "r2", r2), ("metric", "sensible_features", float(ml.meaningful(ranked, ml.SENSIBLE)))]
-    return spark.createDataFrame([*rows, ("verdict", ml.verdict(best, r2), best)], "part string, name string, value double")
+def m08_m10_utility(spark, d, **sizes):
+    return spark.createDataFrame(ml.utility(_tier_data(spark, d), _score_data(spark, d), **sizes), "part string, name string, value double")
 
 
 def queries() -> dict:
