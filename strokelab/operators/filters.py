@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strokelab.operators import quantiles
 from strokelab.schemas import optional_col
 
 
@@ -68,8 +69,11 @@ def where_all(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
     return df
 
 
-def trim_outliers(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, approx: bool = False) -> DataFrame:
-    """Rows between two quantiles of a column (O-F11)."""
+def trim_outliers(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, approx: bool = False, ranges: bool = False) -> DataFrame:
+    """Rows between two quantiles of a column (O-F11); ``ranges`` finds the exact ones without a buffer of all values."""
+    if ranges:
+        ends = quantiles.exact(df, column, {"_low": low, "_high": high})  # one row
+        return df.crossJoin(F.broadcast(ends)).where(F.col(column).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
     q = (lambda p: F.percentile_approx(column, F.lit(p), F.lit(10_000))) if approx else (lambda p: F.percentile(F.col(column), F.lit(p)))
     ends = df.agg(q(low).alias("_low"), q(high).alias("_high"))  # one row
     return df.crossJoin(F.broadcast(ends)).where(F.col(column).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")

@@ -8,16 +8,29 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strokelab.operators import quantiles
 from strokelab.schemas import TIERS
 
 
-def distribution(df: DataFrame, column: str, by: str | None = None, name: str | None = None, approx: bool = False) -> DataFrame:
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+def _with_exact(df: DataFrame, aggregated: DataFrame, column: str, by: str | None, probs: dict[str, float]) -> DataFrame:
+    """Aggregates of each group with its exact quantiles, found by ranges, in the place of columns of these names."""
+    found = quantiles.exact(df, column, probs, [by] if by else [])
+    rest = aggregated.drop(*probs)
+    joined = rest.join(found.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by") if by else rest.crossJoin(F.broadcast(found))  # one row
+    return joined.select(*aggregated.columns)
+
+
+def distribution(df: DataFrame, column: str, by: str | None = None, name: str | None = None, approx: bool = False, ranges: bool = False) -> DataFrame:
     """n, mean, sd, min, max, p25, p50, p75, skewness and excess kurtosis of a column (O-B01, O-B02).
 
-    ``approx`` takes approximate percentiles, whose memory doesn't grow with the number of distinct values.
+    Percentiles are exact.  Spark's own keep a group's distinct values in one buffer; for groups of very many ``ranges`` finds
+    the same numbers by narrowing ranges in several passes, and ``approx`` takes approximate ones in one.
     """
     x = F.col(column)
-    part = (lambda p: F.percentile_approx(x, F.lit(p), F.lit(10_000))) if approx else (lambda p: F.percentile(x, F.lit(p)))
+    part = (lambda p: F.percentile_approx(x, F.lit(p), F.lit(10_000))) if approx else (lambda p: F.lit(None)) if ranges else (lambda p: F.percentile(x, F.lit(p)))
     n = F.count(x)
     out = df.groupBy(*([by] if by else [])).agg(
         n.alias("n"),
@@ -31,14 +44,16 @@ def distribution(df: DataFrame, column: str, by: str | None = None, name: str |
         F.when(n > 2, F.coalesce(F.skewness(x), F.lit(0.0))).otherwise(0.0).alias("skewness"),
         F.when(n > 3, F.coalesce(F.kurtosis(x), F.lit(0.0))).otherwise(0.0).alias("kurtosis"),
     )
+    if ranges:
+        out = _with_exact(df, out, column, by, QUARTILES)
     return out.withColumn("column", F.lit(name or column))
 
 
-def dataset_stats(df: DataFrame, numeric: list[str], categorical: list[str], distinct: list[str]) -> DataFrame:
+def dataset_stats(df: DataFrame, numeric: list[str], categorical: list[str], distinct: list[str], ranges: bool = False) -> DataFrame:
     """Tidy rows (kind, name, value_name, value): distributions, category counts and distinct counts (O-B03)."""
     parts = []
     for c in numeric:
-        d = distribution(df, c)
+        d = distribution(df, c, ranges=ranges)
         fields = [f for f in d.columns if f != "column"]
         pairs = ", ".join(f"'{f}', cast({f} as double)" for f in fields)
         parts.append(d.selectExpr("'distribution' as kind", "column as name", f"stack({len(fields)}, {pairs}) as (value_name, value)"))
@@ -257,10 +272,11 @@ def subset_summary(df: DataFrame, columns: list[str], metric: str) -> DataFrame:
     return out
 
 
-def described(df: DataFrame, metric: str, by: str) -> DataFrame:
-    """count, mean, sample SD, minimum, quartiles, maximum by group (O-B17)."""
-    q = lambda p: F.percentile(F.col(metric), F.lit(p))
-    return df.groupBy(by).agg(F.count(metric).alias("n"), F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"), F.min(metric).alias("low"), q(0.25).alias("p25"), q(0.5).alias("p50"), q(0.75).alias("p75"), F.max(metric).alias("high"))
+def described(df: DataFrame, metric: str, by: str, ranges: bool = False) -> DataFrame:
+    """count, mean, sample SD, minimum, quartiles, maximum by group (O-B17); ``ranges`` as in ``distribution``."""
+    q = (lambda p: F.lit(None)) if ranges else (lambda p: F.percentile(F.col(metric), F.lit(p)))
+    out = df.groupBy(by).agg(F.count(metric).alias("n"), F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("sd"), F.min(metric).alias("low"), q(0.25).alias("p25"), q(0.5).alias("p50"), q(0.75).alias("p75"), F.max(metric).alias("high"))
+    return _with_exact(df, out, metric, by, QUARTILES) if ranges else out
 
 
 def event_features(strokes: DataFrame, key: str = "sample_id") -> DataFrame:
@@ -279,14 +295,15 @@ def histogram(df: DataFrame, column: str, bins: int, by: str) -> DataFrame:
     return df.join(ends, by).groupBy(by, place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
 
 
-def box_plot(df: DataFrame, column: str, by: str) -> DataFrame:
-    """Quartiles, whiskers at the last value within 1.5 IQR, and the number of outliers (O-B21)."""
+def box_plot(df: DataFrame, column: str, by: str, ranges: bool = False) -> DataFrame:
+    """Quartiles, whiskers at the last value within 1.5 IQR, and the number of outliers (O-B21); ``ranges`` as in ``distribution``."""
     x = F.col(column)
-    q = lambda p: F.percentile(x, F.lit(p))
-    quartiles = df.groupBy(by).agg(q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"))
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = quantiles.exact(df, column, probs, [by]) if ranges else df.groupBy(by).agg(*[F.percentile(x, F.lit(p)).alias(n) for n, p in probs.items()])
+    quartiles = quartiles.withColumnRenamed(by, "_by")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
-    return df.join(quartiles, by).groupBy(by).agg(
+    return df.join(quartiles, F.col(by).eqNullSafe(F.col("_by"))).groupBy(by).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"), F.min(F.when(inside, x)).alias("low_whisker"), F.max(F.when(inside, x)).alias("high_whisker"), F.count_if(~inside).alias("outliers")
     )
 
