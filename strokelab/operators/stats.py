@@ -98,7 +98,7 @@ def correlation(a: Column, b: Column) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All pairs a < b as rows (a, b, n, r), from one aggregation (O-B06)."""
+    """All pairs a < b as rows (a, b, n, r), from one aggregation (O-B06); ``gram.correlations`` takes hundreds of columns."""
     pairs = list(combinations(columns, 2))
     flat = df.agg(
         *[correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strokelab.operators import filters, joins, sampling, stats
+from strokelab.operators import filters, gram, joins, sampling, stats
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.schemas import TIERS
@@ -300,6 +300,16 @@ def b06_correlation_matrix(spark, d):
     return rounded(stats.correlation_matrix(scores(spark, d), _CM))
 
 
+_LINES = {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "l_linenumber": "l_linenumber", "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "discount": "nullif(l_discount, 0)", "tax": "nullif(l_tax, 0)"}
+_LINES_SQL = ", ".join(f"{x}::DOUBLE AS {c}" for c, x in _LINES.items())
+
+
+@query(f"WITH li AS (SELECT {_LINES_SQL} FROM lineitem) " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, round(corr({a}, {b}), 6) + 0.0 AS r FROM li" for i, a in enumerate(_LINES) for b in list(_LINES)[i + 1 :]))
+def b06_all_columns(spark, d):
+    li = fx.table(spark, d, "lineitem").selectExpr(*[f"{x} AS {c}" for c, x in _LINES.items()])
+    return gram.correlations(li).withColumn("r", F.round("r", 6) + 0.0)
+
+
 _DETREND = """, nn AS (SELECT st.*, skill_tier, row_number() OVER (PARTITION BY sample_id ORDER BY position) - 1 AS x FROM st JOIN sm USING (sample_id) WHERE stroke_type <> 'grace'),
 rs AS (SELECT *, CASE WHEN count(*) OVER p < 3 THEN timing_error_ms ELSE timing_error_ms - avg(timing_error_ms) OVER p - covar_pop(x, timing_error_ms) OVER p / nullif(var_pop(x) OVER p, 0) * (x - avg(x) OVER p) END AS residual_ms
   FROM nn WINDOW p AS (PARTITION BY sample_id))"""

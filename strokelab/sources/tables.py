@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strokelab.operators import numbering
 from strokelab.schemas import DDL, KEYS, nan_to_null
+from strokelab.sources import shared
 
 
 def read_table(spark: SparkSession, folder: str, name: str, ids: DataFrame | list | None = None, columns: list[str] | None = None, key: str = "sample_id") -> DataFrame:
@@ -180,16 +183,52 @@ def embed_media(df: DataFrame, media: DataFrame, path: str, out: str) -> DataFra
     return df.withColumn("_tail", wanted).join(files, "_tail", "left").drop("_tail")
 
 
+def sharded(df: DataFrame, max_bytes: int, split: str = "split") -> tuple[DataFrame, int]:
+    """Rows with the number of their shard (``_shard``, from 0 over all splits), and how many shards there are (O-S11).
+
+    Bytes are counted as JSON text.  Small rows (an eighth of the cap at most) fill seven eighths of it by running sums of
+    bytes: within ranges of rows, moved up by the ranges before.  Larger ones go four, two or one to a shard by their size,
+    and one above the cap is a shard alone, so no row changes what others have for room.  What is left over of a split's
+    classes is put together, so at most one shard of a split is under half full.
+    """
+    cap, half = F.lit(max_bytes), max_bytes / 2
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    kind = F.when(F.col("_size") * 8 <= cap, 0).when(F.col("_size") * 4 <= cap, 4).when(F.col("_size") * 2 <= cap, 2).otherwise(1)
+    rows = df.withColumn("_size", size.cast("long")).withColumn("_kind", kind).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    # Written once: the ranges must stay as they are.
+    rows = shared.written(rows)
+    each = rows.groupBy(split, "_kind", "_part").agg(F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(split, "_kind").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = each.select(split, "_kind", "_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_bytes", "_rows")])
+    here = Window.partitionBy(split, "_kind", "_part").orderBy("_id")
+    placed = rows.withColumn("_start", F.sum("_size").over(here.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")).withColumn("_nth", F.row_number().over(here) - 1)
+    placed = placed.join(before.withColumnRenamed(split, "_s"), F.col(split).eqNullSafe(F.col("_s")) & placed["_kind"].eqNullSafe(before["_kind"]) & placed["_part"].eqNullSafe(before["_part"])).drop("_s", before["_kind"], before["_part"])
+    piece = F.when(F.col("_kind") == 0, F.floor((F.col("_start") + F.col("_bytes_before")) * 8 / (cap * 7))).otherwise(F.floor((F.col("_nth") + F.col("_rows_before")) / F.col("_kind")))
+    placed = placed.withColumn("_piece", piece)
+    # One row a shard.
+    totals = placed.groupBy(split, "_kind", "_piece").agg(F.sum("_size").alias("_bytes"))
+    last = Window.partitionBy(split, "_kind")
+    totals = totals.withColumn("_light", (F.col("_bytes") < half) & (F.col("_piece") == F.max("_piece").over(last)))
+    # At most three light ones a split; two of them fit one shard, and what they make is light only if it is the last.
+    order = Window.partitionBy(split, "_light").orderBy("_bytes", "_kind")
+    pair = totals.withColumn("_n", F.row_number().over(order)).withColumn("_two", F.sum("_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = F.when(F.col("_light") & ((F.col("_n") <= 2) | (F.col("_two") <= max_bytes)), F.lit(-1).cast("long")).otherwise(F.col("_kind") * F.lit(1 << 40) + F.col("_piece"))
+    named = shared.written(pair.select(split, "_kind", "_piece", joined.alias("_name")))
+    numbers = numbering.numbered(named.select(split, "_name").distinct(), [split, "_name"], "_shard")
+    same = lambda x, y, names: functools.reduce(lambda a, b: a & b, [x[c].eqNullSafe(y[c]) for c in names])
+    map_ = named.join(numbers, same(named, numbers, [split, "_name"])).select(named[split].alias("_s"), F.col("_kind").alias("_k"), F.col("_piece").alias("_p"), "_shard")
+    out = placed.join(map_, F.col(split).eqNullSafe(F.col("_s")) & (F.col("_kind") == F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    return out.select(*df.columns, F.col("_shard").cast("int").alias("_shard")), numbers.count()
+
+
 def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, max_shard_bytes: int | None = None) -> None:
     """Export partitioned by split, with a cap on the rows or the bytes of a file (O-S11).
 
-    A file of at most ``max_shard_bytes`` holds as many rows as the largest row allows; bytes are counted as JSON text,
-    which parquet seldom exceeds.
+    Bytes are counted as JSON text, which parquet seldom exceeds; each shard of ``sharded`` is a task and so a file.
     """
     if max_shard_bytes:
-        largest = df.agg(F.max(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 1
-        fit = max(1, max_shard_bytes // largest)
-        max_shard_rows = min(fit, max_shard_rows or fit)
+        rows, n = sharded(df, max_shard_bytes)
+        df = rows.repartitionById(max(1, n), F.col("_shard")).drop("_shard")
     w = df.write.mode("overwrite").partitionBy("split")
     (w.option("maxRecordsPerFile", max_shard_rows) if max_shard_rows else w).parquet(path)
 
