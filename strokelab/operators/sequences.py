@@ -26,19 +26,31 @@ def feature_matrix(strokes: DataFrame, features: list[str], n: int, key: str = "
     return size.join(rows, key).select(key, padded(F.col("_x"), n, empty).alias("matrix"), mask(F.col("_x"), n).alias("mask"), F.least("length", F.lit(n)).alias("length"))
 
 
+def _laid_out(hits: Column, frames: int) -> Column:
+    """One value a frame from sorted hits (_f, _v) within the frames: the run of zeros before each hit, then its value.
+
+    Frames and hits are each gone through once.
+    """
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get(hits, i - 1)["_f"])
+    runs = F.transform(hits, lambda h, i: F.array_append(F.array_repeat(F.lit(0), h["_f"] - before(i) - 1), h["_v"]))
+    return F.concat(F.flatten(runs), F.array_repeat(F.lit(0), F.lit(frames - 1) - F.coalesce(F.try_element_at(hits, F.lit(-1))["_f"], F.lit(-1))))
+
+
+def _frame_values(strokes: DataFrame, value: Column, frames: int, frame_ms: float, key: str, time: str) -> DataFrame:
+    """Per sample the values of its frames, of several events of a frame the latest one's."""
+    per = strokes.groupBy(key, (F.col(time) / frame_ms).cast("int").alias("_f")).agg(value.alias("_v"))
+    hits = F.sort_array(F.collect_list(F.when(F.col("_f").between(0, frames - 1), F.struct("_f", "_v"))))
+    return per.groupBy(key).agg(hits.alias("_hits")).select(key, _laid_out(F.col("_hits"), frames).alias("targets"))
+
+
 def onset_targets(strokes: DataFrame, frames: int, frame_ms: float, key: str = "sample_id", time: str = "actual_time_ms") -> DataFrame:
     """0/1 per frame: whether an event starts in it (O-Q02)."""
-    f = (F.col(time) / frame_ms).cast("int")
-    hit = strokes.groupBy(key).agg(F.collect_set(f).alias("_f"))
-    return hit.select(key, F.transform(F.sequence(F.lit(0), F.lit(frames - 1)), lambda i: F.array_contains("_f", i).cast("int")).alias("targets"))
+    return _frame_values(strokes, F.max(F.lit(1)), frames, frame_ms, key, time)
 
 
 def hand_targets(strokes: DataFrame, frames: int, frame_ms: float, key: str = "sample_id", time: str = "actual_time_ms") -> DataFrame:
     """0 none, 1 left, 2 right per frame; the later stroke of a frame wins (O-Q03)."""
-    hand = F.when(F.col("hand") == "L", 1).otherwise(2)
-    per = strokes.groupBy(key, (F.col(time) / frame_ms).cast("int").alias("_f")).agg(F.max_by(hand, "position").alias("_h"))
-    m = per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_f", "_h"))).alias("_m"))
-    return m.select(key, F.transform(F.sequence(F.lit(0), F.lit(frames - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0))).alias("targets"))
+    return _frame_values(strokes, F.max_by(F.when(F.col("hand") == "L", 1).otherwise(2), "position"), frames, frame_ms, key, time)
 
 
 def fixed_length(df: DataFrame, column: str, n: int, fill: float = 0.0) -> DataFrame:

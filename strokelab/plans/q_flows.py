@@ -114,6 +114,19 @@ def s09_s11_export(spark, d):
     return spark.read.parquet(path).select("sample_id", "score", "split")
 
 
+@query("SELECT o_orderkey AS sample_id, CASE WHEN o_orderkey % 4 = 0 THEN 'test' ELSE 'train' END AS split, o_comment_length AS length FROM (SELECT o_orderkey, (o_orderkey * 7919 % 1000)::INTEGER AS o_comment_length FROM orders)")
+def s11_byte_shards(spark, d):
+    """Rows of many lengths in shards of at most 100 kB; the files are counted on the way."""
+    path = scratch(spark)
+    length = (F.col("o_orderkey") * 7919 % 1000).cast("int")
+    o = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderkey") % 4 == 0, "test").otherwise("train").alias("split"), F.repeat(F.lit("x"), length).alias("text"))
+    tables.write_export(o, path, max_shard_bytes=100_000)
+    back = spark.read.parquet(path)
+    held = back.groupBy(F.input_file_name().alias("f")).agg(F.sum(F.octet_length(F.to_json(F.struct("sample_id", "split", "text")))).alias("bytes"))
+    fits = held.agg((F.max("bytes") <= 100_000).alias("fits"))  # one row
+    return back.join(F.broadcast(fits.where("fits")), how="cross").select("sample_id", "split", F.length("text").alias("length"))
+
+
 @query("SELECT n_nationkey AS sample_id, CASE WHEN n_nationkey % 5 <> 0 THEN sum(length(c_name) + 1)::BIGINT END AS n_bytes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
 def s10_media(spark, d):
     path = scratch(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strokelab.operators import filters, gram, joins, sampling, stats
+from strokelab.operators import filters, gram, joins, quantiles, sampling, stats
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.schemas import TIERS
@@ -300,6 +300,11 @@ def b06_correlation_matrix(spark, d):
     return rounded(stats.correlation_matrix(scores(spark, d), _CM))
 
 
+@query(SO + " SELECT skill_tier, quantile_cont(score, 0.01) AS p01, quantile_cont(score, 0.373) AS odd, quantile_cont(score, 0.5) AS p50, quantile_cont(score, 0.999) AS p999 FROM so GROUP BY 1".replace("quantile_cont(score, ", "round(quantile_cont(score, ").replace(") AS p", "), 6) AS p").replace(") AS odd", "), 6) AS odd"))
+def b01_quantiles_by_ranges(spark, d):
+    return rounded(quantiles.exact(orders(spark, d), "score", {"p01": 0.01, "odd": 0.373, "p50": 0.5, "p999": 0.999}, ["skill_tier"]))
+
+
 _LINES = {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "l_linenumber": "l_linenumber", "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "discount": "nullif(l_discount, 0)", "tax": "nullif(l_tax, 0)"}
 _LINES_SQL = ", ".join(f"{x}::DOUBLE AS {c}" for c, x in _LINES.items())
 

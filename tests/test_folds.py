@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strokelab.functions import scalars
-from strokelab.operators import filters, joins, sampling, stats, windows
+from strokelab.operators import filters, joins, sampling, sequences, stats, windows
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_tables import detections, truth
 from strokelab.sources import catalogue, tables
@@ -123,6 +123,20 @@ def test_sweep_rows_grow_with_the_events(spark):
     assert "NestedLoop" not in plan and "_at" in plan and not any("stroke_start" in line and ("<=" in line or ">=" in line) and "Join" in line for line in plan.splitlines())
 
 
+def test_frames_by_runs(spark):
+    rng, frames = random.Random(6), 360_000
+    rows = [("long", i, rng.random() * 370_000_0, rng.choice("LR")) for i in range(6000)] + [("early", 0, -5.0, "L"), ("early", 1, 3.0, "R"), ("late", 0, 1e8, "L"), ("same", 0, 25.0, "R"), ("same", 1, 21.0, "L")]
+    e = spark.createDataFrame(rows, "sample_id string, position int, actual_time_ms double, hand string")
+    want = {s: ([0] * frames, [0] * frames) for s in ("long", "early", "late", "same")}
+    for s, _, t, hand in rows:
+        if int(t / 10) < frames:
+            want[s][0][int(t / 10)], want[s][1][int(t / 10)] = 1, 1 if hand == "L" else 2
+    began = time.perf_counter()
+    for i, f in enumerate((sequences.onset_targets, sequences.hand_targets)):
+        assert {r["sample_id"]: r["targets"] for r in f(e, frames, 10.0).collect()} == {s: w[i] for s, w in want.items()}
+    assert time.perf_counter() - began < 60
+
+
 def test_supplement(spark):
     t = spark.createDataFrame([("s", 100.0), ("s", 110.0), ("s", 300.0), ("s", 500.0)], "sample_id string, time_ms double")
     d = spark.createDataFrame([("s", 310.0)], "sample_id string, time_ms double")
