@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strokelab.functions import scalars
+from strokelab.functions import scalars, table_functions
 from strokelab.operators import checks, labels, sampling, sequences, stats, windows
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
@@ -266,6 +266,13 @@ def q12_parse_sticking(spark, d):
     return sequences.parse_sticking(_texts(spark, d), "sticking", "accents")
 
 
+@query(f"WITH {_TEXTS} SELECT id, position::INTEGER AS position, CASE WHEN c <> 'B' THEN c WHEN count(*) FILTER (c = 'B') OVER (PARTITION BY id ORDER BY position) % 2 = 1 THEN 'R' ELSE 'L' END AS hand, CASE WHEN a = '>' THEN 'accent' ELSE 'tap' END AS stroke_type FROM l")
+def x04_table_function(spark, d):
+    table_functions.register(spark)
+    texts = _texts(spark, d)
+    return spark.sql("SELECT id, e.* FROM {texts}, LATERAL expand_sticking(sticking, accents) e", texts=texts)
+
+
 @query("WITH t AS (SELECT p_partkey, ['(R)','R>','>L','l','(l)','R'][p_partkey % 6 + 1] AS k FROM part) SELECT p_partkey, upper(regexp_extract(k, '[RLrl]')) AS hand, CASE WHEN k LIKE '(%)' THEN 'grace' WHEN contains(k, '>') THEN 'accent' ELSE 'tap' END AS stroke_type FROM t")
 def q13_parse_token(spark, d):
     k = F.element_at(F.array(*map(F.lit, ("(R)", "R>", ">L", "l", "(l)", "R"))), (F.col("p_partkey") % 6 + 1).cast("int"))
