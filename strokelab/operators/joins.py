@@ -41,7 +41,7 @@ def in_measures(strokes: DataFrame, measures: DataFrame, key: str = "sample_id",
     the events in order, and measures meet events by segment.  Rows grow with events, borders and results; measures that
     overlap are split at each other's borders.
     """
-    m = measures.select(F.col(key).alias("_key"), F.col("index").alias("measure"), "stroke_start", "stroke_end").where("stroke_start < stroke_end")
+    m = shared.written(measures.select(F.col(key).alias("_key"), F.col("index").alias("measure"), "stroke_start", "stroke_end").where("stroke_start < stroke_end"))
     borders = m.select("_key", F.explode(F.array("stroke_start", "stroke_end")).alias("_at")).distinct()
     borders = borders.withColumn("_segment", F.row_number().over(Window.partitionBy("_key").orderBy("_at")))
     first, behind = (borders.select("_key", F.col("_at").alias(c), F.col("_segment").alias(f"_{c}")) for c in ("stroke_start", "stroke_end"))
@@ -73,7 +73,7 @@ def drop_resonance(points: DataFrame, window_ms: float = 25.0, ratio: float = 0.
     return p.join(strong, hit, "left_anti").drop("_bucket")
 
 
-def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0, key: str = "sample_id") -> DataFrame:
+def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0, key: str = "sample_id", rounds: int = 3) -> DataFrame:
     """One-to-one matches (position, detected, distance) of points nearer than the window (O-J10).
 
     Strong truths choose first (equally strong ones by position), each the nearest point still free (the earlier of equally
@@ -82,29 +82,38 @@ def match_nearest(truth: DataFrame, detected: DataFrame, window_ms: float = 50.0
     Instead of one choice after the other there are rounds over all candidates: a truth whose nearest free point has no
     stronger truth near it takes that point for good; a point that some truth would take is closed to all weaker ones.  The
     strongest truth left always gets its point, so rounds end; what a sample's points crowd decides their number, not how
-    many points or samples there are.
+    many points or samples there are.  ``rounds`` of them are one job, then what is left is written.
     """
     t = truth.select(F.col(key).alias("_key"), "position", F.struct((-F.col("velocity")).alias("v"), "position").alias("_turn"), F.col("time_ms").alias("_t"), F.floor(F.col("time_ms") / window_ms).alias("_b"))
     d = detected.select(F.col(key).alias("_k"), "detected", F.col("time_ms").alias("_d"), _buckets(F.col("time_ms"), window_ms).alias("_near"))
     distance = F.abs(F.col("_t") - F.col("_d"))
     near = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (distance < window_ms))
     left = near.select("_key", "position", "_turn", "detected", distance.alias("distance"))
-    of_truth, of_point = Window.partitionBy("_key", "position"), Window.partitionBy("_key", "detected")
+    left = left.withColumn("_match", F.lit(False))
     matches = None
     while True:
-        wish = left.withColumn("_wish", F.row_number().over(of_truth.orderBy("distance", "detected")) == 1)
-        asked = wish.withColumn("_first", F.min("_turn").over(of_point)).withColumn("_holder", F.min(F.when(F.col("_wish"), F.col("_turn"))).over(of_point))
-        asked = asked.withColumn("_match", F.col("_wish") & (F.col("_turn") == F.col("_first")))
-        # Weaker truths than the one that would take the point can't get it any more.
-        kept = asked.where(F.col("_holder").isNull() | (F.col("_turn") <= F.col("_holder")))
-        step = shared.written(kept.withColumn("_settled", F.max("_match").over(of_truth)).where("_match or not _settled").select("_key", "position", "_turn", "detected", "distance", "_match"))
+        # A pair that is matched is alone with its truth and its point, so further rounds leave it as it is.
+        for _ in range(rounds):
+            left = _match_round(left)
+        step = shared.written(left)
         found = step.where("_match")
         matches = found if matches is None else matches.unionByName(found)
-        left = step.where("not _match").drop("_match")
+        left = step.where("not _match")
         if left.isEmpty():
             return matches.select(F.col("_key").alias(key), "position", "detected", "distance")
 
 
+def _match_round(pairs: DataFrame) -> DataFrame:
+    """One round over candidates (_key, position, _turn, detected, distance): marks matches, drops pairs that can't be any."""
+    of_truth, of_point = Window.partitionBy("_key", "position"), Window.partitionBy("_key", "detected")
+    wish = pairs.withColumn("_wish", F.row_number().over(of_truth.orderBy("distance", "detected")) == 1)
+    asked = wish.withColumn("_first", F.min("_turn").over(of_point)).withColumn("_holder", F.min(F.when(F.col("_wish"), F.col("_turn"))).over(of_point))
+    asked = asked.withColumn("_match", F.col("_wish") & (F.col("_turn") == F.col("_first")))
+    # Weaker truths than the one that would take the point can't get it any more.
+    kept = asked.where(F.col("_holder").isNull() | (F.col("_turn") <= F.col("_holder")))
+    return kept.withColumn("_settled", F.max("_match").over(of_truth)).where("_match or not _settled").select("_key", "position", "_turn", "detected", "distance", "_match")
+
+
 def supplement(truth: DataFrame, detected: DataFrame, curves: DataFrame, fps: float = 100.0, floor: float = 0.01, near_ms: float = 20.0, key: str = "sample_id") -> DataFrame:
     """Points to add where an event has no detection near it and the activation curve is high enough (O-J11).
 

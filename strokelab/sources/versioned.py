@@ -142,9 +142,8 @@ def merge(new: DataFrame, path: str, keys: list[str], sequence: str = "_seq", bu
     touched = sorted(str(r[0]) for r in rows.select(BUCKET).distinct().collect())
     folder = f"{after:08d}-{uuid.uuid4().hex}"
     if touched:
-        # One row a key before the shuffle, so that a key of very many rows is no task of its own.
-        last = F.max_by(F.struct(*new.columns), F.col(sequence)).alias("_last")
-        rows = rows.groupBy(BUCKET, *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(last).select("_last.*", BUCKET)
+        # One row a key already in the tasks that read the batch, so that a key of very many rows is no task of its own.
+        rows = tables.keep_last(rows, [BUCKET, *keys], [F.col(sequence)])
         old = _frame(spark, path, body | {"schema": schema.jsonValue()}, touched).withColumn(BUCKET, bucket_of(keys, body["buckets"]))
         kept = tables.keep_last(old.unionByName(rows, allowMissingColumns=True).repartition(len(touched), BUCKET), [BUCKET, *keys], [F.col(sequence)])
         kept.write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
