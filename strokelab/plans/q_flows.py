@@ -16,7 +16,7 @@ from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.plans.q_tables import SM, SO, SPLIT_SQL, ST, orders, some_splits
 from strokelab.sources import catalogue, tables, versioned
 from strokelab.sources.shared import scratch, written
-from strokelab.streaming import ingest, statelog
+from strokelab.streaming import ingest, progress, statelog
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -215,6 +215,29 @@ def t01_ingest(spark, d):
     return rounded(versioned.read(spark, f"{path}/out").drop("_seq"), 2)
 
 
+@query(
+    """WITH b AS (SELECT event_id % 6 AS i, count(*) FILTER (value >= 10) AS good, count(*) FILTER (value < 10) AS bad FROM events GROUP BY 1), c AS (SELECT sum(good) OVER w AS completed, sum(bad) OVER w AS failed, (SELECT count(*) FROM events) AS total FROM b WINDOW w AS (ORDER BY i))
+SELECT completed::BIGINT AS completed, failed::BIGINT AS failed, (total - completed - failed)::BIGINT AS remaining, round(100.0 * completed / total, 4)::DOUBLE AS percent FROM c"""
+)
+def x05_stream_progress(spark, d):
+    """What a listener is told after each of six batches; rows under a value of 10 can't be used."""
+    path = scratch(spark)
+    e = fx.table(spark, d, "events").select("event_id", "user_id", "value")
+    for i in range(6):
+        e.where(F.col("event_id") % 6 == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    seen = []
+    listener = progress.StreamProgress(seen.append, e.count())
+    spark.streams.addListener(listener)
+    try:
+        schema = "event_id long, user_id long, value double"
+        ingest.ingest(spark, f"{path}/in", f"{path}/out", f"{path}/state", schema, ["user_id"], "event_id", 1, buckets=16, failed=F.col("value") < 10).awaitTermination()
+        listener.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    told = [(p.completed, p.failed, p.remaining, p.percent) for p in seen if not p.done]  # one row a batch
+    return rounded(spark.createDataFrame(told, "completed long, failed long, remaining long, percent double"), 4)
+
+
 @query(SO + ", p AS (SELECT DISTINCT profile_id AS id FROM so) SELECT id, CASE WHEN id % 7 IN (1, 4) THEN 'pending' WHEN id % 7 = 5 THEN 'failed' ELSE 'completed' END AS status, id % 3 = 0 AS in_test FROM p")
 def t02_resume(spark, d):
     """Seven epochs, each the outcomes of the profiles of one residue, with a snapshot every third; the fifth epoch is cut short."""

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import functools
 import uuid
+from collections.abc import Callable
+from contextlib import nullcontext
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from strokelab.operators import numbering
 from strokelab.schemas import DDL, KEYS, nan_to_null
 from strokelab.sources import shared
+from strokelab.streaming.progress import Progress, watch
 
 
 def read_table(spark: SparkSession, folder: str, name: str, ids: DataFrame | list | None = None, columns: list[str] | None = None, key: str = "sample_id") -> DataFrame:
@@ -125,14 +129,20 @@ def upsert(new: DataFrame, path: str, keys: list[str], sequence: str = "_seq") -
         fs.delete(o, True)
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", compression: str = "snappy") -> dict[str, int]:
-    """Write all tables and return the rows written of each, counted on the way (O-S06, O-X05)."""
+def write_tables(
+    tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", compression: str = "snappy", callback: Callable[[str, Progress], None] | None = None
+) -> dict[str, int]:
+    """Write all tables and return the rows written of each, counted on the way (O-S06, O-X05).
+
+    ``callback`` gets a table's name and the progress of its tasks, again and again while it is written.
+    """
     from pyspark.sql import Observation
 
     out = {}
     for name, df in tables.items():
         seen = Observation(f"rows_{name}")
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", compression).parquet(f"{folder}/{name}.parquet")
+        with watch(df.sparkSession, partial(callback, name)) if callback else nullcontext():
+            df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", compression).parquet(f"{folder}/{name}.parquet")
         out[name] = seen.get["n"]
     return out
 
