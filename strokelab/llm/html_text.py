@@ -12,13 +12,14 @@ instance, differ on every page, which no entropy can tell from an article.
 Defined results: null and empty html gives empty text; pages without a host, and the only page of a host, have no
 evidence and are cleaned by markup alone; equal pages count as one; an article that the host's pages all share is not
 judged by its own repetition, nor is a site whose pages hold nothing else; repeated rows get the same text; an empty table
-gives an empty result.
+gives an empty result; blocks more than 256 deep are part of the node above them.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -57,19 +58,25 @@ CLOSES = {
 }
 SCOPE = frozenset("article aside blockquote body div dl fieldset footer form header html main nav ol section table td th ul".split())
 DROP_TAGS = frozenset("head nav footer aside form button select menu dialog audio video canvas search".split())
-DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar comment".split())
 #: A class (or the id of a plain container) says that an element is no article text where all of its words are in these
 #: two sets and one is in the first: ``cookie-notice`` and ``comment-list-2``, but not ``related-work`` or ``side-effects``.
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos promotion promotions cookie cookies consent gdpr notice notices "
     "alert alerts popup popups modal newsletter newsletters subscribe subscription comment comments disqus respond replies reply sidebar sidebars widget widgets "
     "related recommended recommendations share sharing social menu menus navbar nav navigation breadcrumb breadcrumbs pagination pager footer masthead copyright "
-    "login signup searchbox toolbar hidden".split()
+    "login signup searchbox toolbar hidden banner banners".split()
 )
 LAYOUT_WORDS = frozenset(
     "area bar block body bottom box button buttons column container content first form group header icons inline inner item items last left link links list main outer page panel "
     "post posts reader row section site skip slot sticky story stories text thread title top unit user wrap wrapper right side articles article".split()
 )
+#: An article of its own that is marked by one of these is a reader's.
+READER_WORDS = frozenset("comment comments reply replies respond".split())
+#: Classes of a site's header, which within an article go too; an article's own (``post-header``) stays there.
+SITE_HEADERS = (frozenset(["header"]), frozenset(["site", "header"]))
+#: Blocks nested deeper than this belong to the node of this depth, so that paths stay short.
+DEEPEST = 256
 CONTAINERS = frozenset("div aside ul ol dl table form span p center fieldset".split())
 
 
@@ -87,30 +94,49 @@ class Element:
     drop: bool
     main: bool
     judged: bool  # by the style tree
+    depth: int = 0  # in blocks
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _other(token: str) -> bool:
-    words = [w for w in re.split(r"[-_]+|\d+|(?<=[a-z])(?=[A-Z])", token) if w]
-    lower = {w.lower() for w in words}
-    return bool(lower & OTHER_WORDS) and lower <= OTHER_WORDS | LAYOUT_WORDS
+def _words(token: str) -> set[str]:
+    return {w.lower() for w in re.split(r"[-_]+|\d+|(?<=[a-z])(?=[A-Z])", token) if w}
+
+
+def _parts(word: str) -> set[str]:
+    """A word of two known ones of four letters or more is these two: ``commentlist``."""
+    known = OTHER_WORDS | LAYOUT_WORDS
+    for k in range(4, len(word) - 3) if word not in known else ():
+        if word[:k] in known and word[k:] in known:
+            return {word[:k], word[k:]}
+    return {word}
+
+
+def _other(token: str, telling: frozenset = OTHER_WORDS) -> bool:
+    words = {p for w in _words(token) for p in _parts(w)}
+    return bool(words & telling) and words <= OTHER_WORDS | LAYOUT_WORDS
 
 
 def _declared(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
     """The markup says that this element is no part of the article."""
     if tag in DROP_TAGS or (tag == "header" and not in_main):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return True
-    if attributes.get("role", "").lower() in DROP_ROLES:
+    if attributes.get("role", "").lower() in DROP_ROLES or attributes.get("itemprop", "").lower() == "comment":
+        return True
+    classes = attributes.get("class", "").split()
+    if tag == "article" and not in_main:
+        return any(_other(c, READER_WORDS) for c in classes)
+    names = classes + (attributes.get("id", "").split() if tag in CONTAINERS else [])
+    if any(map(_other, names)):
         return True
-    names = attributes.get("class", "").split() + (attributes.get("id", "").split() if tag in CONTAINERS else [])
-    return any(map(_other, names))
+    # A header of any other element than the tag of that name, which an article has for its title.
+    return any("header" in (w := _words(n)) and (w in SITE_HEADERS or (not in_main and w <= LAYOUT_WORDS)) for n in names) and tag in CONTAINERS | {"section"}
 
 
 def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True) -> tuple[list[Block], dict[str, list[str]]]:
@@ -126,39 +152,40 @@ def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True)
 
     def end_block() -> None:
         if held:
-            # White space of any kind is one space; references are decoded first.
-            text = " ".join(entities.unescape("".join(held)).split())
+            # White space of any kind is one space; references were decoded in each text node before.
+            text = " ".join("".join(held).split())
             held.clear()
             top = stack[-1]
             if text and not top.drop:
-                at = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
-                blocks.append(Block(at.path, top.main, text))
+                blocks.append(Block(top.path, top.main, text))
 
     def pop_to(k: int) -> None:
         if any(e.tag in BLOCK for e in stack[k:]):
             end_block()
         elif any(e.drop for e in stack[k:]) and not stack[k - 1].drop:
             held[:] = held[: marks.pop(k, len(held))] + [" "]
+        opened.subtract(e.tag for e in stack[k:])
         del stack[k:]
 
+    opened: Counter[str] = Counter()  # open elements by tag
     marks: dict[int, int] = {}  # where the text of a dropped inline element begins, by its depth
     at = 0
     size = len(page)
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
-            held.append(page[at:])
+            held.append(entities.unescape(page[at:]))
             break
         if m.start() > at:
-            held.append(page[at : m.start()])
+            held.append(entities.unescape(page[at : m.start()]))
         at = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                held.append(entities.escape(m[0][9:].removesuffix("]]>"), quote=False))
+                held.append(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
         if m[1]:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0) if opened[tag] else 0
             if k:
                 pop_to(k)
             elif tag == "p":
@@ -174,7 +201,7 @@ def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True)
         if tag in BLOCK:
             end_block()
         for other in CLOSES.get(tag, ()):
-            for i in range(len(stack) - 1, 0, -1):
+            for i in () if not opened[other] else range(len(stack) - 1, 0, -1):
                 if stack[i].tag == other:
                     pop_to(i)
                     break
@@ -186,8 +213,9 @@ def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True)
                 held.append(" ")
             continue
         attributes = _attributes(m[3]) if m[3].strip(" /") else {}
-        path, drop, judged = top.path, top.drop, top.judged
-        if tag in BLOCK:
+        path, drop, judged, depth = top.path, top.drop, top.judged, top.depth
+        if tag in BLOCK and depth < DEEPEST:
+            depth += 1
             label = tag + "".join(f".{c}" for c in sorted(attributes.get("class", "").split())) + (f"#{attributes['id']}" if attributes.get("id") else "")
             label = re.sub(r"[0-9]+", "0", label).replace("/", "_")
             styles.setdefault(top.path, []).append(label)
@@ -200,7 +228,8 @@ def parse(page: str | None, low: frozenset = frozenset(), declared: bool = True)
             drop = _declared(tag, attributes, top.main)
         if drop and not top.drop and tag not in BLOCK:
             marks[len(stack)] = len(held)
-        stack.append(Element(tag, path, drop, top.main or tag in ("article", "main"), judged))
+        stack.append(Element(tag, path, drop, top.main or tag in ("article", "main"), judged, depth))
+        opened[tag] += 1
     if len(stack) > 1:
         pop_to(1)
     end_block()

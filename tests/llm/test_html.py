@@ -3,6 +3,7 @@
 import html
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -77,3 +78,28 @@ def test_awkward_pages(spark):
         assert r["n_chars"] == len(r["text"])
         got[r["page_id"]].append(r["text"])
     assert got == {1: ["", ""], 2: [words], 3: [""], None: ["x"], 4: ["y", "y"]}
+
+
+def test_reader_comments_and_headers_go():
+    text = html_text.main_text
+    assert text("<article><p>p</p><article class='comment'><p>c</p></article></article>") == "p"
+    assert text("<main><article class='post'><p>p</p></article><article class='comment-item even'><p>c</p></article><article itemprop=comment><p>d</p></article></main>") == "p"
+    assert text("<article class='news sponsors-story'><p>p</p></article><article class='comment'>c</article>") == "p"
+    assert text("<article><p>p<ol class=commentlist><li>c</ol><ol class=steps><li>s</ol><div role=comment>r</div></article>") == "p\ns"
+    assert text("<article><section class=banner>b</section><div class=header>h</div><div class='site-header'>h</div><div class='post-header'><h1>t</h1></div><header><p>by</header>p</article>") == "t\nby\np"
+    assert text("<div class='page-header'>h</div><p class=header>q</p><h2 class=header>t</h2><p>p</p>") == "t\np"
+
+
+def test_references_are_decoded_in_each_text_node():
+    text = html_text.main_text
+    assert text("<p>a&<b>amp;</b>x &amp;lt; y&#38;<i>lt;</i></p>") == "a&amp;x &lt; y&lt;"
+    assert text("<p>a&nbsp;&#9; b<![CDATA[ &amp; ]]>c</p>") == "a b &amp; c"
+
+
+def test_deep_pages():
+    deep = "<div class=a>" * 200_000 + "x" + "</span>" * 200_000 + "<p>y</p>"
+    begin = time.process_time()
+    assert html_text.main_text(deep) == "x\ny"
+    _, seen = html_text.page_features("<b>" * 50_000 + "<p>u</p>" * 50_000 + deep)
+    assert time.process_time() - begin < 30
+    assert max(path.count("/") for path, _, _ in seen) == html_text.DEEPEST
