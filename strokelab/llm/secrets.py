@@ -3,8 +3,9 @@
 Credentials found by the base rules are the labelled examples.  A bounded sample of them (``max_examples`` distinct
 values of at most ``max_chars`` characters, taken by hash) gives one prefix tree per kind over characters and character
 classes; states are merged where their outcome frequencies are statistically compatible (ALERGIA, Hoeffding bound), which
-leaves a small probabilistic automaton.  Values are learned whole, with their ends.  Every remaining candidate of every text (a run of credential characters as
-long as the kind's shortest example) is then scored by its likelihood per symbol under each automaton, end included, and
+leaves a small probabilistic automaton.  Values are learned whole, with their ends.  Every remaining candidate of every
+text (a run of credential characters as long as the kind's shortest example; where examples hold dots inside, also runs of
+as many parts between dots, longest first) is then scored by its likelihood per symbol under each automaton, end included, and
 added where it reads like the examples and its characters are far less likely in the running text around
 (``Background``: pairs of bytes of all texts outside the base spans).
 
@@ -48,9 +49,18 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, shortest: int) -> Iterator[tuple[int, int]]:
-    """All runs of credential characters of at least this length."""
-    return (m.span() for m in re.finditer(f"{RUN}{{{shortest},}}", text))
+def candidates(text: str, shortest: int, dots: int = 0) -> Iterator[list[tuple[int, int]]]:
+    """All runs of credential characters of at least this length, each as its parts between single dots.
+
+    Without ``dots``, the most that a credential holds inside, a run is one part.
+    """
+    if not dots:
+        yield from ([m.span()] for m in re.finditer(f"{RUN}{{{shortest},}}", text))
+        return
+    part = re.compile(f"{RUN}+")
+    for m in re.finditer(rf"{RUN}++(?:\.{RUN}++)*+", text):
+        if m.end() - m.start() >= shortest:
+            yield [p.span() for p in part.finditer(text, *m.span())]
 
 
 #: Sets of characters, smaller ones first; a value's class is the first that holds all its letters and digits.
@@ -230,6 +240,8 @@ class Grammar:
             scores = sorted(machine.score(v) / (len(v) + 1) for v in values)
             self.parts.append((machine, scores[int(quantile * (len(scores) - 1))] - slack, min(map(len, values))))
         self.shortest = min((shortest for _, _, shortest in self.parts), default=0)
+        # A dot at an end is the sentence's.
+        self.dots = max((v.strip(".").count(".") for values in examples.values() for v in values), default=0)
 
     def accepts(self, value: str) -> bool:
         likely = [score for machine, floor, shortest in self.parts if len(value) >= shortest and (score := machine.score(value)) / (len(value) + 1) >= floor]
@@ -243,10 +255,18 @@ def all_spans(text: str, grammar: Grammar) -> tuple[list[tuple[str, int, int]],
     if grammar.parts:
         # By start, each with the furthest end so far: a candidate overlaps one iff the last that starts before its end does.
         starts, ends = [s for _, s, _ in base], list(accumulate((e for *_, e in base), max))
-        for start, end in candidates(text, grammar.shortest):
-            before = bisect_left(starts, end)
-            if not (before and ends[before - 1] > start) and grammar.accepts(text[start:end]):
-                extra.append(("learned", start, end))
+        for parts in candidates(text, grammar.shortest, grammar.dots):
+            at = 0
+            while at < len(parts):
+                # From the left, the most parts that read like one credential.
+                for k in range(min(len(parts), at + grammar.dots + 1), at, -1):
+                    start, end = parts[at][0], parts[k - 1][1]
+                    before = bisect_left(starts, end)
+                    if end - start >= grammar.shortest and not (before and ends[before - 1] > start) and grammar.accepts(text[start:end]):
+                        extra.append(("learned", start, end))
+                        at = k - 1
+                        break
+                at += 1
     order = {**{k: i for i, k in enumerate(KINDS)}, "learned": len(KINDS)}
     return base, sorted(base + extra, key=lambda s: (s[1], order[s[0]]))
 

@@ -78,3 +78,15 @@ def test_every_candidate_is_scored(spark):
             if m.end() - m.start() >= grammar.shortest and not any(s < m.end() and m.start() < e for _, s, e in base) and grammar.accepts(m[0])
         ]
         assert r["spans"] == secrets.written(sorted(base + more, key=lambda s: (s[1], [*secrets.KINDS, "learned"].index(s[0]))))
+
+
+def test_tokens_of_dotted_parts(spark):
+    key = lambda: f"eyJ{some(LETTERS, 17)}.eyJ{some(LETTERS, 27)}.{some(LETTERS, 24)}"
+    rows = [(i, f"token={key()} and so on. {text_of(i, 30)}", "en", "a", 1) for i in range(120)]
+    value, other = key(), key()
+    rows += [(900, f"bearer {value}. Then see.{other}.html", "en", "a", 1), (901, "www.example.com/a.b.c and internationalisation.module.submodule.function.name", "en", "a", 1)]
+    rows += [(902, f"{some('xyz', 20)}.{some('xyz', 30)}.{some('xyz', 24)} {value[:40]} {'a.' * 20_000}", "en", "a", 1)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    at = 7 + len(value) + len(". Then see.")
+    assert got[900] == f"learned:7:{7 + len(value)},learned:{at}:{at + len(other)}"
+    assert got[901] == "" and got[902] == ""
