@@ -1,24 +1,32 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded sample of labelled rows (``max_examples``, by hash of the id) gives the examples.  All terms of theirs (words, and
-prefixes of longer words) that their labels depend on significantly form the vocabulary; document frequencies of these
-terms are counted over all documents.  Examples with equal vectors are one entry with several votes.  Entries lie in blocks; the
-largest weight of each term in each block bounds every cosine in the block, and blocks are read by falling bound until
-no other can reach the k-th nearest, so the neighbours are exact.  Votes are weighted by similarity and smoothed by the
-rate among all examples, which keeps scores calibrated.
-
-Defined results: null, empty and unremarkable texts (no vocabulary term) get the rate of such examples; repeated rows
+A bounded sample of labelled rows (``max_examples``, by hash of the id) gives the examples.  All their words are terms, and
+so are prefixes of longer words that labels depend on.  A term's weight is its IDF over all documents times a gain: a small
+one for every word (``ordinary``), and more the more the labels of the examples depend on the term.  So no text with a known
+word is without neighbours, while common words don't drown the few that tell.
+
+Examples with equal vectors are one entry with several votes.  The index keeps postings of the terms of high gain; entries lie in
+blocks, and the largest weight of each such term in each block bounds its part of every cosine there.  What all other terms
+can add is at most the product of both vectors' norms over them.  Blocks are read by falling bound until no other can reach
+the k-th nearest, and entries that can are completed over all their terms, so the neighbours are exact.  Votes are weighted
+by similarity, as against the nearest, and smoothed by the rate among all examples, which keeps scores calibrated.
+
+Terms are known by 63-bit hashes (of a million terms, two share one with a probability of 6e-8).
+
+Defined results: null and empty texts, and those without any word of an example, get the rate of such examples; repeated rows
 get the same score; of several texts of one labelled id the least one is the example, and it is toxic if any label says so; without labels every score is 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,39 +34,41 @@ from strokelab.llm.common import materialize
 
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 _FLUSH = 300_000
+_CACHE = 150_000
+CHUNK = 4096
 
 
-def terms(text: str | None, prefixes: tuple[int, ...]) -> Counter:
-    """How often each word, and each prefix (so many characters and a star) of a longer word, occurs."""
-    words = Counter((text or "").encode().translate(_SPLIT).split())
-    out = Counter()
-    for w, n in words.items():
-        word = w.decode()
-        out[word] += n
-        for p in prefixes:
-            if len(word) > p:
-                out[word[:p] + "*"] += n
-    return out
+def hashes(word: bytes, prefixes: tuple[int, ...]) -> list[int]:
+    """Hashes of a word (even) and of those of its prefixes (so many characters; odd) that are shorter than itself."""
+    if word.isascii():
+        heads = [word[:p] for p in prefixes if len(word) > p]
+    else:
+        text = word.decode()
+        heads = [text[:p].encode() for p in prefixes if len(text) > p]
+    return [xxhash.xxh64_intdigest(word) & ~1] + [xxhash.xxh64_intdigest(h) | 1 for h in heads]
+
+
+def words(text: str | None) -> Counter:
+    return Counter((text or "").encode().translate(_SPLIT).split())
 
 
 def _by_label(prefixes: tuple[int, ...]):
+    """Per term and task: how many toxic and how many other texts hold it."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        seen: tuple[Counter, Counter] = Counter(), Counter()
 
         def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64())],
-                ["term", "pos", "neg"],
-            )
-            seen.clear()
+            of = np.fromiter(seen[0].keys() | seen[1].keys(), np.uint64)
+            b = pa.RecordBatch.from_arrays([pa.array(of.view(np.int64)), *(pa.array([c[h] for h in of.tolist()], pa.int64()) for c in (seen[1], seen[0]))], ["term", "pos", "neg"])
+            for c in seen:
+                c.clear()
             return b
 
         for b in batches:
             for t, y in zip(b.column(0), b.column(1), strict=True):
-                label = y.as_py()
-                for w in terms(t.as_py(), prefixes):
-                    seen[w][label] += 1
-                if len(seen) > _FLUSH:
+                seen[y.as_py()].update({h for w in words(t.as_py()) for h in hashes(w, prefixes)})
+                if len(seen[0]) + len(seen[1]) > _FLUSH:
                     yield out()
         yield out()
 
@@ -66,133 +76,207 @@ def _by_label(prefixes: tuple[int, ...]):
 
 
 class Vocabulary:
-    def __init__(self, chosen: list[str]):
-        self.words = {w.encode(): i for i, w in enumerate(chosen) if not w.endswith("*")}
-        self.stems = {w[:-1]: i for i, w in enumerate(chosen) if w.endswith("*")}
-        self.lengths = sorted({len(w) for w in self.stems})
-
-    def features(self, text: str | None) -> list[tuple[int, int]]:
-        """(term number, occurrences), by term number."""
-        found: Counter = Counter()
-        for w, n in Counter((text or "").encode().translate(_SPLIT).split()).items():
-            if w in self.words:
-                found[self.words[w]] += n
-            word = w.decode()
-            for p in self.lengths:
-                if len(word) > p and (i := self.stems.get(word[:p])) is not None:
-                    found[i] += n
-        return sorted(found.items())
-
-
-def _features(vocabulary: Vocabulary):
-    kind = pa.list_(pa.int32())
+    """Numbers of terms: those of largest gain first."""
+
+    def __init__(self, terms: np.ndarray, gain: np.ndarray, prefixes: tuple[int, ...]):
+        order = np.lexsort((terms, -gain))
+        self.gain, self.prefixes = gain[order], prefixes
+        by_hash = np.argsort(terms[order])
+        self.terms, self.number = terms[order][by_hash], by_hash.astype(np.int32)
+        self.known: dict[bytes, list[int]] = {}
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Look up the terms of these words and keep their numbers."""
+        of = [hashes(w, self.prefixes) for w in new]
+        flat = np.array([h for hs in of for h in hs], np.uint64)
+        at = np.minimum(np.searchsorted(self.terms, flat), len(self.terms) - 1)
+        numbers = np.where(self.terms[at] == flat, self.number[at], -1).tolist()
+        done = 0
+        for w, hs in zip(new, of, strict=True):
+            self.known[w] = [i for i in numbers[done : done + len(hs)] if i >= 0]
+            done += len(hs)
+
+    def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers, rising, and how often each occurs."""
+        counted = words(text)
+        if not len(self.terms) or not counted:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        every: list[int] = []
+        often: list[int] = []
+        items = list(counted.items())
+        for start in range(0, len(items), _CACHE):
+            part = items[start : start + _CACHE]
+            if len(self.known) > _CACHE:
+                self.known.clear()
+            if new := [w for w, _ in part if w not in self.known]:
+                self.learn(new)
+            for w, n in part:
+                numbers = self.known[w]
+                every += numbers
+                often += [n] * len(numbers)
+        at, inverse = np.unique(np.array(every, np.int32), return_inverse=True)
+        return at, np.bincount(inverse, often, len(at)).astype(np.int64)
+
+
+def _frequencies(vocabulary: Vocabulary):
+    """How many texts of a task hold each term: numbers in compressed chunks of the vocabulary."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(-(-len(vocabulary) // CHUNK) * CHUNK, np.int64)
+        rows = 0
         for b in batches:
-            rows = [vocabulary.features(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([[i for i, _ in r] for r in rows], kind), pa.array([[n for _, n in r] for r in rows], kind)], ["_key", "at", "tf"]
-            )
+            rows += b.num_rows
+            for t in b.column(0):
+                total[vocabulary.features(t.as_py())[0]] += 1
+        parts = total.reshape(-1, CHUNK)
+        some = [-1, *np.flatnonzero(parts.any(1)).tolist()]  # chunk -1: rows and tasks
+        packed = [zlib.compress((parts[c] if c >= 0 else np.array([rows, 1])).tobytes(), 1) for c in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["chunk", "packed"])
 
     return run
 
 
-def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many documents hold each vocabulary term: one row per term and task."""
-    total: Counter = Counter()
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the chunks that meet in a task."""
+    total: dict[int, np.ndarray] = {}
     for b in batches:
-        values, counts = np.unique(b.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-        total.update(dict(zip(values.tolist(), counts.tolist(), strict=True)))
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["i", "n"])
+        for c, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            n = np.frombuffer(zlib.decompress(packed), np.int64)
+            total[c] = total[c] + n if c in total else n
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.int64()))], ["chunk", "n"])
 
 
 class BlockMaxIndex:
-    """Labelled examples in blocks, with each term's largest weight in each block."""
+    """Labelled examples in blocks, with each high term's largest weight in each block."""
 
-    def __init__(self, examples: list[tuple], idf: np.ndarray, k: int, block: int = 64, smooth: float = 0.5):
-        self.idf, self.k, self.smooth = idf, k, smooth
+    def __init__(self, examples: list[tuple], weight: np.ndarray, high: int, k: int, block: int = 64, smooth: float = 0.5):
+        """``examples``: (key, term numbers, occurrences, label); terms below ``high`` have postings and block bounds."""
+        self.weight, self.high, self.k, self.block, self.smooth = weight, high, k, block, smooth
         votes: dict[tuple, list] = {}
         bare = [0, 0]
         for key, at, tf, label in examples:
-            if not at:
+            if not len(at):
                 bare[label] += 1
                 continue
-            v = votes.setdefault((tuple(at), tuple(tf)), [0, 0, []])
+            v = votes.setdefault((at.astype(">i4").tobytes(), tf.astype(">i8").tobytes()), [0, 0, [], at, tf])
             v[label] += 1
             v[2].append(key)
         total = len(examples)
         self.prior = sum(e[3] for e in examples) / total if total else 0.5
         self.bare = (bare[1] + self.smooth * self.prior) / (sum(bare) + self.smooth)
-        entries = sorted(votes.items())
-        self.pos = np.array([v[1] for _, v in entries], float)
-        self.all = np.array([v[0] + v[1] for _, v in entries], float)
-        self.evidence = [sorted(v[2])[:3] for _, v in entries]
-        self.n_blocks = (len(entries) + block - 1) // block
-        self.bound = np.zeros((len(idf), self.n_blocks))
-        rows = [(i, e, x) for e, ((at, tf), _) in enumerate(entries) for i, x in zip(at, self.weights(at, tf), strict=True)]
-        rows.sort()
-        # Postings by term, then entry; starts[i, b] is where block b of term i begins.
-        terms = np.array([r[0] for r in rows], np.int64)
-        self.entry, self.weight = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], float)
-        np.maximum.at(self.bound, (terms, self.entry // block), self.weight)
-        edges = np.arange(len(idf))[:, None] * (self.n_blocks + 1) * block + np.arange(self.n_blocks + 1)[None, :] * block
-        self.starts = np.searchsorted(terms * (self.n_blocks + 1) * block + self.entry, edges)
-        self.block, self.n = block, len(entries)
-
-    def weights(self, at, tf) -> np.ndarray:
-        w = (1 + np.log(np.asarray(tf, float))) * self.idf[list(at)]
-        size = math.sqrt(float(w @ w))
-        return w / size if size else w
-
-    def nearest(self, at: list[int], tf: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        # Numbers rise by falling gain, so that entries of the same telling terms lie together.
+        entries = [v for _, v in sorted(votes.items())]
+        self.pos, self.all = np.array([v[1] for v in entries], float), np.array([v[0] + v[1] for v in entries], float)
+        self.evidence = [sorted(v[2])[:3] for v in entries]
+        self.n = n = len(entries)
+        self.n_blocks = (n + block - 1) // block
+        size = np.array([len(v[3]) for v in entries], np.int64)
+        at = np.concatenate([np.empty(0, np.int32), *(v[3] for v in entries)])
+        tf = np.concatenate([np.empty(0, np.int64), *(v[4] for v in entries)])
+        entry = np.repeat(np.arange(n, dtype=np.int32), size)
+        raw = (1 + np.log(tf)) * weight[at]
+        self.norm = np.sqrt(np.bincount(entry, raw * raw, n))
+        top = at < high
+        rest = np.bincount(entry[~top], raw[~top] ** 2, n)
+        self.rest = np.sqrt(rest) / np.where(self.norm > 0, self.norm, 1)
+        self.rest_bound = np.zeros(self.n_blocks)
+        np.maximum.at(self.rest_bound, np.arange(n) // block, self.rest)
+        # Postings of high terms by term, then entry; starts[i, b] is where block b of term i begins.
+        order = np.flatnonzero(top)
+        order = order[np.argsort(at[order], kind="stable")]
+        terms, self.entry = at[order].astype(np.int64), entry[order]
+        self.share = raw[order] / self.norm[self.entry]
+        bound = np.zeros((high, self.n_blocks))
+        np.maximum.at(bound, (terms, self.entry // block), self.share)
+        self.bound = (bound * (1 + 1e-6)).astype(np.float32)
+        edges = np.arange(high)[:, None] * (self.n_blocks + 1) * block + np.arange(self.n_blocks + 1)[None, :] * block
+        self.starts = np.searchsorted(terms * (self.n_blocks + 1) * block + self.entry, edges).astype(np.int32)
+        # The other terms of each entry, with occurrences as numbers of their distinct values.
+        self.low_at = at[~top]
+        self.values, code = np.unique(tf[~top], return_inverse=True)
+        self.values, self.code = 1 + np.log(self.values), code.astype(np.min_scalar_type(max(len(self.values) - 1, 0)))
+        self.low = np.append(0, np.cumsum(np.bincount(entry[~top], minlength=n)))
+        self.query = np.zeros(len(weight))
+
+    def completed(self, ids: np.ndarray) -> np.ndarray:
+        """The low terms' part of the cosines of these entries with ``query``."""
+        n = self.low[ids + 1] - self.low[ids]
+        each = np.repeat(self.low[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        parts = self.values[self.code[each]] * self.query[self.low_at[each]]
+        return np.bincount(np.repeat(np.arange(len(ids)), n), parts, len(ids)) / self.norm[ids]
+
+    def nearest(self, at: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the k nearest votes, with all that tie with the last of them."""
-        w = self.weights(at, tf)
-        bounds = w @ self.bound[at]
+        w = (1 + np.log(tf)) * self.weight[at]
+        w /= math.sqrt(float(w @ w))
+        m = int(np.searchsorted(at, self.high))
+        top, v = at[:m], w[:m]
+        rest = math.sqrt(float(w[m:] @ w[m:]))
+        self.query[at[m:]] = w[m:] * self.weight[at[m:]]
+        bounds = v.astype(np.float32) @ self.bound[top] * (1 + 1e-4) + rest * self.rest_bound
         order = np.argsort(-bounds, kind="stable")
         ids, sims, floor = np.empty(0, np.int64), np.empty(0), 0.0
         done, some = 0, 8
         # Blocks by falling bound, twice as many each time, until none can reach the k-th nearest.
-        while done < len(order) and bounds[order[done]] > 0 and bounds[order[done]] >= floor - 1e-12:
+        while done < len(order) and bounds[order[done]] > 0 and bounds[order[done]] >= floor - 1e-9:
             blocks = order[done : done + some]
+            blocks = blocks[bounds[blocks] >= floor - 1e-9]
             done, some = done + some, 2 * some
-            start = self.starts[at][:, blocks]
-            n = (self.starts[at][:, blocks + 1] - start).ravel()
+            start = self.starts[top[:, None], blocks]
+            n = (self.starts[top[:, None], blocks + 1] - start).ravel()
             each = np.repeat(start.ravel() - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            place = np.repeat(np.tile(np.arange(len(blocks)), len(at)), n) * self.block + self.entry[each] % self.block
-            cos = np.bincount(place, self.weight[each] * np.repeat(np.repeat(w, len(blocks)), n), len(blocks) * self.block)
-            new = np.flatnonzero(cos > 0)
-            ids, sims = np.append(ids, blocks[new // self.block] * self.block + new % self.block), np.append(sims, cos[new])
-            rank = np.lexsort((ids, -sims))
-            ids, sims = ids[rank], sims[rank]
-            last = int(np.searchsorted(np.cumsum(self.all[ids]), self.k))
-            if last < len(ids):
-                floor = sims[last]
-                keep = sims >= floor - 1e-12
-                ids, sims = ids[keep], sims[keep]
+            place = np.repeat(np.tile(np.arange(len(blocks)), m), n) * self.block + self.entry[each] % self.block
+            cos = np.bincount(place, self.share[each] * np.repeat(np.repeat(v, len(blocks)), n), len(blocks) * self.block)
+            of = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+            real = of < self.n
+            of, cos = of[real], cos[real]
+            reach = cos + rest * self.rest[of]
+            ranked = np.argsort(-reach, kind="stable")
+            ranked = ranked[reach[ranked] > 0]
+            first, more = 0, 2 * self.k
+            # Entries by falling bound, until none of these blocks can reach the k-th nearest.
+            while first < len(ranked) and reach[ranked[first]] >= floor - 1e-9:
+                new = ranked[first : first + more]
+                new = new[reach[new] >= floor - 1e-9]
+                first, more = first + more, 2 * more
+                full = cos[new] + self.completed(of[new])
+                ids, sims = np.append(ids, of[new][full > 0]), np.append(sims, full[full > 0])
+                rank = np.lexsort((ids, -sims))
+                ids, sims = ids[rank], sims[rank]
+                last = int(np.searchsorted(np.cumsum(self.all[ids]), self.k))
+                if last < len(ids):
+                    floor = sims[last]
+                    keep = sims >= floor - 1e-12
+                    ids, sims = ids[keep], sims[keep]
+        self.query[at[m:]] = 0
         return ids, sims
 
-    def score(self, at: list[int], tf: list[int]) -> tuple[float, list[int]]:
-        if not at or not self.n:
+    def score(self, at: np.ndarray, tf: np.ndarray) -> tuple[float, list]:
+        if not len(at) or not self.n:
             return self.bare, []
         ids, sims = self.nearest(at, tf)
         if not len(ids):
             return self.prior, []
-        w = sims**2
+        w = (sims / sims[0]) ** 2  # by the nearest: what all share with the text only by common words still votes
         score = (w @ self.pos[ids] + self.smooth * self.prior) / (w @ self.all[ids] + self.smooth)
         return float(min(1.0, max(0.0, score))), self.evidence[ids[0]]
 
 
-def _score(index: BlockMaxIndex, entries: int = 100_000):
+def _score(vocabulary: Vocabulary, index: BlockMaxIndex):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict = {}
         for b in batches:
             scores, evidence = [], []
-            for at, tf in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                key = (tuple(at), tuple(tf))
+            for t in b.column(1):
+                text = t.as_py() or ""
+                key = xxhash.xxh128_digest(text)
                 if key not in kept:
-                    if len(kept) >= entries:
+                    if len(kept) >= _CACHE:
                         kept.clear()
-                    kept[key] = index.score(at, tf)
+                    kept[key] = index.score(*vocabulary.features(text))
                 s, e = kept[key]
                 scores.append(s)
                 evidence.append(e)
@@ -201,6 +285,20 @@ def _score(index: BlockMaxIndex, entries: int = 100_000):
     return run
 
 
+def gains(terms: np.ndarray, pos: np.ndarray, neg: np.ndarray, p: int, n: int, significance: float, ordinary: float, least: int) -> np.ndarray:
+    """What a term counts for: the root of its chi-squared by ``significance``, much less where that is under one.
+
+    A word counts for ``ordinary`` more, a prefix for nothing up to twice that; nor does a term of fewer than ``least`` examples
+    count for more than ``ordinary``.
+    """
+    a, c = pos.astype(float), neg.astype(float)
+    b, d = p - a, (n - p) - c
+    below = (a + b) * (c + d) * (a + c) * (b + d)
+    strength = np.where(below > 0, n * (a * d - b * c) ** 2 / np.where(below > 0, below, 1), 0) / significance
+    told = np.where(a + c >= least, np.sqrt(strength) * np.minimum(1, strength**2), 0)
+    return np.where(terms % np.uint64(2) == 0, ordinary + told, np.where(told > 2 * ordinary, told, 0))
+
+
 def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(5)) == 0
 
@@ -213,6 +311,7 @@ def score(
     label: str = "toxic",
     max_examples: int = 20_000,
     significance: float = 24.0,
+    ordinary: float = 0.02,
     prefixes: tuple[int, ...] = (4, 5, 6, 7),
     k: int = 15,
 ) -> DataFrame:
@@ -224,25 +323,34 @@ def score(
     # One text per id: the least, where several rows share it.
     examples = materialize(lean.join(chosen, "_key").groupBy("_key").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y")), "examples")
 
-    by_label = examples.select("_text", "_y").mapInArrow(_by_label(prefixes), "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    by_label = examples.select("_text", "_y").mapInArrow(_by_label(prefixes), "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     totals = examples.agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    p, n = int(totals["p"]), int(totals["n"])
-    a, c = F.col("pos").cast("double"), F.col("neg").cast("double")
-    b, d = p - a, (n - p) - c
-    chi = F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d))
-    top = by_label.where(F.col("pos") + F.col("neg") >= 5).withColumn("chi", chi).where(F.col("chi") >= significance).orderBy(F.desc("chi"), "term")
-    vocabulary = Vocabulary([r["term"] for r in top.select("chi", "term").collect()])  # terms of at most max_examples texts
-
-    found = materialize(lean.mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>"), "features")
-    n_docs = found.count()
-    df = dict(found.select("at").mapInArrow(_frequencies, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect())  # at most a row per term
-    size = len(vocabulary.words) + len(vocabulary.stems)
-    idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(size)])
-    vectors = examples.select("_key", "_text").mapInArrow(_features(vocabulary), f"_key {kind}, at array<int>, tf array<int>")
-    rows = vectors.join(examples.select("_key", "_y"), "_key").orderBy("_key").select("_key", "at", "tf", "_y").collect()  # at most max_examples
-    index = BlockMaxIndex([(r[0], list(r[1]), list(r[2]), r[3]) for r in rows], idf, k)
-    # Vectors are small but scoring is not: tasks by number of documents, not by bytes.
-    scored = found.repartition(max(1, math.ceil(n_docs / 10_000))).mapInArrow(_score(index), f"_key {kind}, score double, evidence array<{kind}>")
+    counted = by_label.toArrow()  # three numbers a term of at most max_examples texts
+    pos, neg = counted["pos"].to_numpy(), counted["neg"].to_numpy()
+    terms = counted["term"].to_numpy().view(np.uint64)
+    gain = gains(terms, pos, neg, int(totals["p"]), int(totals["n"]), significance, ordinary, 5)
+    vocabulary = Vocabulary(terms[gain > 0], gain[gain > 0], prefixes)
+
+    parts = lean.select("_text").mapInArrow(_frequencies(vocabulary), "chunk int, packed binary").repartition("chunk").mapInArrow(_added, "chunk int, n array<long>")
+    df, n_docs = np.zeros(-(-len(vocabulary) // CHUNK) * CHUNK), 0
+    tasks = 0
+    for r in parts.toArrow().to_pylist():  # a number a term
+        if r["chunk"] < 0:
+            n_docs, tasks = r["n"]
+        else:
+            df[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = r["n"]
+    weight = (np.log((1 + n_docs) / (1 + df[: len(vocabulary)])) + 1) * vocabulary.gain
+    rows = examples.select("_key", "_text", "_y").orderBy("_key").toArrow()  # at most max_examples
+    index = BlockMaxIndex(
+        [(key.as_py(), *vocabulary.features(t.as_py()), y.as_py()) for key, t, y in zip(*rows.columns, strict=True)],
+        weight,
+        int((vocabulary.gain >= 10 * ordinary).sum()),
+        k,
+    )
+    vocabulary.known.clear()
+    # Scoring takes longer than reading: where few large parts were read, texts are dealt anew by their number.
+    dealt = lean.repartition(math.ceil(n_docs / 2_000)) if tasks * 5_000 < n_docs else lean
+    scored = dealt.mapInArrow(_score(vocabulary, index), f"_key {kind}, score double, evidence array<{kind}>")
     return scored.select(
         F.col("_key").alias(key),
         F.coalesce(held_out(F.col("_key")), F.lit(False)).alias("held_out"),

@@ -431,33 +431,44 @@ def test_toxicity(spark, clashing, nothing):
     assert {r["score"] for r in toxicity.score(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def test_block_max_is_exact():
+@pytest.mark.parametrize("high", [0, 8, 30])
+def test_block_max_is_exact(high):
     import random
 
     import numpy as np
 
     rng = random.Random(3)
-    idf = np.array([rng.uniform(1, 5) for _ in range(30)])
+    weight = np.array(sorted((rng.uniform(0.1, 5) for _ in range(30)), reverse=True))
     examples = []
     for key in range(500):
         at = sorted(rng.sample(range(30), rng.randint(0, 4)))
-        examples.append((key, at, [rng.randint(1, 3) for _ in at], rng.randint(0, 1)))
-    index = toxicity.BlockMaxIndex(examples, idf, k=5, block=8)
-    dense = np.zeros((500, 30))
-    for key, at, tf, _ in examples:
-        if at:
-            dense[key, at] = index.weights(at, tf)
+        examples.append((key, np.array(at, np.int32), np.array([rng.choice((1, 1, 2, 300)) for _ in at], np.int64), rng.randint(0, 1)))
+    index = toxicity.BlockMaxIndex(examples, weight, high, k=5, block=8)
+
+    def unit(at, tf):
+        q = np.zeros(30)
+        q[at] = (1 + np.log(tf)) * weight[at]
+        return q / np.sqrt(q @ q) if len(at) else q
+
+    dense = np.array([unit(at, tf) for _, at, tf, _ in examples])
     for _, at, tf, _ in examples[:100]:
-        if not at:
+        if not len(at):
             continue
-        q = np.zeros(30)
-        q[at] = index.weights(at, tf)
-        cos = np.sort(dense @ q)[::-1]
+        cos = np.sort(dense @ unit(at, tf))[::-1]
         ids, sims = index.nearest(at, tf)
         votes = np.repeat(sims, index.all[ids].astype(int))
         kth = cos[4]
         want = cos[(cos >= kth - 1e-12) & (cos > 0)]
-        assert np.allclose(votes, want)
+        assert np.allclose(votes, want) and not index.query.any()
+
+
+def test_no_known_word_is_left_out(spark):
+    """A held-out text whose words tell nothing still has neighbours: those that share its words."""
+    rows = [(i, f"{text_of(i // 10, 12)} {'scum' if i % 40 < 10 else ''}", "en", "a", 1) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 40 < 10)) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.score(spark.createDataFrame([*rows, (500, "zzzz", "en", "a", 1)], DOCS), labels).collect()
+    evidence = {r["doc_id"]: r["evidence"] for r in got}
+    assert not evidence.pop(500) and all(e and {x // 10 for x in e} == {d // 10} for d, e in evidence.items())
 
 
 # Shared helpers and SQL twins

@@ -73,7 +73,7 @@ def test_urls_over_a_planted_graph(spark):
     assert {r["page_id"]: r["trust"] for r in got}[340] > 0  # forty links away from a seed
 
 
-def toxic_scores(docs, labels, k=15, significance=24.0, prefixes=(4, 5, 6, 7), smooth=0.5):
+def toxic_scores(docs, labels, k=15, significance=24.0, ordinary=0.02, prefixes=(4, 5, 6, 7), smooth=0.5):
     def terms(text):
         words = Counter(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(brute.A_Z)))
         out = Counter(words)
@@ -93,15 +93,17 @@ def toxic_scores(docs, labels, k=15, significance=24.0, prefixes=(4, 5, 6, 7), s
     for d, (_, bag) in of.items():
         seen[labels[d]].update(bag.keys())
     n, p = len(of), sum(labels[d] for d in of)
-    vocabulary = set()
+    gain = {}
     for t in seen[0] | seen[1]:
         a, c = seen[1][t], seen[0][t]
         b, e = p - a, n - p - c
         below = (a + b) * (c + e) * (a + c) * (b + e)
-        if a + c >= 5 and below and n * (a * e - b * c) ** 2 / below >= significance:
-            vocabulary.add(t)
+        r = n * (a * e - b * c) ** 2 / below / significance if below and a + c >= 5 else 0
+        told = math.sqrt(r) * min(1, r * r)
+        gain[t] = (told if told > 2 * ordinary else 0) if t.endswith("*") else ordinary + told
+    vocabulary = {t for t in gain if gain[t]}  # every word of an example, and the prefixes that tell
     held = Counter(t for bag in bags for t in bag.keys() & vocabulary)
-    idf = {t: math.log((1 + len(docs)) / (1 + held[t])) + 1 for t in vocabulary}
+    idf = {t: gain[t] * (math.log((1 + len(docs)) / (1 + held[t])) + 1) for t in vocabulary}
     at = {t: i for i, t in enumerate(sorted(vocabulary))}
 
     def vector(bag):
@@ -123,7 +125,7 @@ def toxic_scores(docs, labels, k=15, significance=24.0, prefixes=(4, 5, 6, 7), s
         cos = matrix @ vector(bag)
         kth = np.sort(cos)[::-1][min(k, len(cos)) - 1]
         near = (cos >= kth - 1e-9) & (cos > 0)
-        w = cos[near] ** 2
+        w = (cos[near] / cos.max()) ** 2 if near.any() else cos[near]
         out.append((w @ y[near] + smooth * prior) / (w.sum() + smooth) if near.any() else prior)
     return out, len(vocabulary)
 
