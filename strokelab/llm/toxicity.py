@@ -92,7 +92,9 @@ class Vocabulary:
         """Look up the terms of these words and keep their numbers."""
         of = [hashes(w, self.prefixes) for w in new]
         flat = np.array([h for hs in of for h in hs], np.uint64)
-        at = np.minimum(np.searchsorted(self.terms, flat), len(self.terms) - 1)
+        order = np.argsort(flat)  # rising values are found faster
+        at = np.empty(len(flat), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.terms, flat[order]), len(self.terms) - 1)
         numbers = np.where(self.terms[at] == flat, self.number[at], -1).tolist()
         done = 0
         for w, hs in zip(new, of, strict=True):
@@ -149,6 +151,12 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.int64()))], ["chunk", "n"])
 
 
+def spread(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each start to before its end, one range after the other."""
+    n = (end - start).astype(np.int64)
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class BlockMaxIndex:
     """Labelled examples in blocks, with each high term's largest weight in each block."""
 
@@ -199,14 +207,34 @@ class BlockMaxIndex:
         self.values, code = np.unique(tf[~top], return_inverse=True)
         self.values, self.code = 1 + np.log(self.values), code.astype(np.min_scalar_type(max(len(self.values) - 1, 0)))
         self.low = np.append(0, np.cumsum(np.bincount(entry[~top], minlength=n)))
+        # The same by term, for texts that few entries are ruled out for.
+        order = np.argsort(self.low_at, kind="stable")
+        self.low_entry, self.low_code = entry[~top][order], self.code[order]
+        self.low_start = np.searchsorted(self.low_at[order], np.arange(len(weight) + 1))
         self.query = np.zeros(len(weight))
 
-    def completed(self, ids: np.ndarray) -> np.ndarray:
-        """The low terms' part of the cosines of these entries with ``query``."""
-        n = self.low[ids + 1] - self.low[ids]
-        each = np.repeat(self.low[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        parts = self.values[self.code[each]] * self.query[self.low_at[each]]
-        return np.bincount(np.repeat(np.arange(len(ids)), n), parts, len(ids)) / self.norm[ids]
+    def low_parts(self, at: np.ndarray):
+        """A function of entries: the low terms' part of their cosines with ``query``, which is set at the terms ``at``.
+
+        Entry by entry, as long as that is less work than all postings of the terms, which answer for all entries at once.
+        """
+        start, end = self.low_start[at], self.low_start[at + 1]
+        postings, whole = int((end - start).sum()), None
+
+        def of(ids: np.ndarray) -> np.ndarray:
+            nonlocal whole
+            n = self.low[ids + 1] - self.low[ids]
+            if whole is None and n.sum() > postings:
+                each = spread(start, end)
+                parts = self.values[self.low_code[each]] * np.repeat(self.query[at], end - start)
+                whole = np.bincount(self.low_entry[each], parts, self.n) / self.norm
+            if whole is not None:
+                return whole[ids]
+            each = spread(self.low[ids], self.low[ids + 1])
+            parts = self.values[self.code[each]] * self.query[self.low_at[each]]
+            return np.bincount(np.repeat(np.arange(len(ids)), n), parts, len(ids)) / self.norm[ids]
+
+        return of
 
     def nearest(self, at: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the k nearest votes, with all that tie with the last of them."""
@@ -216,33 +244,36 @@ class BlockMaxIndex:
         top, v = at[:m], w[:m]
         rest = math.sqrt(float(w[m:] @ w[m:]))
         self.query[at[m:]] = w[m:] * self.weight[at[m:]]
+        completed = self.low_parts(at[m:])
         bounds = v.astype(np.float32) @ self.bound[top] * (1 + 1e-4) + rest * self.rest_bound
         order = np.argsort(-bounds, kind="stable")
         ids, sims, floor = np.empty(0, np.int64), np.empty(0), 0.0
-        done, some = 0, 8
-        # Blocks by falling bound, twice as many each time, until none can reach the k-th nearest.
+        done, some = 0, 16
+        # Blocks by falling bound: some first, then all that can still reach the k-th nearest.
         while done < len(order) and bounds[order[done]] > 0 and bounds[order[done]] >= floor - 1e-9:
             blocks = order[done : done + some]
             blocks = blocks[bounds[blocks] >= floor - 1e-9]
-            done, some = done + some, 2 * some
-            start = self.starts[top[:, None], blocks]
-            n = (self.starts[top[:, None], blocks + 1] - start).ravel()
-            each = np.repeat(start.ravel() - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            place = np.repeat(np.tile(np.arange(len(blocks)), m), n) * self.block + self.entry[each] % self.block
-            cos = np.bincount(place, self.share[each] * np.repeat(np.repeat(v, len(blocks)), n), len(blocks) * self.block)
+            done, some = done + some, self.n_blocks
+            if len(blocks) * 8 > self.n_blocks:  # most of each posting list: read whole
+                start, end = self.starts[top, 0], self.starts[top, -1]
+                each = spread(start, end)
+                cos = np.bincount(self.entry[each], self.share[each] * np.repeat(v, end - start), self.n_blocks * self.block).reshape(-1, self.block)[blocks].ravel()
+            else:
+                start, end = self.starts[top[:, None], blocks].ravel(), self.starts[top[:, None], blocks + 1].ravel()
+                each, n = spread(start, end), end - start
+                place = np.repeat(np.tile(np.arange(len(blocks)), m), n) * self.block + self.entry[each] % self.block
+                cos = np.bincount(place, self.share[each] * np.repeat(np.repeat(v, len(blocks)), n), len(blocks) * self.block)
             of = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-            real = of < self.n
-            of, cos = of[real], cos[real]
-            reach = cos + rest * self.rest[of]
-            ranked = np.argsort(-reach, kind="stable")
-            ranked = ranked[reach[ranked] > 0]
+            reach = np.where(of < self.n, cos + rest * self.rest[np.minimum(of, self.n - 1)], 0)
+            able = np.flatnonzero((reach > 0) & (reach >= floor - 1e-9))
+            ranked = able[np.argsort(-reach[able], kind="stable")]
             first, more = 0, 2 * self.k
             # Entries by falling bound, until none of these blocks can reach the k-th nearest.
             while first < len(ranked) and reach[ranked[first]] >= floor - 1e-9:
                 new = ranked[first : first + more]
                 new = new[reach[new] >= floor - 1e-9]
                 first, more = first + more, 2 * more
-                full = cos[new] + self.completed(of[new])
+                full = cos[new] + completed(of[new])
                 ids, sims = np.append(ids, of[new][full > 0]), np.append(sims, full[full > 0])
                 rank = np.lexsort((ids, -sims))
                 ids, sims = ids[rank], sims[rank]
