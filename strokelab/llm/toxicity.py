@@ -378,9 +378,12 @@ def score(
         int((vocabulary.gain >= 10 * ordinary).sum()),
         k,
     )
+    del rows
     vocabulary.known.clear()
-    # Scoring takes longer than reading: where few large parts were read, texts are dealt anew by their number.
-    dealt = lean.repartition(math.ceil(n_docs / 2_000)) if tasks * 5_000 < n_docs else lean
+    vocabulary.gain = None  # in the index' weights now
+    # Scoring takes longer than reading: where the parts read are fewer than the cores, texts are dealt anew.
+    cores = lean.sparkSession.sparkContext.defaultParallelism
+    dealt = lean.repartition(cores) if tasks < cores else lean
     scored = dealt.mapInArrow(_score(vocabulary, index), f"_key {kind}, score double, evidence array<{kind}>")
     return scored.select(
         F.col("_key").alias(key),
