@@ -124,8 +124,9 @@ def supplement(truth: DataFrame, detected: DataFrame, curves: DataFrame, fps: fl
     t = truth.select(F.col(key).alias("_key"), F.col("time_ms").cast("double").alias("_t"), F.floor(F.col("time_ms") / near_ms).alias("_b"))
     d = detected.select(F.col(key).alias("_k"), F.col("time_ms").alias("_d"), _buckets(F.col("time_ms"), near_ms).alias("_near"))
     free = t.join(d, (F.col("_key") == F.col("_k")) & (F.col("_b") == F.col("_near")) & (F.abs(F.col("_t") - F.col("_d")) < near_ms), "left_anti")
-    # The curve of a sample is one row, so its events' times may be one too; it is read once, not once an event.
-    times = free.groupBy("_key").agg(F.collect_list("_t").alias("_times"))
+    # The curve of a sample is one row, so its events' times may be one too; it is read once, not once an event.  Spark takes
+    # an array for a few bytes where it has no figures of a table, and would send all curves to every task: times are hashed.
+    times = free.groupBy("_key").agg(F.collect_list("_t").alias("_times")).hint("shuffle_hash")
     c = curves.select(F.col(key).alias("_key"), F.col("activation").cast("array<double>").alias("_curve"))
     frame = lambda x: F.greatest(F.lit(0), F.least(F.bround(x / 1000 * fps, 0).cast("int"), F.size("_curve") - 1))
     read = times.join(c, "_key").select("_key", F.explode(F.transform("_times", lambda x: F.struct(x.alias("time_ms"), F.get("_curve", frame(x)).alias("strength")))).alias("p"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strokelab.operators import filters, gram, joins, quantiles, sampling, stats
+from strokelab.operators import filters, gram, joins, quantiles, sampling, sequences, stats
 from strokelab.plans import fixtures as fx
 from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
 from strokelab.schemas import TIERS
@@ -199,10 +199,9 @@ a AS (SELECT sample_id, rn, t AS last, true AS added FROM c WHERE rn = 1 UNION A
 SELECT sample_id, round(last, 6) AS time_ms, 0.5::DOUBLE AS strength FROM a WHERE added"""
 )
 def j11_supplement(spark, d):
-    e = fx.events(spark, d)
-    size = 7400
-    curve = e.groupBy("sample_id").agg(F.collect_set(F.floor(F.col("actual_time_ms") / 10)).alias("_f"))
-    curve = curve.select("sample_id", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(F.array_contains("_f", i.cast("long")), 0.5).otherwise(0.0)).alias("activation"))
+    frames = (F.floor(F.col("actual_time_ms") / 10) * 10).cast("double")  # below zero is before the first one
+    curve = sequences.onset_targets(fx.events(spark, d).withColumn("actual_time_ms", frames), 7400, 10.0)
+    curve = curve.select("sample_id", F.transform("targets", lambda x: x * 0.5).cast("array<double>").alias("activation"))
     return rounded(joins.supplement(truth(spark, d), detections(spark, d), curve))
 
 

@@ -89,6 +89,16 @@ def test_supplement_like_a_loop(spark):
     assert got == sorted(want) and want
 
 
+def test_supplement_sends_no_curves(spark):
+    """Curves that are made on the way are of unknown size to Spark; they must stay where they are."""
+    t = spark.range(500).select((F.col("id") % 50).alias("sample_id"), (F.col("id") * 30.0).alias("time_ms"))
+    c = t.groupBy("sample_id").agg(F.array_repeat(F.lit(0.5), 7400).alias("activation"))
+    df = joins.supplement(t, t.where("time_ms > 9000"), c)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [_key" in plan and "Inner, BuildLeft" in plan and not any("BroadcastHashJoin" in line and "Inner" in line for line in plan.splitlines())
+    assert sorted(r["time_ms"] for r in df.collect()) == [i * 30.0 for i in range(301)]
+
+
 def test_merge_close_of_one_long_sample(spark):
     df = spark.range(100_000).select(F.lit("s").alias("sample_id"), (F.col("id") * 15.0 + F.when(F.col("id") % 4 == 0, 30).otherwise(0)).alias("time_ms"), (F.pmod(F.xxhash64("id"), F.lit(100)) / 100.0).alias("strength"))
     rows, kept = sorted((r["time_ms"], r["strength"]) for r in df.collect()), []
