@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strokelab.functions import user
 from strokelab.operators import labels, ml
 from strokelab.plans import fixtures as fx
-from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
+from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, sql_round, strokes
 from strokelab.plans.q_tables import SM, SO, SPLIT_SQL, ST, orders, some_splits
 from strokelab.sources import catalogue, tables, versioned
 from strokelab.sources.shared import scratch, written
@@ -347,7 +347,7 @@ def m05_m06_class_metrics(spark, d):
 @query("WITH p AS (SELECT l_extendedprice AS y, l_quantity * 1500 AS x FROM lineitem) SELECT round(avg(abs(y - x)), 3) AS mae, round(avg((y - x) ** 2), 0) AS mse, round(sqrt(avg((y - x) ** 2)), 3) AS rmse, round(1 - avg((y - x) ** 2) / var_pop(y), 6) AS r2 FROM p")
 def m07_regression_metrics(spark, d):
     m = ml.regression_metrics(_lineitem(spark, d).select(F.col("l_extendedprice").alias("truth"), (F.col("l_quantity") * 1500).alias("predicted")))
-    return m.select(F.round("mae", 3).alias("mae"), F.round("mse", 0).alias("mse"), F.round("rmse", 3).alias("rmse"), F.round("r2", 6).alias("r2"))
+    return m.select(sql_round(F.col("mae"), 3).alias("mae"), sql_round(F.col("mse"), 0).alias("mse"), sql_round(F.col("rmse"), 3).alias("rmse"), sql_round(F.col("r2"), 6).alias("r2"))
 
 
 @query()

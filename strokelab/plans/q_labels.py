@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strokelab.operators import labels
@@ -10,9 +10,15 @@ from strokelab.plans import fixtures as fx
 from strokelab.schemas import OPTIONAL_SCORES, SCORES
 
 
+def sql_round(x: Column, places: int = 6) -> Column:
+    """Rounded as the SQL twins do it: the scaled double to a whole number.  Spark rounds the shortest decimal text instead, so that
+    a value that lies just beside a tie goes another way."""
+    return F.round(x * 10.0**places) / 10.0**places
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     kinds = dict(df.dtypes)
-    return df.select(*[(F.round(c, places) + 0.0).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in df.columns])
+    return df.select(*[(sql_round(F.col(c), places) + 0.0).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in df.columns])
 
 
 def strokes(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strokelab.functions import scalars, table_functions
 from strokelab.operators import audit, checks, labels, sampling, sequences, stats, windows
 from strokelab.plans import fixtures as fx
-from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
+from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, sql_round, strokes
 from strokelab.plans.q_tables import BOTH, DETECTED_SQL, SM, SO, SPLIT_SQL, ST, detections, orders, some_splits
 from strokelab.schemas import TIERS
 from strokelab.sources.shared import written
@@ -179,7 +179,7 @@ def w10_first_seen(spark, d):
 @query(ST + ", t AS (SELECT sample_id, list([timing_error_ms, actual_velocity::DOUBLE] ORDER BY position) FILTER (position < 12) AS x, count(*) AS n FROM st GROUP BY 1) SELECT sample_id, list_transform(x || list_transform(range(12 - len(x)), lambda i: [0.0::DOUBLE, 0.0::DOUBLE]), lambda r: list_transform(r, lambda v: round(v, 6))) AS matrix, list_transform(range(12), lambda i: (i < len(x))::INTEGER) AS mask, least(12, n)::INTEGER AS length FROM t")
 def q01_feature_matrix(spark, d):
     m = sequences.feature_matrix(strokes(spark, d), ["timing_error_ms", "actual_velocity"], 12)
-    return m.withColumn("matrix", F.transform("matrix", lambda r: F.transform(r, lambda v: F.round(v, 6))))
+    return m.withColumn("matrix", F.transform("matrix", lambda r: F.transform(r, lambda v: sql_round(v))))
 
 
 @query(EV + ", h AS (SELECT sample_id, list(DISTINCT trunc(actual_time_ms / 1000)::INTEGER) AS f FROM ev GROUP BY 1) SELECT sample_id, list_transform(range(72), lambda i: list_contains(f, i::INTEGER)::INTEGER) AS targets FROM h")
@@ -557,7 +557,7 @@ def _flags(spark, d):
 
 @query(_SIG + " SELECT vec_id, round(si, 6) AS silence_ratio, round(cl, 6) AS clip_ratio, round(db, 4) AS rms_db, wd AS wrong_duration, si > 0.8 OR cl > 0.001 OR wd AS failed FROM f")
 def v19_v22_signal_flags(spark, d):
-    return _flags(spark, d).select("vec_id", F.round("silence_ratio", 6).alias("silence_ratio"), F.round("clip_ratio", 6).alias("clip_ratio"), F.round("rms_db", 4).alias("rms_db"), "wrong_duration", "failed")
+    return _flags(spark, d).select("vec_id", sql_round(F.col("silence_ratio"), 6).alias("silence_ratio"), sql_round(F.col("clip_ratio"), 6).alias("clip_ratio"), sql_round(F.col("rms_db"), 4).alias("rms_db"), "wrong_duration", "failed")
 
 
 @query(_SIG + " SELECT count(*) AS n, count(*) FILTER (si > 0.8) AS silent, count(*) FILTER (cl > 0.001) AS clipped, count(*) FILTER (db NOT BETWEEN -40 AND -6) AS rms_outlier, count(*) FILTER (wd) AS wrong_duration, count(*) FILTER (si > 0.8 OR cl > 0.001 OR wd) AS failed, round(avg(db), 4) AS rms_mean, round(stddev_pop(db), 4) AS rms_sd, avg((db NOT BETWEEN -40 AND -6)::INTEGER) < 0.05 AS rms_passed FROM f")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strokelab.operators import filters, gram, joins, quantiles, sampling, sequences, stats
 from strokelab.plans import fixtures as fx
-from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, strokes
+from strokelab.plans.q_labels import SCORES_SQL, rounded, scores, sql_round, strokes
 from strokelab.schemas import TIERS
 
 SO = "WITH " + fx.ORDERS_SQL.strip()
@@ -311,7 +311,7 @@ _LINES_SQL = ", ".join(f"{x}::DOUBLE AS {c}" for c, x in _LINES.items())
 @query(f"WITH li AS (SELECT {_LINES_SQL} FROM lineitem) " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, round(corr({a}, {b}), 6) + 0.0 AS r FROM li" for i, a in enumerate(_LINES) for b in list(_LINES)[i + 1 :]))
 def b06_all_columns(spark, d):
     li = fx.table(spark, d, "lineitem").selectExpr(*[f"{x} AS {c}" for c, x in _LINES.items()])
-    return gram.correlations(li).withColumn("r", F.round("r", 6) + 0.0)
+    return gram.correlations(li).withColumn("r", sql_round(F.col("r"), 6) + 0.0)
 
 
 _DETREND = """, nn AS (SELECT st.*, skill_tier, row_number() OVER (PARTITION BY sample_id ORDER BY position) - 1 AS x FROM st JOIN sm USING (sample_id) WHERE stroke_type <> 'grace'),

@@ -78,3 +78,19 @@ def test_constant_errors_are_consistent(spark):
     assert r["pattern_consistency"] == 1.0 and r["groove_feel_proxy"] == 1.0
     few = labels.groove_report(labels.stroke_labels(events(spark, [0.0] * 3))).first()
     assert (few["groove_feel_proxy"], few["pattern_consistency"], few["swing_ratio"]) == (0.5, 0.5, None)
+
+
+def test_rounding_is_that_of_the_twins(spark):
+    """Values at and beside ties, which Spark's own rounding takes by their decimal text."""
+    import duckdb
+
+    from strokelab.plans.q_labels import rounded
+
+    values = [m / 1e6 / 36.0 for m in range(18, 400_000, 36)] + [-16.5848575, 59214.4158345, 0.5, -0.5, float("nan"), None]
+    plain = lambda x: None if x is None else repr(x + 0.0)
+    con = duckdb.connect()
+    want = [plain(con.execute("SELECT round(?::DOUBLE, 6)", [v]).fetchone()[0]) for v in values]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
+    assert [plain(r["x"]) for r in rounded(df).orderBy("i").collect()] == want
+    own = [plain(r["x"]) for r in df.select("i", F.round("x", 6).alias("x")).orderBy("i").collect()]
+    assert own != want
