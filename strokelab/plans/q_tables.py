@@ -81,7 +81,7 @@ def f09_f10_conditions(spark, d):
 
 @query(SO + " SELECT sample_id FROM so WHERE score BETWEEN (SELECT quantile_cont(score, 0.01) FROM so) AND (SELECT quantile_cont(score, 0.99) FROM so)")
 def f11_trim_outliers(spark, d):
-    return filters.trim_outliers(orders(spark, d), "score").select("sample_id")
+    return filters.trim_outliers(orders(spark, d), "score", ranges=True).select("sample_id")
 
 
 SPLIT_SQL = ", sp AS (SELECT profile_id, CASE WHEN profile_id % 10 < 7 THEN 'train' WHEN profile_id % 10 = 7 THEN 'val' WHEN profile_id % 10 = 8 THEN 'test' END AS split FROM (SELECT DISTINCT profile_id FROM so) WHERE profile_id % 10 < 9)"
@@ -252,12 +252,12 @@ round(CASE WHEN count({c}) > 3 THEN coalesce(kurtosis_pop({c}), 0) ELSE 0 END, 5
 
 @query(SO + f" SELECT {_DIST.format(c='score')} FROM so")
 def b01_distribution(spark, d):
-    return rounded(stats.distribution(orders(spark, d), "score"), 5)
+    return rounded(stats.distribution(orders(spark, d), "score", ranges=True), 5)
 
 
 @query(SO + f" SELECT skill_tier, {_DIST.format(c='score')} FROM so GROUP BY 1")
 def b02_distribution_by_tier(spark, d):
-    return rounded(stats.distribution(orders(spark, d), "score", "skill_tier"), 5)
+    return rounded(stats.distribution(orders(spark, d), "score", "skill_tier", ranges=True), 5)
 
 
 @query(
@@ -404,7 +404,7 @@ def b16_subset_summary(spark, d):
 
 @query(SO + " SELECT skill_tier, count(score) AS n, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS sd, round(min(score), 6) AS low, round(quantile_cont(score, 0.25), 6) AS p25, round(quantile_cont(score, 0.5), 6) AS p50, round(quantile_cont(score, 0.75), 6) AS p75, round(max(score), 6) AS high FROM so GROUP BY 1")
 def b17_described(spark, d):
-    return rounded(stats.described(orders(spark, d), "score", "skill_tier"))
+    return rounded(stats.described(orders(spark, d), "score", "skill_tier", ranges=True))
 
 
 @query(ST + " SELECT sample_id, round(avg(timing_error_ms), 6) AS error_mean, round(stddev_samp(timing_error_ms), 6) AS error_sd, round(max(abs(timing_error_ms)), 6) AS error_max, round(avg(actual_velocity), 6) AS velocity_mean, round(stddev_samp(actual_velocity), 6) AS velocity_sd, max(actual_velocity) AS velocity_max, count(*) AS n FROM st GROUP BY 1")
@@ -427,7 +427,7 @@ def b20_histogram(spark, d):
 SELECT skill_tier, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3, round(min(score) FILTER (score >= q1 - 1.5 * (q3 - q1)), 6) AS low_whisker, round(max(score) FILTER (score <= q3 + 1.5 * (q3 - q1)), 6) AS high_whisker,
 count(*) FILTER (score < q1 - 1.5 * (q3 - q1) OR score > q3 + 1.5 * (q3 - q1)) AS outliers FROM so JOIN q USING (skill_tier) GROUP BY 1""")
 def b21_box_plot(spark, d):
-    return rounded(stats.box_plot(orders(spark, d), "score", "skill_tier"))
+    return rounded(stats.box_plot(orders(spark, d), "score", "skill_tier", ranges=True))
 
 
 @query(SO + " SELECT skill_tier, count(*) AS n, round((SELECT count(*) FROM so) / (4.0 * count(*)), 6)::DOUBLE AS weight FROM so GROUP BY 1")
