@@ -269,7 +269,7 @@ UNION ALL SELECT 'count', 'augmentation_preset', augmentation_preset, count(*)::
 UNION ALL SELECT 'distinct', 'profile_id', 'distinct', count(DISTINCT profile_id)::DOUBLE FROM so UNION ALL SELECT 'distinct', 'rudiment_slug', 'distinct', count(DISTINCT rudiment_slug)::DOUBLE FROM so"""
 )
 def b03_dataset_stats(spark, d):
-    return rounded(stats.dataset_stats(orders(spark, d), ["score", "tempo_bpm"], ["skill_tier", "augmentation_preset"], ["profile_id", "rudiment_slug"]), 5)
+    return rounded(stats.dataset_stats(orders(spark, d), ["score", "tempo_bpm"], ["skill_tier", "augmentation_preset"], ["profile_id", "rudiment_slug"], ranges=True), 5)
 
 
 @query(SO + SPLIT_SQL + " SELECT split, count(*) AS n FROM so LEFT JOIN sp USING (profile_id) GROUP BY 1")

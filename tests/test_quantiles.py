@@ -62,7 +62,7 @@ def test_statistics_by_ranges_are_the_same(spark, groups):
         assert "percentile(" not in many._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["b01_distribution", "b02_distribution_by_tier", "b17_described", "b21_box_plot", "f11_trim_outliers"])
+@pytest.mark.parametrize("name", ["b01_distribution", "b02_distribution_by_tier", "b03_dataset_stats", "b17_described", "b21_box_plot", "f11_trim_outliers"])
 def test_queries_keep_no_buffer_of_all_values(spark, small, name):
     from strokelab.plans import registry
 
