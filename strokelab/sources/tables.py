@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import uuid
 from collections.abc import Callable
 from contextlib import nullcontext
@@ -234,15 +235,44 @@ def sharded(df: DataFrame, max_bytes: int, split: str = "split") -> tuple[DataFr
 def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, max_shard_bytes: int | None = None) -> None:
     """Export partitioned by split, with a cap on the rows or the bytes of a file (O-S11).
 
-    Bytes are counted as JSON text, which parquet seldom exceeds; each shard of ``sharded`` is a task and so a file.
+    Bytes are counted as JSON text, which parquet seldom exceeds.  A task writes many shards of ``sharded``, each into a folder of
+    its own beside the export; their files are then moved into the folders of the splits, and the whole takes the export's place.
     """
     if max_shard_bytes:
-        rows, n = sharded(df, max_shard_bytes)
-        df = rows.repartitionById(max(1, n), F.col("_shard")).drop("_shard")
+        return _write_shards(df, path, max_shard_bytes)
     w = df.write.mode("overwrite").partitionBy("split")
     (w.option("maxRecordsPerFile", max_shard_rows) if max_shard_rows else w).parquet(path)
 
 
+#: Bytes of shards that one task writes: what a task reports to the driver is then small beside what it writes.
+TASK_BYTES = 64 << 20
+
+
+def _write_shards(df: DataFrame, path: str, max_bytes: int) -> None:
+    spark = df.sparkSession
+    rows, n = sharded(df, max_bytes)
+    tasks = max(1, math.ceil(n * max_bytes / TASK_BYTES), min(n, spark.sparkContext.defaultParallelism))
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    rows.repartitionById(tasks, F.col("_shard") % tasks).write.partitionBy("split", "_shard").parquet(staging)
+    fs, s = _hadoop(spark, staging)
+    _, target = _hadoop(spark, path)
+    files, emptied, new_path = fs.listFiles(s, True), {}, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while files.hasNext():
+        file = files.next().getPath()
+        folder = file.getParent()
+        if folder.getName().startswith("_shard="):
+            to = new_path(folder.getParent(), f"part-{int(folder.getName().removeprefix('_shard=')):09d}-{file.getName().split('-', 2)[-1]}")
+            if not fs.rename(file, to):
+                raise OSError(f"{file.toString()} can't be moved; {path} is as it was")
+            emptied[folder.toString()] = folder
+    for folder in emptied.values():
+        fs.delete(folder, True)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(s, target):
+        raise OSError(f"{path} can't be replaced; the export is in {staging}")
+
+
 def write_auxiliary(tables: dict[str, DataFrame], path: str) -> None:
     """Stroke and measure tables beside the export (O-S12)."""
     for name, df in tables.items():

@@ -256,6 +256,23 @@ def test_byte_cap_of_exports(spark, tmp_path):
     assert 10 <= len(files) <= 12 and max(f.stat().st_size for f in files) <= 5000 and spark.read.parquet(str(tmp_path / "x")).count() == 500
 
 
+def test_many_shards_are_few_tasks(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").alias("sample_id"), F.repeat(F.lit("ab"), (F.col("id") % 50).cast("int")).alias("text"), F.when(F.col("id") % 3 == 0, "val").otherwise("train").alias("split"))
+    group = f"shards-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, group)
+    for _ in range(2):  # the second takes the first one's place
+        tables.write_export(df, str(tmp_path / "x"), max_shard_bytes=1000)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    files = list((tmp_path / "x").glob("split=*/*.parquet"))
+    assert len(files) > 200 and max(s.numTasks for s in stages if s) <= 32 and not list(tmp_path.glob("x/split=*/_shard*")) and [p.name for p in tmp_path.iterdir()] == ["x"]
+    back = spark.read.parquet(str(tmp_path / "x"))
+    assert sorted(map(tuple, back.select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    assert back.groupBy(F.input_file_name()).agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0] <= 1000
+
+
 def test_numbers_of_ranges(spark):
     from strokelab.operators.numbering import numbered
 
