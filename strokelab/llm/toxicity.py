@@ -7,7 +7,8 @@ word is without neighbours, while common words don't drown the few that tell.
 
 Examples with equal vectors are one entry with several votes.  The index keeps postings of the terms of high gain; entries lie in
 blocks, and the largest weight of each such term in each block bounds its part of every cosine there.  What all other terms
-can add is at most the product of both vectors' norms over them.  Blocks are read by falling bound until no other can reach
+can add is at most the product of both vectors' norms over them.  Texts become term numbers in one pass, of the examples too, and
+are packed there: the driver sees only the packed examples, and sends the index without what tasks can derive from it.  Blocks are read by falling bound until no other can reach
 the k-th nearest, and entries that can are completed over all their terms, so the neighbours are exact.  Votes are weighted
 by similarity, as against the nearest, and smoothed by the rate among all examples, which keeps scores calibrated.
 
@@ -20,6 +21,7 @@ get the same score; of several texts of one labelled id the least one is the exa
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -27,6 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,7 @@ _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or chr(c).isalnum() e
 _FLUSH = 300_000
 _CACHE = 150_000
 CHUNK = 4096
+PART = 1 << 20
 
 
 def hashes(word: bytes, prefixes: tuple[int, ...]) -> list[int]:
@@ -75,6 +79,18 @@ def _by_label(prefixes: tuple[int, ...]):
     return run
 
 
+def _gained(p: int, n: int, significance: float, ordinary: float, least: int):
+    """Terms that count for something, with their gain."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            terms, pos, neg = (c.to_numpy() for c in b.columns)
+            gain = gains(terms.view(np.uint64), pos, neg, p, n, significance, ordinary, least)
+            yield pa.RecordBatch.from_arrays([pa.array(terms[gain > 0]), pa.array(gain[gain > 0])], ["term", "gain"])
+
+    return run
+
+
 class Vocabulary:
     """Numbers of terms: those of largest gain first."""
 
@@ -123,20 +139,57 @@ class Vocabulary:
         return at, np.bincount(inverse, often, len(at)).astype(np.int64)
 
 
-def _frequencies(vocabulary: Vocabulary):
-    """How many texts of a task hold each term: numbers in compressed chunks of the vocabulary."""
+def pack(at: np.ndarray, tf: np.ndarray) -> bytes:
+    """Features in few bytes: two for a number (after how many share the rest of it), and as many as the largest count needs."""
+    if not len(at):
+        return b""
+    shared = np.bincount(at >> 16).astype("<u4")
+    width = np.min_scalar_type(int(tf.max())).itemsize
+    return struct.pack("<IB", len(shared), width) + shared.tobytes() + (at & 0xFFFF).astype("<u2").tobytes() + tf.astype(f"<u{width}").tobytes()
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not packed:
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    m, width = struct.unpack_from("<IB", packed)
+    shared = np.frombuffer(packed, "<u4", m, 5)
+    n, done = int(shared.sum()), 5 + 4 * m
+    at = np.repeat(np.arange(m, dtype=np.int32) << 16, shared) | np.frombuffer(packed, "<u2", n, done)
+    return at, np.frombuffer(packed, f"<u{width}", n, done + 2 * n).astype(np.int64)
+
+
+def _packed(vocabulary: Broadcast):
+    """Packed features of each text, the columns before it unchanged."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(-(-len(vocabulary) // CHUNK) * CHUNK, np.int64)
-        rows = 0
         for b in batches:
-            rows += b.num_rows
-            for t in b.column(0):
-                total[vocabulary.features(t.as_py())[0]] += 1
-        parts = total.reshape(-1, CHUNK)
-        some = [-1, *np.flatnonzero(parts.any(1)).tolist()]  # chunk -1: rows and tasks
-        packed = [zlib.compress((parts[c] if c >= 0 else np.array([rows, 1])).tobytes(), 1) for c in some]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["chunk", "packed"])
+            packed = [pack(*vocabulary.value.features(t.as_py())) for t in b.column(b.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(packed, pa.binary())], [*b.schema.names[:-1], "packed"])
+
+    return run
+
+
+def _featured(vocabulary: Broadcast):
+    """Packed features of each text (_key, _text); then how many texts of the task hold each term, in compressed chunks of the vocabulary."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.value
+        total = np.zeros(-(-len(known) // CHUNK) * CHUNK, np.int64)
+        rows, kind = 0, None
+        names = ["_key", "packed", "chunk", "counts"]
+        for b in batches:
+            rows, kind = rows + b.num_rows, b.column(0).type
+            packed = []
+            for t in b.column(1):
+                at, tf = known.features(t.as_py())
+                total[at] += 1
+                packed.append(pack(at, tf))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary()), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())], names)
+        if rows:
+            parts = total.reshape(-1, CHUNK)
+            some = [-1, *np.flatnonzero(parts.any(1)).tolist()]  # chunk -1: rows and tasks
+            counts = [zlib.compress((parts[c] if c >= 0 else np.array([rows, 1])).tobytes(), 1) for c in some]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), kind), pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()), pa.array(counts, pa.binary())], names)
 
     return run
 
@@ -160,81 +213,95 @@ def spread(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 class BlockMaxIndex:
     """Labelled examples in blocks, with each high term's largest weight in each block."""
 
-    def __init__(self, examples: list[tuple], weight: np.ndarray, high: int, k: int, block: int = 64, smooth: float = 0.5):
-        """``examples``: (key, term numbers, occurrences, label); terms below ``high`` have postings and block bounds."""
+    def __init__(self, examples: Iterable[tuple], weight: np.ndarray, high: int, k: int, block: int = 64, smooth: float = 0.5):
+        """``examples``: (key, term numbers, occurrences, label); terms below ``high`` have postings and block bounds.
+
+        Numbers of many postings are made a part at a time: only what is kept, of few bytes a posting, is there as a whole.
+        """
         self.weight, self.high, self.k, self.block, self.smooth = weight, high, k, block, smooth
         votes: dict[tuple, list] = {}
-        bare = [0, 0]
+        bare, total, toxic = [0, 0], 0, 0
         for key, at, tf, label in examples:
+            total, toxic = total + 1, toxic + label
             if not len(at):
                 bare[label] += 1
                 continue
-            v = votes.setdefault((at.astype(">i4").tobytes(), tf.astype(">i8").tobytes()), [0, 0, [], at, tf])
+            v = votes.setdefault((at.astype(">i4").tobytes(), tf.astype(">u4").tobytes()), [0, 0, []])
             v[label] += 1
             v[2].append(key)
-        total = len(examples)
-        self.prior = sum(e[3] for e in examples) / total if total else 0.5
+        self.prior = toxic / total if total else 0.5
         self.bare = (bare[1] + self.smooth * self.prior) / (sum(bare) + self.smooth)
         # Numbers rise by falling gain, so that entries of the same telling terms lie together.
-        entries = [v for _, v in sorted(votes.items())]
-        self.pos, self.all = np.array([v[1] for v in entries], float), np.array([v[0] + v[1] for v in entries], float)
-        self.evidence = [sorted(v[2])[:3] for v in entries]
+        entries = sorted(votes.items())
+        self.pos, self.all = np.array([v[1] for _, v in entries], float), np.array([v[0] + v[1] for _, v in entries], float)
+        self.evidence = [sorted(v[2])[:3] for _, v in entries]
         self.n = n = len(entries)
         self.n_blocks = (n + block - 1) // block
-        size = np.array([len(v[3]) for v in entries], np.int64)
-        at = np.concatenate([np.empty(0, np.int32), *(v[3] for v in entries)])
-        tf = np.concatenate([np.empty(0, np.int64), *(v[4] for v in entries)])
-        entry = np.repeat(np.arange(n, dtype=np.int32), size)
-        raw = (1 + np.log(tf)) * weight[at]
-        self.norm = np.sqrt(np.bincount(entry, raw * raw, n))
-        top = at < high
-        rest = np.bincount(entry[~top], raw[~top] ** 2, n)
+        first = np.append(0, np.cumsum([len(k[0]) // 4 for k, _ in entries], dtype=np.int64))
+        at = np.frombuffer(b"".join(k[0] for k, _ in entries), ">i4").astype(np.int32)
+        tf = np.frombuffer(b"".join(k[1] for k, _ in entries), ">u4")
+        del votes, entries
+        often = np.unique(tf)
+        self.values = 1 + np.log(often)  # occurrences as numbers of their distinct values
+        code = np.empty(len(tf), np.min_scalar_type(max(len(often) - 1, 0)))
+        for i in range(0, len(tf), PART):
+            code[i : i + PART] = np.searchsorted(often, tf[i : i + PART])
+        del tf
+        size = np.diff(first)
+        norm, rest = np.zeros(n), np.zeros(n)
+        for e in range(0, n, CHUNK):
+            part = slice(first[e], first[min(n, e + CHUNK)])
+            of = np.repeat(np.arange(len(size[e : e + CHUNK])), size[e : e + CHUNK])
+            squares = (self.values[code[part]] * weight[at[part]]) ** 2
+            norm[e : e + CHUNK] = np.bincount(of, squares)
+            rest[e : e + CHUNK] = np.bincount(of, np.where(at[part] < high, 0, squares))
+        self.norm = np.sqrt(norm)
         self.rest = np.sqrt(rest) / np.where(self.norm > 0, self.norm, 1)
         self.rest_bound = np.zeros(self.n_blocks)
         np.maximum.at(self.rest_bound, np.arange(n) // block, self.rest)
         # Postings of high terms by term, then entry; starts[i, b] is where block b of term i begins.
+        top = at < high
+        entry = np.repeat(np.arange(n, dtype=np.int32), size)
         order = np.flatnonzero(top)
         order = order[np.argsort(at[order], kind="stable")]
         terms, self.entry = at[order].astype(np.int64), entry[order]
-        self.share = raw[order] / self.norm[self.entry]
+        self.share = self.values[code[order]] * weight[terms] / self.norm[self.entry]
         bound = np.zeros((high, self.n_blocks))
         np.maximum.at(bound, (terms, self.entry // block), self.share)
         self.bound = (bound * (1 + 1e-6)).astype(np.float32)
         edges = np.arange(high)[:, None] * (self.n_blocks + 1) * block + np.arange(self.n_blocks + 1)[None, :] * block
         self.starts = np.searchsorted(terms * (self.n_blocks + 1) * block + self.entry, edges).astype(np.int32)
-        # The other terms of each entry, with occurrences as numbers of their distinct values.
-        self.low_at = at[~top]
-        self.values, code = np.unique(tf[~top], return_inverse=True)
-        self.values, self.code = 1 + np.log(self.values), code.astype(np.min_scalar_type(max(len(self.values) - 1, 0)))
-        self.low = np.append(0, np.cumsum(np.bincount(entry[~top], minlength=n)))
-        # The same by term, for texts that few entries are ruled out for.
-        order = np.argsort(self.low_at, kind="stable")
-        self.low_entry, self.low_code = entry[~top][order], self.code[order]
-        self.low_start = np.searchsorted(self.low_at[order], np.arange(len(weight) + 1))
+        # The other terms of each entry.
+        self.low = np.append(0, np.cumsum(size - np.bincount(self.entry, minlength=n)))
+        self.low_at, self.code = at[~top], code[~top]
+        self.low_start = None
         self.query = np.zeros(len(weight))
 
-    def low_parts(self, at: np.ndarray):
-        """A function of entries: the low terms' part of their cosines with ``query``, which is set at the terms ``at``.
-
-        Entry by entry, as long as that is less work than all postings of the terms, which answer for all entries at once.
-        """
-        start, end = self.low_start[at], self.low_start[at + 1]
-        postings, whole = int((end - start).sum()), None
-
-        def of(ids: np.ndarray) -> np.ndarray:
-            nonlocal whole
-            n = self.low[ids + 1] - self.low[ids]
-            if whole is None and n.sum() > postings:
-                each = spread(start, end)
-                parts = self.values[self.low_code[each]] * np.repeat(self.query[at], end - start)
-                whole = np.bincount(self.low_entry[each], parts, self.n) / self.norm
-            if whole is not None:
-                return whole[ids]
-            each = spread(self.low[ids], self.low[ids + 1])
-            parts = self.values[self.code[each]] * self.query[self.low_at[each]]
-            return np.bincount(np.repeat(np.arange(len(ids)), n), parts, len(ids)) / self.norm[ids]
-
-        return of
+    def turn(self) -> None:
+        """The other terms' postings by term, for texts that few entries are ruled out for: made where texts are scored."""
+        order = np.argsort(self.low_at, kind="stable")
+        self.low_entry = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.low))[order]
+        self.low_value = self.values[self.code[order]]
+        self.low_start = np.append(0, np.cumsum(np.bincount(self.low_at, minlength=len(self.weight))))
+
+    def low_parts(self, ids: np.ndarray) -> np.ndarray:
+        """The low terms' part of these entries' cosines with ``query``, which is set at the text's low terms."""
+        n = self.low[ids + 1] - self.low[ids]
+        lists = list(map(slice, self.low[ids].tolist(), self.low[ids + 1].tolist()))
+        if not n.sum():
+            return np.zeros(len(ids))
+        parts = self.values[np.concatenate([self.code[x] for x in lists])]
+        parts *= self.query[np.concatenate([self.low_at[x] for x in lists])]
+        return np.bincount(np.repeat(np.arange(len(ids)), n), parts, len(ids)) / self.norm[ids]
+
+    def all_parts(self, factor: np.ndarray, start: np.ndarray, end: np.ndarray, entry: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Sums of all entries over whole posting lists, each times its factor."""
+        lists = list(map(slice, start.tolist(), end.tolist()))
+        if not lists:
+            return np.zeros(self.n)
+        parts = np.concatenate([value[x] for x in lists])
+        parts *= np.repeat(factor, end - start)
+        return np.bincount(np.concatenate([entry[x] for x in lists]), parts, self.n)
 
     def nearest(self, at: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the k nearest votes, with all that tie with the last of them."""
@@ -244,7 +311,11 @@ class BlockMaxIndex:
         top, v = at[:m], w[:m]
         rest = math.sqrt(float(w[m:] @ w[m:]))
         self.query[at[m:]] = w[m:] * self.weight[at[m:]]
-        completed = self.low_parts(at[m:])
+        if self.low_start is None:
+            self.turn()
+        low = at[m:]
+        start, end = self.low_start[low], self.low_start[low + 1]
+        postings, whole = int((end - start).sum()), None
         bounds = v.astype(np.float32) @ self.bound[top] * (1 + 1e-4) + rest * self.rest_bound
         order = np.argsort(-bounds, kind="stable")
         ids, sims, floor = np.empty(0, np.int64), np.empty(0), 0.0
@@ -255,26 +326,30 @@ class BlockMaxIndex:
             blocks = blocks[bounds[blocks] >= floor - 1e-9]
             done, some = done + some, self.n_blocks
             if len(blocks) * 8 > self.n_blocks:  # most of each posting list: read whole
-                start, end = self.starts[top, 0], self.starts[top, -1]
-                each = spread(start, end)
-                cos = np.bincount(self.entry[each], self.share[each] * np.repeat(v, end - start), self.n_blocks * self.block).reshape(-1, self.block)[blocks].ravel()
+                cos = np.zeros(self.n_blocks * self.block)
+                cos[: self.n] = self.all_parts(v, self.starts[top, 0], self.starts[top, -1], self.entry, self.share)
+                cos = cos.reshape(-1, self.block)[blocks].ravel()
             else:
-                start, end = self.starts[top[:, None], blocks].ravel(), self.starts[top[:, None], blocks + 1].ravel()
-                each, n = spread(start, end), end - start
+                lo, hi = self.starts[top[:, None], blocks].ravel(), self.starts[top[:, None], blocks + 1].ravel()
+                each, n = spread(lo, hi), hi - lo
                 place = np.repeat(np.tile(np.arange(len(blocks)), m), n) * self.block + self.entry[each] % self.block
                 cos = np.bincount(place, self.share[each] * np.repeat(np.repeat(v, len(blocks)), n), len(blocks) * self.block)
             of = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
             reach = np.where(of < self.n, cos + rest * self.rest[np.minimum(of, self.n - 1)], 0)
             able = np.flatnonzero((reach > 0) & (reach >= floor - 1e-9))
-            ranked = able[np.argsort(-reach[able], kind="stable")]
-            first, more = 0, 2 * self.k
-            # Entries by falling bound, until none of these blocks can reach the k-th nearest.
-            while first < len(ranked) and reach[ranked[first]] >= floor - 1e-9:
-                new = ranked[first : first + more]
+            # Some of the largest bounds first, then all entries that can still reach the k-th nearest: entry by entry, or by
+            # whole lists of the low terms where these are less work.
+            some_first = 2 * self.k
+            split = np.argpartition(-reach[able], some_first) if len(able) > some_first else np.arange(len(able))
+            for new in (able[split[:some_first]], able[split[some_first:]]):
                 new = new[reach[new] >= floor - 1e-9]
-                first, more = first + more, 2 * more
-                full = cos[new] + completed(of[new])
-                ids, sims = np.append(ids, of[new][full > 0]), np.append(sims, full[full > 0])
+                if not len(new):
+                    continue
+                if whole is None and (self.low[of[new] + 1] - self.low[of[new]]).sum() * 2 > postings:
+                    whole = self.all_parts(self.query[low], start, end, self.low_entry, self.low_value) / self.norm
+                full = cos[new] + (self.low_parts(of[new]) if whole is None else whole[of[new]])
+                near = (full > 0) & (full >= floor - 1e-12)
+                ids, sims = np.append(ids, of[new][near]), np.append(sims, full[near])
                 rank = np.lexsort((ids, -sims))
                 ids, sims = ids[rank], sims[rank]
                 last = int(np.searchsorted(np.cumsum(self.all[ids]), self.k))
@@ -296,18 +371,18 @@ class BlockMaxIndex:
         return float(min(1.0, max(0.0, score))), self.evidence[ids[0]]
 
 
-def _score(vocabulary: Vocabulary, index: BlockMaxIndex):
+def _score(index: Broadcast):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict = {}
         for b in batches:
             scores, evidence = [], []
-            for t in b.column(1):
-                text = t.as_py() or ""
-                key = xxhash.xxh128_digest(text)
+            for p in b.column(1):
+                packed = p.as_py()
+                key = xxhash.xxh128_digest(packed)
                 if key not in kept:
                     if len(kept) >= _CACHE:
                         kept.clear()
-                    kept[key] = index.score(*vocabulary.features(text))
+                    kept[key] = index.value.score(*unpack(packed))
                 s, e = kept[key]
                 scores.append(s)
                 evidence.append(e)
@@ -347,7 +422,7 @@ def score(
     k: int = 15,
 ) -> DataFrame:
     """Per document: key, held_out, score, predicted, evidence (ids of nearest examples)."""
-    kind = dict(docs.dtypes)[key]
+    spark, kind = docs.sparkSession, dict(docs.dtypes)[key]
     lean = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_y")).where("_key is not null and _y in (0, 1)").where(~held_out(F.col("_key")))
     chosen = F.broadcast(usable.groupBy("_key").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_key"), "_key").limit(max_examples))  # two numbers each
@@ -356,35 +431,35 @@ def score(
 
     by_label = examples.select("_text", "_y").mapInArrow(_by_label(prefixes), "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     totals = examples.agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    counted = by_label.toArrow()  # three numbers a term of at most max_examples texts
-    pos, neg = counted["pos"].to_numpy(), counted["neg"].to_numpy()
-    terms = counted["term"].to_numpy().view(np.uint64)
-    gain = gains(terms, pos, neg, int(totals["p"]), int(totals["n"]), significance, ordinary, 5)
-    vocabulary = Vocabulary(terms[gain > 0], gain[gain > 0], prefixes)
-
-    parts = lean.select("_text").mapInArrow(_frequencies(vocabulary), "chunk int, packed binary").repartition("chunk").mapInArrow(_added, "chunk int, n array<long>")
+    gained = by_label.mapInArrow(_gained(int(totals["p"]), int(totals["n"]), significance, ordinary, 5), "term long, gain double").toArrow()  # two numbers a term
+    vocabulary = Vocabulary(gained["term"].to_numpy().view(np.uint64), gained["gain"].to_numpy(), prefixes)
+    gain, vocabulary.gain = vocabulary.gain, None
+    del gained
+    sent = spark.sparkContext.broadcast(vocabulary)
+
+    featured = materialize(lean.mapInArrow(_featured(sent), f"_key {kind}, packed binary, chunk int, counts binary"), "features")
+    parts = featured.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_added, "chunk int, n array<long>")
     df, n_docs = np.zeros(-(-len(vocabulary) // CHUNK) * CHUNK), 0
     tasks = 0
-    for r in parts.toArrow().to_pylist():  # a number a term
-        if r["chunk"] < 0:
-            n_docs, tasks = r["n"]
+    parts = parts.toArrow()  # a number a term
+    for chunk, n in zip(parts["chunk"].to_pylist(), parts["n"], strict=True):
+        if chunk < 0:
+            n_docs, tasks = n.as_py()
         else:
-            df[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = r["n"]
-    weight = (np.log((1 + n_docs) / (1 + df[: len(vocabulary)])) + 1) * vocabulary.gain
-    rows = examples.select("_key", "_text", "_y").orderBy("_key").toArrow()  # at most max_examples
-    index = BlockMaxIndex(
-        [(key.as_py(), *vocabulary.features(t.as_py()), y.as_py()) for key, t, y in zip(*rows.columns, strict=True)],
-        weight,
-        int((vocabulary.gain >= 10 * ordinary).sum()),
-        k,
-    )
+            df[chunk * CHUNK : (chunk + 1) * CHUNK] = n.values.to_numpy()
+    weight = (np.log((1 + n_docs) / (1 + df[: len(vocabulary)])) + 1) * gain
+    high = int((gain >= 10 * ordinary).sum())
+    del parts, df, vocabulary, gain
+    rows = examples.select("_key", "_y", "_text").mapInArrow(_packed(sent), f"_key {kind}, _y int, packed binary").toArrow()  # at most max_examples
+    index = BlockMaxIndex(((key.as_py(), *unpack(p.as_py()), y.as_py()) for key, y, p in zip(*rows.columns, strict=True)), weight, high, k)
     del rows
-    vocabulary.known.clear()
-    vocabulary.gain = None  # in the index' weights now
+    sent = spark.sparkContext.broadcast(index)
+    del index
     # Scoring takes longer than reading: where the parts read are fewer than the cores, texts are dealt anew.
-    cores = lean.sparkSession.sparkContext.defaultParallelism
-    dealt = lean.repartition(cores) if tasks < cores else lean
-    scored = dealt.mapInArrow(_score(vocabulary, index), f"_key {kind}, score double, evidence array<{kind}>")
+    texts = featured.where("chunk is null").select("_key", "packed")
+    cores = spark.sparkContext.defaultParallelism
+    dealt = texts.repartition(cores) if tasks < cores else texts
+    scored = dealt.mapInArrow(_score(sent), f"_key {kind}, score double, evidence array<{kind}>")
     return scored.select(
         F.col("_key").alias(key),
         F.coalesce(held_out(F.col("_key")), F.lit(False)).alias("held_out"),

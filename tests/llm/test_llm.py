@@ -462,6 +462,29 @@ def test_block_max_is_exact(high):
         assert np.allclose(votes, want) and not index.query.any()
 
 
+def test_index_is_built_and_sent_in_little_memory():
+    """The driver packs examples, builds their index without arrays of eight bytes a posting, and sends no posting twice."""
+    import pickle
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    bags = [(np.unique(rng.integers(0, 100_000, 300)).astype(np.int32), i % 2) for i in range(2000)]
+    packed = [(i, toxicity.pack(at, np.where(at % 50 == i % 50, 70_000 + at, 1)), y) for i, (at, y) in enumerate(bags)]
+    for (_, p, _), (at, _) in zip(packed, bags, strict=True):
+        got = toxicity.unpack(p)
+        assert (got[0] == at).all() and got[0].dtype == np.int32 and got[1].dtype == np.int64
+    assert toxicity.pack(*toxicity.unpack(b"")) == b"" and toxicity.unpack(packed[3][1])[1].max() >= 70_000
+    packed = [(i, toxicity.pack(at, np.ones(len(at), np.int64)), y) for i, (at, y) in enumerate(bags)]
+    postings = sum(len(at) for at, _ in bags)
+    tracemalloc.start()
+    index = toxicity.BlockMaxIndex(((i, *toxicity.unpack(p), y) for i, p, y in packed), np.linspace(5, 0.1, 100_000), 2000, k=5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * postings and len(pickle.dumps(index)) < 9 * postings
+
+
 def test_no_known_word_is_left_out(spark):
     """A held-out text whose words tell nothing still has neighbours: those that share its words."""
     rows = [(i, f"{text_of(i // 10, 12)} {'scum' if i % 40 < 10 else ''}", "en", "a", 1) for i in range(400)]
