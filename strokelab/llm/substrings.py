@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,13 @@ def _emit_regions(length: int, k: int):
     return run
 
 
+def asked_of(lists: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Row of each struct of a batch's lists (null: none), and the structs' fields as arrays: not object by object."""
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    return rows, {f.name: c.to_numpy(zero_copy_only=False) for f, c in zip(flat.type, flat.flatten(), strict=True)}
+
+
 def _emit_edges(length: int):
     """Edges of the asked paths of each text (_row, text, asked): a path as a whole, or each of its windows where its anchor
     branches.
@@ -155,24 +163,31 @@ def _emit_edges(length: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[int] = []
-            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(9)]
-            for row, (text, asked) in enumerate(zip(b.column(1), b.column(2), strict=True)):
+            rows, x = asked_of(b.column(2))
+            first = np.searchsorted(rows, np.arange(b.num_rows + 1))
+            at, n = x["at"] >> 8, x["at"] & 255
+            parts: list[np.ndarray] = [np.empty((3, 0), U)]
+            took: list[np.ndarray] = [np.empty((3, 0), np.int64)]
+            for row, text in enumerate(b.column(1)):
+                if first[row] == first[row + 1]:
+                    continue
                 spans = Spans(word_hashes((text.as_py() or "").encode().split()))
-                for x in asked.as_py():
-                    at, n = x["at"] >> 8, x["at"] & 255
-                    if at + n + length - 1 >= len(spans.sums):  # asked of another row
-                        continue
-                    size, i = (1, np.arange(n)) if x["branch"] else (n, np.zeros(1, np.int64))
-                    start = at + i
-                    stop = start + size + length - 1
-                    edge = mix(spans(start, stop) * _odd(6)).view(np.int64) if x["branch"] else np.array([x["region"]])
-                    same = [np.full(len(i), v) for v in (x["anchor"], x["region"], x["copies"], size)]
-                    for o, v in zip(out, (*same, i, edge, spans(start, start + length - 1).view(np.int64), spans(stop - length + 1, stop).view(np.int64), start), strict=True):
-                        o.append(v)
-                    rows.extend([row] * len(i))
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), *(pa.array(np.concatenate(o)) for o in out)], ["_row", *EDGE])
+                path = np.arange(first[row], first[row + 1])
+                path = path[at[path] + n[path] + length - 1 < len(spans.sums)]  # others are asked of another row
+                branch = x["branch"][path]
+                edges = np.where(branch, n[path], 1)
+                path, begin = np.repeat(path, edges), np.cumsum(edges) - edges
+                i = np.arange(len(path)) - np.repeat(begin, edges)
+                start = at[path] + i
+                stop = start + np.where(x["branch"][path], 1, n[path]) + length - 1
+                parts.append(np.stack([spans(start, stop), spans(start, start + length - 1), spans(stop - length + 1, stop)]))
+                took.append(np.stack([path, i, start]))
+            whole, head, tail = np.concatenate(parts, axis=1)
+            path, i, start = np.concatenate(took, axis=1)
+            branch = x["branch"][path]
+            edge = np.where(branch, mix(whole * _odd(6)).view(np.int64), x["region"][path])
+            of = [x["anchor"][path], x["region"][path], x["copies"][path], np.where(branch, 1, n[path]), i, edge, head.view(np.int64), tail.view(np.int64), start]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows[path])), *map(pa.array, of)], ["_row", *EDGE])
 
     return run
 
@@ -199,7 +214,7 @@ def _emit_runs(length: int):
 
 def covered(words: list[bytes], spans: list[dict]) -> np.ndarray:
     """True for each word that lies in one of the spans (start, size, text) and equals the span's text there."""
-    edge = np.zeros(len(words) + 1, np.int64)
+    edge = [0] * (len(words) + 1)
     for x in spans:
         start, stop = x["start"], x["start"] + x["size"]
         if b" ".join(words[start:stop]) == x["text"].encode():
@@ -212,10 +227,14 @@ def _strip(keep_text: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, digest, texts = [], [], [], []
-            for text, spans in zip(b.column(1), b.column(2), strict=True):
+            rows, x = asked_of(b.column(2))
+            first = np.searchsorted(rows, np.arange(b.num_rows + 1)).tolist()
+            spans = [{"start": a, "size": n, "text": t} for a, n, t in zip(x["start"].tolist(), x["size"].tolist(), x["text"], strict=True)]
+            for row, text in enumerate(b.column(1)):
                 words = (text.as_py() or "").encode().split()
-                gone = covered(words, spans.as_py() or [])
-                kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
+                own = spans[first[row] : first[row + 1]]
+                gone = covered(words, own) if own else np.zeros(len(words), bool)
+                kept = b" ".join(compress(words, (~gone).tolist()) if gone.any() else words)
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
                 digest.append(hashlib.sha256(kept).hexdigest())

@@ -380,6 +380,37 @@ def test_unitigs(spark):
     assert got == {1: (1, 0, 4), 3: (1, 4, 3), 5: (5, 0, 1), 6: (6, 0, 1), 7: (7, 0, 1), 8: (7, 1, 1), 9: (9, 0, 1)}
 
 
+def test_edges_of_a_text_are_made_at_once(monkeypatch):
+    """However many paths are asked of a text, its hashes are taken in a few calls; paths of other rows are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    words = text_of(5, 300).encode().split()
+    kind = pa.list_(pa.struct([(c, pa.bool_() if c == "branch" else pa.int64()) for c in ("anchor", "region", "at", "copies", "branch")]))
+    asked = [{"anchor": i, "region": 1000 + i, "at": (i * 5 << 8) | 7, "copies": 2, "branch": i % 2 == 1} for i in range(60)]
+    texts = ["", "a b", b" ".join(words).decode(), None, b" ".join(words[:100]).decode()]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9, 14)), pa.array(texts), pa.array([[], None, asked, asked[:1], asked[:20]], kind)], names=["_row", "_text", "asked"]).slice(1)
+    calls, real = [], substrings.Spans.__call__
+    monkeypatch.setattr(substrings.Spans, "__call__", lambda self, start, stop: (calls.append(1), real(self, start, stop))[1])
+    got = pa.Table.from_batches(substrings._emit_edges(35)([batch])).to_pylist()
+    assert len(calls) <= 9
+    spans = substrings.Spans(substrings.word_hashes(words))
+    at = lambda a, b: int(real(spans, np.array([a]), np.array([b])).view(np.int64)[0])
+    want = []
+    for row, n_words, paths in ((11, 300, asked), (13, 100, asked[:20])):
+        for x in paths:
+            start, n = x["at"] >> 8, x["at"] & 255
+            if start + n + 34 > n_words:
+                continue
+            for i in range(n) if x["branch"] else [0]:
+                size = 1 if x["branch"] else n
+                whole = real(spans, np.array([start + i]), np.array([start + i + size + 34]))
+                edge = int(substrings.mix(whole * substrings._odd(6)).view(np.int64)[0]) if x["branch"] else x["region"]
+                a, b = start + i, start + i + size + 34
+                want.append({"_row": row, "anchor": x["anchor"], "region": x["region"], "copies": 2, "size": size, "i": i, "edge": edge, "head": at(a, a + 34), "tail": at(b - 34, b), "at": a})
+    assert got == want and len(want) > 200
+
+
 def test_a_span_is_compared_word_by_word():
     words = b"a b c d e".split()
     assert substrings.covered(words, [{"start": 1, "size": 2, "text": "b c"}, {"start": 3, "size": 2, "text": "d x"}]).tolist() == [False, True, True, False, False]
