@@ -112,8 +112,8 @@ def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Groups of linked nodes as ``node, root`` (root: the smallest node; roots map to themselves).
 
     Alternates two star steps: every larger neighbour of a node, then every smaller one, is tied to the node's smallest
-    neighbour.  Only minima are aggregated, so a node with many links is no single task's work; rounds grow with the
-    logarithm of the longest chain.
+    neighbour.  Only minima are aggregated; a join brings the links of a node to one task, where they pass in order of the
+    node and none is kept.  Rounds grow with the logarithm of the longest chain.
     """
 
     def written(e: DataFrame) -> tuple[DataFrame, tuple]:

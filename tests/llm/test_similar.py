@@ -1,5 +1,6 @@
 """Near copies by similarity, against all pairs."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline as cp
@@ -57,3 +58,23 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark):
         assert got == Counter([(2, a), (5, b), (7, c), (7, d), (None, text_of(6, 80)), (None, text_of(7, 80))])
     other = spark.createDataFrame([(1, a, "en", "x", 1), (1, a, "fr", "y", 1)], DOCS)
     assert len({tuple(cp.near_duplicates(spark, other.repartition(n), "").first()) for n in (1, 2, 3)}) == 1
+
+
+def test_star_steps_give_the_groups_of_union_find(spark):
+    rng = random.Random(3)
+    ids = [rng.randrange(-(1 << 62), 1 << 62) for _ in range(400)]
+    edges = [tuple(sorted(rng.sample(ids[:200], 2))) for _ in range(120)]  # a forest of many groups
+    edges += [tuple(sorted((ids[200], x))) for x in ids[201:300]]  # a hub
+    edges += [tuple(sorted(p)) for p in zip(ids[300:], ids[301:], strict=False)]  # a chain
+    of = {x: x for e in edges for x in e}
+
+    def root(x):
+        while of[x] != x:
+            x = of[x]
+        return x
+
+    for u, v in edges:
+        a, b = sorted((root(u), root(v)))
+        of[b] = a
+    got = {tuple(r) for r in simhash.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {(x, root(x)) for x in of}
