@@ -516,6 +516,81 @@ def test_index_is_built_and_sent_in_little_memory():
     assert peak < 50 * postings and len(pickle.dumps(index)) < 9 * postings
 
 
+def _by_plain_product(examples, weight):
+    import numpy as np
+
+    dense = np.zeros((len(examples), len(weight)))
+    for row, (_, at, tf, _) in zip(dense, examples, strict=True):
+        row[at] = (1 + np.log(tf)) * weight[at]
+        row /= max(np.sqrt(row @ row), 1e-300)
+    return dense
+
+
+@pytest.mark.parametrize("wide, loose, patience", [(512, 2, 10**9), (512, 2, -1), (7, 0, 0), (0, 0, 0), (60, 0.3, 40)])
+def test_columns_and_postings_are_exact(wide, loose, patience):
+    """By block bounds or by wide columns, alone or many texts at once: the neighbours of the whole product."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    weight = np.sort(rng.uniform(0.1, 5, 60))[::-1].copy()
+    examples = []
+    for key in range(700):
+        at = np.unique(np.minimum(rng.geometric(0.06, rng.integers(1, 9)) - 1, 59)).astype(np.int32)
+        examples.append((key, at, rng.integers(1, 4, len(at)), key % 2))
+    index = toxicity.BlockMaxIndex(examples, weight, 20, k=5, block=8, dense=3, wide=wide, loose=loose, patience=patience)
+    dense = _by_plain_product(examples, weight)
+    texts = [(at, tf) for _, at, tf, _ in examples[:300]]
+    for (at, tf), row, (ids, sims) in zip(texts, dense[:300], index.nearest_of(texts), strict=True):
+        cos = np.sort(dense @ row)[::-1]
+        want = cos[(cos >= cos[4] - 1e-12) & (cos > 0)]
+        assert np.allclose(np.repeat(sims, index.all[ids].astype(int)), want, atol=1e-12)
+        alone = index.nearest(at, tf)
+        assert (alone[0] == ids).all() and np.allclose(alone[1], sims, atol=1e-12)
+    assert not index.query.any() and not index.asked.any()
+
+
+def test_texts_without_telling_words_read_few_postings(monkeypatch):
+    """Where block bounds rule nothing out, frequent words are columns: their postings are not summed one by one."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    weight = np.linspace(1.5, 1, 3000)
+    examples = [(i, np.unique(np.minimum(rng.zipf(1.3, 120) - 1, 2999)).astype(np.int32), i % 2) for i in range(1500)]
+    index = toxicity.BlockMaxIndex(((i, at, np.ones(len(at), np.int64), y) for i, at, y in examples), weight, 10, k=5)
+    index.nearest(examples[0][1], np.ones(len(examples[0][1]), np.int64))  # what is made once
+    summed, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *more, **named: summed.append(len(x)) or plain(x, *more, **named))
+    held = plain(np.concatenate([at for _, at, _ in examples]), minlength=3000)
+    texts = [at for _, at, _ in examples[:50]]
+    for at in texts:
+        index.nearest(at, np.ones(len(at), np.int64))
+    assert sum(summed) * 5 < sum(int(held[at].sum()) for at in texts)
+
+
+def test_prefixes_are_found_by_characters():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("ab\u00e9\u4e2d") for _ in range(rng.randint(1, 9))) for _ in range(400)})
+    prefixes = sorted({w[:p] for w in words for p in (4, 5, 6, 7) if len(w) > p})
+    terms = [w.encode() for w in words[::2]] + [h.encode() + toxicity.MARK for h in prefixes[::3]]
+    known = toxicity.Vocabulary(pa.table({"term": pa.array(terms, pa.binary()), "gain": [float(rng.randint(1, 5)) for _ in terms]}), (7, 4, 6, 5))
+    assert list(known.gain) == sorted(known.gain, reverse=True)
+    number = {t: i for i, t in enumerate(known.terms.to_pylist())}
+    for _ in range(2):  # looked up, and remembered
+        for _ in range(50):
+            text = rng.choices(words, k=30)
+            want = {}
+            for w in text:
+                for t in [w.encode()] + [w[:p].encode() + toxicity.MARK for p in (4, 5, 6, 7) if len(w) > p]:
+                    if t in number:
+                        want[number[t]] = want.get(number[t], 0) + 1
+            at, tf = known.features(" ".join(text))
+            assert list(zip(at.tolist(), tf.tolist(), strict=True)) == sorted(want.items())
+
+
 def test_no_known_word_is_left_out(spark):
     """A held-out text whose words tell nothing still has neighbours: those that share its words."""
     rows = [(i, f"{text_of(i // 10, 12)} {'scum' if i % 40 < 10 else ''}", "en", "a", 1) for i in range(400)]
