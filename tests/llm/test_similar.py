@@ -78,3 +78,12 @@ def test_star_steps_give_the_groups_of_union_find(spark):
         of[b] = a
     got = {tuple(r) for r in simhash.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {(x, root(x)) for x in of}
+
+
+def test_links_either_way_round_are_all_taken(spark):
+    links = [(5, 3), (3, 5), (9, 5), (2, 9), (2, 9), (-7, -7), (None, 2), (20, 21), (30, 20), (40, 40), (40, 41)]
+    got = sorted(map(tuple, simhash.connected(spark.createDataFrame(links, "u long, v long")).collect()))
+    assert got == [(2, 2), (3, 2), (5, 2), (9, 2), (20, 20), (21, 20), (30, 20), (40, 40), (41, 40)]
+    chain = [(i + 1, i) for i in range(300)]  # every link from the larger node to the smaller
+    assert {tuple(r) for r in simhash.connected(spark.createDataFrame(chain, "u long, v long")).collect()} == {(i, 0) for i in range(301)}
+    assert simhash.connected(spark.createDataFrame([(1, 1)], "u long, v long")).count() == 0
