@@ -121,10 +121,13 @@ def s11_byte_shards(spark, d):
     length = (F.col("o_orderkey") * 7919 % 1000).cast("int")
     o = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderkey") % 4 == 0, "test").otherwise("train").alias("split"), F.repeat(F.lit("x"), length).alias("text"))
     tables.write_export(o, path, max_shard_bytes=100_000)
-    back = spark.read.parquet(path)
-    held = back.groupBy(F.input_file_name().alias("f")).agg(F.sum(F.octet_length(F.to_json(F.struct("sample_id", "split", "text")))).alias("bytes"))
+    size = F.octet_length(F.to_json(F.struct("sample_id", "split", "text")))
+    back = spark.read.parquet(path).select("sample_id", "split", F.length("text").alias("length"), F.input_file_name().alias("f"), size.alias("bytes"))
+    # Opening small files takes the time: each is read once, many by a task.
+    back = written(back.coalesce(4 * spark.sparkContext.defaultParallelism))
+    held = back.groupBy("f").agg(F.sum("bytes").alias("bytes"))
     fits = held.agg((F.max("bytes") <= 100_000).alias("fits"))  # one row
-    return back.join(F.broadcast(fits.where("fits")), how="cross").select("sample_id", "split", F.length("text").alias("length"))
+    return back.join(F.broadcast(fits.where("fits")), how="cross").select("sample_id", "split", "length")
 
 
 @query("SELECT n_nationkey AS sample_id, CASE WHEN n_nationkey % 5 <> 0 THEN sum(length(c_name) + 1)::BIGINT END AS n_bytes FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")

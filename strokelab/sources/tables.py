@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import functools
 import math
+import os
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import nullcontext
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strokelab.operators import numbering
 from strokelab.schemas import DDL, KEYS, nan_to_null
@@ -194,6 +200,10 @@ def embed_media(df: DataFrame, media: DataFrame, path: str, out: str) -> DataFra
     return df.withColumn("_tail", wanted).join(files, "_tail", "left").drop("_tail")
 
 
+#: Rows of a range of ``sharded``, as a power of two: no task sorts more of one split and size together.
+RANGE_BITS = 16
+
+
 def sharded(df: DataFrame, max_bytes: int, split: str = "split") -> tuple[DataFrame, int]:
     """Rows with the number of their shard (``_shard``, from 0 over all splits), and how many shards there are (O-S11).
 
@@ -205,7 +215,7 @@ def sharded(df: DataFrame, max_bytes: int, split: str = "split") -> tuple[DataFr
     cap, half = F.lit(max_bytes), max_bytes / 2
     size = F.octet_length(F.to_json(F.struct(*df.columns)))
     kind = F.when(F.col("_size") * 8 <= cap, 0).when(F.col("_size") * 4 <= cap, 4).when(F.col("_size") * 2 <= cap, 2).otherwise(1)
-    rows = df.withColumn("_size", size.cast("long")).withColumn("_kind", kind).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    rows = df.withColumn("_size", size.cast("long")).withColumn("_kind", kind).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", RANGE_BITS))
     # Written once: the ranges must stay as they are.
     rows = shared.written(rows)
     each = rows.groupBy(split, "_kind", "_part").agg(F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
@@ -235,8 +245,8 @@ def sharded(df: DataFrame, max_bytes: int, split: str = "split") -> tuple[DataFr
 def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, max_shard_bytes: int | None = None) -> None:
     """Export partitioned by split, with a cap on the rows or the bytes of a file (O-S11).
 
-    Bytes are counted as JSON text, which parquet seldom exceeds.  A task writes many shards of ``sharded``, each into a folder of
-    its own beside the export; their files are then moved into the folders of the splits, and the whole takes the export's place.
+    Bytes are counted as JSON text, which parquet seldom exceeds.  A task writes many shards of ``sharded``, each as a file of its
+    own, beside the export, and the whole then takes the export's place.
     """
     if max_shard_bytes:
         return _write_shards(df, path, max_shard_bytes)
@@ -246,31 +256,125 @@ def write_export(df: DataFrame, path: str, max_shard_rows: int | None = None, ma
 
 #: Bytes of shards that one task writes: what a task reports to the driver is then small beside what it writes.
 TASK_BYTES = 64 << 20
+#: Bytes of a shard that its task holds before it writes them.
+GROUP_BYTES = 16 << 20
+#: Types that Arrow writes to parquet as Spark reads them.
+PLAIN = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.StringType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _plain(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return bool(kind.fields) and all(_plain(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _plain(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _plain(kind.keyType) and _plain(kind.valueType)
+    return type(kind) in PLAIN
 
 
 def _write_shards(df: DataFrame, path: str, max_bytes: int) -> None:
     spark = df.sparkSession
     rows, n = sharded(df, max_bytes)
     tasks = max(1, math.ceil(n * max_bytes / TASK_BYTES), min(n, spark.sparkContext.defaultParallelism))
+    dealt = rows.repartitionById(tasks, F.col("_shard") % tasks)
     staging = f"{path}.staging-{uuid.uuid4().hex}"
-    rows.repartitionById(tasks, F.col("_shard") % tasks).write.partitionBy("split", "_shard").parquet(staging)
     fs, s = _hadoop(spark, staging)
     _, target = _hadoop(spark, path)
-    files, emptied, new_path = fs.listFiles(s, True), {}, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    _, made = _hadoop(spark, f"{staging}/export")
+    fs.mkdirs(made)
+    if fs.getUri().getScheme() == "file" and _plain(df.drop("split").schema):
+        _write_mounted(dealt, fs.makeQualified(s).toUri().getPath(), n)
+        fs.create(_hadoop(spark, f"{staging}/export/_SUCCESS")[1]).close()
+    else:
+        _write_moved(dealt, staging)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(made, target):
+        raise OSError(f"{path} can't be replaced; the export is in {staging}/export")
+    fs.delete(s, True)
+
+
+def _write_mounted(dealt: DataFrame, staging: str, n: int) -> None:
+    """Shards as files of a folder that all machines have mounted: tasks write them with Arrow under their own names."""
+    spark = dealt.sparkSession
+    codec = spark.conf.get("spark.sql.parquet.compression.codec").lower()
+    codec = {"uncompressed": "none", "lz4_raw": "lz4"}.get(codec, codec)
+    # What Spark's own files say of themselves.
+    said = {"org.apache.spark.version": spark.version, "org.apache.spark.sql.parquet.row.metadata": dealt.drop("split", "_shard").schema.json()}
+    rows = dealt.withColumn("_split", F.col("split").cast("string")).drop("split")  # ends with the shard and its split
+    done = rows.sortWithinPartitions("_shard").mapInArrow(functools.partial(_shard_files, staging, codec, said), "n long").agg(F.sum("n")).first()[0]
+    if (done or 0) != n:
+        raise OSError(f"{done} of {n} shards were written to {staging}")
+
+
+def _shard_files(staging: str, codec: str, said: dict[str, str], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Writes a file for each shard of rows that come in its order; a row with their number.
+
+    A file gets its name when it is whole, so a task that runs again or twice changes nothing.
+    """
+    own = f"{staging}/tasks/{uuid.uuid4().hex}"
+    os.makedirs(own)
+    now, writer, held, folder, n = None, None, [], "", 0
+
+    def flush() -> None:
+        nonlocal held
+        if held:
+            writer.write_table(pa.Table.from_batches(held))
+        held = []
+
+    def close() -> None:
+        if writer is not None:
+            flush()
+            writer.close()
+            os.replace(f"{own}/part", f"{folder}/part-{now:09d}.parquet")
+
+    for b in batches:
+        shards, data = b.column(b.num_columns - 2).to_numpy(), pa.RecordBatch.from_arrays(b.columns[:-2], schema=pa.schema(list(b.schema)[:-2], said))
+        at = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        for lo, hi in zip(at, at[1:]):
+            if lo == hi:
+                continue
+            if shards[lo] != now:
+                close()
+                now, n = int(shards[lo]), n + 1
+                folder = f"{staging}/export/{_folder('split', b.column(b.num_columns - 1)[lo].as_py())}"
+                os.makedirs(folder, exist_ok=True)
+                writer = pq.ParquetWriter(f"{own}/part", data.schema, compression=codec, store_schema=False)
+            held.append(data.slice(lo, hi - lo))
+            if sum(x.nbytes for x in held) >= GROUP_BYTES:
+                flush()
+    close()
+    os.rmdir(own)
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+
+def _folder(column: str, value: str | None) -> str:
+    """Name of a partition's folder as Spark writes it."""
+    return f"{column}={re.sub(UNSAFE, lambda m: f'%{ord(m[0]):02X}', value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+
+
+UNSAFE = r"""[\x01-\x1F"#%'*/:=?\\\x7F{\[\]^]"""
+
+
+def _write_moved(dealt: DataFrame, staging: str) -> None:
+    """Shards as files of any folder: Spark writes each into a folder of its own, and the driver moves them from there."""
+    spark = dealt.sparkSession
+    dealt.write.partitionBy("split", "_shard").parquet(f"{staging}/shards")
+    fs, s = _hadoop(spark, f"{staging}/shards")
+    files, known, new_path = fs.listFiles(s, True), {}, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     while files.hasNext():
         file = files.next().getPath()
         folder = file.getParent()
-        if folder.getName().startswith("_shard="):
-            to = new_path(folder.getParent(), f"part-{int(folder.getName().removeprefix('_shard=')):09d}-{file.getName().split('-', 2)[-1]}")
-            if not fs.rename(file, to):
-                raise OSError(f"{file.toString()} can't be moved; {path} is as it was")
-            emptied[folder.toString()] = folder
-    for folder in emptied.values():
-        fs.delete(folder, True)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(s, target):
-        raise OSError(f"{path} can't be replaced; the export is in {staging}")
+        if not folder.getName().startswith("_shard="):
+            to = new_path(f"{staging}/export/{file.getName()}")
+        else:
+            split = folder.getParent().getName()
+            if split not in known:
+                known[split] = new_path(f"{staging}/export", split)
+                fs.mkdirs(known[split])
+            to = new_path(known[split], f"part-{int(folder.getName().removeprefix('_shard=')):09d}-{file.getName().split('-', 2)[-1]}")
+        if not fs.rename(file, to):
+            raise OSError(f"{file.toString()} can't be moved; the export is as it was")
 
 
 def write_auxiliary(tables: dict[str, DataFrame], path: str) -> None:

@@ -273,6 +273,47 @@ def test_many_shards_are_few_tasks(spark, tmp_path):
     assert back.groupBy(F.input_file_name()).agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0] <= 1000
 
 
+@pytest.mark.parametrize("kind", ["plain", "moved"])
+def test_files_of_shards_are_made_by_tasks(spark, tmp_path, monkeypatch, kind):
+    renamed, hadoop = [], tables._hadoop
+
+    class Watched:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda *a: (renamed.append(a), self.fs.rename(*a))[1]) if name == "rename" else getattr(self.fs, name)
+
+    monkeypatch.setattr(tables, "_hadoop", lambda *a: (Watched(hadoop(*a)[0]), hadoop(*a)[1]))
+    names = F.array(F.lit("a/b=c%"), F.lit("ü x:y{z}"), F.lit(""), F.lit(None).cast("string"), F.lit("train"))
+    df = spark.range(1500).select(
+        F.col("id").alias("sample_id"),
+        names[(F.col("id") % 5).cast("int")].alias("split"),
+        F.repeat(F.lit("ab"), (F.col("id") % 40).cast("int")).alias("the text"),
+        F.array(F.struct(F.col("id").cast("decimal(12,2)").alias("d"), F.lit(None).cast("int").alias("n"))).alias("nested"),
+        F.timestamp_seconds(F.col("id") * 1e6).alias("at"),
+        F.expr("date'1400-01-01' + cast(id as int)").alias("day"),
+        F.expr("cast(id as string)").cast("binary").alias("raw"),
+        (F.expr("make_dt_interval(0, 0, 0, id)") if kind == "moved" else F.map_from_arrays(F.array(F.lit("k")), F.array("id"))).alias("kind"),
+    )
+    tables.write_export(df, str(tmp_path / "x"), max_shard_bytes=2000)
+    files = list((tmp_path / "x").glob("split=*/*.parquet"))
+    assert len(files) > 90 and (len(renamed) == 1 or kind == "moved") and (tmp_path / "x" / "_SUCCESS").exists()
+    df.write.partitionBy("split").parquet(str(tmp_path / "y"))
+    assert {f.parent.name for f in files} == {f.parent.name for f in (tmp_path / "y").glob("split=*/*.parquet")}
+    back, plain = spark.read.parquet(str(tmp_path / "x")), spark.read.parquet(str(tmp_path / "y"))
+    assert back.schema == plain.schema and sorted(map(repr, back.collect())) == sorted(map(repr, plain.collect()))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["x", "y"]
+
+
+def test_ranges_of_shards_are_bounded(spark, tmp_path, monkeypatch):
+    df = spark.range(1000, numPartitions=1).select(F.col("id").alias("sample_id"), F.repeat(F.lit("ab"), (F.col("id") % 50).cast("int")).alias("text"), F.lit("train").alias("split"))
+    want = sorted(map(tuple, tables.sharded(df, 1000)[0].collect()))
+    monkeypatch.setattr(tables, "RANGE_BITS", 5)
+    got, n = tables.sharded(df, 1000)
+    assert sorted(map(tuple, got.collect())) == want and n == len({r[-1] for r in want})
+
+
 def test_numbers_of_ranges(spark):
     from strokelab.operators.numbering import numbered
 
